@@ -82,27 +82,27 @@ def _bracketed(base: DataFrame, ks: list[str], probs: Mapping[str, float], accur
     for i, n in enumerate(names):
         pos = (F.col("_n") - 1) * F.lit(float(probs[n]))
         per_prob.append(F.struct(
-            F.lit(i).alias("i"),
-            F.when(whole, F.col("_min")).otherwise(F.col("_sk")[2 * i]).alias("lo"),
-            F.when(whole, F.col("_max")).otherwise(F.col("_sk")[2 * i + 1]).alias("hi"),
-            F.floor(pos).cast("long").alias("k"),
-            (pos - F.floor(pos)).alias("f")))
+            F.lit(i).alias("__i"),
+            F.when(whole, F.col("_min")).otherwise(F.col("_sk")[2 * i]).alias("__lo"),
+            F.when(whole, F.col("_max")).otherwise(F.col("_sk")[2 * i + 1]).alias("__hi"),
+            F.floor(pos).cast("long").alias("__k"),
+            (pos - F.floor(pos)).alias("__f")))
     brackets = stats.select(*ks, F.inline(F.array(*per_prob)))
 
     # Pass 2 (one scan): exact count below each bracket plus the sorted values
     # inside it; the bracket holds at most ~10/accuracy of a large group.
     joined = base.join(brackets, on=ks, how="inner")
-    in_bracket = (F.col("_v") >= F.col("lo")) & (F.col("_v") <= F.col("hi"))
-    picked = joined.groupBy(*ks, "i").agg(
-        F.count_if(F.col("_v") < F.col("lo")).alias("below"),
-        F.array_sort(F.collect_list(F.when(in_bracket, F.col("_v")))).alias("cand"),
-        F.first("k").alias("k"), F.first("f").alias("f"))
-    idx = F.col("k") - F.col("below") + 1  # 1-based position inside the bracket
-    a = F.element_at(F.col("cand"), idx.cast("int"))
-    b = F.when(F.col("f") > 0, F.element_at(F.col("cand"), (idx + 1).cast("int")))
-    picked = picked.select(*ks, "i", F.when(b.isNull(), a).otherwise(a + F.col("f") * (b - a)).alias("q"))
+    in_bracket = (F.col("_v") >= F.col("__lo")) & (F.col("_v") <= F.col("__hi"))
+    picked = joined.groupBy(*ks, "__i").agg(
+        F.count_if(F.col("_v") < F.col("__lo")).alias("__below"),
+        F.array_sort(F.collect_list(F.when(in_bracket, F.col("_v")))).alias("__cand"),
+        F.first("__k").alias("__k"), F.first("__f").alias("__f"))
+    idx = F.col("__k") - F.col("__below") + 1  # 1-based position inside the bracket
+    a = F.element_at(F.col("__cand"), idx.cast("int"))
+    b = F.when(F.col("__f") > 0, F.element_at(F.col("__cand"), (idx + 1).cast("int")))
+    picked = picked.select(*ks, "__i", F.when(b.isNull(), a).otherwise(a + F.col("__f") * (b - a)).alias("__q"))
     return picked.groupBy(*ks).agg(*[
-        F.max(F.when(F.col("i") == i, F.col("q"))).alias(n) for i, n in enumerate(names)])
+        F.max(F.when(F.col("__i") == i, F.col("__q"))).alias(n) for i, n in enumerate(names)])
 
 
 def median_exact(value: str):
