@@ -45,8 +45,17 @@ def positive_or_null(c: ColumnOrName) -> Column:
 
 
 def round_half_even(c: ColumnOrName, digits: int = 0) -> Column:
-    """Python/NumPy rounding (banker's); Spark's ``round`` is half-up."""
-    return F.bround(col(c), digits)
+    """NumPy rounding: half to even on the binary value ``x * 10^d``.
+
+    ``bround`` alone rounds the shortest decimal string (2469.885 -> 2469.88)
+    while NumPy/pandas give 2469.89 because the double is slightly above the
+    tie; scaling first keeps exact ties (0.125, 2.5) half-even and the rest as
+    NumPy does.
+    """
+    if digits == 0:
+        return F.bround(col(c), 0)
+    m = float(10 ** digits)
+    return F.bround(col(c) * F.lit(m), 0) / F.lit(m)
 
 
 def safe_int(c: ColumnOrName, default: int = 0) -> Column:

@@ -20,6 +20,7 @@ _REGISTRY: dict[str, tuple[Builder, str | None]] = {}
 PLAN_MODULES = (
     "lotmarket.plans.market_q",
     "lotmarket.plans.trends_q",
+    "lotmarket.plans.scalar_q",
 )
 
 

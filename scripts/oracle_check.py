@@ -19,7 +19,7 @@ def norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 4)
+        return round(v, 4) + 0.0
     if hasattr(v, "isoformat"):
         return v.isoformat()[:10] if type(v).__name__ == "date" else v.isoformat()
     if hasattr(v, "as_integer_ratio") and not isinstance(v, int):
