@@ -21,6 +21,7 @@ PLAN_MODULES = (
     "lotmarket.plans.market_q",
     "lotmarket.plans.trends_q",
     "lotmarket.plans.scalar_q",
+    "lotmarket.plans.relational_q",
 )
 
 
