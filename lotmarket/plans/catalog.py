@@ -22,10 +22,13 @@ PLAN_MODULES = (
     "lotmarket.plans.trends_q",
     "lotmarket.plans.scalar_q",
     "lotmarket.plans.relational_q",
+    "lotmarket.plans.clean_q",
+    "lotmarket.plans.warehouse_q",
 )
 
 
 def register(name: str, sql: str | None = None):
+    """Register a builder; ``sql=None`` marks a rows-only query."""
     def deco(fn: Builder) -> Builder:
         if name in _REGISTRY:
             raise ValueError(f"duplicate query {name}")
