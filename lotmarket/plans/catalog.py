@@ -24,6 +24,7 @@ PLAN_MODULES = (
     "lotmarket.plans.relational_q",
     "lotmarket.plans.clean_q",
     "lotmarket.plans.warehouse_q",
+    "lotmarket.plans.scoring_q",
 )
 
 
