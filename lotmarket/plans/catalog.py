@@ -25,6 +25,7 @@ PLAN_MODULES = (
     "lotmarket.plans.clean_q",
     "lotmarket.plans.warehouse_q",
     "lotmarket.plans.scoring_q",
+    "lotmarket.plans.ml_q",
 )
 
 
