@@ -26,6 +26,9 @@ PLAN_MODULES = (
     "lotmarket.plans.warehouse_q",
     "lotmarket.plans.scoring_q",
     "lotmarket.plans.ml_q",
+    "lotmarket.plans.io_q",
+    "lotmarket.plans.stream_q",
+    "lotmarket.plans.ranking_q",
 )
 
 
