@@ -335,3 +335,72 @@ FROM (SELECT * FROM (SELECT CAST(sale_price AS DOUBLE) AS sale_price, CAST(gross
 GROUP BY variable"""))
 def profile_numeric(spark, d):
     return finish(mk.profile_numeric(sales(spark, d), PROFILE_COLS))
+
+
+# Price categories: the reference's edges (0/100K/500K/1M/5M) on the stand-in
+# price scale ($1M -> 50K, as HIGH_PRICE), right-closed.
+PRICE_EDGES = [0, 5000, 25000, 50000, 250000, None]
+PRICE_LABELS = ["Under $5K", "$5K-$25K", "$25K-$50K", "$50K-$250K", "Over $250K"]
+# Building-age categories of the reference (age 0 falls outside).
+AGE_CAT_EDGES = [0, 5, 20, 50, 100, None]
+AGE_CAT_LABELS = ["New (0-5)", "Modern (5-20)", "Established (20-50)", "Old (50-100)", "Historic (100+)"]
+
+
+def _case_sql(x, edges, labels):
+    parts = []
+    for i, lab in enumerate(labels):
+        lo, hi = edges[i], edges[i + 1]
+        cond = f"{x} > {lo}" + (f" AND {x} <= {hi}" if hi is not None else "")
+        parts.append(f"WHEN {cond} THEN '{lab}'")
+    return "CASE " + " ".join(parts) + " END"
+
+
+@register("price_category", with_sales(f"""
+SELECT {_case_sql('sale_price', PRICE_EDGES, PRICE_LABELS)} AS price_category, count(*) AS n FROM sales GROUP BY 1"""))
+def price_category(spark, d):
+    s = sales(spark, d).withColumn("price_category", fx.bin_right_closed("sale_price", PRICE_EDGES, PRICE_LABELS))
+    return finish(mk.count_by(s, "price_category"))
+
+
+@register("age_category", with_sales(f"""
+SELECT {_case_sql('age_days', AGE_CAT_EDGES, AGE_CAT_LABELS)} AS age_category, count(*) AS n FROM sales GROUP BY 1"""))
+def age_category(spark, d):
+    s = sales(spark, d).withColumn("age_category", fx.bin_right_closed("age_days", AGE_CAT_EDGES, AGE_CAT_LABELS))
+    return finish(mk.count_by(s, "age_category"))
+
+
+@register("yoy_last", with_sales("""
+SELECT year, prev_year, round(median, 4) AS median, round(prev_median, 4) AS prev_median,
+       round((median - prev_median) / prev_median * 100, 4) AS yoy_pct
+FROM (SELECT sale_year AS year, lag(sale_year) OVER (ORDER BY sale_year) AS prev_year, m AS median,
+             lag(m) OVER (ORDER BY sale_year) AS prev_median
+      FROM (SELECT sale_year, median(sale_price) AS m FROM s GROUP BY 1))
+WHERE prev_year IS NOT NULL ORDER BY year DESC LIMIT 1""", S_CTE))
+def yoy_last(spark, d):
+    return finish(mk.yoy_last_two_years(floored(spark, d), "sale_year", "sale_price"))
+
+
+YOY_YEARS = (1999, 2000)
+
+
+@register("yoy_fixed", with_sales(f"""
+SELECT borough_name, round(b, 4) AS base_median, round(c, 4) AS cur_median, round(coalesce((c - b) / b * 100, 0.0), 4) AS yoy_pct
+FROM (SELECT borough_name, median(sale_price) FILTER (WHERE sale_year = {YOY_YEARS[0]}) AS b,
+             median(sale_price) FILTER (WHERE sale_year = {YOY_YEARS[1]}) AS c
+      FROM s WHERE sale_year IN {YOY_YEARS!r} GROUP BY 1)""", S_CTE))
+def yoy_fixed(spark, d):
+    return finish(mk.yoy_fixed_years(floored(spark, d), "borough_name", "sale_year", "sale_price", *YOY_YEARS))
+
+
+@register("star_avg_by_region", """
+SELECT r.r_name AS borough_name, count(*) AS n, round(avg(l.l_extendedprice), 4) AS avg_price
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey
+JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
+GROUP BY 1 ORDER BY avg_price DESC""")
+def star_avg_by_region(spark, d):
+    li, o, c = (table(spark, d, t) for t in ("lineitem", "orders", "customer"))
+    from lotmarket.plans.binding import geo
+    j = li.join(o, li.l_orderkey == o.o_orderkey).join(c, F.col("o_custkey") == F.col("c_custkey")) \
+        .join(F.broadcast(geo(spark, d)), F.col("c_nationkey") == F.col("n_nationkey"))
+    out = j.groupBy("borough_name").agg(F.count("*").alias("n"), F.avg("l_extendedprice").alias("avg_price"))
+    return finish(out.orderBy(F.desc("avg_price")))

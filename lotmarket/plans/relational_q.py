@@ -338,3 +338,14 @@ def normalize_headers(spark, d):
                                             F.col("c_name").alias("CUSTOMER NAME"),
                                             F.col("c_mktsegment").alias("Mkt Segment"))
     return finish(norm(c, "snake", {"mkt_segment": "market_segment"}))
+
+
+REQUIRED = ["l_orderkey", "l_partkey", "l_extendedprice", "l_shipdate", "sale_price", "borough"]
+
+
+@register("schema_check", "SELECT r.col AS \"column\", r.col IN (SELECT column_name FROM (DESCRIBE lineitem)) AS present "
+                          "FROM (VALUES " + ", ".join(f"('{c}')" for c in REQUIRED) + ") r(col)")
+def schema_check(spark, d):
+    """Required columns against the table's schema (metadata only, no scan)."""
+    present = set(table(spark, d, "lineitem").columns)
+    return spark.createDataFrame([(c, c in present) for c in REQUIRED], "column string, present boolean")

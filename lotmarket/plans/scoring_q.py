@@ -250,3 +250,30 @@ def geo_fallback(spark, d):
     known = spark.createDataFrame(KNOWN, "name string, lat double, lon double")
     centres = spark.createDataFrame(CENTRES, "name string, lat double, lon double")
     return finish(sc.coords_with_fallback(areas, "neighborhood", "borough_name", known, centres, CITY))
+
+
+@register("rank_regions", with_sales(f"""
+SELECT region, livability, row_number() OVER (ORDER BY livability DESC, region) AS rank
+FROM (SELECT region, {LIV_SQL} AS livability FROM iw)""", IW_SQL))
+def rank_regions(spark, d):
+    from pyspark.sql import Window
+    lv = liv(spark, d)
+    # ranks over the region table (one row per region)
+    return finish(lv.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("livability"), "region"))))
+
+
+VS_PRICE = ["parks_count", "boro_income", "crime_pct"]
+
+
+@register("indicator_vs_price", with_sales("""
+SELECT indicator, round(regr_slope(med_k, value), 4) AS slope, round(regr_intercept(med_k, value), 4) AS intercept,
+       regr_count(med_k, value) AS n
+FROM region_indicators JOIN (SELECT region, median / 1e3 AS med_k FROM med) USING (region)
+WHERE indicator IN """ + repr(tuple(VS_PRICE)) + " GROUP BY 1", MED_CTE))
+def indicator_vs_price(spark, d):
+    from lotmarket.operators.trend import ols_by_group
+    long = region_indicators_long(spark, d).where(F.col("indicator").isin(*VS_PRICE))
+    med = medians(spark, d).withColumn("med_k", F.col("median") / 1e3)
+    j = long.join(med, "region")
+    out = ols_by_group(j, "indicator", "med_k", "value").drop("r2")
+    return finish(out)
