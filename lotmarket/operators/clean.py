@@ -14,12 +14,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lotmarket.functions import core as fx
-from lotmarket.operators.stats import group_quantiles
+from lotmarket.operators.common import attach, merge_rows
+from lotmarket.operators.stats import column_quantiles, group_quantiles
 
 
 def _one_row_join(df: DataFrame, row: DataFrame) -> DataFrame:
-    """Attach a one-row statistics frame to every row (equi-join on a constant)."""
-    return df.withColumn("_k1", F.lit(1)).join(F.broadcast(row.withColumn("_k1", F.lit(1))), "_k1").drop("_k1")
+    """Attach a one-row statistics frame to every row (scalar subquery, no join)."""
+    return attach(df, row)
 
 
 # --------------------------------------------------------------------------- predicates / flags
@@ -118,13 +119,9 @@ def impute_median(df: DataFrame, columns: Sequence[str] | None = None, fit_on: D
     """
     cols = list(columns or numeric_columns(df))
     src = fit_on if fit_on is not None else df
-    meds = None
-    for c in cols:
-        m = group_quantiles(src, None, c, {f"_med_{c}": 0.5})
-        meds = m if meds is None else meds.withColumn("_k1", F.lit(1)).join(
-            m.withColumn("_k1", F.lit(1)), "_k1").drop("_k1")
+    meds = column_quantiles(src, cols, {"_med": 0.5})
     j = _one_row_join(df, meds)
-    out = [F.coalesce(F.col(c), F.col(f"_med_{c}").cast(df.schema[c].dataType)).alias(c) if c in cols
+    out = [F.coalesce(F.col(c), F.col(f"_med__{c}").cast(df.schema[c].dataType)).alias(c) if c in cols
            else F.col(c) for c in df.columns]
     return j.select(*out)
 
@@ -136,13 +133,11 @@ def impute_mode(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     a dominant value costs one row per task) and a top-1 over the counts.
     """
     cols = list(columns or string_columns(df))
-    modes = None
+    j = df
     for c in cols:
         cnt = df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count("*").alias("_n"))
         top = cnt.orderBy(F.desc("_n"), F.asc(c)).limit(1).select(F.col(c).alias(f"_mode_{c}"))
-        modes = top if modes is None else modes.withColumn("_k1", F.lit(1)).join(
-            top.withColumn("_k1", F.lit(1)), "_k1", "full").drop("_k1")
-    j = _one_row_join(df, modes)
+        j = attach(j, top)
     return j.select(*[F.coalesce(F.col(c), F.col(f"_mode_{c}")).alias(c) if c in cols else F.col(c)
                       for c in df.columns])
 
@@ -154,16 +149,12 @@ def impute_const(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
 
 def iqr_clip(df: DataFrame, columns: Sequence[str], k: float = 1.5) -> DataFrame:
     """C4: clamp each column to ``[Q1 - k*IQR, Q3 + k*IQR]``; rows are kept, NULL stays NULL."""
-    stats = None
-    for c in columns:
-        q = group_quantiles(df, None, c, {f"_q1_{c}": 0.25, f"_q3_{c}": 0.75})
-        stats = q if stats is None else stats.withColumn("_k1", F.lit(1)).join(
-            q.withColumn("_k1", F.lit(1)), "_k1").drop("_k1")
+    stats = column_quantiles(df, columns, {"_q1": 0.25, "_q3": 0.75})
     j = _one_row_join(df, stats)
     out = []
     for c in df.columns:
         if c in columns:
-            q1, q3 = F.col(f"_q1_{c}"), F.col(f"_q3_{c}")
+            q1, q3 = F.col(f"_q1__{c}"), F.col(f"_q3__{c}")
             lo, hi = q1 - k * (q3 - q1), q3 + k * (q3 - q1)
             out.append(F.when(F.col(c).isNull(), None).otherwise(F.least(F.greatest(F.col(c), lo), hi)).alias(c))
         else:

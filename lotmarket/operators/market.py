@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lotmarket.functions import core as fx
+from lotmarket.operators.common import attach, merge_rows
 from lotmarket.operators.stats import group_quantiles
 
 
@@ -57,16 +58,12 @@ def kpi_row(df: DataFrame, price: str, unit_price: str, high: float, year: str |
         F.sum(F.col(price).cast("decimal(18,2)")).cast("double").alias("total_value"),
         (F.avg(F.when(F.col(price) >= high, 1.0).otherwise(0.0)) * 100).alias("pct_high"),
     ]
-    base = df.agg(*aggs)
-    # one-row frames: join on a constant key to stay an equi-join
-    k = F.lit(1).alias("_k")
-    out = (base.select("*", k).join(med.select("*", k), "_k", "left")
-           .join(med_unit.select("*", k), "_k", "left"))
+    parts = [df.agg(*aggs), med, med_unit]
     if year is not None:
-        latest = df.groupBy(year).agg(F.count("*").alias("_c")) \
-            .agg(F.max_by("_c", year).cast("bigint").alias("latest_year_sales"), F.max(year).alias("latest_year"))
-        out = out.join(latest.select("*", k), "_k", "left")
-    return out.drop("_k")
+        parts.append(df.groupBy(year).agg(F.count("*").alias("_c"))
+                     .agg(F.max_by("_c", year).cast("bigint").alias("latest_year_sales"),
+                          F.max(year).alias("latest_year")))
+    return merge_rows(*parts)
 
 
 def dispersion(df: DataFrame, keys, value: str, method: str | None = None) -> DataFrame:
@@ -141,8 +138,7 @@ def price_summary(df: DataFrame, value: str, method: str | None = None) -> DataF
     base = df.agg(F.count(value).cast("bigint").alias("n"), F.avg(value).alias("mean"),
                   F.stddev_samp(value).alias("std"), F.min(value).alias("min"), F.max(value).alias("max"))
     q = group_quantiles(df, None, value, {"q25": 0.25, "median": 0.5, "q75": 0.75}, method=method)
-    k = F.lit(1).alias("_k")
-    return base.select("*", k).join(q.select("*", k), "_k", "left").drop("_k")
+    return merge_rows(base, q)
 
 
 def argmax_group(df: DataFrame, keys, metric: str, tie: str | None = None) -> DataFrame:
@@ -177,11 +173,10 @@ def seasonality(df: DataFrame, month: str) -> DataFrame:
 def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
     """``bins`` equal-width bins over [min, max] (last bin closed), exact counts.
 
-    The range is a one-row aggregate joined back on a constant key.
+    The range is a one-row aggregate attached as a scalar subquery.
     """
-    rng = df.agg(F.min(value).alias("_lo"), F.max(value).alias("_hi")).withColumn("_k", F.lit(1))
-    d = df.select(F.col(value).alias("_v")).where(F.col("_v").isNotNull()).withColumn("_k", F.lit(1))
-    j = d.join(F.broadcast(rng), "_k")
+    rng = df.agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
+    j = attach(df.select(F.col(value).alias("_v")).where(F.col("_v").isNotNull()), rng)
     width = (F.col("_hi") - F.col("_lo")) / F.lit(bins)
     idx = F.when(width == 0, F.lit(0)).otherwise(
         F.least(F.floor((F.col("_v") - F.col("_lo")) / width), F.lit(bins - 1)))

@@ -17,6 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lotmarket.operators.common import attach, one_row
 from lotmarket.session import ensure_checkpoint_dir
 
 
@@ -90,10 +91,8 @@ def predict_linear(df: DataFrame, coef: DataFrame, xs: Sequence[str], name: str
     """Apply coefficients (one row, or one row per ``on`` key) to the rows;
     ``keep`` carries further coefficient-table columns along."""
     c = coef.select(*on, *keep, *[F.col(f"b{i}").alias(f"_b{i}") for i in range(len(xs) + 1)])
-    if on:
-        j = df.join(c, list(on), "inner")
-    else:
-        j = df.withColumn("_k1", F.lit(1)).join(F.broadcast(c.withColumn("_k1", F.lit(1))), "_k1").drop("_k1")
+    # one coefficient row -> scalar subquery; one row per key -> equi-join on the key
+    j = df.join(c, list(on), "inner") if on else attach(df, c)
     p = F.col("_b0")
     for i, x in enumerate(xs, 1):
         p = p + F.col(f"_b{i}") * F.col(x)
@@ -107,16 +106,15 @@ def regression_metrics(df: DataFrame, y: str, p: str, group: Sequence[str] = ())
     accuracy = max(0, (1 - MAE / median(y)) * 100)."""
     from lotmarket.operators.stats import group_quantiles
     e = F.col(y) - F.col(p)
-    ks = list(group) or ["_g"]
-    d = df if group else df.withColumn("_g", F.lit(0))
-    m = d.groupBy(*ks).agg(F.count("*").cast("bigint").alias("n"), F.avg(F.abs(e)).alias("mae"),
-                           F.sqrt(F.avg(e * e)).alias("rmse"),
-                           (1 - F.sum(e * e) / (F.var_pop(y) * F.count(y))).alias("r2"),
-                           (F.avg(F.when(F.col(y) != 0, F.abs(e / F.col(y))) * 100)).alias("mape"))
-    med = group_quantiles(d, ks, y, {"_med_y": 0.5})
-    m = m.join(med, ks, "left")
-    out = m.withColumn("accuracy", F.greatest(F.lit(0.0), (1 - F.col("mae") / F.col("_med_y")) * 100)).drop("_med_y")
-    return out if group else out.drop("_g")
+    ks = list(group)
+    g = df.groupBy(*ks) if ks else df
+    m = g.agg(F.count("*").cast("bigint").alias("n"), F.avg(F.abs(e)).alias("mae"),
+              F.sqrt(F.avg(e * e)).alias("rmse"),
+              (1 - F.sum(e * e) / (F.var_pop(y) * F.count(y))).alias("r2"),
+              (F.avg(F.when(F.col(y) != 0, F.abs(e / F.col(y))) * 100)).alias("mape"))
+    med = group_quantiles(df, ks or None, y, {"_med_y": 0.5})
+    m = m.join(med, ks, "left") if ks else attach(m, med)
+    return m.withColumn("accuracy", F.greatest(F.lit(0.0), (1 - F.col("mae") / F.col("_med_y")) * 100)).drop("_med_y")
 
 
 def r2_by_fit(df: DataFrame, y: str, p: str, group: Sequence[str]) -> DataFrame:
@@ -133,9 +131,8 @@ def kfold_linear_r2(df: DataFrame, y: str, xs: Sequence[str], fold: str, k: int)
     on fold f with that fold's coefficients."""
     per = df.groupBy(fold).agg(*ols_sums(xs, y))
     stat_cols = [c for c in per.columns if c != fold]
-    tot = per.agg(*[F.sum(c).alias(f"_t_{c}") for c in stat_cols]).withColumn("_k1", F.lit(1))
-    train = per.withColumn("_k1", F.lit(1)).join(F.broadcast(tot), "_k1").select(
-        fold, *[(F.col(f"_t_{c}") - F.col(c)).alias(c) for c in stat_cols])
+    tot = per.agg(*[F.sum(c).alias(f"_t_{c}") for c in stat_cols])
+    train = attach(per, tot).select(fold, *[(F.col(f"_t_{c}") - F.col(c)).alias(c) for c in stat_cols])
     coef = train.select(fold, *ols_coefficients(len(xs)))
     pred = predict_linear(df, coef, xs, "_p", on=[fold])
     return r2_by_fit(pred, y, "_p", [fold])
@@ -150,26 +147,33 @@ def cv_summary(scores: DataFrame) -> DataFrame:
 
 
 def learning_curve(df: DataFrame, y: str, xs: Sequence[str], fold: str, k: int, size_bucket: str,
-                   sizes: DataFrame) -> DataFrame:
+                   sizes: Sequence[int]) -> DataFrame:
     """For each training size s (percent of buckets) and fold f: fit on rows
     of other folds with ``size_bucket < s``, score train and validation R^2.
 
-    Sums are pre-aggregated per (fold, size_bucket) (at most k*100 rows) before
-    the small non-equi join with the size table, so the data is scanned once for
-    the fits and once for the scores."""
+    The (size, validation fold) grid is a literal array of parameters; a row
+    takes part in the fits whose size it lies under and whose fold it is not
+    (``explode`` of the matching grid entries, fan-out <= sizes * k), so no
+    join with the grid is needed.  Sums are pre-aggregated per
+    (fold, size_bucket) first (at most k*100 rows)."""
+    grid = F.array(*[F.struct(F.lit(int(s)).cast("bigint").alias("size"), F.lit(f).cast("bigint").alias("_vf"))
+                     for s in sizes for f in range(k)])
+
+    def fits_of(bucket, fo):
+        return F.explode(F.filter(grid, lambda g: (bucket < g["size"]) & (fo != g["_vf"])))
+
     per = df.groupBy(fold, size_bucket).agg(*ols_sums(xs, y))
     stat_cols = [c for c in per.columns if c not in (fold, size_bucket)]
-    folds = per.select(F.col(fold).alias("_vf")).distinct()
-    # (size, validation fold) pairs: sizes x folds, both tiny parameter tables
-    pairs = sizes.withColumn("_k1", F.lit(1)).join(folds.withColumn("_k1", F.lit(1)), "_k1").drop("_k1")
-    j = per.join(F.broadcast(pairs), (F.col(size_bucket) < F.col("size")) & (F.col(fold) != F.col("_vf")))
+    j = per.select("*", fits_of(F.col(size_bucket), F.col(fold)).alias("_g")) \
+        .select("*", F.col("_g.size").alias("size"), F.col("_g._vf").alias("_vf")).drop("_g")
     train = j.groupBy("size", "_vf").agg(*[F.sum(c).alias(c) for c in stat_cols])
     coef = train.select("size", F.col("_vf").alias(fold), *ols_coefficients(len(xs)))
     # validation: rows of fold f, every size (fan-out = number of sizes)
     val = predict_linear(df, coef, xs, "_p", on=[fold], keep=["size"])
     vr2 = r2_by_fit(val, y, "_p", ["size", fold]).withColumnRenamed("r2", "val_r2").drop("n_eval")
     # training score: rows of other folds inside the size
-    tr_rows = df.join(F.broadcast(pairs), (F.col(size_bucket) < F.col("size")) & (F.col(fold) != F.col("_vf")))
+    tr_rows = df.select("*", fits_of(F.col(size_bucket), F.col(fold)).alias("_g")) \
+        .select("*", F.col("_g.size").alias("size"), F.col("_g._vf").alias("_vf")).drop("_g")
     c2 = coef.withColumnRenamed(fold, "_vf")
     tp = predict_linear(tr_rows, c2, xs, "_p", on=["size", "_vf"])
     tr2 = r2_by_fit(tp, y, "_p", ["size", "_vf"]).withColumnRenamed("r2", "train_r2") \
@@ -199,21 +203,35 @@ def bootstrap_intervals(train: DataFrame, test: DataFrame, key: Sequence[str], y
                         reps: int = 100, seed: int = 7, lo: float = 0.05, hi: float = 0.95) -> DataFrame:
     """Poisson bootstrap of a linear fit.  Each training row gets a weight
     per replicate from a hash of (key, replicate); the ``reps`` weighted fits are
-    one grouped aggregate; each test row gets the ``lo``/``hi`` quantiles of its
-    ``reps`` predictions.  Returns per-row interval, and coverage flag."""
+    one grouped aggregate; the ``reps`` coefficient rows (bounded by the
+    parameter) reach every test row as one array-valued scalar subquery, and the
+    row's ``lo``/``hi`` quantiles (linear interpolation, as ``percentile``) are
+    read from its sorted predictions: no join, no shuffle of the test rows."""
     r = train.select(*key, y, *xs, F.explode(F.sequence(F.lit(1), F.lit(reps))).alias("rep"))
     u = (F.pmod(F.xxhash64(F.lit(seed), F.col("rep"), *[F.col(c) for c in key]), F.lit(1 << 30))
          / F.lit(float(1 << 30)))
     r = r.withColumn("_w", poisson1_weight(u).cast("double"))
     coef = r.groupBy("rep").agg(*ols_sums(xs, y, F.col("_w"))).select("rep", *ols_coefficients(len(xs)))
-    t = test.select(*key, y, *xs)
-    # replicates: ``reps`` rows -> broadcast; every test row meets each replicate once
-    tc = t.withColumn("_k1", F.lit(1)).join(F.broadcast(coef.withColumn("_k1", F.lit(1))), "_k1").drop("_k1")
-    p = F.col("b0")
-    for i, x in enumerate(xs, 1):
-        p = p + F.col(f"b{i}") * F.col(x)
-    per_row = tc.withColumn("_p", p).groupBy(*key).agg(
-        F.first(y).alias(y), F.percentile("_p", F.lit(lo)).alias("lower"), F.percentile("_p", F.lit(hi)).alias("upper"))
+    fits = one_row(coef.agg(F.collect_list(F.struct(*[F.col(f"b{i}") for i in range(len(xs) + 1)])).alias("c")))
+    # the scalar lands in a column first: subqueries may not sit inside transform()
+    t = test.select(*key, y, *xs, fits["c"].alias("_fits"))
+
+    def pred(c):
+        p = c["b0"]
+        for i, x in enumerate(xs, 1):
+            p = p + c[f"b{i}"] * F.col(x)
+        return p
+
+    preds = F.sort_array(F.transform(F.col("_fits"), pred))
+
+    def quantile(q):
+        pos = (F.size(preds) - 1) * F.lit(q)
+        base = F.floor(pos).cast("int")
+        a = F.element_at(preds, base + 1)
+        b = F.element_at(preds, F.least(base + 2, F.size(preds)))
+        return a + (pos - base) * (b - a)
+
+    per_row = t.select(*key, y, quantile(lo).alias("lower"), quantile(hi).alias("upper"))
     return per_row.withColumn("covered", F.col(y).between(F.col("lower"), F.col("upper"))) \
         .withColumn("width", F.col("upper") - F.col("lower"))
 
@@ -225,8 +243,7 @@ def linear_attribution(df: DataFrame, coef: DataFrame, xs: Sequence[str], group:
     summarised as mean |contribution| per feature (and mean contribution per group)."""
     means = df.agg(*[F.avg(x).alias(f"_m_{x}") for x in xs])
     c = coef.select(*[F.col(f"b{i}").alias(f"_b_{x}") for i, x in enumerate(xs, 1)])
-    stats = means.withColumn("_k1", F.lit(1)).join(c.withColumn("_k1", F.lit(1)), "_k1")
-    j = df.withColumn("_k1", F.lit(1)).join(F.broadcast(stats), "_k1")
+    j = attach(attach(df, means), c)
     keep = [group] if group else []
     contrib = j.select(*keep, *[(F.col(f"_b_{x}") * (F.col(x) - F.col(f"_m_{x}"))).alias(x) for x in xs])
     long = contrib.withColumn("_id", F.lit(0)).unpivot(["_id", *keep], list(xs), "feature", "contribution")
@@ -238,8 +255,8 @@ def linear_attribution(df: DataFrame, coef: DataFrame, xs: Sequence[str], group:
 def marginal_effect(df: DataFrame, coef: DataFrame, xs: Sequence[str]) -> DataFrame:
     """% change of the (log-scale) target per unit of each feature:
     ``(exp(slope of contribution on x) - 1) * 100``; 0 when x is constant."""
-    c = coef.select(*[F.col(f"b{i}").alias(f"_b_{x}") for i, x in enumerate(xs, 1)]).withColumn("_k1", F.lit(1))
-    j = df.withColumn("_k1", F.lit(1)).join(F.broadcast(c), "_k1")
+    c = coef.select(*[F.col(f"b{i}").alias(f"_b_{x}") for i, x in enumerate(xs, 1)])
+    j = attach(df, c)
     parts = []
     for x in xs:
         contrib = F.col(f"_b_{x}") * F.col(x)

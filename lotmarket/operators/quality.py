@@ -9,8 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _one(df: DataFrame) -> DataFrame:
-    return df.withColumn("_k1", F.lit(1))
+from lotmarket.operators.common import merge_rows
 
 
 def threshold_violations(df: DataFrame, thresholds: Mapping[str, tuple]) -> DataFrame:
@@ -24,16 +23,16 @@ def threshold_violations(df: DataFrame, thresholds: Mapping[str, tuple]) -> Data
 
 def reconcile_counts(source: DataFrame, target: DataFrame) -> DataFrame:
     """Q1: row counts of source and target side by side."""
-    a = _one(source.agg(F.count("*").cast("bigint").alias("source_rows")))
-    b = _one(target.agg(F.count("*").cast("bigint").alias("target_rows")))
-    return a.join(b, "_k1").drop("_k1").withColumn("ok", F.col("source_rows") == F.col("target_rows"))
+    a = source.agg(F.count("*").cast("bigint").alias("source_rows"))
+    b = target.agg(F.count("*").cast("bigint").alias("target_rows"))
+    return merge_rows(a, b).withColumn("ok", F.col("source_rows") == F.col("target_rows"))
 
 
 def reconcile_sum(source: DataFrame, col_a: str, target: DataFrame, col_b: str, tol: float = 0.01) -> DataFrame:
     """Q2: sums (exact decimals) agree within ``tol`` relative to the source sum."""
-    a = _one(source.agg(F.sum(F.col(col_a).cast("decimal(18,2)")).cast("double").alias("source_sum")))
-    b = _one(target.agg(F.sum(F.col(col_b).cast("decimal(18,2)")).cast("double").alias("target_sum")))
-    j = a.join(b, "_k1").drop("_k1")
+    a = source.agg(F.sum(F.col(col_a).cast("decimal(18,2)")).cast("double").alias("source_sum"))
+    b = target.agg(F.sum(F.col(col_b).cast("decimal(18,2)")).cast("double").alias("target_sum"))
+    j = merge_rows(a, b)
     return j.withColumn("ok", F.abs(F.col("source_sum") - F.col("target_sum")) <= F.lit(tol) * F.abs(F.col("source_sum")))
 
 

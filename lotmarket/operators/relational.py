@@ -48,9 +48,10 @@ def dedup_first(df: DataFrame, keys, order: Sequence[Column | str]) -> DataFrame
 
 def dup_count(df: DataFrame) -> DataFrame:
     """Number of rows that repeat an earlier identical row."""
-    total = df.agg(F.count("*").alias("_n"), F.lit(1).alias("_k"))
-    distinct = df.dropDuplicates().agg(F.count("*").alias("_d"), F.lit(1).alias("_k"))
-    return total.join(distinct, "_k").select((F.col("_n") - F.col("_d")).cast("bigint").alias("duplicate_rows"))
+    from lotmarket.operators.common import attach
+    total = df.agg(F.count("*").alias("_n"))
+    distinct = df.dropDuplicates().agg(F.count("*").alias("_d"))
+    return attach(total, distinct).select((F.col("_n") - F.col("_d")).cast("bigint").alias("duplicate_rows"))
 
 
 def insert_or_ignore(target: DataFrame, incoming: DataFrame, keys) -> DataFrame:
@@ -109,17 +110,23 @@ def semi_top_n(df: DataFrame, key: str, n: int) -> DataFrame:
     return df.join(F.broadcast(top.select(key)), key, "left_semi")
 
 
-def range_join_count(points: DataFrame, boxes: DataFrame, lat: str, lon: str, cls: str,
+def range_join_count(points: DataFrame, boxes: Sequence[tuple], lat: str, lon: str, cls: str,
                      box_name: str = "name") -> DataFrame:
     """Count points inside each (possibly overlapping) box, by class.
 
-    ``boxes`` is a code-defined parameter table (a handful of rows), broadcast
-    into a nested-loop join; a point inside two boxes counts in both.
+    ``boxes`` = [(name, south, west, north, east)] are parameters of the call,
+    so they travel as a literal array: each point keeps the boxes containing it
+    (``filter`` + ``explode``, a point inside two boxes counts in both) and the
+    counts are a partial aggregate.  No join, no shuffle of the points.  (A
+    data-sized box table would instead be grid-bucketed and equi-joined.)
     """
-    cond = (F.col(lat).between(F.col("south"), F.col("north"))
-            & F.col(lon).between(F.col("west"), F.col("east")))
-    return points.join(F.broadcast(boxes), cond, "inner").groupBy(box_name, cls).agg(
-        F.count("*").cast("bigint").alias("n"))
+    arr = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(float(s)).alias("south"), F.lit(float(w)).alias("west"),
+                             F.lit(float(no)).alias("north"), F.lit(float(e)).alias("east"))
+                    for n, s, w, no, e in boxes])
+    inside = F.filter(arr, lambda b: F.col(lat).between(b["south"], b["north"])
+                      & F.col(lon).between(b["west"], b["east"]))
+    hits = points.select(cls, F.explode(inside).alias("_b")).select(cls, F.col("_b.name").alias(box_name))
+    return hits.groupBy(box_name, cls).agg(F.count("*").cast("bigint").alias("n"))
 
 
 def group_stat_to_rows(df: DataFrame, keys, stat: DataFrame, name: str) -> DataFrame:

@@ -59,9 +59,7 @@ def group_quantiles(df: DataFrame, keys: str | Sequence[str] | None, value: str,
         raise ValueError(f"unknown quantile method {method!r}")
     if ks:
         return _bracketed(base, ks, probs, accuracy)
-    # A global quantile is a one-group quantile over a constant key.
-    out = _bracketed(base.withColumn("_g", F.lit(0)), ["_g"], probs, accuracy)
-    return out.drop("_g")
+    return _bracketed_global(base, probs, accuracy)
 
 
 def _bracketed(base: DataFrame, ks: list[str], probs: Mapping[str, float], accuracy: int) -> DataFrame:
@@ -105,6 +103,56 @@ def _bracketed(base: DataFrame, ks: list[str], probs: Mapping[str, float], accur
         F.max(F.when(F.col("__i") == i, F.col("__q"))).alias(n) for i, n in enumerate(names)])
 
 
+def _bracketed_global(base: DataFrame, probs: Mapping[str, float], accuracy: int) -> DataFrame:
+    """The no-key case: brackets arrive as one scalar subquery, so the second
+    pass is a single aggregate over the rows (no join at all)."""
+    from lotmarket.operators.common import one_row
+    eps = 1.0 / accuracy
+    delta = 4 * eps
+    small = 2 * accuracy
+    names = list(probs)
+    sketch_probs = []
+    for n in names:
+        p = float(probs[n])
+        sketch_probs += [max(0.0, p - delta), min(1.0, p + delta)]
+    stats = base.agg(F.count("_v").alias("n"), F.min("_v").alias("mn"), F.max("_v").alias("mx"),
+                     F.percentile_approx("_v", F.array(*[F.lit(x) for x in sketch_probs]), accuracy).alias("sk"))
+    whole = F.col("n") < small
+    fields = []
+    for i, n in enumerate(names):
+        pos = (F.col("n") - 1) * F.lit(float(probs[n]))
+        fields += [F.when(whole, F.col("mn")).otherwise(F.col("sk")[2 * i]).alias(f"lo{i}"),
+                   F.when(whole, F.col("mx")).otherwise(F.col("sk")[2 * i + 1]).alias(f"hi{i}"),
+                   F.floor(pos).cast("long").alias(f"k{i}"), (pos - F.floor(pos)).alias(f"f{i}")]
+    rows = base.withColumn("_b", one_row(stats.select(*fields)))  # one subquery instance
+    b = F.col("_b")
+    aggs = [F.first("_b").alias("_b")]
+    for i in range(len(names)):
+        lo, hi = b[f"lo{i}"], b[f"hi{i}"]
+        aggs += [F.count_if(F.col("_v") < lo).alias(f"__below{i}"),
+                 F.sort_array(F.collect_list(F.when((F.col("_v") >= lo) & (F.col("_v") <= hi), F.col("_v"))))
+                 .alias(f"__cand{i}")]
+    picked = rows.agg(*aggs)
+    outs = []
+    for i, n in enumerate(names):
+        idx = b[f"k{i}"] - F.col(f"__below{i}") + 1
+        a = F.element_at(F.col(f"__cand{i}"), idx.cast("int"))
+        nxt = F.when(b[f"f{i}"] > 0, F.element_at(F.col(f"__cand{i}"), (idx + 1).cast("int")))
+        outs.append(F.when(nxt.isNull(), a).otherwise(a + b[f"f{i}"] * (nxt - a)).alias(n))
+    return picked.select(*outs)
+
+
+def column_quantiles(df: DataFrame, columns: Sequence[str], probs: Mapping[str, float],
+                     method: str | None = None, accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+    """Global quantiles of several columns in one pass: the columns are unpivoted
+    to ``(variable, value)`` and treated as groups.  Returns one row with a
+    column ``{name}__{column}`` per (probability, column)."""
+    long = df.select(F.lit(0).alias("_id"), *[F.col(c).cast("double").alias(c) for c in columns]) \
+        .unpivot("_id", list(columns), "_var", "_val")
+    q = group_quantiles(long, "_var", "_val", probs, method=method, accuracy=accuracy)
+    return q.agg(*[F.max(F.when(F.col("_var") == c, F.col(n))).alias(f"{n}__{c}") for n in probs for c in columns])
+
+
 def median_exact(value: str):
     """Aggregate expression: exact interpolated median (Spark's ``median``)."""
     return F.median(F.col(value))

@@ -305,8 +305,8 @@ def market_contrast(spark, d):
     ratio = med.agg(F.try_divide(F.max("median"), F.min("median")).alias("high_low_ratio"))
     share = mk.count_by(s, "building_type").agg(
         (F.max("n") * 100.0 / F.sum("n")).alias("top_type_share_pct"))
-    k = F.lit(1).alias("_k")
-    return finish(ratio.select("*", k).join(share.select("*", k), "_k").drop("_k"))
+    from lotmarket.operators.common import merge_rows
+    return finish(merge_rows(ratio, share))
 
 
 @register("income_summary", with_sales("""

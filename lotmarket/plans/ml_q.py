@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lotmarket.functions import core as fx
 from lotmarket.operators import market as mk
 from lotmarket.operators import ml
+from lotmarket.operators.common import attach
 from lotmarket.operators.stats import group_quantiles
 from lotmarket.plans.binding import sales, with_sales
 from lotmarket.plans.catalog import register
@@ -228,8 +229,7 @@ FROM (SELECT size, avg(train_r2) AS train_r2, avg(val_r2) AS val_r2, avg(n_train
       FROM tr2 JOIN vr USING (size, fold) GROUP BY size)""", _lc_sql()))
 def learning_curve(spark, d):
     b = base(spark, d).withColumn("fold", F.col("bucket") % 3)
-    sizes = spark.createDataFrame([(s,) for s in SIZES], "size bigint")
-    return finish(ml.learning_curve(b, "y", XS, "fold", 3, "bucket2", sizes))
+    return finish(ml.learning_curve(b, "y", XS, "fold", 3, "bucket2", SIZES))
 
 
 @register("bootstrap_interval")
@@ -289,9 +289,8 @@ def batch_valuation(spark, d):
     tr, _ = split(spark, d)
     reqs = base(spark, d).select("neighborhood", "building_type").distinct()
     # default features: medians fitted on the training rows (no test leak)
-    feats = group_quantiles(tr, None, "x1", {"x1": 0.5}).withColumn("_k", F.lit(1)).join(
-        group_quantiles(tr, None, "x2", {"x2": 0.5}).withColumn("_k", F.lit(1)), "_k")
-    r = reqs.withColumn("_k", F.lit(1)).join(F.broadcast(feats), "_k").drop("_k")
+    r = attach(attach(reqs, group_quantiles(tr, None, "x1", {"x1": 0.5})),
+               group_quantiles(tr, None, "x2", {"x2": 0.5}))
     p = ml.predict_linear(r, ml.ols_fit(tr, "ly", XS), XS, "lp").withColumn("value", F.expm1("lp"))
     med = mk.median_by(tr, "neighborhood", "y", "med")
     out = p.join(med, "neighborhood").select(
@@ -310,5 +309,4 @@ GROUP BY bin, lo, hi""", ML_SQL))
 def residual_histogram(spark, d):
     p = predictions(spark, d).withColumn("r", F.col("y") - F.col("p"))
     h = mk.histogram(p, "r", 60)
-    mr = p.agg(F.avg("r").alias("mean_residual")).withColumn("_k", F.lit(1))
-    return finish(h.withColumn("_k", F.lit(1)).join(F.broadcast(mr), "_k").drop("_k"))
+    return finish(attach(h, p.agg(F.avg("r").alias("mean_residual"))))

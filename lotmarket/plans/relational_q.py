@@ -65,9 +65,10 @@ FROM lineitem""")
 def dedup_removed_pct(spark, d):
     rows = lineitem_rows(spark, d)
     after = rel.dedup_first(rows, ["l_orderkey", "l_linenumber"], DEDUP_ORDER)
-    b = rows.agg(F.count("*").alias("before"), F.lit(1).alias("_k"))
-    a = after.agg(F.count("*").alias("after"), F.lit(1).alias("_k"))
-    out = b.join(a, "_k").select("before", "after",
+    from lotmarket.operators.common import merge_rows
+    b = rows.agg(F.count("*").alias("before"))
+    a = after.agg(F.count("*").alias("after"))
+    out = merge_rows(b, a).select("before", "after",
                                  ((F.col("before") - F.col("after")) * 100.0 / F.col("before")).alias("removed_pct"))
     return finish(out)
 
@@ -218,15 +219,13 @@ def poi_points(spark, d):
                     (F.lit(-74.26) + ((F.col("c_custkey") * 7919) % 1000) / 1000.0 * 0.56).alias("lon"))
 
 
-def boxes_frame(spark):
-    return spark.createDataFrame(BOXES, "name string, south double, west double, north double, east double")
 
 
 @register("bbox_join", f"""WITH {POINTS_SQL}
 SELECT b.name, p.cls, count(*) AS n FROM pts p JOIN boxes b
   ON p.lat BETWEEN b.south AND b.north AND p.lon BETWEEN b.west AND b.east GROUP BY 1, 2""")
 def bbox_join(spark, d):
-    return finish(rel.range_join_count(poi_points(spark, d), boxes_frame(spark), "lat", "lon", "cls"))
+    return finish(rel.range_join_count(poi_points(spark, d), BOXES, "lat", "lon", "cls"))
 
 
 @register("rate_per_100k", f"""WITH {POINTS_SQL}
@@ -236,12 +235,13 @@ SELECT name, total, round(total * 100000.0 / (SELECT count(*) FROM customer), 4)
          count(*) FILTER (WHERE p.cls = 'MACHINERY') AS machinery
   FROM pts p JOIN boxes b ON p.lat BETWEEN b.south AND b.north AND p.lon BETWEEN b.west AND b.east GROUP BY 1)""")
 def rate_per_100k(spark, d):
-    counts = rel.range_join_count(poi_points(spark, d), boxes_frame(spark), "lat", "lon", "cls")
+    counts = rel.range_join_count(poi_points(spark, d), BOXES, "lat", "lon", "cls")
     wide = counts.groupBy("name").pivot("cls", ["BUILDING", "MACHINERY"]).agg(F.sum("n")) \
         .withColumnsRenamed({"BUILDING": "building", "MACHINERY": "machinery"})
     tot = counts.groupBy("name").agg(F.sum("n").alias("total"))
-    pop = table(spark, d, "customer").agg(F.count("*").alias("_pop"), F.lit(1).alias("_k"))
-    j = tot.join(wide, "name").withColumn("_k", F.lit(1)).join(F.broadcast(pop), "_k")
+    from lotmarket.operators.common import attach
+    pop = table(spark, d, "customer").agg(F.count("*").alias("_pop"))
+    j = attach(tot.join(wide, "name"), pop)
     return finish(j.select("name", "total", fx.guarded_ratio(F.col("total") * 100000.0, "_pop").alias("rate_per_100k"),
                            F.coalesce("building", F.lit(0)).alias("building"),
                            F.coalesce("machinery", F.lit(0)).alias("machinery")))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from lotmarket.functions import core as fx
 from lotmarket.operators import clean as cl
 from lotmarket.operators import market as mk
+from lotmarket.operators.common import attach, merge_rows
 from lotmarket.operators.stats import group_quantiles
 from lotmarket.plans.binding import sales, table, with_sales
 from lotmarket.plans.catalog import register
@@ -139,8 +140,8 @@ SELECT l_orderkey, l_linenumber, raw,
 FROM dt""")
 def parse_dates(spark, d):
     t = date_texts(spark, d).withColumn("parsed", fx.parse_date("raw", day_first=True))
-    failed = t.agg(F.count_if(F.col("parsed").isNull()).cast("bigint").alias("n_failed"), F.lit(1).alias("_k"))
-    return finish(t.withColumn("_k", F.lit(1)).join(F.broadcast(failed), "_k").drop("_k"))
+    failed = t.agg(F.count_if(F.col("parsed").isNull()).cast("bigint").alias("n_failed"))
+    return finish(attach(t, failed))
 
 
 @register("star_join", with_sales("SELECT * FROM sales"))
@@ -196,8 +197,7 @@ def trim_p5_p95(spark, d):
     t = cl.trim_quantiles(sales(spark, d), "sale_price", 0.05, 0.95)
     out = t.agg(F.count("*").cast("bigint").alias("n"), F.first("_lo").alias("lo"), F.first("_hi").alias("hi"))
     med = group_quantiles(t, None, "sale_price", {"median": 0.5})
-    k = F.lit(1).alias("_k")
-    return finish(out.select("*", k).join(med.select("*", k), "_k").drop("_k"))
+    return finish(merge_rows(out, med))
 
 
 @register("trim_p97", with_sales("""

@@ -261,8 +261,9 @@ FROM (SELECT s.sale_price AS y, f.a + f.b * s.gross_sqft AS p FROM s,
                                               S_CTE))
 def predicted_vs_actual(spark, d):
     s = floored(spark, d)
+    from lotmarket.operators.common import attach
     fit = tr.ols_by_group(s, None, "sale_price", "gross_sqft").select(
-        F.col("intercept").alias("a"), F.col("slope").alias("b"), F.lit(1).alias("_k"))
-    p = s.withColumn("_k", F.lit(1)).join(F.broadcast(fit), "_k") \
+        F.col("intercept").alias("a"), F.col("slope").alias("b"))
+    p = attach(s, fit) \
         .select(F.col("sale_price").alias("y"), (F.col("a") + F.col("b") * F.col("gross_sqft")).alias("p"))
     return finish(tr.ols_by_group(p, None, "y", "p"))

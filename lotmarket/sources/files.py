@@ -83,15 +83,17 @@ def explode_nested(df: DataFrame, array_col: str, alias: str = "item") -> DataFr
 def ingest_files(spark: SparkSession, paths: Mapping[str, str], fmt: str = "parquet",
                  crawl_date: str = "1970-01-01", upper_headers: bool = True,
                  columns: Sequence[str] | None = None) -> DataFrame:
-    """S7 + U1: one multi-path read of per-source files (schemas merged, missing
-    columns NULL), source label from the file path via a broadcast map, upper-case
-    headers and provenance columns (source path, crawl date, row fingerprint)."""
+    """S7 + U1: one multi-path read of per-source folders (schemas merged, missing
+    columns NULL), source label from the file's folder name through a literal
+    map (no join), upper-case headers and provenance columns (source, crawl
+    date, row fingerprint)."""
     rdr = spark.read.option("mergeSchema", "true") if fmt == "parquet" else spark.read
     df = rdr.format(fmt).load(list(paths.values()))
-    df = df.withColumn("_path", F.col("_metadata.file_path"))
-    src = spark.createDataFrame([(k, v) for k, v in paths.items()], "source string, prefix string")
-    j = df.join(F.broadcast(src), F.col("_path").contains(F.col("prefix")), "left").drop("prefix")
-    data_cols = list(columns) if columns else [c for c in df.columns if c != "_path"]
+    folder = F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/[^/]+$", 1)
+    names = F.create_map(*[x for src, p in paths.items() for x in (F.lit(p.rstrip("/").rsplit("/", 1)[-1]),
+                                                                   F.lit(src))])
+    j = df.withColumn("source", names[folder])
+    data_cols = list(columns) if columns else list(df.columns)
     out = j.select(*[F.col(c).alias(c.strip().upper() if upper_headers else c) for c in data_cols],
                    F.col("source").alias("SOURCE"), F.lit(crawl_date).cast("date").alias("CRAWL_DATE"),
                    fx.fingerprint16(*data_cols).alias("ROW_HASH"))
