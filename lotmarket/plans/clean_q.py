@@ -147,7 +147,7 @@ def _pipeline_b_steps(spark, d):
 
 @register("clean_audit", with_sales("""
 SELECT step, metric, "column", before, after FROM (
-  SELECT 'dedup_full' AS step, m.* FROM (SELECT 'rows' AS metric, NULL AS "column", (SELECT count(*) FROM raw) AS before,
+  SELECT 'dedup_full' AS step, m.* FROM (SELECT 'rows' AS metric, CAST(NULL AS VARCHAR) AS "column", (SELECT count(*) FROM raw) AS before,
          (SELECT count(*) FROM (SELECT DISTINCT * FROM raw)) AS after) m
   UNION ALL SELECT 'dedup_key', 'rows', NULL, (SELECT count(*) FROM (SELECT DISTINCT * FROM raw)),
          (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM raw))

@@ -73,7 +73,7 @@ def dedup_removed_pct(spark, d):
     return finish(out)
 
 
-CUST_COLS = "c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment"
+CUST_COLS = "c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, c_mktsegment"
 
 
 @register("insert_or_ignore", f"""
@@ -258,7 +258,8 @@ files AS (SELECT year, code, qtr, sum(felony) AS felony, sum(misdemeanour) AS mi
           FROM q GROUP BY 1, 2, 3),
 codes AS (SELECT lpad(CAST(n.n_nationkey AS VARCHAR), 3, '0') AS code, r.r_name AS region
           FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey)
-SELECT region, year, sum(felony) AS felony, sum(misdemeanour) AS misdemeanour, sum(total) AS total
+SELECT region, year, CAST(sum(felony) AS BIGINT) AS felony, CAST(sum(misdemeanour) AS BIGINT) AS misdemeanour,
+       CAST(sum(total) AS BIGINT) AS total
 FROM files JOIN codes USING (code) GROUP BY 1, 2""")
 def map_join_sum(spark, d):
     o = table(spark, d, "orders")

@@ -174,7 +174,7 @@ AMEN_SQL = """am AS (SELECT g.borough_name AS region,
 
 @register("amenity_counts_score", with_sales("""
 SELECT region, parks, hospitals, supermarkets,
-       round_even(least(greatest(0.04 * parks + 0.3 * hospitals + 0.15 * supermarkets, 1.0), 10.0), 4) AS amenity_score,
+       CAST(round_even(least(greatest(0.04 * parks + 0.3 * hospitals + 0.15 * supermarkets, 1.0), 10.0), 4) AS DOUBLE) AS amenity_score,
        CASE WHEN region = 'AMERICA' THEN 10.0
             ELSE round_even(least(greatest((0.04 * parks + 0.3 * hospitals + 0.15 * supermarkets) / 17.5, 1.0), 10.0), 4) END AS amenity_score_backup
 FROM am""", GEO_SQL + ",\n" + AMEN_SQL))
@@ -240,8 +240,8 @@ CITY = (40.7128, -74.0060)
 WITH {GEO_SQL.strip()},
 a AS (SELECT DISTINCT neighborhood, borough_name, {_adler_sql('neighborhood')} AS h FROM geo)
 SELECT a.neighborhood, a.borough_name,
-       round(coalesce(k.lat, coalesce(c.lat, {CITY[0]}) + ((h % 100) - 50) * 0.0008), 4) AS lat,
-       round(coalesce(k.lon, coalesce(c.lon, {CITY[1]}) + (((h // 100) % 100) - 50) * 0.0008), 4) AS lon,
+       CAST(round(coalesce(k.lat, coalesce(c.lat, {CITY[0]}) + ((h % 100) - 50) * 0.0008), 4) AS DOUBLE) AS lat,
+       CAST(round(coalesce(k.lon, coalesce(c.lon, {CITY[1]}) + (((h // 100) % 100) - 50) * 0.0008), 4) AS DOUBLE) AS lon,
        CASE WHEN k.lat IS NOT NULL THEN 'known' WHEN c.lat IS NOT NULL THEN 'region' ELSE 'city' END AS source
 FROM a LEFT JOIN (VALUES {", ".join(f"('{n}', {la}, {lo})" for n, la, lo in KNOWN)}) k(name, lat, lon) ON a.neighborhood = k.name
 LEFT JOIN (VALUES {", ".join(f"('{n}', {la}, {lo})" for n, la, lo in CENTRES)}) c(name, lat, lon) ON a.borough_name = c.name""")
@@ -267,7 +267,7 @@ VS_PRICE = ["parks_count", "boro_income", "crime_pct"]
 
 @register("indicator_vs_price", with_sales("""
 SELECT indicator, round(regr_slope(med_k, value), 4) AS slope, round(regr_intercept(med_k, value), 4) AS intercept,
-       regr_count(med_k, value) AS n
+       CAST(regr_count(med_k, value) AS BIGINT) AS n
 FROM region_indicators JOIN (SELECT region, median / 1e3 AS med_k FROM med) USING (region)
 WHERE indicator IN """ + repr(tuple(VS_PRICE)) + " GROUP BY 1", MED_CTE))
 def indicator_vs_price(spark, d):

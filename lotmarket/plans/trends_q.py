@@ -141,7 +141,7 @@ def fill_gaps(spark, d):
 @register("trend_line", with_sales("""
 SELECT borough_name, round(regr_slope(median, x), 4) AS slope, round(regr_intercept(median, x), 4) AS intercept,
        round(CASE WHEN var_pop(median) = 0 THEN 0.0 ELSE regr_r2(median, x) END, 4) AS r2,
-       regr_count(median, x) AS n
+       CAST(regr_count(median, x) AS BIGINT) AS n
 FROM (SELECT *, CAST(date_diff('day', DATE '1970-01-01', month) AS DOUBLE) AS x FROM rm)
 GROUP BY 1""", REGION_M_CTE))
 def trend_line(spark, d):
@@ -255,7 +255,7 @@ def corr_matrix(spark, d):
 
 @register("predicted_vs_actual", with_sales("""
 SELECT round(regr_slope(y, p), 4) AS slope, round(regr_intercept(y, p), 4) AS intercept,
-       round(regr_r2(y, p), 4) AS r2, regr_count(y, p) AS n
+       round(regr_r2(y, p), 4) AS r2, CAST(regr_count(y, p) AS BIGINT) AS n
 FROM (SELECT s.sale_price AS y, f.a + f.b * s.gross_sqft AS p FROM s,
         (SELECT regr_intercept(sale_price, gross_sqft) AS a, regr_slope(sale_price, gross_sqft) AS b FROM s) f)""",
                                               S_CTE))

@@ -75,7 +75,7 @@ def hash_keys(spark, d):
 
 
 @register("dim_first_per_key", """
-SELECT s_nationkey, s_suppkey, s_name, round(s_acctbal, 4) AS s_acctbal FROM (
+SELECT CAST(s_nationkey AS BIGINT) AS s_nationkey, s_suppkey, s_name, round(s_acctbal, 4) AS s_acctbal FROM (
   SELECT *, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) AS rk FROM supplier) WHERE rk = 1""")
 def dim_first_per_key(spark, d):
     s = table(spark, d, "supplier").select("s_nationkey", "s_suppkey", "s_name", "s_acctbal")

