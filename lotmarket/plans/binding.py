@@ -53,42 +53,50 @@ def geo(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("n_name").alias("neighborhood")))
 
 
-def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+PART_COLUMNS = ("building_type", "building_category", "address", "land_sqft", "total_units")
+
+
+def sales(spark: SparkSession, sf_dir: str, part: bool = True) -> DataFrame:
     """The denormalised sales frame (star join J1), lazily.
 
-    Join plan at scale: lineitem and orders are fact-sized and meet on
-    ``orderkey`` (sort-merge); customer and part are dimension-sized and are
-    broadcast by AQE only when their runtime size is under the threshold;
-    nation x region (25 rows) is always broadcast.  Columns not used by a query
-    are pruned at the parquet scan by Catalyst.
+    Join order for scale: customer meets nation x region first (25 rows,
+    broadcast), orders meet that customer table on ``custkey`` (the order-sized
+    side is shuffled once), and only then the fact-sized lineitem meets the
+    enriched orders on ``orderkey``; part joins last.  With ``part=False`` the
+    part join is left out for queries that read none of its columns (part keys
+    of lineitem all exist, so the rows are the same) and the fact is shuffled
+    once less.  AQE broadcasts any side whose runtime size is under its
+    threshold; columns a query does not use are pruned at the parquet scans.
     """
     li = table(spark, sf_dir, "lineitem")
     o = table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer")
-    p = table(spark, sf_dir, "part")
     cust = c.join(F.broadcast(geo(spark, sf_dir)), c.c_nationkey == F.col("n_nationkey"))
+    orders = o.join(cust, o.o_custkey == cust.c_custkey)
     ship = F.col("l_shipdate").cast("date")
-    return (li.join(o, li.l_orderkey == o.o_orderkey)
-            .join(cust, F.col("o_custkey") == F.col("c_custkey"))
-            .join(p, li.l_partkey == p.p_partkey)
-            .select(
-                F.col("l_orderkey"), F.col("l_linenumber").cast("bigint").alias("l_linenumber"),
-                F.col("l_partkey"), F.col("l_suppkey"), F.col("c_custkey"),
-                "borough", "borough_name", "neighborhood_id", "neighborhood",
-                F.col("p_type").alias("building_type"), F.col("p_brand").alias("building_category"),
-                F.col("p_name").alias("address"), F.col("c_mktsegment").alias("segment"),
-                F.col("l_extendedprice").alias("sale_price"),
-                F.col("l_quantity").alias("gross_sqft"), F.col("p_retailprice").alias("land_sqft"),
-                F.col("p_size").cast("bigint").alias("total_units"),
-                F.col("l_discount").alias("discount"), F.col("l_tax").alias("tax"),
-                F.col("l_returnflag").alias("flag"),
-                ship.alias("sale_date"),
-                F.year(ship).cast("bigint").alias("sale_year"),
-                F.month(ship).cast("bigint").alias("sale_month"),
-                F.year(F.col("o_orderdate")).cast("bigint").alias("year_built"),
-                F.datediff(ship, F.col("o_orderdate").cast("date")).cast("bigint").alias("age_days"),
-                F.col("c_acctbal").alias("buyer_income"),
-            ))
+    j = li.join(orders, li.l_orderkey == orders.o_orderkey)
+    part_cols = []
+    if part:
+        p = table(spark, sf_dir, "part")
+        j = j.join(p, li.l_partkey == p.p_partkey)
+        part_cols = [F.col("p_type").alias("building_type"), F.col("p_brand").alias("building_category"),
+                     F.col("p_name").alias("address"), F.col("p_retailprice").alias("land_sqft"),
+                     F.col("p_size").cast("bigint").alias("total_units")]
+    return j.select(
+        F.col("l_orderkey"), F.col("l_linenumber").cast("bigint").alias("l_linenumber"),
+        F.col("l_partkey"), F.col("l_suppkey"), F.col("c_custkey"),
+        "borough", "borough_name", "neighborhood_id", "neighborhood", *part_cols,
+        F.col("c_mktsegment").alias("segment"),
+        F.col("l_extendedprice").alias("sale_price"), F.col("l_quantity").alias("gross_sqft"),
+        F.col("l_discount").alias("discount"), F.col("l_tax").alias("tax"),
+        F.col("l_returnflag").alias("flag"),
+        ship.alias("sale_date"),
+        F.year(ship).cast("bigint").alias("sale_year"),
+        F.month(ship).cast("bigint").alias("sale_month"),
+        F.year(F.col("o_orderdate")).cast("bigint").alias("year_built"),
+        F.datediff(ship, F.col("o_orderdate").cast("date")).cast("bigint").alias("age_days"),
+        F.col("c_acctbal").alias("buyer_income"),
+    )
 
 
 SALES_SQL = """

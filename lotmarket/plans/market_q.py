@@ -17,8 +17,9 @@ S_CTE = """s AS (
   FROM sales WHERE sale_price > 10000)"""
 
 
-def floored(spark, d):
-    s = mk.price_floor(sales(spark, d), "sale_price", PRICE_FLOOR)
+def floored(spark, d, part: bool = False):
+    """Price-floored sales with unit price; the part join only when asked for."""
+    s = mk.price_floor(sales(spark, d, part=part), "sale_price", PRICE_FLOOR)
     return s.withColumn("unit_price", fx.guarded_ratio("sale_price", "gross_sqft"))
 
 
@@ -91,7 +92,7 @@ FROM (SELECT CASE WHEN total_units > -1 AND total_units <= 1 THEN 'own-use'
              count(*) AS n, median(sale_price) AS median
       FROM s WHERE total_units > -1 GROUP BY 1)""", S_CTE))
 def segment_units(spark, d):
-    return finish(mk.segment_table(floored(spark, d), "total_units", "sale_price"))
+    return finish(mk.segment_table(floored(spark, d, part=True), "total_units", "sale_price"))
 
 
 # Area bins: the stand-in area (quantity 1..50) is binned right-closed over
@@ -161,7 +162,7 @@ def yearly_stats(spark, d):
 SELECT count(DISTINCT neighborhood) AS n_neighborhoods, count(DISTINCT building_type) AS n_types,
        count(DISTINCT address) AS n_addresses, count(DISTINCT c_custkey) AS n_buyers FROM s""", S_CTE))
 def distinct_counts(spark, d):
-    s = floored(spark, d)
+    s = floored(spark, d, part=True)
     return finish(s.agg(F.count_distinct("neighborhood").alias("n_neighborhoods"),
                         F.count_distinct("building_type").alias("n_types"),
                         F.count_distinct("address").alias("n_addresses"),
@@ -240,7 +241,7 @@ FROM s WHERE building_category IN (
   SELECT building_category FROM s GROUP BY 1 ORDER BY count(*) DESC, building_category LIMIT 5)
 GROUP BY 1, 2""", S_CTE))
 def category_trend(spark, d):
-    s = floored(spark, d)
+    s = floored(spark, d, part=True)
     top5 = mk.top_k(mk.count_by(s, "building_category"), [F.desc("n"), "building_category"], 5)
     kept = s.join(F.broadcast(top5.select("building_category")), "building_category", "left_semi")
     return finish(mk.median_by(kept, ["sale_year", "building_category"], "sale_price"))
@@ -288,7 +289,7 @@ def histogram(spark, d):
 SELECT count(*) AS n_rows, CAST(12 AS BIGINT) AS n_columns, min(sale_date) AS first_date,
        max(sale_date) AS last_date FROM s""", S_CTE))
 def export_summary(spark, d):
-    s = floored(spark, d).select("borough_name", "neighborhood", "building_type", "building_category",
+    s = floored(spark, d, part=True).select("borough_name", "neighborhood", "building_type", "building_category",
                                  "address", "sale_price", "gross_sqft", "land_sqft", "total_units",
                                  "sale_date", "year_built", "unit_price")
     return finish(s.agg(F.count("*").alias("n_rows"), F.lit(len(s.columns)).cast("bigint").alias("n_columns"),
@@ -300,7 +301,7 @@ SELECT round(max(median) / min(median), 4) AS high_low_ratio,
        (SELECT round(max(n) * 100.0 / sum(n), 4) FROM (SELECT count(*) AS n FROM s GROUP BY building_type)) AS top_type_share_pct
 FROM (SELECT borough_name, median(sale_price) AS median FROM s GROUP BY 1)""", S_CTE))
 def market_contrast(spark, d):
-    s = floored(spark, d)
+    s = floored(spark, d, part=True)
     med = mk.median_by(s, "borough_name", "sale_price")
     ratio = med.agg(F.try_divide(F.max("median"), F.min("median")).alias("high_low_ratio"))
     share = mk.count_by(s, "building_type").agg(

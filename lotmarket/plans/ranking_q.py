@@ -16,7 +16,7 @@ from lotmarket.plans.market_q import S_CTE, floored
 @register("top_by_count", with_sales("""
 SELECT address, count(*) AS n FROM s GROUP BY 1 ORDER BY n DESC, address LIMIT 15""", S_CTE))
 def top_by_count(spark, d):
-    c = mk.count_by(floored(spark, d), "address")
+    c = mk.count_by(floored(spark, d, part=True), "address")
     return finish(mk.top_k(c, [F.desc("n"), "address"], 15))
 
 
@@ -24,7 +24,7 @@ def top_by_count(spark, d):
 SELECT substring(address || ' ' || neighborhood, 1, 25) AS label, count(*) AS n, round(median(unit_price), 4) AS median_unit_price
 FROM s GROUP BY 1 HAVING count(*) >= 5 ORDER BY median_unit_price DESC, label LIMIT 15""", S_CTE))
 def top_by_unit_price(spark, d):
-    s = floored(spark, d).withColumn("label", F.substring(F.concat_ws(" ", "address", "neighborhood"), 1, 25))
+    s = floored(spark, d, part=True).withColumn("label", F.substring(F.concat_ws(" ", "address", "neighborhood"), 1, 25))
     c = mk.count_by(s, "label").where(F.col("n") >= 5)
     m = group_quantiles(s, "label", "unit_price", {"median_unit_price": 0.5})
     return finish(mk.top_k(c.join(m, "label"), [F.desc("median_unit_price"), "label"], 15))

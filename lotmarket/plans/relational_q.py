@@ -134,7 +134,7 @@ FROM sales s LEFT JOIN dm ON s.neighborhood = dm.neighborhood_name AND s.borough
   FROM (SELECT DISTINCT n.n_name AS neighborhood_name, CAST(n.n_regionkey AS BIGINT) AS borough_id FROM nation n
         WHERE n.n_name <> 'NATION_7'))"""))
 def resolve_fk(spark, d):
-    s = sales(spark, d).select("l_orderkey", "l_linenumber", "neighborhood", "borough")
+    s = sales(spark, d, part=False).select("l_orderkey", "l_linenumber", "neighborhood", "borough")
     # one area is left out of the dimension so the default path is exercised
     dim = neighborhood_dim(spark, d).where(F.col("neighborhood_name") != "NATION_7") \
         .withColumn("neighborhood_id", F.dense_rank().over(Window.orderBy("borough_id", "neighborhood_name")))
@@ -162,7 +162,7 @@ IND_CTES = GEO_SQL + "," + REGION_INDICATORS_SQL + ",\n" + IND_WIDE_SQL
 SELECT s.l_orderkey, s.l_linenumber, s.borough_name, """ + ", ".join(f"round(iw.{c}, 4) AS {c}" for c in IND_WIDE_COLS)
                                         + " FROM sales s LEFT JOIN iw ON s.borough_name = iw.region", IND_CTES))
 def enrich_region(spark, d):
-    s = sales(spark, d).select("l_orderkey", "l_linenumber", "borough_name")
+    s = sales(spark, d, part=False).select("l_orderkey", "l_linenumber", "borough_name")
     iw = indicators_wide(spark, d).withColumnRenamed("region", "borough_name")
     return finish(s.join(iw, "borough_name", "left"))
 
@@ -172,7 +172,7 @@ SELECT l_orderkey, l_linenumber, neighborhood, round(sale_price, 4) AS sale_pric
        round(median(sale_price) OVER (PARTITION BY neighborhood), 4) AS neighborhood_median
 FROM sales"""))
 def target_encode(spark, d):
-    s = sales(spark, d).select("l_orderkey", "l_linenumber", "neighborhood", "sale_price")
+    s = sales(spark, d, part=False).select("l_orderkey", "l_linenumber", "neighborhood", "sale_price")
     med = group_quantiles(s, "neighborhood", "sale_price", {"neighborhood_median": 0.5})
     # per-group statistic joined back (no window holding a whole group in one task)
     return finish(s.join(med, "neighborhood", "left"))
@@ -310,7 +310,7 @@ FULL JOIN (SELECT g.borough_name, sum(l.l_extendedprice) / count(*) AS v
            WHERE g.borough_name <> 'AFRICA' GROUP BY 1) b
   ON a.borough_name = b.borough_name""", GEO_SQL))
 def reconcile_groups(spark, d):
-    a = sales(spark, d).groupBy("borough_name").agg(F.avg("sale_price").alias("v"))
+    a = sales(spark, d, part=False).groupBy("borough_name").agg(F.avg("sale_price").alias("v"))
     li, o, c = (table(spark, d, t) for t in ("lineitem", "orders", "customer"))
     wh = li.join(o, li.l_orderkey == o.o_orderkey).join(c, F.col("o_custkey") == F.col("c_custkey")) \
         .join(F.broadcast(geo(spark, d)), F.col("c_nationkey") == F.col("n_nationkey")) \

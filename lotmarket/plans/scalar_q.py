@@ -181,7 +181,7 @@ SELECT borough_name, sale_year, count(*) AS n, round(median(sale_price), 4) AS m
 WHERE borough_name IN {SLICE_REGIONS!r} AND sale_year BETWEEN 1996 AND 1999 AND sale_price BETWEEN 20000 AND 80000
 GROUP BY 1, 2"""))
 def slice_filter(spark, d):
-    s = cl.slice_filter(sales(spark, d), "borough_name", SLICE_REGIONS, "sale_year", (1996, 1999),
+    s = cl.slice_filter(sales(spark, d, part=False), "borough_name", SLICE_REGIONS, "sale_year", (1996, 1999),
                         "sale_price", (20000, 80000))
     cnt = mk.count_by(s, ["borough_name", "sale_year"])
     return finish(cnt.join(mk.median_by(s, ["borough_name", "sale_year"], "sale_price"),
@@ -194,7 +194,7 @@ SELECT count(*) AS n, round(any_value(lo), 4) AS lo, round(any_value(hi), 4) AS
 FROM sales, (SELECT quantile_cont(sale_price, 0.05) AS lo, quantile_cont(sale_price, 0.95) AS hi FROM sales) b
 WHERE sale_price BETWEEN lo AND hi"""))
 def trim_p5_p95(spark, d):
-    t = cl.trim_quantiles(sales(spark, d), "sale_price", 0.05, 0.95)
+    t = cl.trim_quantiles(sales(spark, d, part=False), "sale_price", 0.05, 0.95)
     out = t.agg(F.count("*").cast("bigint").alias("n"), F.first("_lo").alias("lo"), F.first("_hi").alias("hi"))
     med = group_quantiles(t, None, "sale_price", {"median": 0.5})
     return finish(merge_rows(out, med))
@@ -205,7 +205,7 @@ SELECT count(*) AS n, round(max(sale_price), 4) AS max_price FROM a,
   (SELECT quantile_cont(sale_price, 0.97) AS p97 FROM a) q WHERE sale_price < p97""",
                                    "a AS (SELECT * FROM sales WHERE gross_sqft BETWEEN 2 AND 48)"))
 def trim_p97(spark, d):
-    t = cl.trim_upper_within(sales(spark, d), "gross_sqft", (2, 48), "sale_price", 0.97)
+    t = cl.trim_upper_within(sales(spark, d, part=False), "gross_sqft", (2, 48), "sale_price", 0.97)
     return finish(t.agg(F.count("*").cast("bigint").alias("n"), F.max("sale_price").alias("max_price")))
 
 

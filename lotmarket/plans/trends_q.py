@@ -134,7 +134,7 @@ mc AS (SELECT neighborhood, building_category, CAST(date_trunc('month', sale_dat
               median(sale_price) AS median FROM s GROUP BY 1, 2, 3)"""))
 def fill_gaps(spark, d):
     keys = ["neighborhood", "building_category"]
-    series = tr.monthly_medians(floored(spark, d), keys, "sale_date", "sale_price").drop("n")
+    series = tr.monthly_medians(floored(spark, d, part=True), keys, "sale_date", "sale_price").drop("n")
     return finish(tr.fill_gaps(series, keys))
 
 
@@ -235,7 +235,7 @@ FROM (SELECT factor, covar_samp(y, x) / (stddev_samp(x) * stddev_samp(y)) AS r,
             UNPIVOT (x FOR factor IN (""" + ", ".join(FACTORS) + """)))
       GROUP BY factor HAVING count(x) >= 20)""", S_CTE))
 def factor_ranking(spark, d):
-    return finish(tr.factor_ranking(floored(spark, d), "sale_price", FACTORS))
+    return finish(tr.factor_ranking(floored(spark, d, part=True), "sale_price", FACTORS))
 
 
 MATRIX_COLS = ["sale_price", "gross_sqft", "land_sqft", "total_units", "discount", "age_days", "buyer_income"]
@@ -250,7 +250,7 @@ MATRIX_COLS = ["sale_price", "gross_sqft", "land_sqft", "total_units", "discount
     + ")) CROSS JOIN LATERAL (SELECT split_part(pair, '__', 1) AS var_a, split_part(pair, '__', 2) AS var_b)",
     S_CTE))
 def corr_matrix(spark, d):
-    return finish(tr.corr_matrix(floored(spark, d), MATRIX_COLS))
+    return finish(tr.corr_matrix(floored(spark, d, part=True), MATRIX_COLS))
 
 
 @register("predicted_vs_actual", with_sales("""

@@ -24,10 +24,10 @@ EVENTS_SCHEMA = T.StructType([
     T.StructField("value", T.DoubleType()), T.StructField("props", T.StringType())])
 
 
-def events_stream(spark: SparkSession, folder: str, max_files: int = 1) -> DataFrame:
+def events_stream(spark: SparkSession, folder: str, max_files: int = 1, glob: str = "events.parquet") -> DataFrame:
     """File stream of ``events.parquet`` with event time as a real timestamp
     (watermarks need TIMESTAMP, not TIMESTAMP_NTZ; the session zone is UTC)."""
-    s = (spark.readStream.schema(EVENTS_SCHEMA).option("pathGlobFilter", "events.parquet")
+    s = (spark.readStream.schema(EVENTS_SCHEMA).option("pathGlobFilter", glob)
          .option("maxFilesPerTrigger", max_files).parquet(folder))
     return s.withColumn("ts", F.col("ts").cast("timestamp"))
 

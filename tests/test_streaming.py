@@ -19,18 +19,18 @@ def test_stream_tumbling_equals_batch(spark):
     assert got == exp
 
 
-def test_late_rows_and_duplicates(spark, tmp_path):
-    rows = [(1, dt.datetime(2024, 1, 1, 0, 0), 1, "a", 1.0, "{}"),
-            (2, dt.datetime(2024, 1, 3, 0, 0), 1, "a", 1.0, "{}"),
-            (3, dt.datetime(2024, 1, 3, 0, 10), 1, "a", 1.0, "{}")]
-    folder = scratch_path(spark, "late")
-    spark.createDataFrame(rows, jobs.EVENTS_SCHEMA).write.parquet(f"{folder}/events.parquet")
-    # second file: a row far behind the watermark and a duplicate key inside it
-    late = [(4, dt.datetime(2024, 1, 1, 1, 0), 2, "a", 1.0, "{}"),
-            (5, dt.datetime(2024, 1, 3, 0, 20), 1, "a", 1.0, "{}")]
-    spark.createDataFrame(late, jobs.EVENTS_SCHEMA).write.mode("append").parquet(f"{folder}/events.parquet")
-    dd = jobs.dedup_within_watermark(jobs.events_stream(spark, folder), ["user_id", "event_type"], "1 hour")
+def test_late_rows_and_duplicates(spark):
+    folder = scratch_path(spark, "late") + "/events"
+    # batch 1: key (2, a) on Jan 1, key (1, a) on Jan 3 -> watermark Jan 2 23:00
+    b1 = [(1, dt.datetime(2024, 1, 1, 0, 0), 2, "a", 1.0, "{}"),
+          (2, dt.datetime(2024, 1, 3, 0, 0), 1, "a", 1.0, "{}")]
+    spark.createDataFrame(b1, jobs.EVENTS_SCHEMA).coalesce(1).write.parquet(folder)
+    # batch 2: a repeat of (1, a) inside the watermark, a row behind it, a new key
+    b2 = [(3, dt.datetime(2024, 1, 3, 0, 10), 1, "a", 1.0, "{}"),
+          (4, dt.datetime(2024, 1, 1, 1, 0), 2, "a", 1.0, "{}"),
+          (5, dt.datetime(2024, 1, 3, 0, 30), 3, "a", 1.0, "{}")]
+    spark.createDataFrame(b2, jobs.EVENTS_SCHEMA).coalesce(1).write.mode("append").parquet(folder)
+    stream = jobs.events_stream(spark, folder, max_files=1, glob="*.parquet")
+    dd = jobs.dedup_within_watermark(stream, ["user_id", "event_type"], "1 hour")
     out = spark.read.parquet(jobs.run_to_table(dd.select("event_id"), "dedup-test"))
-    ids = sorted(r.event_id for r in out.collect())
-    # 3 and 5 repeat (user 1, type a) within the hour of 2; 4 is behind the watermark
-    assert 2 in ids and 3 not in ids and 5 not in ids
+    assert sorted(r.event_id for r in out.collect()) == [1, 2, 5]
