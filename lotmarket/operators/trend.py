@@ -156,9 +156,24 @@ def factor_ranking(df: DataFrame, target: str, factors: Sequence[str], min_rows:
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """List-wise complete correlation matrix in long form (var_a, var_b, r), one agg."""
+    """List-wise complete correlation matrix in long form (var_a, var_b, r).
+
+    One aggregate of k standard deviations and k(k-1)/2 covariances (the matrix
+    is symmetric; the diagonal is var/sd^2, NULL for a constant column) keeps
+    the aggregate small enough for whole-stage codegen."""
     d = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna()
-    aggs = [safe_corr(a, b).alias(f"{a}__{b}") for a in cols for b in cols]
-    wide = d.agg(*aggs).withColumn("_k", F.lit(0))
-    long = wide.unpivot("_k", [f"{a}__{b}" for a in cols for b in cols], "pair", "r")
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
+    stats = d.agg(*[F.stddev_samp(c).alias(f"sd__{c}") for c in cols],
+                  *[F.var_samp(c).alias(f"var__{c}") for c in cols],
+                  *[F.covar_samp(a, b).alias(f"cov__{a}__{b}") for a, b in pairs])
+    cells = []
+    for a in cols:
+        for b in cols:
+            if a == b:
+                r = F.try_divide(F.col(f"var__{a}"), F.col(f"sd__{a}") * F.col(f"sd__{a}"))
+            else:
+                x, y = (a, b) if (a, b) in pairs else (b, a)
+                r = F.try_divide(F.col(f"cov__{x}__{y}"), F.col(f"sd__{a}") * F.col(f"sd__{b}"))
+            cells.append(F.struct(F.lit(a).alias("var_a"), F.lit(b).alias("var_b"), r.alias("r")))
+    return stats.select(F.inline(F.array(*cells)))
     return long.select(F.split("pair", "__")[0].alias("var_a"), F.split("pair", "__")[1].alias("var_b"), "r")
