@@ -23,8 +23,6 @@ DuckDB SQL text the oracle runs.  Both must stay column-for-column equal.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 

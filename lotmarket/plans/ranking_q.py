@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lotmarket.functions import core as fx
 from lotmarket.operators import market as mk
 from lotmarket.operators.stats import group_quantiles
 from lotmarket.plans.binding import with_sales
