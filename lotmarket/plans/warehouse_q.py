@@ -38,8 +38,8 @@ def build_dims(spark, d):
     return s, loc, prop, soc
 
 
-def build_fact(spark, d):
-    s, loc, prop, soc = build_dims(spark, d)
+def build_fact(spark, d, dims=None):
+    s, loc, prop, soc = dims or build_dims(spark, d)
     f = wh.attach_key(s, loc, LOC_KEYS, "location_id", 1)
     f = wh.attach_key(f, prop, PROP_KEYS, "property_id", 1)
     f = wh.attach_key(f, soc, ["borough_name"], "social_id", 1)
@@ -108,8 +108,9 @@ SELECT count(*) AS checks, count(*) FILTER (WHERE ok) AS passed, count(*) FILTER
   UNION ALL SELECT count(*) = 0 FROM fact f LEFT JOIN soc ON f.social_id = soc.social_id WHERE soc.social_id IS NULL)""",
                                          DIMS_SQL))
 def check_summary(spark, d):
-    s, loc, prop, soc = build_dims(spark, d)
-    fact = build_fact(spark, d)
+    dims = build_dims(spark, d)
+    s, loc, prop, soc = dims
+    fact = build_fact(spark, d, dims)
     li = table(spark, d, "lineitem")
     checks = [qa.reconcile_counts(li, fact).select(F.lit("counts").alias("check"), "ok"),
               qa.reconcile_sum(li, "l_extendedprice", fact, "sale_price").select(F.lit("sum").alias("check"), "ok")]
