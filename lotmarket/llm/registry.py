@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 Query = Callable[[SparkSession, str], DataFrame]
 
 #: Modules with a query of their own: each has QUERIES and may have SQL.
-MODULES = ("url_query", "chat_query", "jaccard_query", "decontaminate_query", "token_query", "line_query", "quality_query")
+MODULES = ("url_query", "chat_query", "jaccard_query", "decontaminate_query", "token_query", "piece_query", "line_query", "quality_query")
 
 
 def queries() -> dict[str, Query]:
