@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -112,3 +114,33 @@ def powers(base: int, n: int) -> np.ndarray:
 def list_array(values: np.ndarray, lengths: np.ndarray) -> pa.ListArray:
     """Rows of lists from their values on end and the length of each."""
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)), pa.array(values))
+
+
+def histogram(docs: DataFrame, slots: Callable[[pa.RecordBatch], np.ndarray], size: int, text: str = "text") -> np.ndarray:
+    """How often ``slots`` gives each slot number below ``size`` over all rows' steps.
+
+    Each task sends its counts in compressed blocks, which are added up block by block, so what reaches the driver is
+    one table of ``size`` counts, whatever the number of rows.  Counts stop at 2 ** 32 - 1.
+    """
+    block = min(size, 1 << 14)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size, dtype=np.uint32)
+        for step in text_steps(batches, text):
+            total += np.bincount(slots(step), minlength=size).astype(np.uint32)
+        blocks = [(i, x.tobytes()) for i, x in enumerate(total.reshape(-1, block)) if x.any()]
+        yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in blocks], pa.int32()),
+                                          pa.array([zlib.compress(x, 1) for _, x in blocks], pa.binary())], names=["block", "counts"])
+
+    def add(key: tuple, parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(block, dtype=np.uint64)
+        for part in parts:
+            for x in part["counts"]:
+                total += np.frombuffer(zlib.decompress(x), dtype=np.uint32)
+        yield pd.DataFrame({"block": [key[0]], "counts": [np.minimum(total, 2**32 - 1).astype(np.uint32).tobytes()]})
+
+    schema = "block int, counts binary"
+    out = np.zeros(size, dtype=np.uint32)
+    for b in docs.mapInArrow(count, schema).groupBy("block").applyInPandas(add, schema).collect():
+        out[b["block"] * block:(b["block"] + 1) * block] = np.frombuffer(b["counts"], dtype=np.uint32)
+    return out

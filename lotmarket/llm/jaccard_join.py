@@ -25,22 +25,19 @@ have the same with a chance of 3 percent.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotmarket.llm.common import list_array, mix64, text_bytes, text_steps, written
+from lotmarket.llm.common import histogram, list_array, mix64, text_bytes, text_steps, written
 from lotmarket.llm.components import components
 from lotmarket.llm.shingles import shingle_hashes, word_hashes
 
 PERCENT = 80
 ORDER_BITS = 20
-BLOCK_BITS = 14
 #: Entries up to which a posting list gives all its pairs at once.
 SHORT = 16
 #: Entries of one long list that are held at a time.
@@ -65,30 +62,7 @@ def _distinct(hashes: np.ndarray, rows: np.ndarray, order: np.ndarray | None = N
 
 def bucket_counts(docs: DataFrame) -> np.ndarray:
     """Shingles of the corpus by the leading ORDER_BITS of their hash; docs has (id, text)."""
-    size, block = 1 << ORDER_BITS, 1 << BLOCK_BITS
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size, dtype=np.uint32)
-        for step in text_steps(batches, "text"):
-            hashes, _ = _sets(step)
-            total += np.bincount((hashes >> np.uint64(64 - ORDER_BITS)).astype(np.int64), minlength=size).astype(np.uint32)
-        blocks = [(i, x.tobytes()) for i, x in enumerate(total.reshape(-1, block)) if x.any()]
-        yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in blocks], pa.int32()),
-                                          pa.array([zlib.compress(x, 1) for _, x in blocks], pa.binary())], names=["block", "counts"])
-
-    def add(key: tuple, parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(block, dtype=np.uint64)
-        for part in parts:
-            for x in part["counts"]:
-                total += np.frombuffer(zlib.decompress(x), dtype=np.uint32)
-        yield pd.DataFrame({"block": [key[0]], "counts": [np.minimum(total, 2**32 - 1).astype(np.uint32).tobytes()]})
-
-    schema = "block int, counts binary"
-    blocks = docs.mapInArrow(count, schema).groupBy("block").applyInPandas(add, schema).collect()
-    out = np.zeros(size, dtype=np.uint32)
-    for b in blocks:
-        out[b["block"] * block:(b["block"] + 1) * block] = np.frombuffer(b["counts"], dtype=np.uint32)
-    return out
+    return histogram(docs, lambda step: (_sets(step)[0] >> np.uint64(64 - ORDER_BITS)).astype(np.int64), 1 << ORDER_BITS)
 
 
 def _prefix_length(n: np.ndarray) -> np.ndarray:
