@@ -12,7 +12,7 @@ from lotmarket.llm.common import mix64, powers
 
 _BASE = 0x5851F42D4C957F2D
 _INVERSE = pow(_BASE, -1, 1 << 64)
-_BYTE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+BYTE_VALUES = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 #: White space and all ASCII punctuation: separators where case and punctuation shall not count.
@@ -22,7 +22,7 @@ _LOWER[65:91] += 32
 _TABLES = {"up": powers(_BASE, 1 << 10), "down": powers(_INVERSE, 1 << 10)}
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def place_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_TABLES["up"]) < n:
         size = max(n, 2 * len(_TABLES["up"]))
         _TABLES["up"], _TABLES["down"] = powers(_BASE, size), powers(_INVERSE, size)
@@ -47,9 +47,9 @@ def word_hashes(raw: np.ndarray, offsets: np.ndarray, plain: bool = False) -> tu
     ends[:-1] &= gap[1:]
     ends[rows[1:] - 1] = ~gap[rows[1:] - 1]
     first, last = np.flatnonzero(begins), np.flatnonzero(ends)
-    up, down = _powers(n)
+    up, down = place_powers(n)
     sums = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(_BYTE[_LOWER[raw]] * up, out=sums[1:])
+    np.cumsum(BYTE_VALUES[_LOWER[raw]] * up, out=sums[1:])
     hashes = mix64((sums[last + 1] - sums[first]) * down[first] + (last - first).astype(np.uint64))
     return hashes, np.searchsorted(offsets, first, side="right") - 1, first
 
