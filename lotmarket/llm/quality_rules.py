@@ -132,5 +132,8 @@ def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text")
     """``docs`` with the base counts, ``base_failed``, ``broken_rules`` (names, comma-joined) and ``kept``."""
     d = measure(docs, text)
     d = d.withColumn("broken_rules", F.array_join(compile_rules(rules, text), ","))
-    d = d.withColumn("kept", ~F.col("base_failed") & (F.col("broken_rules") == ""))
+    # A filter on the result must not move below these projections, as it would take their expressions along and put
+    # them into each other's lambdas; Spark leaves it where it is if a column here isn't deterministic.
+    always = F.spark_partition_id() >= 0
+    d = d.withColumn("kept", ~F.col("base_failed") & (F.col("broken_rules") == "") & always)
     return d.drop("_words", "_lines", "_hashes", "_sorted", "_places")
