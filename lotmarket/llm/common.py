@@ -10,8 +10,10 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: The ASCII white space that separates words, as a Java regex class and as a plain string.
 SPACE_CLASS = r"\x20\x09-\x0D"
@@ -144,3 +146,26 @@ def histogram(docs: DataFrame, slots: Callable[[pa.RecordBatch], np.ndarray], si
     for b in docs.mapInArrow(count, schema).groupBy("block").applyInPandas(add, schema).collect():
         out[b["block"] * block:(b["block"] + 1) * block] = np.frombuffer(b["counts"], dtype=np.uint32)
     return out
+
+
+PACKED = "__packed"
+
+
+def pack_texts(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
+    """The columns ``keep`` of ``docs`` and ``__packed``, the text compressed, for a shuffle that moves whole texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=1)
+        for step in text_steps(batches, text):
+            raw, offsets = text_bytes(step.column(step.schema.get_field_index(text)))
+            packed = [press.compress(raw[a:b].tobytes()) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+            rest = [step.column(step.schema.get_field_index(c)) for c in keep]
+            yield pa.RecordBatch.from_arrays([*rest, pa.array(packed, pa.binary())], names=[*keep, PACKED])
+
+    schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField(PACKED, T.BinaryType())])
+    return docs.select(*dict.fromkeys([*keep, text])).mapInArrow(run, schema)
+
+
+def unpack_texts(column: pa.Array) -> list[bytes]:
+    press = zstandard.ZstdDecompressor()
+    return [press.decompress(x) for x in column.to_pylist()]

@@ -7,12 +7,12 @@ set with n shingles the first n - ceil(0.8 n) + 1 are its *prefix*; linked sets
 
 1.  Equal sets become one node.  Nodes with the same size and the same prefix become one *group*.
 2.  Groups are posted under each shingle of their prefix.  Within a posting list, size and position filters leave the
-    group pairs that may link.  A short list gives all of them.  A long one gives each entry its neighbour and the
-    list's first entry, and is kept for step 4.
+    group pairs that may link.  A short list gives all of them.  A long one gives each entry a few neighbours by
+    size and by hash, and is kept for step 4.
 3.  The pairs' first members, and each group's members with its first, are verified against whole sets.  Links form
-    components.
-4.  What step 3 left out is made up for between different components only: other members of group pairs, members of
-    one group, and entries of long lists.  Nothing is lost, as documents in one component need no further link.
+    components; near copies of one text nearly all meet here, as in a random graph.
+4.  What step 3 left out is made up for between different components only: entries of long lists, first with
+    the lists' best linked entries and then with all others, other members of group pairs, and members of one group.  Nothing is lost, as documents in one component need no further link.
 
 So a large group of near copies gives a few rows per member and not a row per pair, and the components are those of all
 links.  Sets are never collected; a document's shingles meet another's only if the pair is a candidate.
@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotmarket.llm.common import histogram, list_array, mix64, text_bytes, text_steps, written
+from lotmarket.llm.common import PACKED, histogram, list_array, mix64, pack_texts, text_bytes, text_steps, unpack_texts, written
 from lotmarket.llm.components import components
 from lotmarket.llm.shingles import shingle_hashes, word_hashes
 
@@ -40,6 +40,12 @@ PERCENT = 80
 ORDER_BITS = 20
 #: Entries up to which a posting list gives all its pairs at once.
 SHORT = 16
+#: Neighbours with which an entry of a long list is paired.
+NEIGHBOURS = 6
+#: Entries with most links, of each long list, with which entries of other components are paired.
+HUBS = 3
+#: Slots of a sketch: how many of a set's hashes fall into each.
+SLOTS = 128
 #: Entries of one long list that are held at a time.
 HELD = 1 << 14
 
@@ -98,6 +104,17 @@ def _may_link(n1: np.ndarray, n2: np.ndarray, p1: np.ndarray, p2: np.ndarray) ->
     return (100 * np.minimum(n1, n2) >= PERCENT * np.maximum(n1, n2)) & (1 + np.minimum(n1 - p1, n2 - p2) - 1 >= least)
 
 
+def _sketches(column: pa.Array) -> np.ndarray:
+    """A row of counts for each entry; one without a sketch counts as full everywhere."""
+    full = np.full(SLOTS, 2**16 - 1, dtype=np.uint16).tobytes()
+    return np.frombuffer(b"".join(full if x is None else x for x in column.to_pylist()), dtype=np.uint16).reshape(-1, SLOTS)
+
+
+def _enough(n1: np.ndarray, n2: np.ndarray, s1: np.ndarray, s2: np.ndarray) -> np.ndarray:
+    """Whether sets can have enough in common to link: at most the lesser count of every slot."""
+    return np.minimum(s1, s2).sum(axis=-1, dtype=np.int64) >= -(-PERCENT * (n1 + n2) // (100 + PERCENT))
+
+
 #: Out of the posting lists: a pair of groups, or (``other`` null) an entry of a long list.
 _POSTED = "token bigint, grp bigint, n bigint, place bigint, other bigint"
 
@@ -120,13 +137,14 @@ def posted_pairs(groups: DataFrame) -> DataFrame:
             left, right = [], []
             for d in range(1, min(SHORT, int(sizes.max()))):
                 both = token[:-d] == token[d:]
-                if d > 1:
-                    both &= ~is_long[:-d]
-                at = np.flatnonzero(both)
+                at = np.flatnonzero(both & ~is_long[:-d])
                 left.append(at), right.append(at + d)
-            firsts = np.repeat(starts, sizes)
-            at = np.flatnonzero(is_long & (np.arange(len(token)) > firsts + 1))
-            left.append(firsts[at]), right.append(at)
+            by = np.flatnonzero(is_long)
+            by = by[np.lexsort((grp[by], token[by]))]  # an order that all lists share, so that lists repeat their pairs
+            for d in range(1, NEIGHBOURS + 1):
+                i, j = by[:-d], by[d:]
+                same = token[i] == token[j]
+                left.append(i[same]), right.append(j[same])
             a, b = np.concatenate(left), np.concatenate(right)
             ok = _may_link(n[a], n[b], place[a], place[b])
             a, b = a[ok], b[ok]
@@ -156,58 +174,97 @@ def posted_pairs(groups: DataFrame) -> DataFrame:
     return dealt.sortWithinPartitions("token", "n", "grp").mapInArrow(run, _POSTED)
 
 
-def _cross_pairs(units: DataFrame) -> DataFrame:
-    """From entries (token, n, place, grp, component) of long lists: pairs of units of different components that may link.
+_UNIT_PAIR = "ga bigint, ca bigint, gb bigint, cb bigint"
+
+
+def _pair_batch(x: np.ndarray, i: np.ndarray, j: np.ndarray) -> pa.RecordBatch:
+    """Pairs of the entries (token, n, place, grp, component, degree) at i and j."""
+    return pa.RecordBatch.from_arrays([pa.array(x[r][k]) for k in (i, j) for r in (3, 4)], names=["ga", "ca", "gb", "cb"])
 
-    A run's rows come by size; a row meets those before it of at least 0.8 of its size.
+
+def _mixed_lists(entries: DataFrame) -> DataFrame:
+    """The entries of those long lists that hold more than one component, dealt and sorted by list and size."""
+    several = entries.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
+    kept = entries.join(written(several.select("token"), "jaccard-several"), "token", "left_semi")
+    n = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return kept.select("token", "n", "place", "grp", "component", "degree", "sketch").repartition(n, "token").sortWithinPartitions("token", "n", "grp")
+
+
+def _hub_pairs(entries: DataFrame) -> DataFrame:
+    """Each entry of a long list with those of the list's HUBS most linked entries that are in other components.
+
+    Near copies of one text link the better the fewer their changes, so those with most links join nearly all others.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before = np.empty((5, 0), dtype=np.int64)
         for batch in batches:
-            x = np.stack([batch.column(i).to_numpy() for i in range(5)])
-            x = np.concatenate([before, x], axis=1)
-            token, n, place, grp, comp = x
-            had = before.shape[1]
-            low = np.searchsorted(token, token)  # first row of the run
-            for j in range(had, x.shape[1]):
-                if low[j] == j:
-                    continue
+            x, sketch = np.stack([batch.column(i).to_numpy() for i in range(6)]), _sketches(batch.column(6))
+            by = np.lexsort((-x[5], x[0]))
+            lists = x[0][by]
+            first = np.searchsorted(lists, lists)
+            for d in range(HUBS):
+                j = by[np.minimum(first + d, len(by) - 1)]
+                ok = (x[0][by] == x[0][j]) & (x[4][by] != x[4][j])
+                i, j = by[ok], j[ok]
+                ok = _may_link(x[1][i], x[1][j], x[2][i], x[2][j])
+                i, j = i[ok], j[ok]
+                ok = _enough(x[1][i], x[1][j], sketch[i], sketch[j])
+                if ok.any():
+                    yield _pair_batch(x, i[ok], j[ok])
+
+    return _mixed_lists(entries).mapInArrow(run, _UNIT_PAIR).distinct()
+
+
+def _cross_pairs(entries: DataFrame) -> DataFrame:
+    """All pairs of units of different components that may link and have a long list in common.
+
+    A list's entries come by size; one meets those before it that have at least 0.8 of its size.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before, marks = np.empty((5, 0), dtype=np.int64), np.empty((0, SLOTS), dtype=np.uint16)
+        for batch in batches:
+            x = np.concatenate([before, np.stack([batch.column(i).to_numpy() for i in range(5)])], axis=1)
+            sketch = np.concatenate([marks, _sketches(batch.column(6))])
+            token, n, place, _, comp = x
+            low = np.searchsorted(token, token)  # first entry of the list
+            for j in range(before.shape[1], x.shape[1]):
                 i = np.arange(low[j], j)
-                i = i[(comp[i] != comp[j])]
+                i = i[comp[i] != comp[j]]
                 i = i[_may_link(n[i], n[j], place[i], place[j])]
+                i = i[_enough(n[i], n[j], sketch[i], sketch[j])]
                 if len(i):
-                    yield pa.RecordBatch.from_arrays([pa.array(grp[i]), pa.array(comp[i]), pa.array(np.full(len(i), grp[j])),
-                                                      pa.array(np.full(len(i), comp[j]))], names=["ga", "ca", "gb", "cb"])
-            last = token == token[-1] if len(token) else np.empty(0, bool)
-            before = x[:, last]
-            before = before[:, 100 * before[1] >= PERCENT * (before[1, -1] if before.shape[1] else 0)]
+                    yield _pair_batch(x, i, np.full(len(i), j))
+            stay = np.flatnonzero((token == token[-1]) & (100 * n >= PERCENT * n[-1])) if x.shape[1] else np.arange(0)
+            before, marks = x[:, stay], sketch[stay]
 
-    sides = units.select("token", "n", "place", "grp", "component")
-    several = units.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-    dealt = sides.join(written(several.select("token"), "jaccard-several"), "token", "left_semi").select(*sides.columns)
-    n = int(units.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return dealt.repartition(n, "token").sortWithinPartitions("token", "n", "grp").mapInArrow(
-        run, "ga bigint, ca bigint, gb bigint, cb bigint").distinct()
+    return _mixed_lists(entries).mapInArrow(run, _UNIT_PAIR).distinct()
 
 
-def verified(pairs: DataFrame, members: DataFrame, docs: DataFrame) -> DataFrame:
-    """Those of the node pairs (a, b) whose whole sets link; members has (node, rep), docs (id, text)."""
-    pairs = written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct(), "jaccard-pairs")
-    named = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(members, "node").select("node", F.col("rep").alias("id"))
+def whole_sets(members: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, hashes, sketch) of the nodes in members (node, rep); docs has (id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for step in text_steps(batches, "text"):
-            hashes, rows = _distinct(*_sets(step))
+        for step in text_steps(batches, PACKED):
+            texts = pa.array(unpack_texts(step.column(1)), pa.binary())
+            hashes, rows = _distinct(*_sets(pa.RecordBatch.from_arrays([step.column(0), texts], names=["node", "text"])))
             n = np.bincount(rows, minlength=step.num_rows)
             node = np.zeros(step.num_rows, dtype=np.uint64)
             np.add.at(node, rows, mix64(hashes))
             node = mix64(node + n.astype(np.uint64)).view(np.int64)
             right = pa.array(node == step.column(0).to_numpy())  # of rows with one id, that with the node's set
-            yield pa.RecordBatch.from_arrays([step.column(0), list_array(hashes.view(np.int64), n)], names=["node", "hashes"]).filter(right)
+            slot = rows * SLOTS + (hashes % np.uint64(SLOTS)).astype(np.int64)
+            sketch = np.minimum(np.bincount(slot, minlength=step.num_rows * SLOTS), 2**16 - 1).astype(np.uint16).reshape(-1, SLOTS)
+            yield pa.RecordBatch.from_arrays([step.column(0), list_array(hashes.view(np.int64), n), pa.array([x.tobytes() for x in sketch], pa.binary())],
+                                             names=["node", "hashes", "sketch"]).filter(right)
+
+    texts = pack_texts(docs, "text", ["id"]).join(members.select("node", F.col("rep").alias("id")).hint("merge"), "id").select("node", PACKED)
+    return written(texts.mapInArrow(run, "node bigint, hashes array<bigint>, sketch binary").dropDuplicates(["node"]), "jaccard-sets")
 
-    texts = docs.join(named, "id").select("node", "text")
-    sets = written(texts.mapInArrow(run, "node bigint, hashes array<bigint>").dropDuplicates(["node"]), "jaccard-sets")
+
+def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Those of the node pairs (a, b) whose whole sets link."""
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
     a = sets.select(F.col("node").alias("a"), F.col("hashes").alias("ha"))
     b = sets.select(F.col("node").alias("b"), F.col("hashes").alias("hb"))
     both = F.size(F.array_intersect("ha", "hb"))
@@ -232,25 +289,39 @@ def link(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFra
     between = (pairs.join(head.select(F.col("grp").alias("ga"), F.col("head").alias("a")), "ga")
                .join(head.select(F.col("grp").alias("gb"), F.col("head").alias("b")), "gb").select("a", "b"))
     within = members.join(size.where("size > 1"), "grp").select(F.col("node").alias("a"), F.col("head").alias("b"))
-    links = verified(between.union(within), members, docs)
-    component = written(components(links), "jaccard-components")
+    listed = pairs.select(F.explode(F.array("ga", "gb")).alias("grp")).union(posted.where("other is null").select("grp")).union(
+        size.where("size > 1").select("grp")).distinct()
+    listed = written(listed, "jaccard-listed")
+    sets = whole_sets(members.join(listed, "grp", "left_semi"), docs)
+    links = verified(between.union(within), sets)
 
     # Step 4: between different components only.
-    unit = written(members.select("node", "grp").join(component, "node", "left").select(
-        "node", "grp", F.coalesce("component", "node").alias("component")), "jaccard-units")
-    kinds = written(unit.select("grp", "component").distinct(), "jaccard-kinds")
-    side = lambda g, c: kinds.select(F.col("grp").alias(g), F.col("component").alias(c))
     large = size.where("size > 1").select("grp")
-    touching = pairs.join(large.withColumnRenamed("grp", "ga"), "ga", "left_semi").union(
+    touching = written(pairs.join(large.withColumnRenamed("grp", "ga"), "ga", "left_semi").union(
         pairs.join(large.withColumnRenamed("grp", "gb"), "gb", "left_semi").select("ga", "gb")).union(
-        large.select(F.col("grp").alias("ga"), F.col("grp").alias("gb"))).distinct()
-    other = touching.join(side("ga", "ca"), "ga").join(side("gb", "cb"), "gb").where("ca <> cb").select("ga", "ca", "gb", "cb")
-    entries = posted.where(F.col("other").isNull()).select("token", "n", "place", "grp").join(kinds, "grp")
-    across = written(other.union(_cross_pairs(entries)), "jaccard-across")
-    more = (across.join(unit.select(F.col("grp").alias("ga"), F.col("component").alias("ca"), F.col("node").alias("a")), ["ga", "ca"])
-            .join(unit.select(F.col("grp").alias("gb"), F.col("component").alias("cb"), F.col("node").alias("b")), ["gb", "cb"]))
-    links = links.union(verified(more.select("a", "b"), members, docs))
-    component = components(links)
+        large.select(F.col("grp").alias("ga"), F.col("grp").alias("gb"))).distinct(), "jaccard-touching")
+    entries = posted.where("other is null").select("token", "n", "place", "grp")
+
+    def linked(links: DataFrame, hubs: bool) -> DataFrame:
+        """The links and more of them: from long lists' hubs, or from all pairs of units that are left."""
+        component = components(links)
+        degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
+        unit = written(members.select("node", "grp").join(listed, "grp", "left_semi").join(component, "node", "left").join(degree, "node", "left").select(
+            "node", "grp", F.coalesce("component", "node").alias("component"), F.coalesce("degree", F.lit(0)).alias("degree")), "jaccard-units")
+        kinds = written(unit.join(sets.select("node", "sketch"), "node").groupBy("grp", "component").agg(
+            F.max("degree").alias("degree"), F.when(F.count(F.lit(1)) == 1, F.first("sketch")).alias("sketch")), "jaccard-kinds")
+        listing = entries.join(kinds, "grp")
+        if hubs:
+            across = _hub_pairs(listing)
+        else:
+            side = lambda g, c: kinds.select(F.col("grp").alias(g), F.col("component").alias(c))
+            within = touching.join(side("ga", "ca"), "ga").join(side("gb", "cb"), "gb").where("ca <> cb")
+            across = _cross_pairs(listing).union(within.select("ga", "ca", "gb", "cb"))
+        more = (across.join(unit.select(F.col("grp").alias("ga"), F.col("component").alias("ca"), F.col("node").alias("a")), ["ga", "ca"])
+                .join(unit.select(F.col("grp").alias("gb"), F.col("component").alias("cb"), F.col("node").alias("b")), ["gb", "cb"]))
+        return links.union(verified(more.select("a", "b"), sets))
+
+    component = components(linked(linked(links, True), False))
 
     # A component's smallest id, back to all rows by their node; nodes alone, of one row, need no way back.
     named = members.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -260,3 +331,17 @@ def link(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFra
     return rows.drop("prefix").join(label, "node", "left").select(
         F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
         F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.coalesce("component_id", "id")).otherwise(F.col("id")).alias("component_id"))
+
+
+def one_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """``docs`` with one document of each component: that with the smallest id.
+
+    Rows without an id stay.  Rows that share an id stay or go together, and equal ones of them become one.
+    """
+    rows = written(link(docs, text, doc_id), "jaccard-rows").where("doc_id IS NOT NULL")
+    by_id = rows.groupBy("doc_id").agg(F.min(F.col("doc_id") != F.col("component_id")).alias("copy"), F.count(F.lit(1)).alias("n"))
+    marked = written(by_id.where("copy OR n > 1").withColumnRenamed("doc_id", "__id"), "jaccard-marked")
+    match = F.col(doc_id) == F.col("__id")
+    alone = docs.join(marked, match, "left_anti")
+    shared = docs.join(marked.where("NOT copy"), match, "left_semi").dropDuplicates([doc_id, text])
+    return alone.unionByName(shared)

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lotmarket.llm.anchors import LENGTH, REACH, find, prefix_sums, span_hashes
-from lotmarket.llm.common import mix64, text_bytes, text_steps, written
+from lotmarket.llm.common import PACKED, mix64, pack_texts, text_bytes, text_steps, unpack_texts, written
 from lotmarket.llm.lyndon_suffixes import suffix_array
 from lotmarket.llm.shingles import BYTE_VALUES, place_powers
 
@@ -75,26 +75,13 @@ def anchor_rows(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "key bigint, place bigint, before int, starts int, gram bigint, stretch bigint")
 
 
-def _packed_texts(docs: DataFrame) -> DataFrame:
-    """(key, packed): the texts of docs (key, text), compressed for the shuffle."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        press = zstandard.ZstdCompressor(level=1)
-        for step in text_steps(batches, "text"):
-            raw, offsets = text_bytes(step.column(1))
-            packed = [press.compress(raw[a:b].tobytes()) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([step.column(0), pa.array(packed, pa.binary())], names=["key", "packed"])
-
-    return docs.mapInArrow(run, "key bigint, packed binary")
-
-
 #: A single stretch or one copy of a repeated one, with its bytes, in the group of those it may share strings with.
 _STRETCH = "grp bigint, low int, high int, single boolean, key bigint, place bigint, before int, starts int, bytes binary"
 
 
 def fetched(docs: DataFrame, members: DataFrame) -> DataFrame:
     """The stretches' bytes; members has (key, wanted: array of (gram, single, place, before, starts))."""
-    together = _packed_texts(docs).join(members, "key").select("packed", "key", "wanted")
+    together = pack_texts(docs, "text", ["key"]).join(members, "key").select(PACKED, "key", "wanted")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdDecompressor()
@@ -287,30 +274,19 @@ def without_repeats(docs: DataFrame, text: str = "text", carry: list[str] | None
     spans = repeated_spans(keyed.select(F.col("__key").alias("key"), F.col(text).alias("text")))
     spans = spans.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("low", "high"))).alias("__spans"))
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        press = zstandard.ZstdCompressor(level=1)
-        for step in text_steps(batches, text):
-            raw, offsets = text_bytes(step.column(step.schema.get_field_index(text)))
-            packed = [press.compress(raw[a:b].tobytes()) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-            rest = [step.column(step.schema.get_field_index(c)) for c in [*keep, "__key"]]
-            yield pa.RecordBatch.from_arrays([*rest, pa.array(packed, pa.binary())], names=[*keep, "__key", "__packed"])
-
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        press = zstandard.ZstdDecompressor()
         for batch in batches:
-            packed, found = (batch.column(batch.schema.get_field_index(c)) for c in ("__packed", "__spans"))
+            packed, found = (batch.column(batch.schema.get_field_index(c)) for c in (PACKED, "__spans"))
             for lo in range(0, batch.num_rows, 256):
                 out: list[tuple[bytes, int, int, int]] = []
-                for x, marks in zip(packed.slice(lo, 256).to_pylist(), found.slice(lo, 256), strict=True):
-                    raw = press.decompress(x)
+                for raw, marks in zip(unpack_texts(packed.slice(lo, 256)), found.slice(lo, 256), strict=True):
                     out.append(_cut(raw, marks.values) if marks.is_valid else (raw, len(raw), 0, 0))
                 rest = [batch.column(batch.schema.get_field_index(c)).slice(lo, 256) for c in keep]
                 yield pa.RecordBatch.from_arrays(rest + [pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.binary(), *[pa.int64()] * 3), strict=True)],
                                                  names=[*keep, *(f.name for f in made)])
 
     fields = [keyed.schema[c] for c in keep]
-    packed = keyed.mapInArrow(pack, T.StructType([*fields, keyed.schema["__key"], T.StructField("__packed", T.BinaryType())]))
-    joined = packed.join(spans, F.col("__key") == F.col("key"), "left").drop("key", "__key")
+    joined = pack_texts(keyed, text, [*keep, "__key"]).join(spans, F.col("__key") == F.col("key"), "left").drop("key", "__key")
     return joined.mapInArrow(cut, T.StructType(fields + made))
 
 
