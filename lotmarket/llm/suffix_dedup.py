@@ -48,9 +48,9 @@ INNER = LENGTH // BLOCK - 1
 WIDTH = -(-(REACH + LENGTH) // BLOCK) * BLOCK
 
 
-def _key(docs: DataFrame, text: str) -> DataFrame:
-    """``docs`` with ``__key``, which stands for a row's whole content."""
-    return docs.withColumn("__key", F.xxhash64(*[F.to_json(c) if isinstance(docs.schema[c].dataType, T.MapType) else c for c in docs.columns]))
+def _key(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``__key``, which stands for a row's whole content; its columns may be of any type but map."""
+    return docs.withColumn("__key", F.xxhash64(*docs.columns))
 
 
 def anchor_rows(docs: DataFrame) -> DataFrame:
@@ -270,9 +270,9 @@ def without_repeats(docs: DataFrame, text: str = "text", carry: list[str] | None
     """``docs`` (or its columns ``carry``) with ``kept`` (bytes), ``n_bytes``, ``n_removed`` and ``n_spans``."""
     made = [T.StructField("kept", T.BinaryType()), *(T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans"))]
     keep = [c for c in (docs.columns if carry is None else carry) if c not in {f.name for f in made}]
-    keyed = _key(docs.select(*dict.fromkeys([*keep, text])), text)
+    keyed = _key(docs.select(*dict.fromkeys([*keep, text])))
     spans = repeated_spans(keyed.select(F.col("__key").alias("key"), F.col(text).alias("text")))
-    spans = spans.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("low", "high"))).alias("__spans"))
+    spans = spans.groupBy(F.col("key").alias("__of")).agg(F.array_sort(F.collect_list(F.struct("low", "high"))).alias("__spans"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -286,7 +286,7 @@ def without_repeats(docs: DataFrame, text: str = "text", carry: list[str] | None
                                                  names=[*keep, *(f.name for f in made)])
 
     fields = [keyed.schema[c] for c in keep]
-    joined = pack_texts(keyed, text, [*keep, "__key"]).join(spans, F.col("__key") == F.col("key"), "left").drop("key", "__key")
+    joined = pack_texts(keyed, text, [*keep, "__key"]).join(spans, F.col("__key") == F.col("__of"), "left").drop("__of", "__key")
     return joined.mapInArrow(cut, T.StructType(fields + made))
 
 
