@@ -1,6 +1,7 @@
 """The skew-safe exact quantile equals Spark's exact percentile, including a
-hot group that takes the bracketed (candidate) path."""
+hot group."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from lotmarket.operators.stats import group_quantiles
@@ -19,23 +20,22 @@ def _as_dict(df, key, cols):
     return {r[key]: tuple(round(r[c], 9) if r[c] is not None else None for c in cols) for r in df.collect()}
 
 
-def test_bracketed_matches_exact_on_hot_group(spark):
+def test_counted_matches_exact_on_hot_group(spark):
     df = _skewed(spark)
     probs = {"q05": 0.05, "q25": 0.25, "q50": 0.5, "q75": 0.75, "q99": 0.99, "q0": 0.0, "q1": 1.0}
     exact = group_quantiles(df, "g", "v", probs, method="exact")
-    # accuracy 500 -> groups above 1000 rows use the sketch bracket, not their whole range
-    br = group_quantiles(df, "g", "v", probs, method="bracketed", accuracy=500)
+    br = group_quantiles(df, "g", "v", probs, method="counted")
     assert _as_dict(br, "g", list(probs)) == _as_dict(exact, "g", list(probs))
 
 
-def test_bracketed_global_and_small_groups(spark):
+def test_counted_global_and_small_groups(spark):
     df = _skewed(spark, 5000).withColumn("g2", (F.col("v") % 7).cast("int"))
     probs = {"m": 0.5, "p9": 0.9}
     a = group_quantiles(df, None, "v", probs, method="exact").first()
-    b = group_quantiles(df, None, "v", probs, method="bracketed", accuracy=200).first()
+    b = group_quantiles(df, None, "v", probs, method="counted").first()
     assert round(a.m, 9) == round(b.m, 9) and round(a.p9, 9) == round(b.p9, 9)
     e = group_quantiles(df, "g2", "v", probs, method="exact")
-    f = group_quantiles(df, "g2", "v", probs, method="bracketed", accuracy=50)
+    f = group_quantiles(df, "g2", "v", probs, method="counted")
     assert _as_dict(e, "g2", list(probs)) == _as_dict(f, "g2", list(probs))
 
 
@@ -43,3 +43,26 @@ def test_all_null_group_absent(spark):
     df = spark.createDataFrame([("a", None), ("b", 1.0), ("b", 3.0)], "g string, v double")
     out = {r.g: r.m for r in group_quantiles(df, "g", "v", {"m": 0.5}).collect()}
     assert out == {"b": 2.0}
+
+
+def test_values_of_all_magnitudes(spark):
+    rows = [(g, s * m * 10.0 ** e) for g in "ab" for s in (-1, 1) for e in range(-30, 31, 3) for m in (1.0, 1.0, 1.00001, 7.5)]
+    rows += [("a", 0.0), ("a", -0.0), ("b", 5e-324), ("b", 1.7e308), ("b", None)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    probs = {f"q{i}": i / 16 for i in range(17)}
+    for keys in ("g", None):
+        exact = [tuple(r) for r in group_quantiles(df, keys, "v", probs, method="exact").collect()]
+        got = [tuple(r) for r in group_quantiles(df, keys, "v", probs).collect()]
+        for x, y in zip(sorted(got), sorted(exact), strict=True):
+            assert [*x] == pytest.approx([*y], rel=1e-9) if keys is None else x[0] == y[0] and [*x[1:]] == pytest.approx([*y[1:]], rel=1e-9)
+
+
+def test_no_exchange_on_the_group_key_sees_more_than_bins(spark):
+    """With one hot group, nothing is collected, and rows are dealt by (group, value) or (group, bin)."""
+    plan = group_quantiles(_skewed(spark), "g", "v", {"m": 0.5})._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan and "percentile" not in plan
+    dealt = [x.split(")")[0] for x in plan.split("hashpartitioning(")[1:]]
+    alone = [x for x in dealt if x.count("#") == 1]
+    assert any("_v#" in x for x in dealt) and any("_b#" in x for x in dealt)
+    # by the group alone: the counts of its bins, and what is picked of them
+    assert len(alone) <= 2, dealt
