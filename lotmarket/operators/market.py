@@ -233,13 +233,14 @@ def yoy_fixed_years(df: DataFrame, keys, year: str, value: str, base_year: int,
     return p.withColumn("yoy_pct", F.coalesce(yoy, F.lit(0.0)))
 
 
-def pivot_yoy(df: DataFrame, key: str, year: str, value: str, years: Sequence[int],
-              method: str | None = None) -> DataFrame:
-    """Key x year pivot of medians (years listed explicitly), then YoY % for
-    each adjacent pair of listed years."""
-    med = group_quantiles(df.where(F.col(year).isin(*years)), [key, year], value, {"m": 0.5}, method=method)
-    p = med.groupBy(key).agg(*[F.max(F.when(F.col(year) == y, F.col("m"))).alias(f"median_{y}") for y in years])
-    for a, b in zip(years, years[1:]):
-        p = p.withColumn(f"yoy_{b}", F.try_divide(F.col(f"median_{b}") - F.col(f"median_{a}"),
-                                                  F.col(f"median_{a}")) * 100)
-    return p
+def yoy_by_year(df: DataFrame, key: str, year: str, value: str, method: str | None = None) -> DataFrame:
+    """Median per key and year, for every year there is, with the change in percent from the key's year before.
+
+    One row per (key, year) rather than a column per year, so no list of years is needed; ``years_back`` is 1 for the
+    last year present, 2 for the one before it.  Windows run over medians: as many rows as keys times years."""
+    med = group_quantiles(df, [key, year], value, {"median": 0.5}, method=method)
+    prev = F.lag("median").over(Window.partitionBy(key).orderBy(year))
+    years = med.select(year).distinct()  # a few dozen
+    back = years.withColumn("years_back", F.row_number().over(Window.orderBy(F.desc(year))).cast("bigint"))
+    out = med.withColumn("yoy_pct", F.try_divide(F.col("median") - prev, prev) * 100)
+    return out.join(back, year).select(key, F.col(year).cast("bigint").alias(year), "median", "yoy_pct", "years_back")

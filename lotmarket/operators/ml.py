@@ -24,11 +24,9 @@ from lotmarket.session import ensure_checkpoint_dir
 # --------------------------------------------------------------------------- splits
 
 def hash_bucket(cols: Sequence[str], buckets: int = 100, seed: int = 42) -> Column:
-    """Portable integer hash of non-negative integer key columns -> 0..buckets-1."""
-    h = F.lit(seed).cast("bigint")
-    for i, c in enumerate(cols):
-        h = h + (F.col(c).cast("bigint") % 1000003) * F.lit([7919, 104729, 1299709][i % 3])
-    return F.pmod(h, F.lit(buckets))
+    """0..buckets-1 from the first 32 bits of md5(seed-key-key...): portable, and independent between seeds."""
+    h = F.md5(F.concat_ws("-", F.lit(str(seed)), *[F.col(c).cast("string") for c in cols]))
+    return (F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint") % buckets).cast("bigint")
 
 
 def xx_bucket(cols: Sequence[str], buckets: int = 100, seed: int = 42) -> Column:
@@ -138,12 +136,17 @@ def kfold_linear_r2(df: DataFrame, y: str, xs: Sequence[str], fold: str, k: int)
     return r2_by_fit(pred, y, "_p", [fold])
 
 
-def cv_summary(scores: DataFrame) -> DataFrame:
-    """Mean and population std of the fold scores, with a stability verdict."""
+def cv_summary(scores: DataFrame, holdout: DataFrame | None = None) -> DataFrame:
+    """Mean and population std of the fold scores; a std under 0.02 is very good.
+
+    ``holdout`` (one row, ``r2``) adds the check against learning by heart: its R^2 within 0.05 of the folds' mean."""
     s = scores.agg(F.avg("r2").alias("mean_r2"), F.stddev_pop("r2").alias("std_r2"),
                    F.count("*").cast("bigint").alias("folds"))
-    return s.withColumn("verdict", F.when(F.col("std_r2") < 0.05, "stable").when(F.col("std_r2") < 0.1, "moderate")
-                        .otherwise("unstable"))
+    s = s.withColumn("verdict", F.when(F.col("std_r2") < 0.02, "very good").otherwise("needs work"))
+    if holdout is None:
+        return s
+    s = attach(s, holdout.select(F.col("r2").alias("holdout_r2")))
+    return s.withColumn("overfit", F.when(F.abs(F.col("holdout_r2") - F.col("mean_r2")) < 0.05, "safe").otherwise("overfit"))
 
 
 def learning_curve(df: DataFrame, y: str, xs: Sequence[str], fold: str, k: int, size_bucket: str,
@@ -182,8 +185,10 @@ def learning_curve(df: DataFrame, y: str, xs: Sequence[str], fold: str, k: int,
     agg = out.groupBy("size").agg(F.avg("train_r2").alias("train_r2"), F.avg("val_r2").alias("val_r2"),
                                   F.avg("n_train").alias("mean_train_rows"))
     gap = F.col("train_r2") - F.col("val_r2")
+    # the verdict is the last size's
     return agg.withColumn("gap", gap).withColumn(
-        "verdict", F.when(gap > 0.1, "overfit").when(F.col("val_r2") < 0.3, "underfit").otherwise("good"))
+        "verdict", F.when(F.col("size") < max(sizes), F.lit(None)).when(gap > 0.1, "overfit")
+        .when(F.col("val_r2") < 0.5, "underfit").otherwise("good"))
 
 
 # Poisson(1) cumulative probabilities P(X <= k), k = 0..7.
@@ -277,6 +282,20 @@ def label_encode(df: DataFrame, c: str, name: str, missing: str = "UNKNOWN") ->
     return v.join(codes, c, "left")
 
 
+def median_encoding(train: DataFrame, key: str, y: str, name: str) -> DataFrame:
+    """M7: per key value, ``log(1 + median(y))`` of the training rows."""
+    from lotmarket.operators.stats import group_quantiles
+    return group_quantiles(train, key, y, {"_m": 0.5}).select(key, F.log1p("_m").alias(name))
+
+
+def encode(df: DataFrame, encoding: DataFrame, key: str, name: str) -> DataFrame:
+    """Rows with their key's encoding less the mean of all encodings; 0 for a key without one.
+
+    The encoding has a row per key value; adaptive execution broadcasts it by its size or else splits hot keys."""
+    j = attach(df.join(encoding, key, "left"), encoding.agg(F.avg(name).alias("_mean")))
+    return j.withColumn(name, F.coalesce(F.col(name) - F.col("_mean"), F.lit(0.0))).drop("_mean")
+
+
 # --------------------------------------------------------------------------- trees (MLlib)
 
 def tree_fit(train: DataFrame, y: str, xs: Sequence[str], kind: str = "rf", **params):

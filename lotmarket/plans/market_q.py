@@ -203,18 +203,13 @@ def argmax_group(spark, d):
     return finish(mk.argmax_group(m, "neighborhood", "median"))
 
 
-YEARS = [1995, 1996, 1997, 1998, 1999, 2000, 2001]
-
-
-@register("yoy_pivot", with_sales(
-    "SELECT borough_name, " + ", ".join(f"round(median_{y}, 4) AS median_{y}" for y in YEARS) + ", "
-    + ", ".join(f"round((median_{b} - median_{a}) / median_{a} * 100, 4) AS yoy_{b}"
-                for a, b in zip(YEARS, YEARS[1:]))
-    + " FROM (SELECT borough_name, "
-    + ", ".join(f"median(sale_price) FILTER (WHERE sale_year = {y}) AS median_{y}" for y in YEARS)
-    + " FROM s GROUP BY borough_name)", S_CTE))
+@register("yoy_pivot", with_sales("""
+SELECT borough_name, CAST(sale_year AS BIGINT) AS sale_year, round(m, 4) AS median,
+       round((m - prev) / prev * 100, 4) AS yoy_pct, CAST(dense_rank() OVER (ORDER BY sale_year DESC) AS BIGINT) AS years_back
+FROM (SELECT *, lag(m) OVER (PARTITION BY borough_name ORDER BY sale_year) AS prev
+      FROM (SELECT borough_name, sale_year, median(sale_price) AS m FROM s GROUP BY 1, 2))""", S_CTE))
 def yoy_pivot(spark, d):
-    return finish(mk.pivot_yoy(floored(spark, d), "borough_name", "sale_year", "sale_price", YEARS))
+    return finish(mk.yoy_by_year(floored(spark, d), "borough_name", "sale_year", "sale_price"))
 
 
 MONTH_SQL = "CAST(date_trunc('month', sale_date) AS DATE)"

@@ -8,15 +8,23 @@ from lotmarket.functions import core as fx
 from lotmarket.operators import market as mk
 from lotmarket.operators import ml
 from lotmarket.operators.common import attach
-from lotmarket.operators.stats import group_quantiles
 from lotmarket.plans.binding import sales, with_sales
 from lotmarket.plans.catalog import register
 from lotmarket.plans.common import finish
 
 XS = ["x1", "x2"]
 SEED = 42
-BUCKET_SQL = "(42 + (l_orderkey % 1000003) * 7919 + (l_linenumber % 1000003) * 104729) % 100"
-BUCKET2_SQL = "(7 + (l_orderkey % 1000003) * 7919 + (l_linenumber % 1000003) * 104729) % 100"
+KEY = ["l_orderkey", "l_linenumber"]
+SIZE_SEED, FOLD5_SEED, FOLD3_SEED = 7, 11, 13
+
+
+def bucket_sql(seed: int, buckets: int) -> str:
+    """DuckDB twin of :func:`lotmarket.operators.ml.hash_bucket` on ``KEY``."""
+    h = f"md5(concat_ws('-', '{seed}', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR)))"
+    digits = " + ".join(f"(instr('0123456789abcdef', substring({h}, {i + 1}, 1)) - 1) * {16 ** (7 - i)}" for i in range(8))
+    return f"CAST(({digits}) % {buckets} AS BIGINT)"
+
+
 
 
 def base(spark, d):
@@ -25,12 +33,13 @@ def base(spark, d):
                     F.col("sale_price").alias("y"), F.log1p("sale_price").alias("ly"),
                     F.col("gross_sqft").alias("x1"), F.col("land_sqft").alias("x2"),
                     F.col("total_units").cast("double").alias("x3"), F.col("age_days").cast("double").alias("x4"),
-                    ml.hash_bucket(["l_orderkey", "l_linenumber"], 100, SEED).alias("bucket"),
-                    ml.hash_bucket(["l_orderkey", "l_linenumber"], 100, 7).alias("bucket2"))
+                    ml.hash_bucket(KEY, 100, SEED).alias("bucket"), ml.hash_bucket(KEY, 100, SIZE_SEED).alias("bucket2"),
+                    ml.hash_bucket(KEY, 5, FOLD5_SEED).alias("fold5"), ml.hash_bucket(KEY, 3, FOLD3_SEED).alias("fold3"))
 
 
 BASE_SQL = f"""base AS (SELECT l_orderkey, l_linenumber, borough_name, neighborhood, building_type, sale_price AS y,
-  ln(1 + sale_price) AS ly, gross_sqft AS x1, land_sqft AS x2, {BUCKET_SQL} AS bucket, {BUCKET2_SQL} AS bucket2 FROM sales),
+  ln(1 + sale_price) AS ly, gross_sqft AS x1, land_sqft AS x2, {bucket_sql(SEED, 100)} AS bucket, {bucket_sql(SIZE_SEED, 100)} AS bucket2,
+  {bucket_sql(FOLD5_SEED, 5)} AS fold5, {bucket_sql(FOLD3_SEED, 3)} AS fold3 FROM sales),
 tr AS (SELECT * FROM base WHERE bucket < 80), te AS (SELECT * FROM base WHERE bucket >= 80)"""
 
 
@@ -64,19 +73,19 @@ def predictions(spark, d):
     return ml.predict_linear(te, ml.ols_fit(tr, "y", XS), XS, "p")
 
 
-@register("hash_split", with_sales("""
+@register("hash_split", with_sales(f"""
 SELECT CASE WHEN bucket < 80 THEN 'train' ELSE 'test' END AS split, count(*) AS n,
        CAST(NULL AS VARCHAR) AS split3, CAST(NULL AS BIGINT) AS n3 FROM base GROUP BY 1
 UNION ALL
 SELECT NULL, NULL, CASE WHEN b3 < 7225 THEN 'train' WHEN b3 < 8500 THEN 'valid' ELSE 'test' END, count(*)
-FROM (SELECT (42 + (l_orderkey % 1000003) * 7919 + (l_linenumber % 1000003) * 104729) % 10000 AS b3 FROM sales) GROUP BY 3""",
+FROM (SELECT {bucket_sql(SEED, 10000)} AS b3 FROM sales) GROUP BY 3""",
                                    BASE_SQL))
 def hash_split(spark, d):
     b = base(spark, d)
     two = b.groupBy(ml.split_label(F.col("bucket"), [("train", 80), ("test", 100)]).alias("split")) \
         .agg(F.count("*").alias("n")).select("split", "n", F.lit(None).cast("string").alias("split3"),
                                              F.lit(None).cast("bigint").alias("n3"))
-    b3 = ml.hash_bucket(["l_orderkey", "l_linenumber"], 10000, SEED)
+    b3 = ml.hash_bucket(KEY, 10000, SEED)
     three = sales(spark, d).groupBy(ml.split_label(b3, [("train", 7225), ("valid", 8500), ("test", 10000)])
                                     .alias("split3")).agg(F.count("*").alias("n3")) \
         .select(F.lit(None).cast("string").alias("split"), F.lit(None).cast("bigint").alias("n"), "split3", "n3")
@@ -101,11 +110,11 @@ def regression_metrics(spark, d):
 
 
 @register("error_by_region", with_sales("""
-SELECT borough_name, round(avg(p - y), 4) AS mean_error, round(stddev_samp(p - y), 4) AS std_error, count(*) AS n
+SELECT borough_name, round(avg((p - y) / y * 100), 4) AS mean_error, round(stddev_samp((p - y) / y * 100), 4) AS std_error, count(*) AS n
 FROM pred GROUP BY 1""", ML_SQL))
 def error_by_region(spark, d):
     p = predictions(spark, d)
-    e = F.col("p") - F.col("y")
+    e = F.try_divide(F.col("p") - F.col("y"), F.col("y")) * 100  # percent of the price
     return finish(p.groupBy("borough_name").agg(F.avg(e).alias("mean_error"), F.stddev_samp(e).alias("std_error"),
                                                 F.count("*").alias("n")))
 
@@ -116,7 +125,7 @@ TIER_LABELS = ["<20K", "20-40K", "40-60K", "60-80K", "80-100K"]
 
 
 @register("error_by_tier", with_sales("""
-SELECT tier, count(*) AS n, round(avg(abs(p - y) / y) * 100, 4) AS mean_abs_pct, round(avg(p - y), 4) AS bias,
+SELECT tier, count(*) AS n, round(avg(abs(p - y) / y) * 100, 4) AS mean_abs_pct, round(avg((p - y) / y) * 100, 4) AS bias,
        round(1 - sum((y - p) * (y - p)) / (var_pop(y) * count(y)), 4) AS r2
 FROM (SELECT *, CASE WHEN y > 0 AND y <= 20000 THEN '<20K' WHEN y > 20000 AND y <= 40000 THEN '20-40K'
                      WHEN y > 40000 AND y <= 60000 THEN '40-60K' WHEN y > 60000 AND y <= 80000 THEN '60-80K'
@@ -127,7 +136,7 @@ def error_by_tier(spark, d):
         .where(F.col("tier").isNotNull())
     e = F.col("y") - F.col("p")
     out = p.groupBy("tier").agg(F.count("*").alias("n"), (F.avg(F.abs(e) / F.col("y")) * 100).alias("mean_abs_pct"),
-                                F.avg(F.col("p") - F.col("y")).alias("bias"),
+                                (F.avg((F.col("p") - F.col("y")) / F.col("y")) * 100).alias("bias"),
                                 (1 - F.sum(e * e) / (F.var_pop("y") * F.count("y"))).alias("r2"))
     return finish(out)
 
@@ -166,7 +175,7 @@ def label_encode(spark, d):
 
 
 KFOLD_SQL = BASE_SQL + """,
-fb AS (SELECT *, bucket % 5 AS fold FROM base),
+fb AS (SELECT *, fold5 AS fold FROM base),
 per AS (SELECT fold, CAST(count(*) AS DOUBLE) AS n, sum(y) AS sy, sum(x1) AS s1, sum(x2) AS s2, sum(x1 * x1) AS s11,
                sum(x2 * x2) AS s22, sum(x1 * x2) AS s12, sum(x1 * y) AS s1y, sum(x2 * y) AS s2y FROM fb GROUP BY fold),
 trs AS (SELECT p.fold, t.n - p.n AS n, t.sy - p.sy AS sy, t.s1 - p.s1 AS s1, t.s2 - p.s2 AS s2, t.s11 - p.s11 AS s11,
@@ -182,7 +191,7 @@ kr AS (SELECT fold, 1 - sum((y - p) * (y - p)) / (var_pop(y) * count(y)) AS r2,
 
 
 def _kfold(spark, d):
-    b = base(spark, d).withColumn("fold", F.col("bucket") % 5)
+    b = base(spark, d).withColumnRenamed("fold5", "fold")
     return ml.kfold_linear_r2(b, "y", XS, "fold", 5)
 
 
@@ -193,19 +202,24 @@ def kfold_r2(spark, d):
 
 @register("kfold_summary", with_sales("""
 SELECT round(avg(r2), 4) AS mean_r2, round(stddev_pop(r2), 4) AS std_r2, count(*) AS folds,
-       CASE WHEN stddev_pop(r2) < 0.05 THEN 'stable' WHEN stddev_pop(r2) < 0.1 THEN 'moderate' ELSE 'unstable' END AS verdict
-FROM kr""", KFOLD_SQL))
+       CASE WHEN stddev_pop(r2) < 0.02 THEN 'very good' ELSE 'needs work' END AS verdict,
+       round(any_value(hold), 4) AS holdout_r2,
+       CASE WHEN abs(any_value(hold) - avg(r2)) < 0.05 THEN 'safe' ELSE 'overfit' END AS overfit
+FROM kr, (SELECT 1 - sum((y - p) * (y - p)) / (var_pop(y) * count(y)) AS hold FROM pred) h""",
+                                         ML_SQL + KFOLD_SQL[len(BASE_SQL):]))
 def kfold_summary(spark, d):
-    return finish(ml.cv_summary(_kfold(spark, d)))
+    p = predictions(spark, d).withColumn("_all", F.lit(0))
+    return finish(ml.cv_summary(_kfold(spark, d), ml.r2_by_fit(p, "y", "p", ["_all"]).select("r2")))
 
 
-SIZES = [10, 25, 40, 55, 70, 85]
+# Six sizes from a tenth to all of the training rows, in percent.
+SIZES = [10, 28, 46, 64, 82, 100]
 
 
 def _lc_sql() -> str:
     sizes = ", ".join(f"({s})" for s in SIZES)
     return BASE_SQL + f""",
-fb AS (SELECT *, bucket % 3 AS fold FROM base),
+fb AS (SELECT *, fold3 AS fold FROM base),
 pairs AS (SELECT s.size, f.vf FROM (VALUES {sizes}) s(size), (SELECT DISTINCT fold AS vf FROM fb) f),
 trs AS (SELECT p.size, p.vf, CAST(count(*) AS DOUBLE) AS n, sum(y) AS sy, sum(x1) AS s1, sum(x2) AS s2, sum(x1 * x1) AS s11,
                sum(x2 * x2) AS s22, sum(x1 * x2) AS s12, sum(x1 * y) AS s1y, sum(x2 * y) AS s2y
@@ -224,11 +238,11 @@ tr2 AS (SELECT size, vf AS fold, 1 - sum((y - p) * (y - p)) / (var_pop(y) * coun
 @register("learning_curve", with_sales("""
 SELECT CAST(size AS BIGINT) AS size, round(train_r2, 4) AS train_r2, round(val_r2, 4) AS val_r2,
        round(mean_train_rows, 4) AS mean_train_rows, round(train_r2 - val_r2, 4) AS gap,
-       CASE WHEN train_r2 - val_r2 > 0.1 THEN 'overfit' WHEN val_r2 < 0.3 THEN 'underfit' ELSE 'good' END AS verdict
+       CASE WHEN size < 100 THEN NULL WHEN train_r2 - val_r2 > 0.1 THEN 'overfit' WHEN val_r2 < 0.5 THEN 'underfit' ELSE 'good' END AS verdict
 FROM (SELECT size, avg(train_r2) AS train_r2, avg(val_r2) AS val_r2, avg(n_train) AS mean_train_rows
       FROM tr2 JOIN vr USING (size, fold) GROUP BY size)""", _lc_sql()))
 def learning_curve(spark, d):
-    b = base(spark, d).withColumn("fold", F.col("bucket") % 3)
+    b = base(spark, d).withColumnRenamed("fold3", "fold")
     return finish(ml.learning_curve(b, "y", XS, "fold", 3, "bucket2", SIZES))
 
 
@@ -276,27 +290,39 @@ def gbt_fit(spark, d):
     return finish(ml.regression_metrics(te, "y", "p"))
 
 
+VAL_SQL = BASE_SQL + """,
+me AS (SELECT avg(ln(1 + m)) AS mean_ne FROM (SELECT median(y) AS m FROM tr GROUP BY neighborhood)),
+mt AS (SELECT avg(ln(1 + m)) AS mean_te FROM (SELECT median(y) AS m FROM tr GROUP BY building_type)),
+ne AS (SELECT neighborhood, ln(1 + median(y)) AS ne FROM tr GROUP BY 1),
+te_ AS (SELECT building_type, ln(1 + median(y)) AS te FROM tr GROUP BY 1),
+enc AS (SELECT tr.l_orderkey, tr.ly, tr.x1, ne.ne - me.mean_ne + te_.te - mt.mean_te AS x2
+        FROM tr JOIN ne USING (neighborhood) JOIN te_ USING (building_type), me, mt),
+req AS (SELECT borough_name, neighborhood, building_type, count(*) AS n_requests, avg(x1) AS x1 FROM te GROUP BY 1, 2, 3),
+""" + coef_sql("vc", "enc", "ly") + """,
+bm AS (SELECT borough_name, median(y) AS med FROM tr GROUP BY 1)"""
+
+
 @register("batch_valuation", with_sales("""
-SELECT r.neighborhood, r.building_type, round(v, 4) AS value, round(v * 0.85, 4) AS low, round(v * 1.15, 4) AS high,
-       round((v - m.med) / m.med * 100, 4) AS vs_area_median_pct
-FROM (SELECT DISTINCT neighborhood, building_type FROM base) r
-CROSS JOIN (SELECT median(x1) AS f1, median(x2) AS f2 FROM tr) f
-CROSS JOIN lc
-JOIN (SELECT neighborhood, median(y) AS med FROM tr GROUP BY 1) m USING (neighborhood)
-CROSS JOIN LATERAL (SELECT exp(lc.b0 + lc.b1 * f.f1 + lc.b2 * f.f2) - 1 AS v)""",
-                                        BASE_SQL + ",\n" + coef_sql("lc", "tr", "ly")))
+SELECT borough_name, neighborhood, building_type, n_requests, round(x1, 4) AS area, round(v, 4) AS value, round(v * 0.85, 4) AS low,
+       round(v * 1.15, 4) AS high, round((v - med) / med * 100, 4) AS vs_region_median_pct, round(CASE WHEN x1 > 0 THEN v / x1 END, 4) AS per_area
+FROM (SELECT req.*, bm.med, exp(vc.b0 + vc.b1 * req.x1 + vc.b2 * (coalesce(ne.ne - me.mean_ne, 0.0) + coalesce(te_.te - mt.mean_te, 0.0))) - 1 AS v
+      FROM req JOIN bm USING (borough_name) LEFT JOIN ne USING (neighborhood) LEFT JOIN te_ USING (building_type), vc, me, mt)""", VAL_SQL))
 def batch_valuation(spark, d):
-    tr, _ = split(spark, d)
-    reqs = base(spark, d).select("neighborhood", "building_type").distinct()
-    # default features: medians fitted on the training rows (no test leak)
-    r = attach(attach(reqs, group_quantiles(tr, None, "x1", {"x1": 0.5})),
-               group_quantiles(tr, None, "x2", {"x2": 0.5}))
-    p = ml.predict_linear(r, ml.ols_fit(tr, "ly", XS), XS, "lp").withColumn("value", F.expm1("lp"))
-    med = mk.median_by(tr, "neighborhood", "y", "med")
-    out = p.join(med, "neighborhood").select(
-        "neighborhood", "building_type", "value", (F.col("value") * 0.85).alias("low"),
-        (F.col("value") * 1.15).alias("high"),
-        (F.try_divide(F.col("value") - F.col("med"), F.col("med")) * 100).alias("vs_area_median_pct"))
+    """Requests are the combinations in the held-out rows, each with its own area; neighbourhood and type enter by
+    the log of their training median, less the mean of these (0 where a value was never seen)."""
+    tr, te = split(spark, d)
+    ne = ml.median_encoding(tr, "neighborhood", "y", "ne")
+    kind = ml.median_encoding(tr, "building_type", "y", "te")
+    train = ml.encode(ml.encode(tr.drop("x2"), ne, "neighborhood", "ne"), kind, "building_type", "te")
+    coef = ml.ols_fit(train.withColumn("x2", F.col("ne") + F.col("te")), "ly", XS)
+    reqs = te.groupBy("borough_name", "neighborhood", "building_type").agg(F.count("*").alias("n_requests"), F.avg("x1").alias("x1"))
+    reqs = ml.encode(ml.encode(reqs, ne, "neighborhood", "ne"), kind, "building_type", "te").withColumn("x2", F.col("ne") + F.col("te"))
+    p = ml.predict_linear(reqs, coef, XS, "lp").withColumn("value", F.expm1("lp"))
+    out = p.join(mk.median_by(tr, "borough_name", "y", "med"), "borough_name").select(
+        "borough_name", "neighborhood", "building_type", "n_requests", F.col("x1").alias("area"), "value",
+        (F.col("value") * 0.85).alias("low"), (F.col("value") * 1.15).alias("high"),
+        (F.try_divide(F.col("value") - F.col("med"), F.col("med")) * 100).alias("vs_region_median_pct"),
+        fx.guarded_ratio("value", "x1").alias("per_area"))
     return finish(out)
 
 

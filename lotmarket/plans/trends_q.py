@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lotmarket.operators import market as mk
 from lotmarket.operators import trend as tr
+from lotmarket.operators.common import attach
 from lotmarket.plans.binding import with_sales
 from lotmarket.plans.catalog import register
 from lotmarket.plans.common import finish
@@ -76,19 +77,18 @@ def steady_trends(spark, d):
     return finish(best.drop("rk"))
 
 
-LEADER_NAMES = ("NATION_1", "NATION_5", "NATION_7", "NATION_12", "NATION_20")
-
-
-@register("leaderboard", with_sales(f"""
+@register("leaderboard", with_sales("""
 SELECT neighborhood, round(return_pct, 4) AS return_pct, round(confidence, 4) AS confidence,
        CASE WHEN confidence >= 80 THEN 'high' WHEN confidence >= 60 THEN 'medium' ELSE 'low' END AS rating,
        CAST(row_number() OVER (ORDER BY confidence DESC, neighborhood) AS BIGINT) AS position
-FROM rt WHERE neighborhood IN {LEADER_NAMES!r}""", M_CTE))
-def leaderboard(spark, d):
-    r = returns(spark, d).where(F.col("neighborhood").isin(*LEADER_NAMES))
-    r = r.select("neighborhood", "return_pct", "confidence",
-                 tr.confidence_rating("confidence").alias("rating"))
-    # ranks over the (small) filtered leaderboard
+FROM rt WHERE n >= 30 AND months >= 5""", M_CTE))
+def leaderboard(spark, d, names=None):
+    """Areas with enough sales and months; ``names`` narrows the board to those asked for."""
+    r = returns(spark, d).where((F.col("n") >= 30) & (F.col("months") >= 5))
+    if names:
+        r = r.where(F.col("neighborhood").isin(*names))
+    r = r.select("neighborhood", "return_pct", "confidence", tr.confidence_rating("confidence").alias("rating"))
+    # one row per area
     r = r.withColumn("position", F.row_number().over(Window.orderBy(F.desc("confidence"), "neighborhood")))
     return finish(r)
 
@@ -151,8 +151,9 @@ def trend_line(spark, d):
 
 
 POLY_CTE = S_CTE + """,
-mm AS (SELECT borough_name, sale_year * 12 + sale_month AS t, avg(sale_price) AS y
-       FROM s GROUP BY 1, 2 HAVING count(*) >= 5),
+mm AS (SELECT borough_name, CAST(row_number() OVER (PARTITION BY borough_name ORDER BY ym) - 1 AS BIGINT) AS t, y FROM (
+       SELECT borough_name, sale_year * 12 + sale_month AS ym, avg(sale_price) AS y
+       FROM s GROUP BY 1, 2 HAVING count(*) >= 5)),
 c AS (SELECT *, t - avg(t) OVER (PARTITION BY borough_name) AS u, avg(t) OVER (PARTITION BY borough_name) AS tm FROM mm),
 p AS (SELECT borough_name, count(y) AS n, sum(u*u) AS S2, sum(u*u*u) AS S3, sum(u*u*u*u) AS S4,
              sum(y) AS T0, sum(u*y) AS T1, sum(u*u*y) AS T2, any_value(tm) AS tm, max(t) AS t_last
@@ -170,30 +171,31 @@ FROM (SELECT borough_name, step, sigma,
              b0 + b1*(t_last + step - tm) + b2*(t_last + step - tm)*(t_last + step - tm) AS f
       FROM coef JOIN sig USING (borough_name), range(1, 7) AS r(step))""", POLY_CTE))
 def poly_forecast(spark, d):
-    s = floored(spark, d).withColumn("t", F.col("sale_year") * 12 + F.col("sale_month"))
-    mm = s.groupBy("borough_name", "t").agg(F.count("*").alias("_c"), F.avg("sale_price").alias("y")) \
+    s = floored(spark, d).withColumn("ym", F.col("sale_year") * 12 + F.col("sale_month"))
+    mm = s.groupBy("borough_name", "ym").agg(F.count("*").alias("_c"), F.avg("sale_price").alias("y")) \
         .where(F.col("_c") >= 5).drop("_c")
+    # months are numbered after the filter, so a gap doesn't stretch the curve; a row per region and month
+    mm = mm.withColumn("t", (F.row_number().over(Window.partitionBy("borough_name").orderBy("ym")) - 1).cast("bigint")).drop("ym")
     return finish(tr.poly_forecast(mm, "borough_name", "t", "y", horizon=6, min_points=4))
 
 
-PROJ_YEAR = 2000
-
-
-@register("quarter_projection", with_sales(f"""
+@register("quarter_projection", with_sales("""
 SELECT borough_name, CAST(q AS BIGINT) AS quarter, round(v, 4) AS value, projected,
        round((v - lag(v) OVER (PARTITION BY borough_name ORDER BY q)) / lag(v) OVER (PARTITION BY borough_name ORDER BY q) * 100, 4) AS qoq_pct
 FROM (
   SELECT borough_name, q, m AS v, false AS projected FROM qm WHERE m IS NOT NULL
   UNION ALL
   SELECT f.borough_name, r.q, f.a + f.b * r.q AS v, true AS projected
-  FROM fit f, range(5, 9) AS r(q))""", S_CTE + f""",
-qm AS (SELECT borough_name, CAST(quarter(sale_date) AS BIGINT) AS q, median(sale_price) AS m
-       FROM s WHERE sale_year = {PROJ_YEAR} GROUP BY 1, 2),
+  FROM fit f, range(5, 9) AS r(q))""", S_CTE + """,
+qq AS (SELECT borough_name, sale_price, CAST(year(sale_date) * 4 + quarter(sale_date) AS BIGINT) AS qi FROM s),
+qm AS (SELECT borough_name, qi - (SELECT max(qi) FROM qq) + 4 AS q, median(sale_price) AS m
+       FROM qq WHERE qi > (SELECT max(qi) FROM qq) - 4 GROUP BY 1, 2),
 fit AS (SELECT borough_name, regr_intercept(m, q) AS a, regr_slope(m, q) AS b
         FROM qm GROUP BY 1 HAVING count(m) >= 3)"""))
 def quarter_projection(spark, d):
-    s = floored(spark, d).where(F.col("sale_year") == PROJ_YEAR) \
-        .withColumn("q", F.quarter("sale_date").cast("bigint"))
+    """A line through the last four quarters that there are (quarters 1 to 4, across a year's end) and four more."""
+    s = floored(spark, d).withColumn("qi", F.year("sale_date") * 4 + F.quarter("sale_date"))
+    s = attach(s, s.agg(F.max("qi").alias("last"))).withColumn("q", (F.col("qi") - F.col("last") + 4).cast("bigint")).where("q > 0")
     qm = mk.median_by(s, ["borough_name", "q"], "sale_price", "m")
     fit = qm.groupBy("borough_name").agg(F.regr_intercept("m", F.col("q").cast("double")).alias("a"),
                                          F.regr_slope("m", F.col("q").cast("double")).alias("b"),
