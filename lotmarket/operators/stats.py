@@ -44,15 +44,20 @@ def quantile_exprs(value: str, probs: Mapping[str, float]) -> list:
 
 def group_quantiles(df: DataFrame, keys: str | Sequence[str] | None, value: str,
                     probs: Mapping[str, float], method: str | None = None,
-                    accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+                    accuracy: int = DEFAULT_ACCURACY, count: str | None = None) -> DataFrame:
     """One row per group: ``keys`` + one column per entry of ``probs``.
 
+    ``count`` names a column that says how often a row counts (default method only).
+
     Groups whose values are all NULL are absent (as with ``dropna`` before a
     pandas ``groupby().quantile``).
     """
     method = method or DEFAULT_METHOD
     ks = _keys(keys)
-    base = df.select(*ks, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    times = F.col(count).cast("bigint") if count else F.lit(1).cast("bigint")
+    base = df.select(*ks, F.col(value).cast("double").alias("_v"), times.alias("_t")).where(F.col("_v").isNotNull())
+    if count and method != "counted":
+        raise ValueError("counts need the default method")
     if method == "exact":
         return base.groupBy(*ks).agg(*quantile_exprs("_v", probs))
     if method == "approx":
@@ -77,8 +82,8 @@ def _bin(v: Column) -> Column:
 
 
 def _counted(base: DataFrame, ks: list[str], probs: Mapping[str, float]) -> DataFrame:
-    """Quantiles of ``base`` (``ks``, non-null ``_v``) from counts per value and per bin."""
-    values = base.groupBy(*ks, "_v").agg(F.count(F.lit(1)).alias("_c")).withColumn("_b", _bin(F.col("_v")))
+    """Quantiles of ``base`` (``ks``, non-null ``_v``, ``_t`` times) from counts per value and per bin."""
+    values = base.groupBy(*ks, "_v").agg(F.sum("_t").alias("_c")).withColumn("_b", _bin(F.col("_v")))
     group = Window.partitionBy(*ks)
     bins = values.groupBy(*ks, "_b").agg(F.sum("_c").alias("_c"))
     before = F.sum("_c").over(group.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1))

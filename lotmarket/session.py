@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -43,33 +44,25 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    Only when the session has none (local tests) is a scratch folder set; on a
-    cluster ``spark.checkpoint.dir`` must point at shared storage and is left
-    untouched.
+    Only a local session without one gets a scratch folder of this machine; on a
+    cluster ``spark.checkpoint.dir`` must be set, to storage all machines share.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
-    if conf_dir:
-        spark.sparkContext.setCheckpointDir(conf_dir)
-        return conf_dir
-    local = tempfile.mkdtemp(prefix="lotmarket-ckpt-", dir="/tmp")
-    spark.sparkContext.setCheckpointDir(local)
-    return local
+    if not conf_dir:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        conf_dir = tempfile.mkdtemp(prefix="lotmarket-ckpt-", dir="/tmp")
+    spark.sparkContext.setCheckpointDir(conf_dir)
+    return conf_dir
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the checkpoint area for written intermediate tables.
+    """A fresh folder name under the checkpoint area for written intermediate tables.
 
     Written tables cut lineage and survive executor loss; they live in the same
     shared folder the cluster names for checkpoints.
     """
-    base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    if "://" in base:
-        import uuid
-        return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    os.makedirs(base, exist_ok=True)
-    return tempfile.mkdtemp(prefix=f"{name}-", dir=base)
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

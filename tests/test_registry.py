@@ -3,7 +3,7 @@
 from lotmarket.plans import catalog
 
 ROWS_ONLY = {"rf_fit", "gbt_fit", "hash_keys", "seeded_sample", "bootstrap_interval", "bootstrap_summary",
-             "file_fingerprint", "stream_dedup", "stream_quality"}
+             "file_fingerprint"}
 
 
 def test_oracle_coverage():

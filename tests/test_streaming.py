@@ -32,5 +32,46 @@ def test_late_rows_and_duplicates(spark):
     spark.createDataFrame(b2, jobs.EVENTS_SCHEMA).coalesce(1).write.mode("append").parquet(folder)
     stream = jobs.events_stream(spark, folder, max_files=1, glob="*.parquet")
     dd = jobs.dedup_within_watermark(stream, ["user_id", "event_type"], "1 hour")
-    out = spark.read.parquet(jobs.run_to_table(dd.select("event_id"), "dedup-test"))
+    out = spark.read.parquet(jobs.run_to_table(dd.select("event_id"), "dedup-test") + "/out")
     assert sorted(r.event_id for r in out.collect()) == [1, 2, 5]
+
+
+def _events(days, first=0):
+    return [(first + i, dt.datetime(2024, 1, 1) + dt.timedelta(days=x), 1, "a", float(x), "{}") for i, x in enumerate(days)]
+
+
+def test_repeats_weeks_apart(spark):
+    """Events two and three weeks apart all stay; a repeat within the watermark goes."""
+    events = spark.createDataFrame(_events([0, 1, 14, 15, 35, 36, 60]), jobs.EVENTS_SCHEMA)
+    folder, files = jobs.stage_by_time(events, 4, replay_every=1)
+    assert spark.read.parquet(folder).count() > 7
+    dd = jobs.dedup_within_watermark(jobs.events_stream(spark, folder, files), ["event_id"], "40 days")
+    out = jobs.run_to_table(dd, "weeks")
+    got = spark.read.parquet(f"{out}/out")
+    assert sorted(r.event_id for r in got.collect()) == list(range(7))
+    assert got.select("batch_id").distinct().count() > 1
+
+
+def test_restart_goes_on_and_a_repeated_batch_replaces_itself(spark):
+    source, job = scratch_path(spark, "restart") + "/events", scratch_path(spark, "restart-job")
+    for days, first in (([0, 1], 0), ([2, 3, 4], 2)):
+        spark.createDataFrame(_events(days, first), jobs.EVENTS_SCHEMA).coalesce(1).write.mode("append").parquet(source)
+        out = jobs.run_to_table(jobs.events_stream(spark, source), "restart", folder=job, per_batch=jobs.value_counts)
+    counts = spark.read.parquet(f"{out}/out")
+    assert {r["batch_id"]: r["n"] for r in counts.groupBy("batch_id").agg(F.sum("c").alias("n")).collect()} == {0: 2, 1: 3}
+    row = jobs.kpi_of_counts(counts).first()
+    assert (row["n"], row["mean"], row["median"]) == (5, 2.0, 2.0)
+    again = jobs.value_counts(spark.createDataFrame(_events([2, 3, 4], 2), jobs.EVENTS_SCHEMA), 1)["out"]
+    again.write.mode("overwrite").parquet(f"{out}/out/batch_id=1")
+    assert jobs.kpi_of_counts(spark.read.parquet(f"{out}/out")).first()["n"] == 5
+
+
+def test_late_windows_leave_the_state(spark):
+    events = spark.createDataFrame(_events([0, 0.5, 10, 20, 21, 0.6]), jobs.EVENTS_SCHEMA)
+    folder = scratch_path(spark, "late-windows") + "/events"
+    for part in (events.where("event_id < 2"), events.where("event_id IN (2, 3)"), events.where("event_id = 4"),
+                 events.where("event_id = 5")):
+        part.coalesce(1).write.mode("append").parquet(folder)
+    out = jobs.run_to_table(jobs.tumbling_counts(jobs.events_stream(spark, folder)), "late", mode="update")
+    got = {r["w"]["start"].day: r["n"] for r in jobs.latest(spark.read.parquet(f"{out}/out"), ["w", "event_type"]).collect()}
+    assert got == {1: 2, 11: 1, 21: 1, 22: 1}  # the last event is 20 days late
