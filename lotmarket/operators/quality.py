@@ -43,16 +43,16 @@ def check_summary(checks: DataFrame) -> DataFrame:
                       F.count_if(~F.col("ok")).cast("bigint").alias("failed"))
 
 
-def validation_report(df: DataFrame, source: str, columns: Sequence[str]) -> DataFrame:
-    """Q7: per source: total rows, valid rows (not all ``columns`` missing),
-    invalid rows, duplicate rows and a list of issues."""
+def validation_report(df: DataFrame, source: str, measures: Sequence[str], duplicate_keys: Sequence[str]) -> DataFrame:
+    """Q7: per source: total rows, valid rows (not all ``measures`` missing),
+    invalid rows, rows that repeat others in ``duplicate_keys``, and a list of issues."""
     all_missing = None
-    for c in columns:
+    for c in measures:
         m = F.col(c).isNull()
         all_missing = m if all_missing is None else all_missing & m
     per = df.groupBy(source).agg(F.count("*").cast("bigint").alias("total"),
                                  F.count_if(all_missing).cast("bigint").alias("invalid"))
-    distinct = df.select(source, *columns).distinct().groupBy(source).agg(F.count("*").alias("_d"))
+    distinct = df.select(source, *duplicate_keys).distinct().groupBy(source).agg(F.count("*").alias("_d"))
     j = per.join(distinct, source, "left")
     j = j.withColumn("valid", F.col("total") - F.col("invalid")) \
         .withColumn("duplicates", (F.col("total") - F.col("_d")).cast("bigint")).drop("_d")

@@ -11,6 +11,7 @@ from lotmarket.operators import relational as rel
 from lotmarket.plans.binding import sales, with_sales
 from lotmarket.plans.catalog import register
 from lotmarket.plans.common import finish
+from lotmarket.sources.files import materialize
 from lotmarket.plans.relational_q import IND_CTES, indicators_wide
 
 # A sales frame with missing values made from the data (the driver tables have none).
@@ -179,35 +180,43 @@ def clean_audit_nulls(spark, d):
                               & F.col("before").isNotNull() & F.col("after").isNotNull()))
 
 
-PIPE_A_CTES = IND_CTES + ",\n" + RAW_SQL + """,
-e AS (SELECT DISTINCT r.*, iw.boro_income, iw.parks_count FROM raw r LEFT JOIN iw ON r.borough_name = iw.region),
-f AS (SELECT * EXCLUDE (gross_sqft, land_sqft),
-             coalesce(gross_sqft, (SELECT median(gross_sqft) FROM e)) AS gross_sqft,
-             coalesce(land_sqft, (SELECT median(land_sqft) FROM e)) AS land_sqft FROM e),
-q AS (SELECT quantile_cont(sale_price, 0.25) AS p1, quantile_cont(sale_price, 0.75) AS p3,
-             quantile_cont(gross_sqft, 0.25) AS g1, quantile_cont(gross_sqft, 0.75) AS g3 FROM f)"""
+# The columns of pipeline A by kind; NULLs of every numeric one become its median, of every text one its mode.
+PIPE_NUM = ["boro_income", "sale_price", "gross_sqft", "land_sqft", "total_units", "year_built"]
+PIPE_TEXT = ["borough_name", "neighborhood", "building_type", "address", "apartment"]
+PIPE_CLIP = ["sale_price", "gross_sqft", "land_sqft"]
+_MEDIAN = ", ".join(f"CAST(coalesce({c}, (SELECT median({c}) FROM e)) AS DOUBLE) AS {c}" for c in PIPE_NUM if c != "year_built")
+_MODE = ", ".join(f"coalesce({c}, (SELECT {c} FROM e WHERE {c} IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, {c} LIMIT 1)) AS {c}" for c in PIPE_TEXT)
+_QUART = ", ".join(f"quantile_cont({c}, 0.25) AS {c}_1, quantile_cont({c}, 0.75) AS {c}_3" for c in PIPE_CLIP)
+_CLIPPED = ", ".join(f"least(greatest({c}, {c}_1 - 1.5 * ({c}_3 - {c}_1)), {c}_3 + 1.5 * ({c}_3 - {c}_1)) AS {c}" for c in PIPE_CLIP)
+PIPE_A_CTES = IND_CTES + ",\n" + RAW_SQL + f""",
+e AS (SELECT DISTINCT r.* EXCLUDE (easement), iw.boro_income FROM raw r LEFT JOIN iw ON r.borough_name = iw.region),
+f AS (SELECT l_orderkey, l_linenumber, sale_date, {_MEDIAN}, coalesce(year_built, (SELECT median(year_built) FROM e)) AS year_built, {_MODE} FROM e),
+q AS (SELECT {_QUART} FROM f),
+g AS (SELECT f.* EXCLUDE ({", ".join(PIPE_CLIP)}), {_CLIPPED} FROM f, q)"""
 
 
 @register("clean_pipeline_a", with_sales("""
-SELECT l_orderkey, l_linenumber, borough_name, round(boro_income, 4) AS boro_income,
-       round(sp, 4) AS sale_price, round(gs, 4) AS gross_sqft, round(land_sqft, 4) AS land_sqft,
-       round(CASE WHEN gs > 0 THEN sp / gs END, 4) AS price_per_sqft,
-       CAST(starts_with(coalesce(building_type, ''), 'S') AS INTEGER)::BIGINT AS is_residential,
-       greatest(least(CAST(year(sale_date) AS BIGINT) - year_built, 200), 0) AS building_age,
+SELECT l_orderkey, l_linenumber, borough_name, neighborhood, building_type, address, apartment, round(boro_income, 4) AS boro_income,
+       round(sale_price, 4) AS sale_price, round(gross_sqft, 4) AS gross_sqft, round(land_sqft, 4) AS land_sqft,
+       round(total_units, 4) AS total_units, round(CASE WHEN gross_sqft > 0 THEN sale_price / gross_sqft END, 4) AS price_per_sqft,
+       CAST(starts_with(building_type, 'S') AS INTEGER)::BIGINT AS is_residential,
+       CAST(greatest(least(year(sale_date) - year_built, 200), 0) AS BIGINT) AS building_age,
        CAST(year(sale_date) AS BIGINT) AS sale_year, CAST(month(sale_date) AS BIGINT) AS sale_month
-FROM (SELECT f.*, least(greatest(sale_price, p1 - 1.5 * (p3 - p1)), p3 + 1.5 * (p3 - p1)) AS sp,
-             least(greatest(gross_sqft, g1 - 1.5 * (g3 - g1)), g3 + 1.5 * (g3 - g1)) AS gs FROM f, q)""",
-                                             PIPE_A_CTES))
+FROM g""", PIPE_A_CTES))
 def clean_pipeline_a(spark, d):
-    raw = raw_frame(spark, d)
-    iw = indicators_wide(spark, d).select(F.col("region").alias("borough_name"), "boro_income", "parks_count")
+    """Whole-row duplicates go, NULLs become the column's median (numbers) or mode (text), three columns are
+    clamped to their quartile fences, derived columns follow.  The enriched rows are written once, as every step
+    reads them again."""
+    raw = raw_frame(spark, d).drop("easement")
+    iw = indicators_wide(spark, d).select(F.col("region").alias("borough_name"), "boro_income")
     e = rel.dedup_full(raw.join(iw, "borough_name", "left"))
-    f = cl.impute_median(e, ["gross_sqft", "land_sqft"])
-    c = cl.iqr_clip(f, ["sale_price", "gross_sqft"])
-    out = c.select("l_orderkey", "l_linenumber", "borough_name", "boro_income", "sale_price", "gross_sqft", "land_sqft",
+    e = materialize(e.withColumn("total_units", F.col("total_units").cast("double")).withColumn("year_built", F.col("year_built").cast("double")), "clean-rows")
+    f = cl.impute_mode(cl.impute_median(e, PIPE_NUM), PIPE_TEXT)
+    c = cl.iqr_clip(f, PIPE_CLIP)
+    out = c.select("l_orderkey", "l_linenumber", *PIPE_TEXT, "boro_income", *PIPE_CLIP, "total_units",
                    fx.guarded_ratio("sale_price", "gross_sqft").alias("price_per_sqft"),
                    cl.prefix_flag("building_type", "S").alias("is_residential"),
-                   fx.clip(F.year("sale_date") - F.col("year_built"), 0, 200).alias("building_age"),
+                   fx.clip(F.year("sale_date") - F.col("year_built"), 0, 200).cast("bigint").alias("building_age"),
                    F.year("sale_date").alias("sale_year"), F.month("sale_date").alias("sale_month"))
     return finish(out)
 

@@ -166,9 +166,14 @@ def row_cap(spark, d):
     return finish(li.orderBy(*CAP_ORDER).limit(ROW_CAP))
 
 
-@register("seeded_sample")
+SAMPLE_ROWS = 1500
+
+
+@register("seeded_sample", f"""
+SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem
+ORDER BY md5(concat_ws('-', '42', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR))), l_orderkey, l_linenumber LIMIT {SAMPLE_ROWS}""")
 def seeded_sample(spark, d):
-    """Rows-only: reproducible sample of N rows without replacement (xxhash order)."""
+    """Reproducible sample of N rows without replacement, in the order of a seeded hash of the key."""
     li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
-    key = F.xxhash64(F.lit(42), "l_orderkey", "l_linenumber", "l_extendedprice")
-    return finish(li.orderBy(key, "l_orderkey", "l_linenumber").limit(1500))
+    key = F.md5(F.concat_ws("-", F.lit("42"), F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")))
+    return finish(li.orderBy(key, "l_orderkey", "l_linenumber").limit(SAMPLE_ROWS))

@@ -52,6 +52,13 @@ def roundtrip(spark: SparkSession, df: DataFrame, fmt: str, name: str) -> DataFr
     return read(spark, path, fmt, df.schema)
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a Parquet table in the shared area: computed once for all that reads them."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def append_batches(spark: SparkSession, batches: Sequence[DataFrame], partition_by: Sequence[str],
                    name: str) -> DataFrame:
     """Append several batches to one partitioned parquet table; read it back."""

@@ -55,7 +55,7 @@ def test_threshold_and_reconcile(spark):
 def test_validation_report(spark):
     df = spark.createDataFrame([("s1", 1, None), ("s1", 1, None), ("s1", None, None), ("s2", 2, 3)],
                                "src string, a int, b int")
-    got = {r.src: (r.total, r.invalid, r.duplicates, r.issues) for r in qa.validation_report(df, "src", ["a", "b"]).collect()}
+    got = {r.src: (r.total, r.invalid, r.duplicates, r.issues) for r in qa.validation_report(df, "src", ["a", "b"], ["a", "b"]).collect()}
     assert got["s1"] == (3, 1, 1, "empty rows;duplicate rows") and got["s2"] == (1, 0, 0, "")
 
 

@@ -62,3 +62,11 @@ def test_unseen_keys_are_encoded_as_the_mean(spark):
 def test_distinct_requests_have_distinct_values(spark):
     rows = ml_q.batch_valuation(spark, "/root/testdata/sf0.01").collect()
     assert len({round(r["value"], 2) for r in rows}) > 0.9 * len(rows) > 100
+
+
+def test_trees(spark):
+    """A small forest and few rounds: importances sum to 1, and the boosted trees beat the mean."""
+    sf = "/root/testdata/sf0.001"
+    imp = {r["feature"]: r["importance"] for r in ml_q.rf_fit(spark, sf, numTrees=10, maxDepth=6).collect()}
+    assert set(imp) == set(ml_q.TREE_XS) and sum(imp.values()) == pytest.approx(1.0, abs=1e-3)
+    assert ml_q.gbt_fit(spark, sf, rounds=8, maxDepth=4, stepSize=0.3).first()["r2"] > 0.5
