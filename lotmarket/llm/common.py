@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 SPACE_CLASS = r"\x20\x09-\x0D"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 #: Bytes of text that one vectorised step handles; a longer document is a step of its own.
-STEP_BYTES = 1 << 20
+STEP_BYTES = 1 << 19
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -76,7 +76,7 @@ def _prefix_length(n: np.ndarray) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, counts: np.ndarray) -> DataFrame:
-    """(id, n, node, prefix_hash, prefix) of every document; docs has (id, text)."""
+    """(id, n, node, grp, prefix, sketch) of every document; docs has (id, text)."""
     shared = docs.sparkSession.sparkContext.broadcast(counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -90,12 +90,15 @@ def prefixes(docs: DataFrame, counts: np.ndarray) -> DataFrame:
             node, prefix_hash = np.zeros((2, step.num_rows), dtype=np.uint64)
             np.add.at(node, rows, mix64(hashes))
             np.add.at(prefix_hash, rows[inside], mix64(hashes[inside] ^ np.uint64(0xA5A5A5A5A5A5A5A5)))
+            slot = rows * SLOTS + (hashes % np.uint64(SLOTS)).astype(np.int64)
+            sketch = np.minimum(np.bincount(slot, minlength=step.num_rows * SLOTS), 2**16 - 1).astype(np.uint16).reshape(-1, SLOTS)
             yield pa.RecordBatch.from_arrays(
                 [step.column(0), pa.array(n.astype(np.int64)), pa.array(mix64(node + n.astype(np.uint64)).view(np.int64)),
-                 pa.array(mix64(prefix_hash + n.astype(np.uint64)).view(np.int64)), list_array(hashes[inside].view(np.int64), length)],
-                names=["id", "n", "node", "grp", "prefix"])
+                 pa.array(mix64(prefix_hash + n.astype(np.uint64)).view(np.int64)), list_array(hashes[inside].view(np.int64), length),
+                 pa.array([x.tobytes() for x in sketch], pa.binary())],
+                names=["id", "n", "node", "grp", "prefix", "sketch"])
 
-    return docs.mapInArrow(run, "id bigint, n bigint, node bigint, grp bigint, prefix array<bigint>")
+    return docs.mapInArrow(run, "id bigint, n bigint, node bigint, grp bigint, prefix array<bigint>, sketch binary")
 
 
 def _may_link(n1: np.ndarray, n2: np.ndarray, p1: np.ndarray, p2: np.ndarray) -> np.ndarray:
@@ -241,8 +244,8 @@ def _cross_pairs(entries: DataFrame) -> DataFrame:
     return _mixed_lists(entries).mapInArrow(run, _UNIT_PAIR).distinct()
 
 
-def whole_sets(members: DataFrame, docs: DataFrame) -> DataFrame:
-    """(node, hashes, sketch) of the nodes in members (node, rep); docs has (id, text)."""
+def whole_sets(members: DataFrame, docs: DataFrame, many: bool) -> DataFrame:
+    """(node, hashes) of the nodes in members (node, rep), once for each row with its id; docs has (id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for step in text_steps(batches, PACKED):
@@ -253,23 +256,37 @@ def whole_sets(members: DataFrame, docs: DataFrame) -> DataFrame:
             np.add.at(node, rows, mix64(hashes))
             node = mix64(node + n.astype(np.uint64)).view(np.int64)
             right = pa.array(node == step.column(0).to_numpy())  # of rows with one id, that with the node's set
-            slot = rows * SLOTS + (hashes % np.uint64(SLOTS)).astype(np.int64)
-            sketch = np.minimum(np.bincount(slot, minlength=step.num_rows * SLOTS), 2**16 - 1).astype(np.uint16).reshape(-1, SLOTS)
-            yield pa.RecordBatch.from_arrays([step.column(0), list_array(hashes.view(np.int64), n), pa.array([x.tobytes() for x in sketch], pa.binary())],
-                                             names=["node", "hashes", "sketch"]).filter(right)
+            yield pa.RecordBatch.from_arrays([step.column(0), list_array(hashes.view(np.int64), n)], names=["node", "hashes"]).filter(right)
+
+    named = written(members.select("node", F.col("rep").alias("id")).hint("rebalance"), "jaccard-named")  # its size is known now
+    if many:  # texts are packed, then dealt by id
+        texts = pack_texts(docs, "text", ["id"]).join(named.hint("merge"), "id").select("node", PACKED)
+    else:  # few nodes as a rule, which go to the texts instead; if they are many, this is a shuffle too
+        texts = pack_texts(docs.join(named, "id"), "text", ["node"])
+    return written(texts.mapInArrow(run, "node bigint, hashes array<bigint>"), "jaccard-sets")
 
-    texts = pack_texts(docs, "text", ["id"]).join(members.select("node", F.col("rep").alias("id")).hint("merge"), "id").select("node", PACKED)
-    return written(texts.mapInArrow(run, "node bigint, hashes array<bigint>, sketch binary").dropDuplicates(["node"]), "jaccard-sets")
 
+def verified(pairs: DataFrame, members: DataFrame, docs: DataFrame, many: bool) -> DataFrame:
+    """Those of the node pairs (a, b) whose whole sets link; members has (node, rep, sketch), docs (id, text).
+
+    Pairs' sketches meet first; whole sets are made where these allow a link.
+    """
+
+    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            s1, s2 = _sketches(batch.column(2)), _sketches(batch.column(3))
+            n1, n2 = (s.sum(axis=1, dtype=np.int64) for s in (s1, s2))
+            yield batch.select([0, 1]).filter(pa.array(_enough(n1, n2, s1, s2)))
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those of the node pairs (a, b) whose whole sets link."""
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
-    a = sets.select(F.col("node").alias("a"), F.col("hashes").alias("ha"))
-    b = sets.select(F.col("node").alias("b"), F.col("hashes").alias("hb"))
-    both = F.size(F.array_intersect("ha", "hb"))
-    union = F.size("ha") + F.size("hb") - both
-    return written(pairs.join(a, "a").join(b, "b").where(100 * both >= PERCENT * union).select("a", "b"), "jaccard-links")
+    side = lambda t, c, x: t.select(F.col("node").alias(c), F.col(x).alias(x + c))
+    pairs = written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct(), "jaccard-pairs")
+    marked = pairs.join(side(members, "a", "sketch"), "a").join(side(members, "b", "sketch"), "b").select("a", "b", "sketcha", "sketchb")
+    pairs = written(marked.mapInArrow(likely, "a bigint, b bigint"), "jaccard-likely")
+    sets = whole_sets(members.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node"), docs, many)
+    both = F.size(F.array_intersect("hashesa", "hashesb"))
+    union = F.size("hashesa") + F.size("hashesb") - both
+    meet = pairs.join(side(sets, "a", "hashes").hint("merge"), "a").join(side(sets, "b", "hashes").hint("merge"), "b")
+    return written(meet.where(100 * both >= PERCENT * union).select("a", "b"), "jaccard-links")
 
 
 def link(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -277,7 +294,8 @@ def link(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFra
     docs = docs.select(F.col(doc_id).cast("bigint").alias("id"), F.col(text).alias("text"))
     rows = written(prefixes(docs, bucket_counts(docs)), "jaccard-prefixes")
     full = rows.where((F.col("n") > 0) & F.col("id").isNotNull())
-    members = written(full.groupBy("node").agg(F.min("id").alias("rep"), F.first("grp").alias("grp"), F.count(F.lit(1)).alias("copies")), "jaccard-nodes")
+    members = written(full.groupBy("node").agg(F.min("id").alias("rep"), F.first("grp").alias("grp"), F.count(F.lit(1)).alias("copies"),
+                                               F.first("sketch").alias("sketch")), "jaccard-nodes")
     groups = full.groupBy("grp").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
     posted = written(posted_pairs(groups), "jaccard-posted")
     pairs = written(posted.where(F.col("other").isNotNull()).select(
@@ -292,8 +310,8 @@ def link(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFra
     listed = pairs.select(F.explode(F.array("ga", "gb")).alias("grp")).union(posted.where("other is null").select("grp")).union(
         size.where("size > 1").select("grp")).distinct()
     listed = written(listed, "jaccard-listed")
-    sets = whole_sets(members.join(listed, "grp", "left_semi"), docs)
-    links = verified(between.union(within), sets)
+    known = written(members.join(listed, "grp", "left_semi").select("node", "rep", "grp", "sketch"), "jaccard-known")
+    links = verified(between.union(within), known, docs, True)
 
     # Step 4: between different components only.
     large = size.where("size > 1").select("grp")
@@ -306,9 +324,9 @@ def link(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFra
         """The links and more of them: from long lists' hubs, or from all pairs of units that are left."""
         component = components(links)
         degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
-        unit = written(members.select("node", "grp").join(listed, "grp", "left_semi").join(component, "node", "left").join(degree, "node", "left").select(
-            "node", "grp", F.coalesce("component", "node").alias("component"), F.coalesce("degree", F.lit(0)).alias("degree")), "jaccard-units")
-        kinds = written(unit.join(sets.select("node", "sketch"), "node").groupBy("grp", "component").agg(
+        unit = written(known.join(component, "node", "left").join(degree, "node", "left").select(
+            "node", "grp", "sketch", F.coalesce("component", "node").alias("component"), F.coalesce("degree", F.lit(0)).alias("degree")), "jaccard-units")
+        kinds = written(unit.groupBy("grp", "component").agg(
             F.max("degree").alias("degree"), F.when(F.count(F.lit(1)) == 1, F.first("sketch")).alias("sketch")), "jaccard-kinds")
         listing = entries.join(kinds, "grp")
         if hubs:
@@ -319,16 +337,16 @@ def link(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFra
             across = _cross_pairs(listing).union(within.select("ga", "ca", "gb", "cb"))
         more = (across.join(unit.select(F.col("grp").alias("ga"), F.col("component").alias("ca"), F.col("node").alias("a")), ["ga", "ca"])
                 .join(unit.select(F.col("grp").alias("gb"), F.col("component").alias("cb"), F.col("node").alias("b")), ["gb", "cb"]))
-        return links.union(verified(more.select("a", "b"), sets))
+        return links.union(verified(more.select("a", "b"), known, docs, False))
 
     component = components(linked(linked(links, True), False))
 
     # A component's smallest id, back to all rows by their node; nodes alone, of one row, need no way back.
-    named = members.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    named = members.drop("sketch").join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
     label = written(named.join(least, "component").where((F.col("copies") > 1) | (F.col("component_id") != F.col("rep")))
                     .select("node", "component_id"), "jaccard-labels")
-    return rows.drop("prefix").join(label, "node", "left").select(
+    return rows.drop("prefix", "sketch").join(label, "node", "left").select(
         F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
         F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.coalesce("component_id", "id")).otherwise(F.col("id")).alias("component_id"))
 
