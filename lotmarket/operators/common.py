@@ -12,6 +12,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Rows up to which a table of statistics or keys is broadcast.
+BROADCAST_ROWS = 100_000
+#: Parts into which a hot key's rows are dealt where the small side has more rows than that.
+SALTS = 32
+
 
 def one_row(row: DataFrame) -> Column:
     """The single row of ``row`` as a struct-valued scalar subquery (NULL if empty)."""
@@ -35,3 +40,27 @@ def merge_rows(*rows: DataFrame) -> DataFrame:
     for r in rows[1:]:
         out = attach(out, r)
     return out
+
+
+def join_small(df: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "left",
+               bound: int = BROADCAST_ROWS, null_safe: bool = False) -> DataFrame:
+    """Join rows to a table with one row per key, without dealing the rows out by their (few, hot) keys.
+
+    The small side is written and its rows are counted.  Up to ``bound`` rows it is broadcast; beyond, both sides
+    carry a salt, so a key's rows meet ``SALTS`` copies of its one row in as many tasks.  ``small`` has the key
+    columns and new ones; ``null_safe`` lets NULL keys meet.
+    """
+    from lotmarket.sources.files import materialize
+
+    small = materialize(small, "small-side")
+    names = {k: f"_key_{k}" for k in keys}
+    small = small.withColumnsRenamed(names)
+    match = lambda a, b: F.col(a).eqNullSafe(F.col(b)) if null_safe else F.col(a) == F.col(b)
+    cond = None
+    for k, renamed in names.items():
+        cond = match(k, renamed) if cond is None else cond & match(k, renamed)
+    if small.limit(bound + 1).count() <= bound:
+        return df.join(F.broadcast(small), cond, how).drop(*names.values())
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)))
+    copies = small.withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
+    return salted.join(copies, cond & (F.col("_salt") == F.col("_copy")), how).drop("_salt", "_copy", *names.values())

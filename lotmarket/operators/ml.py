@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lotmarket.operators.common import attach, one_row
+from lotmarket.operators.common import attach, join_small, one_row
 from lotmarket.session import ensure_checkpoint_dir
 
 
@@ -289,10 +289,8 @@ def median_encoding(train: DataFrame, key: str, y: str, name: str) -> DataFrame:
 
 
 def encode(df: DataFrame, encoding: DataFrame, key: str, name: str) -> DataFrame:
-    """Rows with their key's encoding less the mean of all encodings; 0 for a key without one.
-
-    The encoding has a row per key value; adaptive execution broadcasts it by its size or else splits hot keys."""
-    j = attach(df.join(encoding, key, "left"), encoding.agg(F.avg(name).alias("_mean")))
+    """Rows with their key's encoding less the mean of all encodings; 0 for a key without one."""
+    j = attach(join_small(df, encoding, [key]), encoding.agg(F.avg(name).alias("_mean")))
     return j.withColumn(name, F.coalesce(F.col(name) - F.col("_mean"), F.lit(0.0))).drop("_mean")
 
 

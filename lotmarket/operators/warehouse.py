@@ -1,11 +1,11 @@
 """Warehouse build: dimensions, surrogate keys, fact build.
 
-Surrogate ids: ``hash_ids`` (xxhash64 of the natural key) needs no shuffle and is
-the default for fact-sized dimensions; ``dense_ids`` gives 1..N in key order
+Surrogate ids: ``dense_ids``, which the dimensions use, gives 1..N in key order
 without a single-partition window: rows are range-partitioned on the key,
 checkpointed (so both passes see the same partition bounds, also after an
 executor loss), counted per partition, and numbered within each partition plus
-the partition's offset.
+the partition's offset.  ``hash_ids`` (xxhash64 of the natural key) is the way
+without a shuffle.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lotmarket.operators.common import join_small
 from lotmarket.session import ensure_checkpoint_dir
 
 
@@ -53,12 +54,9 @@ def distinct_dimension(df: DataFrame, keys: Sequence[str], name: str, dense: boo
 
 
 def attach_key(fact: DataFrame, dim: DataFrame, keys: Sequence[str], name: str, default) -> DataFrame:
-    """Resolve a surrogate key on the natural key, with a default for misses."""
-    d = dim.select(*[F.col(k).alias(f"_dk_{k}") for k in keys], F.col(name).alias(f"_dv_{name}"))
-    cond = None
-    for k in keys:
-        c = F.col(k).eqNullSafe(F.col(f"_dk_{k}"))
-        cond = c if cond is None else cond & c
-    j = fact.join(d, cond, "left")
-    return j.withColumn(name, F.coalesce(F.col(f"_dv_{name}"), F.lit(default))) \
-        .drop(*[f"_dk_{k}" for k in keys], f"_dv_{name}")
+    """Resolve a surrogate key on the natural key, with a default for misses.
+
+    A bounded dimension is broadcast after a check of its row count, a larger one meets the fact by salted keys."""
+    d = dim.select(*keys, F.col(name).alias(f"_dv_{name}"))
+    j = join_small(fact, d, keys, null_safe=True)
+    return j.withColumn(name, F.coalesce(F.col(f"_dv_{name}"), F.lit(default))).drop(f"_dv_{name}")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lotmarket.functions import core as fx
 from lotmarket.operators import market as mk
 from lotmarket.operators import relational as rel
+from lotmarket.operators.common import join_small
 from lotmarket.operators.stats import group_quantiles
 from lotmarket.plans.binding import (GEO_SQL, REGION_INDICATORS_SQL, geo, region_indicators_long, sales,
                                      table, with_sales)
@@ -164,7 +165,7 @@ SELECT s.l_orderkey, s.l_linenumber, s.borough_name, """ + ", ".join(f"round(iw.
 def enrich_region(spark, d):
     s = sales(spark, d, part=False).select("l_orderkey", "l_linenumber", "borough_name")
     iw = indicators_wide(spark, d).withColumnRenamed("region", "borough_name")
-    return finish(s.join(iw, "borough_name", "left"))
+    return finish(join_small(s, iw, ["borough_name"]))
 
 
 @register("target_encode", with_sales("""
@@ -175,7 +176,7 @@ def target_encode(spark, d):
     s = sales(spark, d, part=False).select("l_orderkey", "l_linenumber", "neighborhood", "sale_price")
     med = group_quantiles(s, "neighborhood", "sale_price", {"neighborhood_median": 0.5})
     # per-group statistic joined back (no window holding a whole group in one task)
-    return finish(s.join(med, "neighborhood", "left"))
+    return finish(join_small(s, med, ["neighborhood"]))
 
 
 @register("vs_group_median", with_sales("""
@@ -184,7 +185,7 @@ FROM (SELECT *, median(sale_price) OVER (PARTITION BY neighborhood, building_typ
 def vs_group_median(spark, d):
     s = sales(spark, d).select("l_orderkey", "l_linenumber", "neighborhood", "building_type", "sale_price")
     med = group_quantiles(s, ["neighborhood", "building_type"], "sale_price", {"m": 0.5})
-    j = s.join(med, ["neighborhood", "building_type"], "left")
+    j = join_small(s, med, ["neighborhood", "building_type"])
     return finish(j.select("l_orderkey", "l_linenumber",
                            (F.try_divide(F.col("sale_price") - F.col("m"), F.col("m")) * 100).alias("vs_median_pct")))
 

@@ -10,6 +10,7 @@ from lotmarket.operators import warehouse as wh
 from lotmarket.plans.binding import sales, table, with_sales
 from lotmarket.plans.catalog import register
 from lotmarket.plans.common import finish
+from lotmarket.sources.files import materialize
 
 LOC_KEYS = ["neighborhood", "address"]
 PROP_KEYS = ["building_type", "building_category", "total_units"]
@@ -30,16 +31,28 @@ fact AS (SELECT s.l_orderkey, s.l_linenumber, coalesce(loc.location_id, 1) AS lo
          LEFT JOIN soc USING (borough_name))"""
 
 
-def build_dims(spark, d):
-    s = sales(spark, d)
-    loc = wh.distinct_dimension(s, LOC_KEYS, "location_id")
-    prop = wh.distinct_dimension(s, PROP_KEYS, "property_id", extra={"year_built": "bigint"})
-    soc = wh.distinct_dimension(s, ["borough_name"], "social_id")
-    return s, loc, prop, soc
+FACT_COLUMNS = ["l_orderkey", "l_linenumber", "neighborhood", "address", "building_type", "building_category", "total_units",
+                "borough_name", "sale_price", "gross_sqft", "sale_date", "sale_year", "sale_month"]
+
+
+def loc_dim(s):
+    return wh.distinct_dimension(s, LOC_KEYS, "location_id")
+
+
+def prop_dim(s):
+    return wh.distinct_dimension(s, PROP_KEYS, "property_id", extra={"year_built": "bigint"})
+
 
+def soc_dim(s):
+    return wh.distinct_dimension(s, ["borough_name"], "social_id")
 
-def build_fact(spark, d, dims=None):
-    s, loc, prop, soc = dims or build_dims(spark, d)
+
+def sale_rows(spark, d):
+    """The star join's columns that the fact and its dimensions are made of, written once for all of them."""
+    return materialize(sales(spark, d).select(*FACT_COLUMNS), "sale-rows")
+
+
+def build_fact(s, loc, prop, soc):
     f = wh.attach_key(s, loc, LOC_KEYS, "location_id", 1)
     f = wh.attach_key(f, prop, PROP_KEYS, "property_id", 1)
     f = wh.attach_key(f, soc, ["borough_name"], "social_id", 1)
@@ -49,22 +62,25 @@ def build_fact(spark, d, dims=None):
                     F.date_format("sale_date", "yyyy-MM-dd").alias("sale_date"), "sale_year", "sale_month")
 
 
+def fact_of(spark, d):
+    s = sale_rows(spark, d)
+    return build_fact(s, loc_dim(s), prop_dim(s), soc_dim(s))
+
+
 @register("surrogate_keys", with_sales("SELECT * FROM loc", DIMS_SQL))
 def surrogate_keys(spark, d):
-    _, loc, _, _ = build_dims(spark, d)
-    return finish(loc)
+    return finish(loc_dim(sales(spark, d, part=True)))
 
 
 @register("property_dim", with_sales("SELECT *, CAST(NULL AS BIGINT) AS year_built FROM prop", DIMS_SQL))
 def property_dim(spark, d):
-    _, _, prop, _ = build_dims(spark, d)
-    return finish(prop)
+    return finish(prop_dim(sales(spark, d)))
 
 
 @register("fact_build", with_sales("SELECT * EXCLUDE (sale_price, price_per_sqft), round(sale_price, 4) AS sale_price, "
                                    "round(price_per_sqft, 4) AS price_per_sqft FROM fact", DIMS_SQL))
 def fact_build(spark, d):
-    return finish(build_fact(spark, d))
+    return finish(fact_of(spark, d))
 
 
 @register("hash_keys", None)
@@ -86,7 +102,7 @@ def dim_first_per_key(spark, d):
 SELECT (SELECT count(*) FROM lineitem) AS source_rows, (SELECT count(*) FROM fact) AS target_rows,
        (SELECT count(*) FROM lineitem) = (SELECT count(*) FROM fact) AS ok""", DIMS_SQL))
 def reconcile_counts(spark, d):
-    return finish(qa.reconcile_counts(table(spark, d, "lineitem"), build_fact(spark, d)))
+    return finish(qa.reconcile_counts(table(spark, d, "lineitem"), fact_of(spark, d)))
 
 
 @register("reconcile_sum", with_sales("""
@@ -94,7 +110,7 @@ SELECT round(a, 4) AS source_sum, round(b, 4) AS target_sum, abs(a - b) <= 0.01
  (SELECT CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS a FROM lineitem),
  (SELECT CAST(sum(CAST(sale_price AS DECIMAL(18,2))) AS DOUBLE) AS b FROM fact)""", DIMS_SQL))
 def reconcile_sum(spark, d):
-    return finish(qa.reconcile_sum(table(spark, d, "lineitem"), "l_extendedprice", build_fact(spark, d), "sale_price"))
+    return finish(qa.reconcile_sum(table(spark, d, "lineitem"), "l_extendedprice", fact_of(spark, d), "sale_price"))
 
 
 @register("check_summary", with_sales("""
@@ -108,9 +124,9 @@ SELECT count(*) AS checks, count(*) FILTER (WHERE ok) AS passed, count(*) FILTER
   UNION ALL SELECT count(*) = 0 FROM fact f LEFT JOIN soc ON f.social_id = soc.social_id WHERE soc.social_id IS NULL)""",
                                          DIMS_SQL))
 def check_summary(spark, d):
-    dims = build_dims(spark, d)
-    s, loc, prop, soc = dims
-    fact = build_fact(spark, d, dims)
+    s = sale_rows(spark, d)
+    loc, prop, soc = loc_dim(s), prop_dim(s), soc_dim(s)
+    fact = materialize(build_fact(s, loc, prop, soc), "fact")  # five checks read it
     li = table(spark, d, "lineitem")
     checks = [qa.reconcile_counts(li, fact).select(F.lit("counts").alias("check"), "ok"),
               qa.reconcile_sum(li, "l_extendedprice", fact, "sale_price").select(F.lit("sum").alias("check"), "ok")]

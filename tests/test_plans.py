@@ -30,3 +30,22 @@ def test_scan_reads_only_needed_columns(spark):
 def test_no_cartesian_product(spark, key):
     plan = _plan(catalog.queries()[key](spark, SF_SMALL))
     assert "CartesianProduct" not in plan
+
+
+@pytest.mark.parametrize("key,columns", [("target_encode", ["neighborhood"]), ("enrich_region", ["borough_name"])])
+def test_rows_are_not_dealt_by_a_hot_key(spark, key, columns):
+    """The rows meet a broadcast of counted size; only the (pre-aggregated) statistics are exchanged by the key."""
+    plan = catalog.queries()[key](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
+    for c in columns:
+        assert f"hashpartitioning({c}#" not in plan
+
+
+def test_salted_join_beyond_the_bound(spark):
+    from lotmarket.operators.common import join_small
+    small = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "k string, v int")
+    df = spark.createDataFrame([("a", i) for i in range(50)] + [("c", 50), (None, 51)], "k string, i int")
+    for bound in (100, 1):
+        got = sorted(((r["k"] or "", r["i"], r["v"]) for r in join_small(df, small, ["k"], bound=bound).collect()))
+        assert got == [("", 51, None)] + [("a", i, 1) for i in range(50)] + [("c", 50, None)]
+        assert join_small(df, small, ["k"], bound=bound, null_safe=True).where("k IS NULL").first()["v"] == 3
