@@ -20,6 +20,8 @@ SPACE_CLASS = r"\x20\x09-\x0D"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 #: Bytes of text that one vectorised step handles; a longer document is a step of its own.
 STEP_BYTES = 1 << 19
+#: Rows of an Arrow batch: whole texts are long, and several batches are in memory for each task.
+BATCH_ROWS = 1000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -40,6 +42,28 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Let the session send at most BATCH_ROWS rows at a time to Python tasks; fewer stay as they are."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key, "10000"))
+    if not 0 < now <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
+def gathered(batches: Iterator[pa.RecordBatch], rows: int = 1 << 14) -> Iterator[pa.RecordBatch]:
+    """Batches of narrow rows put together to at least ``rows`` each, but for the last."""
+    held: list[pa.RecordBatch] = []
+    have = 0
+    for batch in batches:
+        held.append(batch)
+        have += batch.num_rows
+        if have >= rows:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, have = [], 0
+    if have:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows as a Parquet table in the shared folder: lineage ends here, and a lost executor loses none of it."""
     path = fresh_path(df.sparkSession, name)
@@ -124,6 +148,7 @@ def histogram(docs: DataFrame, slots: Callable[[pa.RecordBatch], np.ndarray], si
     Each task sends its counts in compressed blocks, which are added up block by block, so what reaches the driver is
     one table of ``size`` counts, whatever the number of rows.  Counts stop at 2 ** 32 - 1.
     """
+    bounded_batches(docs.sparkSession)
     block = min(size, 1 << 14)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,6 +187,7 @@ def pack_texts(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
             rest = [step.column(step.schema.get_field_index(c)) for c in keep]
             yield pa.RecordBatch.from_arrays([*rest, pa.array(packed, pa.binary())], names=[*keep, PACKED])
 
+    bounded_batches(docs.sparkSession)
     schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField(PACKED, T.BinaryType())])
     return docs.select(*dict.fromkeys([*keep, text])).mapInArrow(run, schema)
 

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotmarket.llm.common import list_array, mix64, text_bytes, text_steps, written
+from lotmarket.llm.common import bounded_batches, list_array, mix64, text_bytes, text_steps, written
 from lotmarket.llm.shingles import shingle_hashes, word_hashes
 
 SHINGLE = 5
@@ -189,6 +189,7 @@ def slices(benchmark: DataFrame, item_id: str = "item_id", text: str = "text") -
 def matches(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, item_id, first_word, n_words, distance, similarity): each item a document holds, with its best window."""
     spark = docs.sparkSession
+    bounded_batches(spark)
     schema = "doc_id bigint, item_id bigint, first_word bigint, n_words bigint, distance int, similarity double"
     out = spark.createDataFrame([], schema)
     docs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotmarket.llm.common import PACKED, histogram, list_array, mix64, pack_texts, text_bytes, text_steps, unpack_texts, written
+from lotmarket.llm.common import PACKED, gathered, histogram, list_array, mix64, pack_texts, text_bytes, text_steps, unpack_texts, written
 from lotmarket.llm.components import components
 from lotmarket.llm.shingles import shingle_hashes, word_hashes
 
@@ -157,7 +157,7 @@ def posted_pairs(groups: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(token[at]), pa.array(grp[at]), pa.array(n[at]), pa.array(place[at]), other],
                                              names=["token", "grp", "n", "place", "other"])
 
-        for batch in batches:
+        for batch in gathered(batches):
             x = np.stack([batch.column(i).to_numpy() for i in range(4)])
             x = np.concatenate([carried, x], axis=1)
             cut = int(np.searchsorted(x[0], x[0, -1])) if x.shape[1] else 0
@@ -200,7 +200,7 @@ def _hub_pairs(entries: DataFrame) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in gathered(batches):
             x, sketch = np.stack([batch.column(i).to_numpy() for i in range(6)]), _sketches(batch.column(6))
             by = np.lexsort((-x[5], x[0]))
             lists = x[0][by]
@@ -226,7 +226,7 @@ def _cross_pairs(entries: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before, marks = np.empty((5, 0), dtype=np.int64), np.empty((0, SLOTS), dtype=np.uint16)
-        for batch in batches:
+        for batch in gathered(batches):
             x = np.concatenate([before, np.stack([batch.column(i).to_numpy() for i in range(5)])], axis=1)
             sketch = np.concatenate([marks, _sketches(batch.column(6))])
             token, n, place, _, comp = x
@@ -248,8 +248,8 @@ def whole_sets(members: DataFrame, docs: DataFrame, many: bool) -> DataFrame:
     """(node, hashes) of the nodes in members (node, rep), once for each row with its id; docs has (id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for step in text_steps(batches, PACKED):
-            texts = pa.array(unpack_texts(step.column(1)), pa.binary())
+        for step in text_steps(batches, PACKED if many else "text"):
+            texts = pa.array(unpack_texts(step.column(1)), pa.binary()) if many else step.column(1)
             hashes, rows = _distinct(*_sets(pa.RecordBatch.from_arrays([step.column(0), texts], names=["node", "text"])))
             n = np.bincount(rows, minlength=step.num_rows)
             node = np.zeros(step.num_rows, dtype=np.uint64)
@@ -262,7 +262,7 @@ def whole_sets(members: DataFrame, docs: DataFrame, many: bool) -> DataFrame:
     if many:  # texts are packed, then dealt by id
         texts = pack_texts(docs, "text", ["id"]).join(named.hint("merge"), "id").select("node", PACKED)
     else:  # few nodes as a rule, which go to the texts instead; if they are many, this is a shuffle too
-        texts = pack_texts(docs.join(named, "id"), "text", ["node"])
+        texts = docs.join(named, "id").select("node", "text")
     return written(texts.mapInArrow(run, "node bigint, hashes array<bigint>"), "jaccard-sets")
 
 

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lotmarket.llm.common import histogram, mix64, text_steps, written
+from lotmarket.llm.common import bounded_batches, histogram, mix64, text_steps, written
 
 ORDERS = 3
 BUCKETS = 1 << 16
@@ -191,6 +191,7 @@ def _temperature(held: DataFrame, model: Model) -> float:
 
 def predict(docs: DataFrame, model: Model | None, text: str = "text", carry: list[str] | None = None) -> DataFrame:
     """``docs`` (or its columns ``carry``) with ``lang_pred`` and ``score``, its calibrated probability."""
+    bounded_batches(docs.sparkSession)
     made = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
     keep = [c for c in (docs.columns if carry is None else carry) if c not in ("lang_pred", "score")]
     if model is None:

@@ -16,7 +16,7 @@ merge across a border of any other path would happen between just these two neig
 infinite weight.  The one path of weight 0 is the encoding.  Acceptor weights are worked out when first met and kept.
 
 A text falls into units where no piece can lie across: before a mark that follows another character, and around line
-feeds if no piece has them.  Units' paths are kept (``KEPT`` of them), so that each frequent word is solved once.
+feeds if no piece has them.  Units' paths are kept (``KEPT`` of them, and no longer than a task), so that each frequent word is solved once.
 
 ``decode`` is the inverse machine: pieces' text, bytes joined to characters, marks as spaces, without the first one.
 
@@ -31,20 +31,22 @@ U+2581 itself comes back with spaces there, as in the library.
 from __future__ import annotations
 
 import itertools
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from lotmarket.llm.common import list_array, text_steps
+from lotmarket.llm.common import bounded_batches, list_array, text_steps
 
 MARK = "▁"
-KEPT = 300_000
+KEPT = 250_000
+#: Acceptor weights that are kept.
+KEPT_BIGRAMS = 400_000
 INFINITE = float("inf")
 
 
@@ -68,12 +70,16 @@ class Machine:
             raise ValueError("a character of a piece is no piece itself")
         across = any(MARK in p.lstrip(MARK) for p in self.pieces)
         line = "" if any("\n" in p for p in self.pieces) else "\n"
-        self.units = regex.compile(rf"{MARK}*[^{MARK}{line}]+|{MARK}+|\n" if not across else r"(?s).+")
+        self.units = re.compile(rf"{MARK}*[^{MARK}{line}]+|{MARK}+|\n" if not across else r"(?s).+")
         self.arcs = None
 
     def __getstate__(self) -> dict:
         return self.__dict__ | {"arcs": None, "paths": {}, "joined": {}}
 
+    def forget(self) -> None:
+        """Give back what was kept; a worker process outlives its tasks."""
+        self.paths.clear(), self.joined.clear()
+
     def automaton(self) -> ahocorasick.Automaton:
         """All pieces as one automaton, which gives every arc of an input; made on each worker."""
         if self.arcs is None:
@@ -87,25 +93,31 @@ class Machine:
         text = text.replace(" ", MARK)
         return MARK + text if self.first_mark and text else text
 
-    def merged(self, text: str) -> list[str]:
-        """What merging leaves of a short text: best score first, leftmost among equals."""
-        parts = list(text)
-        while True:
-            best, at = -INFINITE, -1
-            for i in range(len(parts) - 1):
-                k = self.pieces.get(parts[i] + parts[i + 1])
-                if k is not None and self.scores[k] > best:
-                    best, at = self.scores[k], i
-            if at < 0:
-                return parts
+    def stays(self, left: str, right: str) -> bool:
+        """Whether merging neighbours of the joined text, best score first and leftmost among equals, gives these two."""
+        find, scores = self.pieces.get, self.scores
+        parts, border = list(left + right), len(left)
+        pairs = [find(a + b) for a, b in itertools.pairwise(parts)]
+        ranks = [-INFINITE if k is None else scores[k] for k in pairs]
+        while ranks and (best := max(ranks)) > -INFINITE:
+            at = ranks.index(best)
+            if at == border - 1:
+                return False
+            border -= at < border
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
+            del ranks[at]
+            for i in (at - 1, at):
+                if 0 <= i < len(ranks):
+                    k = find(parts[i] + parts[i + 1])
+                    ranks[i] = -INFINITE if k is None else scores[k]
+        return len(parts) == (2 if left else 1)
 
     def bigram(self, left: int, right: int) -> float:
         """The acceptor's weight for two neighbouring arcs; ``left`` is -1 at the beginning."""
-        if len(self.joined) > 4 * KEPT:
+        if len(self.joined) > KEPT_BIGRAMS:
             self.joined.clear()
-        parts = [self.names[right]] if left < 0 else [self.names[left], self.names[right]]
-        weight = self.joined[left, right] = 0.0 if self.merged("".join(parts)) == parts else INFINITE
+        before = "" if left < 0 else self.names[left]
+        weight = self.joined[left, right] = 0.0 if self.stays(before, self.names[right]) else INFINITE
         return weight
 
     def _merge_path(self, text: str) -> list[int]:
@@ -143,28 +155,33 @@ class Machine:
 
     def path(self, unit: str) -> tuple[int, ...]:
         """The shortest path's output; a character without a piece takes its byte arcs, and no other arc crosses it."""
-        solve = self._merge_path if self.merges else self._score_path
-        if self.characters.issuperset(unit):
-            return tuple(solve(unit))
         out: list[int] = []
-        for known, part in itertools.groupby(unit, self.characters.__contains__):
-            text = "".join(part)
-            out += solve(text) if known else [self.bytes_at[b] for b in text.encode()]
+        for known, text in self._runs(unit):
+            if not known:
+                out += [self.bytes_at[b] for b in text.encode()]
+                continue
+            out += self._merge_path(text) if self.merges else self._score_path(text)
         return tuple(out)
 
+    def _runs(self, unit: str) -> list[tuple[bool, str]]:
+        if self.characters.issuperset(unit):
+            return [(True, unit)]
+        return [(known, "".join(part)) for known, part in itertools.groupby(unit, self.characters.__contains__)]
+
+    def _kept(self, unit: str) -> tuple[int, ...]:
+        ids = self.paths.get(unit)
+        if ids is None:
+            if len(self.paths) > KEPT:
+                self.paths.clear()
+            ids = self.paths[unit] = self.path(unit)
+        return ids
+
     def encode(self, text: str | None) -> list[int]:
-        out: list[int] = []
-        for unit in self.units.findall(self.normalise(text or "")):
-            ids = self.paths.get(unit)
-            if ids is None:
-                if len(self.paths) > KEPT:
-                    self.paths.clear()
-                ids = self.paths[unit] = self.path(unit)
-            out += ids
-        return out
+        units = self.units.findall(self.normalise(text or ""))
+        return list(itertools.chain.from_iterable(map(self._kept, units)))
 
     def decode(self, ids: list[int]) -> str:
-        text = b"".join([self.texts[k] for k in ids]).decode("utf-8", "replace")
+        text = b"".join(map(self.texts.__getitem__, ids)).decode("utf-8", "replace")
         return text[1:] if self.first_mark and text.startswith(" ") else text
 
 
@@ -191,6 +208,7 @@ def encoded(docs: DataFrame, path: str, text: str = "text", carry: list[str] | N
     made = [T.StructField("pieces", T.ArrayType(T.IntegerType())), T.StructField("n_pieces", T.LongType()),
             T.StructField("round_trip", T.BooleanType())]
     keep = [c for c in (docs.columns if carry is None else carry) if c not in {f.name for f in made}]
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(compile_model(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,9 +218,10 @@ def encoded(docs: DataFrame, path: str, text: str = "text", carry: list[str] | N
             ids = [machine.encode(x) for x in texts]
             same = [machine.decode(k) == (x or "") for k, x in zip(ids, texts, strict=True)]
             n = np.fromiter(map(len, ids), np.int64, len(ids))
-            flat = np.fromiter((k for x in ids for k in x), np.int32, int(n.sum()))
+            flat = np.fromiter(itertools.chain.from_iterable(ids), np.int32, int(n.sum()))
             yield pa.RecordBatch.from_arrays([step.column(step.schema.get_field_index(c)) for c in keep] + [list_array(flat, n), pa.array(n), pa.array(same)],
                                              names=[*keep, *(f.name for f in made)])
+        machine.forget()
 
     return docs.select(*dict.fromkeys([*keep, text])).mapInArrow(run, T.StructType([docs.schema[c] for c in keep] + made))
 
@@ -210,6 +229,7 @@ def encoded(docs: DataFrame, path: str, text: str = "text", carry: list[str] | N
 def decoded(rows: DataFrame, path: str, pieces: str = "pieces", carry: list[str] | None = None) -> DataFrame:
     """``rows`` (or its columns ``carry``) with ``decoded``, the text of the ids in ``pieces``; null ids give null."""
     keep = [c for c in (rows.columns if carry is None else carry) if c != "decoded"]
+    bounded_batches(rows.sparkSession)
     shared = rows.sparkSession.sparkContext.broadcast(compile_model(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

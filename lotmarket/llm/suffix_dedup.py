@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lotmarket.llm.anchors import LENGTH, REACH, find, prefix_sums, span_hashes
-from lotmarket.llm.common import PACKED, mix64, pack_texts, text_bytes, text_steps, unpack_texts, written
+from lotmarket.llm.common import PACKED, bounded_batches, mix64, pack_texts, text_bytes, text_steps, unpack_texts, written
 from lotmarket.llm.lyndon_suffixes import suffix_array
 from lotmarket.llm.shingles import BYTE_VALUES, place_powers
 
@@ -251,6 +251,7 @@ def edge_spans(stretches: DataFrame, bound: int = BOUND) -> DataFrame:
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """(key, low, high): bytes of docs (key, text) that repeated strings cover; spans may overlap."""
+    bounded_batches(docs.sparkSession)
     anchors = written(anchor_rows(docs), "anchors")
     twice = written(anchors.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram"), "anchor-grams")
     shared = written(anchors.join(twice, "gram"), "anchor-shared")

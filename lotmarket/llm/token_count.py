@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lotmarket.llm.common import text_offsets, text_steps
+from lotmarket.llm.common import bounded_batches, text_offsets, text_steps
 
 CACHE_WORDS = 300_000
 #: Up to here Python's and the library's Unicode tables agree; sigma is left out, as its lower case depends on place.
@@ -148,6 +148,7 @@ class Counter:
 
 def counted(docs: DataFrame, path: str, text: str = "text", limit: int = 2048, carry: list[str] | None = None) -> DataFrame:
     """``docs`` (or its columns ``carry``) with ``n_bytes``, ``n_tokens`` and ``over_limit`` (more than ``limit`` tokens)."""
+    bounded_batches(docs.sparkSession)
     made = ("n_bytes", "n_tokens")
     keep = [c for c in (docs.columns if carry is None else carry) if c not in (*made, "over_limit")]
     schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(c, T.LongType()) for c in made])
