@@ -123,17 +123,26 @@ def r2_by_fit(df: DataFrame, y: str, p: str, group: Sequence[str]) -> DataFrame:
 
 # --------------------------------------------------------------------------- resampling
 
+def r2_from_sums(k: int) -> Column:
+    """R^2 of coefficients ``b0..bk`` on the rows whose sums (:func:`ols_sums`) stand beside them: no pass over rows."""
+    b = [F.col(f"b{i}") for i in range(k + 1)]
+    sse = F.col("syy") - 2 * b[0] * F.col("sy") + b[0] * b[0] * F.col("n")
+    for i in range(1, k + 1):
+        sse = sse - 2 * b[i] * F.col(f"s{i}y") + 2 * b[0] * b[i] * F.col(f"s{i}") + b[i] * b[i] * F.col(f"s{i}{i}")
+    if k == 2:
+        sse = sse + 2 * b[1] * b[2] * F.col("s12")
+    return 1 - F.try_divide(sse, F.col("syy") - F.col("sy") * F.col("sy") / F.col("n"))
+
+
 def kfold_linear_r2(df: DataFrame, y: str, xs: Sequence[str], fold: str, k: int) -> DataFrame:
-    """M9: k-fold CV of a linear fit.  Training sums of fold f = total sums minus
-    the sums of fold f (one grouped aggregate, no k re-scans); R^2 is evaluated
-    on fold f with that fold's coefficients."""
+    """M9: k-fold CV of a linear fit in one pass over the rows.  Training sums of fold f = total sums minus the sums
+    of fold f; R^2 on fold f follows from its sums and that fit's coefficients."""
     per = df.groupBy(fold).agg(*ols_sums(xs, y))
     stat_cols = [c for c in per.columns if c != fold]
     tot = per.agg(*[F.sum(c).alias(f"_t_{c}") for c in stat_cols])
     train = attach(per, tot).select(fold, *[(F.col(f"_t_{c}") - F.col(c)).alias(c) for c in stat_cols])
     coef = train.select(fold, *ols_coefficients(len(xs)))
-    pred = predict_linear(df, coef, xs, "_p", on=[fold])
-    return r2_by_fit(pred, y, "_p", [fold])
+    return per.join(coef, fold).select(fold, r2_from_sums(len(xs)).alias("r2"), F.col("n").cast("bigint").alias("n_eval"))
 
 
 def cv_summary(scores: DataFrame, holdout: DataFrame | None = None) -> DataFrame:
@@ -152,7 +161,7 @@ def cv_summary(scores: DataFrame, holdout: DataFrame | None = None) -> DataFrame
 def learning_curve(df: DataFrame, y: str, xs: Sequence[str], fold: str, k: int, size_bucket: str,
                    sizes: Sequence[int]) -> DataFrame:
     """For each training size s (percent of buckets) and fold f: fit on rows
-    of other folds with ``size_bucket < s``, score train and validation R^2.
+    of other folds with ``size_bucket < s``, score train and validation R^2, all from one pass over the rows.
 
     The (size, validation fold) grid is a literal array of parameters; a row
     takes part in the fits whose size it lies under and whose fold it is not
@@ -170,18 +179,11 @@ def learning_curve(df: DataFrame, y: str, xs: Sequence[str], fold: str, k: int,
     j = per.select("*", fits_of(F.col(size_bucket), F.col(fold)).alias("_g")) \
         .select("*", F.col("_g.size").alias("size"), F.col("_g._vf").alias("_vf")).drop("_g")
     train = j.groupBy("size", "_vf").agg(*[F.sum(c).alias(c) for c in stat_cols])
-    coef = train.select("size", F.col("_vf").alias(fold), *ols_coefficients(len(xs)))
-    # validation: rows of fold f, every size (fan-out = number of sizes)
-    val = predict_linear(df, coef, xs, "_p", on=[fold], keep=["size"])
-    vr2 = r2_by_fit(val, y, "_p", ["size", fold]).withColumnRenamed("r2", "val_r2").drop("n_eval")
-    # training score: rows of other folds inside the size
-    tr_rows = df.select("*", fits_of(F.col(size_bucket), F.col(fold)).alias("_g")) \
-        .select("*", F.col("_g.size").alias("size"), F.col("_g._vf").alias("_vf")).drop("_g")
-    c2 = coef.withColumnRenamed(fold, "_vf")
-    tp = predict_linear(tr_rows, c2, xs, "_p", on=["size", "_vf"])
-    tr2 = r2_by_fit(tp, y, "_p", ["size", "_vf"]).withColumnRenamed("r2", "train_r2") \
-        .withColumnRenamed("_vf", fold).withColumnRenamed("n_eval", "n_train")
-    out = tr2.join(vr2, ["size", fold])
+    fits = train.select("*", *ols_coefficients(len(xs))).select(
+        "size", "_vf", F.col("n").alias("n_train"), *[f"b{i}" for i in range(len(xs) + 1)], r2_from_sums(len(xs)).alias("train_r2"))
+    # validation: the sums of the fold that was left out
+    held = per.groupBy(F.col(fold).cast("bigint").alias("_vf")).agg(*[F.sum(c).alias(c) for c in stat_cols])
+    out = fits.join(held, "_vf").withColumn("val_r2", r2_from_sums(len(xs)))
     agg = out.groupBy("size").agg(F.avg("train_r2").alias("train_r2"), F.avg("val_r2").alias("val_r2"),
                                   F.avg("n_train").alias("mean_train_rows"))
     gap = F.col("train_r2") - F.col("val_r2")

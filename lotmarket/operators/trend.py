@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lotmarket.functions import core as fx
+from lotmarket.operators.common import attach
 from lotmarket.operators.stats import group_quantiles
 
 
@@ -158,22 +159,14 @@ def factor_ranking(df: DataFrame, target: str, factors: Sequence[str], min_rows:
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """List-wise complete correlation matrix in long form (var_a, var_b, r).
 
-    One aggregate of k standard deviations and k(k-1)/2 covariances (the matrix
-    is symmetric; the diagonal is var/sd^2, NULL for a constant column) keeps
-    the aggregate small enough for whole-stage codegen."""
+    Columns are shifted by their means (a one-row aggregate attached as a scalar), which keeps the sums small; one
+    aggregate of k(k+1)/2 plain sums of products gives all cells.  A constant column has NULL cells."""
     d = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna()
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    stats = d.agg(*[F.stddev_samp(c).alias(f"sd__{c}") for c in cols],
-                  *[F.var_samp(c).alias(f"var__{c}") for c in cols],
-                  *[F.covar_samp(a, b).alias(f"cov__{a}__{b}") for a, b in pairs])
-    cells = []
-    for a in cols:
-        for b in cols:
-            if a == b:
-                r = F.try_divide(F.col(f"var__{a}"), F.col(f"sd__{a}") * F.col(f"sd__{a}"))
-            else:
-                x, y = (a, b) if (a, b) in pairs else (b, a)
-                r = F.try_divide(F.col(f"cov__{x}__{y}"), F.col(f"sd__{a}") * F.col(f"sd__{b}"))
-            cells.append(F.struct(F.lit(a).alias("var_a"), F.lit(b).alias("var_b"), r.alias("r")))
-    return stats.select(F.inline(F.array(*cells)))
-    return long.select(F.split("pair", "__")[0].alias("var_a"), F.split("pair", "__")[1].alias("var_b"), "r")
+    d = attach(d, d.agg(*[F.avg(c).alias(f"_m_{c}") for c in cols]))
+    d = d.select(*[(F.col(c) - F.col(f"_m_{c}")).alias(c) for c in cols])
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
+    sums = d.agg(*[F.sum(F.col(a) * F.col(b)).alias(f"s__{a}__{b}") for a, b in pairs])
+    cell = lambda a, b: F.col(f"s__{a}__{b}" if (a, b) in pairs else f"s__{b}__{a}")
+    cells = [F.struct(F.lit(a).alias("var_a"), F.lit(b).alias("var_b"),
+                      F.try_divide(cell(a, b), F.sqrt(cell(a, a)) * F.sqrt(cell(b, b))).alias("r")) for a in cols for b in cols]
+    return sums.select(F.inline(F.array(*cells)))

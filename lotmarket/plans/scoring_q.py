@@ -232,13 +232,14 @@ def loan_costs(spark, d):
 # area coordinates, and the city centre.
 CENTRES = [("AFRICA", 40.7831, -73.9712), ("AMERICA", 40.6782, -73.9442), ("ASIA", 40.7282, -73.7949),
            ("EUROPE", 40.8448, -73.8648)]
-KNOWN = [("NATION_3", 40.5515, -74.1513), ("NATION_11", 40.5980, -74.1100)]
+KNOWN = [("Customer#000000003", 40.5515, -74.1513), ("Customer#000000011", 40.5980, -74.1100)]
 CITY = (40.7128, -74.0060)
 
 
 @register("geo_fallback", f"""
 WITH {GEO_SQL.strip()},
-a AS (SELECT DISTINCT neighborhood, borough_name, {_adler_sql('neighborhood')} AS h FROM geo)
+n AS (SELECT DISTINCT c_name AS neighborhood, borough_name FROM customer JOIN geo ON c_nationkey = n_nationkey),
+a AS (SELECT *, {_adler_sql('neighborhood')} AS h FROM n)
 SELECT a.neighborhood, a.borough_name,
        CAST(round(coalesce(k.lat, coalesce(c.lat, {CITY[0]}) + ((h % 100) - 50) * 0.0008), 4) AS DOUBLE) AS lat,
        CAST(round(coalesce(k.lon, coalesce(c.lon, {CITY[1]}) + (((h // 100) % 100) - 50) * 0.0008), 4) AS DOUBLE) AS lon,
@@ -246,7 +247,10 @@ SELECT a.neighborhood, a.borough_name,
 FROM a LEFT JOIN (VALUES {", ".join(f"('{n}', {la}, {lo})" for n, la, lo in KNOWN)}) k(name, lat, lon) ON a.neighborhood = k.name
 LEFT JOIN (VALUES {", ".join(f"('{n}', {la}, {lo})" for n, la, lo in CENTRES)}) c(name, lat, lon) ON a.borough_name = c.name""")
 def geo_fallback(spark, d):
-    areas = geo(spark, d).select("neighborhood", "borough_name").distinct()
+    """G1: places are the customers, by name; two have known coordinates, the others lie around their region's centre."""
+    g = geo(spark, d).select("n_nationkey", "borough_name")
+    c = table(spark, d, "customer").select("c_nationkey", F.col("c_name").alias("neighborhood"))
+    areas = c.join(F.broadcast(g), F.col("c_nationkey") == F.col("n_nationkey")).select("neighborhood", "borough_name").distinct()
     known = spark.createDataFrame(KNOWN, "name string, lat double, lon double")
     centres = spark.createDataFrame(CENTRES, "name string, lat double, lon double")
     return finish(sc.coords_with_fallback(areas, "neighborhood", "borough_name", known, centres, CITY))
