@@ -174,16 +174,15 @@ def drop_sparse(df: DataFrame, threshold_pct: float = 50.0) -> DataFrame:
 
 
 def degenerate_columns(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Per column: non-NULL count and distinct count; flags all-missing and constant."""
+    """Per column: non-NULL count and distinct count; flags all-missing and constant.
+
+    Counted per (column, value) first: a hot value is one row, and no row is multiplied by the number of columns
+    beyond its map-side aggregate."""
     cols = list(columns or df.columns)
-    row = df.agg(F.lit(0).alias("_id"),
-                 *[F.count(c).alias(f"{c}__n") for c in cols],
-                 *[F.count_distinct(c).alias(f"{c}__d") for c in cols])
-    parts = [F.struct(F.lit(c).alias("column"), F.col(f"{c}__n").cast("bigint").alias("non_null"),
-                      F.col(f"{c}__d").cast("bigint").alias("distinct")) for c in cols]
-    long = row.select(F.inline(F.array(*parts)))
-    return long.withColumn("all_missing", F.col("non_null") == 0) \
-        .withColumn("constant", F.col("distinct") == 1)
+    long = df.select(F.lit(0).alias("_id"), *[F.col(c).cast("string").alias(c) for c in cols]).unpivot("_id", cols, "column", "_v")
+    values = long.groupBy("column", "_v").agg(F.count("_v").alias("_n"))
+    per = values.groupBy("column").agg(F.sum("_n").cast("bigint").alias("non_null"), F.count("_v").cast("bigint").alias("distinct"))
+    return per.withColumn("all_missing", F.col("non_null") == 0).withColumn("constant", F.col("distinct") == 1)
 
 
 # --------------------------------------------------------------------------- audit

@@ -36,6 +36,16 @@ def count_by(df: DataFrame, keys, name: str = "n") -> DataFrame:
     return df.groupBy(*_ks(keys)).agg(F.count("*").cast("bigint").alias(name))
 
 
+def distinct_counts(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """One row with the number of distinct non-NULL values of each column (``column -> name``).
+
+    Values are counted by (column, value) first, so no row is multiplied before the shuffle by more than its map-side
+    aggregate leaves and a hot value is one row."""
+    long = df.select(F.lit(0).alias("_id"), *[F.col(c).cast("string").alias(c) for c in columns]).unpivot("_id", list(columns), "_c", "_v")
+    values = long.where(F.col("_v").isNotNull()).groupBy("_c", "_v").agg(F.lit(1).alias("_one"))
+    return values.agg(*[F.count_if(F.col("_c") == c).cast("bigint").alias(n) for c, n in columns.items()])
+
+
 def count_in_order(df: DataFrame, key: str, order: DataFrame, order_key: str) -> DataFrame:
     """Counts for every category of an order table; absent categories get 0."""
     counts = count_by(df, key)

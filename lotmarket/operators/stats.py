@@ -44,10 +44,12 @@ def quantile_exprs(value: str, probs: Mapping[str, float]) -> list:
 
 def group_quantiles(df: DataFrame, keys: str | Sequence[str] | None, value: str,
                     probs: Mapping[str, float], method: str | None = None,
-                    accuracy: int = DEFAULT_ACCURACY, count: str | None = None) -> DataFrame:
+                    accuracy: int = DEFAULT_ACCURACY, count: str | None = None,
+                    with_n: str | None = None) -> DataFrame:
     """One row per group: ``keys`` + one column per entry of ``probs``.
 
-    ``count`` names a column that says how often a row counts (default method only).
+    ``count`` names a column that says how often a row counts; ``with_n`` names a column for the group's number of
+    non-NULL values (both for the default method only).
 
     Groups whose values are all NULL are absent (as with ``dropna`` before a
     pandas ``groupby().quantile``).
@@ -56,7 +58,7 @@ def group_quantiles(df: DataFrame, keys: str | Sequence[str] | None, value: str,
     ks = _keys(keys)
     times = F.col(count).cast("bigint") if count else F.lit(1).cast("bigint")
     base = df.select(*ks, F.col(value).cast("double").alias("_v"), times.alias("_t")).where(F.col("_v").isNotNull())
-    if count and method != "counted":
+    if (count or with_n) and method != "counted":
         raise ValueError("counts need the default method")
     if method == "exact":
         return base.groupBy(*ks).agg(*quantile_exprs("_v", probs))
@@ -66,8 +68,8 @@ def group_quantiles(df: DataFrame, keys: str | Sequence[str] | None, value: str,
     if method != "counted":
         raise ValueError(f"unknown quantile method {method!r}")
     if not ks:
-        return _counted(base.withColumn("_g", F.lit(0)), ["_g"], probs).drop("_g")
-    return _counted(base, ks, probs)
+        return _counted(base.withColumn("_g", F.lit(0)), ["_g"], probs, with_n).drop("_g")
+    return _counted(base, ks, probs, with_n)
 
 
 BINS_PER_OCTAVE = 1024
@@ -81,7 +83,7 @@ def _bin(v: Column) -> Column:
             .when(v == 0, 0).otherwise(F.signum(v) * size).cast("bigint"))
 
 
-def _counted(base: DataFrame, ks: list[str], probs: Mapping[str, float]) -> DataFrame:
+def _counted(base: DataFrame, ks: list[str], probs: Mapping[str, float], with_n: str | None = None) -> DataFrame:
     """Quantiles of ``base`` (``ks``, non-null ``_v``, ``_t`` times) from counts per value and per bin."""
     values = base.groupBy(*ks, "_v").agg(F.sum("_t").alias("_c")).withColumn("_b", _bin(F.col("_v")))
     group = Window.partitionBy(*ks)
@@ -103,7 +105,7 @@ def _counted(base: DataFrame, ks: list[str], probs: Mapping[str, float]) -> Data
         for side, rank in zip("ab", ranks):
             found.append(F.max(F.when(inside(rank, F.col("_low"), F.col("_c")), F.col("_v"))).alias(f"_{side}_{n}"))
     picked = near.groupBy(*ks).agg(F.max("_n").alias("_n"), *found)
-    return picked.select(*ks, *[
+    return picked.select(*ks, *([F.col("_n").cast("bigint").alias(with_n)] if with_n else []), *[
         F.when(F.col(f"_a_{n}") == F.col(f"_b_{n}"), F.col(f"_a_{n}"))
         .otherwise(F.col(f"_a_{n}") + (x - F.floor(x)) * (F.col(f"_b_{n}") - F.col(f"_a_{n}"))).alias(n)
         for n, x in place.items()])

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lotmarket.functions import core as fx
 from lotmarket.operators import market as mk
+from lotmarket.operators.stats import group_quantiles
 from lotmarket.plans.binding import HIGH_PRICE, PRICE_FLOOR, sales, table, with_sales
 from lotmarket.plans.catalog import register
 from lotmarket.plans.common import finish
@@ -61,11 +62,13 @@ FROM (SELECT borough_name, neighborhood, count(*) AS n, median(sale_price) AS me
 def hotspots(spark, d):
     s = floored(spark, d)
     keys = ["borough_name", "neighborhood"]
-    cnt = mk.count_by(s, keys)
-    mp = mk.median_by(s, keys, "sale_price", "median_price")
-    mu = mk.median_by(s, keys, "unit_price", "median_unit_price")
-    t = cnt.join(mp, keys, "left").join(mu, keys, "left") \
-        .withColumn("median_unit_price", F.coalesce("median_unit_price", F.lit(0.0)))
+    # both medians in one quantile pass over (measure, area); the price's counts are the areas' row counts
+    long = s.select(*keys, F.col("sale_price").cast("double").alias("median_price"), F.col("unit_price").cast("double").alias("median_unit_price")) \
+        .unpivot(keys, ["median_price", "median_unit_price"], "measure", "v")
+    med = group_quantiles(long, [*keys, "measure"], "v", {"m": 0.5}, with_n="n")
+    of = lambda c, x: F.max(F.when(F.col("measure") == c, F.col(x)))
+    t = med.groupBy(*keys).agg(of("median_price", "n").alias("n"), of("median_price", "m").alias("median_price"),
+                               F.coalesce(of("median_unit_price", "m"), F.lit(0.0)).alias("median_unit_price"))
     # rankings run over the aggregated table (one row per area)
     t = t.withColumn("top_price", F.row_number().over(
         Window.orderBy(F.desc("median_price"), "neighborhood")) <= 3)
@@ -163,10 +166,8 @@ SELECT count(DISTINCT neighborhood) AS n_neighborhoods, count(DISTINCT building_
        count(DISTINCT address) AS n_addresses, count(DISTINCT c_custkey) AS n_buyers FROM s""", S_CTE))
 def distinct_counts(spark, d):
     s = floored(spark, d, part=True)
-    return finish(s.agg(F.count_distinct("neighborhood").alias("n_neighborhoods"),
-                        F.count_distinct("building_type").alias("n_types"),
-                        F.count_distinct("address").alias("n_addresses"),
-                        F.count_distinct("c_custkey").alias("n_buyers")))
+    return finish(mk.distinct_counts(s, {"neighborhood": "n_neighborhoods", "building_type": "n_types",
+                                         "address": "n_addresses", "c_custkey": "n_buyers"}))
 
 
 NULLABLE_SQL = """n AS (

@@ -162,7 +162,7 @@ FROM (SELECT d.indicator, d.high_is_good, r.region, r.value,
       LEFT JOIN region_indicators r USING (indicator))""", GEO_SQL + "," + REGION_INDICATORS_SQL))
 def indicator_standing(spark, d):
     dirs = spark.createDataFrame(DIRECTIONS, "indicator string, high_is_good boolean")
-    return finish(sc.indicator_standing(region_indicators_long(spark, d), "region", F.broadcast(dirs)))
+    return finish(sc.indicator_standing(region_indicators_long(spark, d), "region", dirs))
 
 
 AMEN_SQL = """am AS (SELECT g.borough_name AS region,
