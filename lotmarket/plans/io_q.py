@@ -177,3 +177,29 @@ def seeded_sample(spark, d):
     li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
     key = F.md5(F.concat_ws("-", F.lit("42"), F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")))
     return finish(li.orderBy(key, "l_orderkey", "l_linenumber").limit(SAMPLE_ROWS))
+
+
+FORMATS = ("csv", "json", "orc", "parquet")
+
+
+@register("format_dispatch", f"""
+SELECT f.format, count(*) AS n, round(sum(s_acctbal), 4) AS total, CAST(sum(length(s_name)) AS BIGINT) AS name_chars
+FROM supplier CROSS JOIN (VALUES {", ".join(f"('{f}')" for f in FORMATS)}) f(format) GROUP BY 1""")
+def format_dispatch(spark, d):
+    """The same rows written and read in each format."""
+    s = table(spark, d, "supplier").select("s_suppkey", "s_name", "s_acctbal")
+    out = None
+    for fmt in FORMATS:
+        back = io.roundtrip(spark, s, fmt, f"format-{fmt}").select(F.lit(fmt).alias("format"), "s_name", "s_acctbal")
+        out = back if out is None else out.unionByName(back)
+    return finish(out.groupBy("format").agg(F.count("*").alias("n"), F.sum("s_acctbal").alias("total"), F.sum(F.length("s_name")).alias("name_chars")))
+
+
+@register("full_refresh", "SELECT o_orderkey, o_custkey, round(o_totalprice, 4) AS o_totalprice FROM orders")
+def full_refresh(spark, d):
+    """An old state is published, then the whole table; readers get the new version."""
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    root = scratch_path(spark, "orders-published")
+    io.publish(o.where(F.col("o_orderkey") % 2 == 0), root)
+    io.publish(o, root)
+    return finish(io.current(spark, root))

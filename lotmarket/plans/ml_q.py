@@ -99,6 +99,17 @@ def lr_fit(spark, d):
     return finish(fit(spark, d).withColumn("n", F.col("n").cast("bigint")))
 
 
+@register("model_tables", with_sales("SELECT 'price' AS model, CAST(any_value(coef.n) AS BIGINT) AS n_train, count(*) AS n_scored, "
+                                     "round(avg(p), 4) AS mean_prediction, round(sqrt(avg((y - p) * (y - p))), 4) AS rmse FROM pred, coef", ML_SQL))
+def model_tables(spark, d):
+    """A fit is stored as a table of coefficients, read back, and scores rows as the fit itself would."""
+    tr, te = split(spark, d)
+    stored = materialize(ml.ols_fit(tr, "y", XS).withColumn("model", F.lit("price")), "model-table")
+    e = F.col("y") - F.col("p")
+    scored = ml.predict_linear(te, stored, XS, "p").agg(F.count("*").alias("n_scored"), F.avg("p").alias("mean_prediction"), F.sqrt(F.avg(e * e)).alias("rmse"))
+    return finish(attach(scored, stored.select("model", F.col("n").cast("bigint").alias("n_train"))))
+
+
 METRICS_SQL = """SELECT count(*) AS n, round(avg(abs(y - p)), 4) AS mae, round(sqrt(avg((y - p) * (y - p))), 4) AS rmse,
        round(1 - sum((y - p) * (y - p)) / (var_pop(y) * count(y)), 4) AS r2,
        round(avg(CASE WHEN y <> 0 THEN abs((y - p) / y) END) * 100, 4) AS mape,

@@ -7,6 +7,7 @@ Scratch folders live under the session's shared checkpoint area.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -59,6 +60,29 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def publish(df: DataFrame, root: str) -> str:
+    """Full refresh.  The rows go to a new version's folder and only then a pointer to it is appended, so readers
+    see the old version or the whole new one; returns the version's path."""
+    spark = df.sparkSession
+    version = f"{root}/versions/{uuid.uuid4().hex}"
+    df.write.parquet(version)
+    last = spark.read.schema("seq bigint, path string").parquet(f"{root}/pointers").agg(F.max("seq")).first()[0] if _exists(spark, f"{root}/pointers") else None
+    spark.createDataFrame([((last or 0) + 1, version)], "seq bigint, path string").coalesce(1).write.mode("append").parquet(f"{root}/pointers")
+    return version
+
+
+def current(spark: SparkSession, root: str) -> DataFrame:
+    """The version that the last pointer names."""
+    pointers = spark.read.schema("seq bigint, path string").parquet(f"{root}/pointers")
+    return spark.read.parquet(pointers.agg(F.max_by("path", "seq")).first()[0])
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder is there, asked of the file system that Spark would use."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
 def append_batches(spark: SparkSession, batches: Sequence[DataFrame], partition_by: Sequence[str],
                    name: str) -> DataFrame:
     """Append several batches to one partitioned parquet table; read it back."""
