@@ -95,10 +95,11 @@ def fill_gaps(series: DataFrame, keys, month: str = "month", value: str = "media
 
 
 def poly_forecast(series: DataFrame, keys, t: str, y: str, horizon: int = 6,
-                  min_points: int = 4) -> DataFrame:
+                  min_points: int = 4, history: bool = False) -> DataFrame:
     """Least-squares quadratic in the centred index ``t`` per group (degree
     min(2, n-1)); forecast ``horizon`` steps; bands +-1.5 sigma (population std of
-    residuals).  Closed-form from power sums, no iteration."""
+    residuals).  Closed-form from power sums, no iteration.  With ``history``: the
+    fitted past instead, with bands of +-1 sigma."""
     ks = _ks(keys)
     c = series.withColumn("_tm", F.avg(t).over(Window.partitionBy(*ks)))
     c = c.withColumn("_u", F.col(t) - F.col("_tm"))
@@ -115,9 +116,13 @@ def poly_forecast(series: DataFrame, keys, t: str, y: str, horizon: int = 6,
     b1 = F.try_divide(T1 - b2 * S3, S2)
     b0 = (T0 - b2 * S2) / n
     coef = s.select(*ks, "tm", "t_last", "n", b0.alias("b0"), b1.alias("b1"), b2.alias("b2"))
-    fit = c.join(coef, ks, "inner")
+    fit = c.join(coef, ks, "inner")  # a row per kept month
     pred = F.col("b0") + F.col("b1") * F.col("_u") + F.col("b2") * F.col("_u") * F.col("_u")
     sigma = fit.groupBy(*ks).agg(F.sqrt(F.avg((F.col(y) - pred) ** 2)).alias("sigma"))
+    if history:
+        past = fit.withColumn("fitted", pred).join(sigma, ks, "inner")
+        return past.select(*ks, t, F.col(y).alias("actual"), "fitted", (F.col("fitted") - F.col("sigma")).alias("lower"),
+                           (F.col("fitted") + F.col("sigma")).alias("upper"))
     fc = coef.join(sigma, ks, "inner").select(
         *ks, "b0", "b1", "b2", "sigma", "t_last", "tm",
         F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("step"))

@@ -4,8 +4,8 @@ Surrogate ids: ``dense_ids``, which the dimensions use, gives 1..N in key order
 without a single-partition window: rows are range-partitioned on the key,
 checkpointed (so both passes see the same partition bounds, also after an
 executor loss), counted per partition, and numbered within each partition plus
-the partition's offset.  ``hash_ids`` (xxhash64 of the natural key) is the way
-without a shuffle.
+the partition's offset.  ``hash_ids`` (60 bits of md5 of the natural key) is
+the way without a shuffle, for dimensions with a row per fact row.
 """
 
 from __future__ import annotations
@@ -20,8 +20,12 @@ from lotmarket.session import ensure_checkpoint_dir
 
 
 def hash_ids(df: DataFrame, keys: Sequence[str], name: str, seed: int = 42) -> DataFrame:
-    """Stable 64-bit id from the natural key (``xxhash64``)."""
-    return df.withColumn(name, F.xxhash64(F.lit(seed), *[F.col(k) for k in keys]))
+    """Stable id from the natural key without a shuffle: the first 60 bits of md5(seed|key|key...), portable to SQL.
+
+    NULL keys count as the word NULL."""
+    parts = [F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys]
+    h = F.md5(F.concat_ws("|", F.lit(str(seed)), *parts))
+    return df.withColumn(name, F.conv(F.substring(h, 1, 15), 16, 10).cast("bigint"))
 
 
 def dense_ids(df: DataFrame, order: Sequence[str], name: str, partitions: int | None = None) -> DataFrame:

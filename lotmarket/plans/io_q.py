@@ -203,3 +203,16 @@ def full_refresh(spark, d):
     io.publish(o.where(F.col("o_orderkey") % 2 == 0), root)
     io.publish(o, root)
     return finish(io.current(spark, root))
+
+
+@register("json_array", "SELECT c_custkey, c_name, round(c_acctbal, 4) AS c_acctbal, CAST(c_nationkey AS BIGINT) AS c_nationkey FROM customer")
+def json_array(spark, d):
+    """Files that hold one JSON array of records each (here a file per nation and thousand keys), read as such."""
+    c = table(spark, d, "customer").select("c_custkey", "c_name", "c_acctbal", "c_nationkey")
+    part = (F.col("c_custkey") / 1000).cast("int").alias("part")
+    arrays = c.groupBy("c_nationkey", part).agg(F.to_json(F.collect_list(F.struct("c_custkey", "c_name", "c_acctbal"))).alias("value"))
+    path = scratch_path(spark, "json-arrays")
+    arrays.repartition("c_nationkey", "part").write.partitionBy("c_nationkey", "part").text(path)
+    schema = T.StructType([T.StructField("c_custkey", T.LongType()), T.StructField("c_name", T.StringType()), T.StructField("c_acctbal", T.DoubleType()),
+                           T.StructField("c_nationkey", T.LongType())])
+    return finish(io.read(spark, path, "json", schema, multiLine=True).select("c_custkey", "c_name", "c_acctbal", F.col("c_nationkey").cast("bigint").alias("c_nationkey")))

@@ -179,6 +179,23 @@ def poly_forecast(spark, d):
     return finish(tr.poly_forecast(mm, "borough_name", "t", "y", horizon=6, min_points=4))
 
 
+# The series of all regions together, as one more region.
+ALL_CTE = S_CTE.replace("s AS (", "s0 AS (", 1) + """,
+s AS (SELECT sale_year, sale_month, sale_price, borough_name FROM s0 UNION ALL SELECT sale_year, sale_month, sale_price, 'ALL' FROM s0)""" + POLY_CTE[len(S_CTE):]
+
+
+@register("forecast_history", with_sales("""
+SELECT c.borough_name, c.t, round(f, 4) AS fitted, round(f - sigma, 4) AS lower, round(f + sigma, 4) AS upper
+FROM (SELECT c.*, b0 + b1*c.u + b2*c.u*c.u AS f, sigma FROM c JOIN coef USING (borough_name) JOIN sig USING (borough_name)) c""", ALL_CTE))
+def forecast_history(spark, d):
+    """The fitted past of each region's series and of all regions' together, with bands of one sigma."""
+    s = floored(spark, d).select((F.col("sale_year") * 12 + F.col("sale_month")).alias("ym"), "sale_price",
+                                 F.explode(F.array("borough_name", F.lit("ALL"))).alias("borough_name"))
+    mm = s.groupBy("borough_name", "ym").agg(F.count("*").alias("_c"), F.avg("sale_price").alias("y")).where(F.col("_c") >= 5).drop("_c")
+    mm = mm.withColumn("t", (F.row_number().over(Window.partitionBy("borough_name").orderBy("ym")) - 1).cast("bigint")).drop("ym")
+    return finish(tr.poly_forecast(mm, "borough_name", "t", "y", min_points=4, history=True).drop("actual"))
+
+
 @register("quarter_projection", with_sales("""
 SELECT borough_name, CAST(q AS BIGINT) AS quarter, round(v, 4) AS value, projected,
        round((v - lag(v) OVER (PARTITION BY borough_name ORDER BY q)) / lag(v) OVER (PARTITION BY borough_name ORDER BY q) * 100, 4) AS qoq_pct

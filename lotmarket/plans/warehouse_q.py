@@ -83,13 +83,32 @@ def fact_build(spark, d):
     return finish(fact_of(spark, d))
 
 
-@register("hash_keys", None)
+def hash_id_sql(*keys: str, seed: int = 42) -> str:
+    """DuckDB twin of :func:`lotmarket.operators.warehouse.hash_ids`."""
+    h = f"md5(concat_ws('|', '{seed}', " + ", ".join(f"coalesce(CAST({k} AS VARCHAR), 'NULL')" for k in keys) + "))"
+    return "CAST(" + " + ".join(f"(instr('0123456789abcdef', substring({h}, {i + 1}, 1)) - 1) * {16 ** (14 - i)}" for i in range(15)) + " AS BIGINT)"
+
+
+@register("hash_keys", with_sales(f"SELECT neighborhood, address, {hash_id_sql(*LOC_KEYS)} AS location_id FROM (SELECT DISTINCT neighborhood, address FROM sales)"))
 def hash_keys(spark, d):
-    """Rows-only: xxhash64 ids for the location dimension (no shuffle)."""
+    """Ids of the location dimension from its key alone (no window, no sort)."""
     s = sales(spark, d)
     return finish(wh.hash_ids(s.select(*LOC_KEYS).distinct(), LOC_KEYS, "location_id"))
 
 
+@register("row_dimensions", with_sales(f"""
+SELECT l_orderkey, l_linenumber, {hash_id_sql('l_orderkey', 'l_linenumber', 'neighborhood', 'address')} AS location_id,
+       neighborhood, address, {hash_id_sql('l_orderkey', 'l_linenumber', 'building_type', 'building_category', 'total_units')} AS property_id,
+       building_type, building_category, total_units, CAST(NULL AS BIGINT) AS year_built FROM sales"""))
+def row_dimensions(spark, d):
+    """K3/K4: location and property dimensions with a row per sale; their ids come from the row's key and values, so
+    the fact computes the same ids by itself and needs no join to them."""
+    s = sales(spark, d).select("l_orderkey", "l_linenumber", *LOC_KEYS, *PROP_KEYS)
+    row = ["l_orderkey", "l_linenumber"]
+    out = wh.hash_ids(wh.hash_ids(s, [*row, *LOC_KEYS], "location_id"), [*row, *PROP_KEYS], "property_id")
+    return finish(out.withColumn("year_built", F.lit(None).cast("bigint")))
+
+
 @register("dim_first_per_key", """
 SELECT CAST(s_nationkey AS BIGINT) AS s_nationkey, s_suppkey, s_name, round(s_acctbal, 4) AS s_acctbal FROM (
   SELECT *, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) AS rk FROM supplier) WHERE rk = 1""")

@@ -2,7 +2,7 @@
 
 from lotmarket.plans import catalog
 
-ROWS_ONLY = {"rf_fit", "gbt_fit", "hash_keys", "bootstrap_interval", "bootstrap_summary",
+ROWS_ONLY = {"rf_fit", "gbt_fit", "bootstrap_interval", "bootstrap_summary",
              "file_fingerprint"}
 
 
