@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lotmarket.functions import core as fx
+from lotmarket.operators.common import attach
 
 
 def pivot_indicators(long: DataFrame, region: str, indicators: Sequence[str]) -> DataFrame:
@@ -62,6 +63,30 @@ def invest_score(liv: DataFrame, med: DataFrame, region: str, median: str = "med
                     fx.round_half_even(F.col("livability") * 0.6 + (1 - m / mx) * 100 * 0.4, 1).alias("invest_score"))
 
 
+def recommend_many(prefs: DataFrame, wide: DataFrame, region: str, med: DataFrame, attrs, budget: str,
+                   median: str = "median") -> DataFrame:
+    """X5 for a table of preferences: each row has a weight per attribute (a column of its name) and a budget, and gets
+    its best region and score (ties: the first by name).
+
+    The region table, a row per region, is one array-valued scalar on every preference row; nothing is joined."""
+    j = wide.join(med, region, "left")
+    fits = []
+    for name, ind, best, worst, default in attrs:
+        v = F.coalesce(F.col(ind), F.lit(float(default))) if ind in wide.columns else F.lit(float(default))
+        fits.append(F.least(F.greatest((v - F.lit(float(worst))) / F.lit(float(best - worst)) * 100, F.lit(0.0)), F.lit(100.0)).alias(name))
+    table = j.select(F.col(region).alias("region"), (F.col(median) / 1e3).alias("med_k"), *fits)
+    rows = attach(prefs, table.agg(F.collect_list(F.struct(*table.columns)).alias("_regions")))
+    weights = sum((F.col(n) for n, *_ in attrs), F.lit(0.0))
+
+    def score(r):
+        num = sum((r[n] * F.col(n) for n, *_ in attrs), F.lit(0.0))
+        over = F.greatest(F.lit(0.1), 1 - (r["med_k"] - F.col(budget)) / F.col(budget))
+        return fx.round_half_even(num / weights * F.when(r["med_k"] <= F.col(budget), F.lit(1.0)).otherwise(over), 1)
+
+    best = F.array_min(F.transform("_regions", lambda r: F.struct((-score(r)).alias("loss"), r["region"].alias("region"))))
+    return rows.withColumn("_best", best).withColumn("region", F.col("_best.region")).withColumn("score", -F.col("_best.loss")).drop("_best", "_regions")
+
+
 def recommend(wide: DataFrame, region: str, med: DataFrame, yoy: DataFrame | None, attrs, weights: dict,
               budget: float, growth_weight: float = 8.0, median: str = "median") -> DataFrame:
     """Weighted attribute match 0..100, optional growth term (YoY scaled

@@ -142,6 +142,31 @@ def recommend_regions(spark, d):
     return finish(live.unionByName(inv))
 
 
+# Preferences of the stand-in users: weights 1 to 10 and a budget from the digits of the customer key.
+PREFS = {n: f"1 + (c_custkey div {3 ** i}) % 10" for i, (n, *_) in enumerate(ATTRS)}
+BUDGET_SQL = "20.0 + c_custkey % 40"
+
+
+def _many_sql() -> str:
+    score = " + ".join(f"least(greatest((coalesce({i}, {dflt}) - ({wo})) / (({b}) - ({wo})) * 100, 0.0), 100.0) * ({PREFS[n].replace(' div ', ' // ')})"
+                       for n, i, b, wo, dflt in ATTRS)
+    wsum = " + ".join(f"({x.replace(' div ', ' // ')})" for x in PREFS.values())
+    pen = "CASE WHEN median / 1e3 <= budget THEN 1.0 ELSE greatest(0.1, 1 - (median / 1e3 - budget) / budget) END"
+    return f"""SELECT c_custkey, region, score FROM (
+  SELECT c_custkey, region, score, row_number() OVER (PARTITION BY c_custkey ORDER BY score DESC, region) AS rk FROM (
+    SELECT c_custkey, region, round_even(({score}) / ({wsum}) * {pen}, 1) AS score
+    FROM (SELECT c_custkey, {BUDGET_SQL} AS budget FROM customer) CROSS JOIN iw LEFT JOIN med USING (region))) WHERE rk = 1"""
+
+
+@register("recommend_users", with_sales(_many_sql(), MED_CTE))
+def recommend_users(spark, d):
+    """X5 for many users: a preference row per customer, the best region for each."""
+    c = table(spark, d, "customer").select("c_custkey")
+    prefs = c.select("c_custkey", *[F.expr(f"CAST({x} AS DOUBLE)").alias(n) for n, x in PREFS.items()], F.expr(f"CAST({BUDGET_SQL} AS DOUBLE)").alias("budget"))
+    out = sc.recommend_many(prefs, wide(spark, d), "region", medians(spark, d), ATTRS, "budget")
+    return finish(out.select("c_custkey", "region", "score"))
+
+
 # Direction flags (True = high is good); one indicator the data lacks shows as missing.
 DIRECTIONS = [("crime_pct", False), ("violent_crime_pct", False), ("boro_income", True), ("poverty_pct", False),
               ("bachelor_pct", True), ("school_pct", True), ("parks_count", True), ("walk_score_raw", True),
