@@ -44,9 +44,11 @@ from pyspark.sql import types as T
 from lotmarket.llm.common import bounded_batches, list_array, text_steps
 
 MARK = "▁"
-KEPT = 250_000
+KEPT = 300_000
 #: Acceptor weights that are kept.
-KEPT_BIGRAMS = 400_000
+KEPT_BIGRAMS = 300_000
+#: Bits of a piece's id.
+SHIFT = 24
 INFINITE = float("inf")
 
 
@@ -61,7 +63,7 @@ class Machine:
     merges: bool
     first_mark: bool
     paths: dict[str, tuple[int, ...]] = field(default_factory=dict)
-    joined: dict[tuple[int, int], float] = field(default_factory=dict)
+    joined: dict[int, bool] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         self.names = {k: p for p, k in self.pieces.items()}
@@ -70,15 +72,20 @@ class Machine:
             raise ValueError("a character of a piece is no piece itself")
         across = any(MARK in p.lstrip(MARK) for p in self.pieces)
         line = "" if any("\n" in p for p in self.pieces) else "\n"
-        self.units = re.compile(rf"{MARK}*[^{MARK}{line}]+|{MARK}+|\n" if not across else r"(?s).+")
+        # A small letter before a mark of punctuation that no piece has after a small letter is such a border as well.
+        small = "".join(sorted(c for c in self.characters if c.islower()))
+        after = {p[i + 1] for p in self.pieces for i in range(len(p) - 1) if p[i].islower()}
+        ends = "".join(re.escape(c) for c in sorted(self.characters) if c not in after and not c.isalnum() and c != MARK)
+        unit = rf"(?:[^{small}{MARK}{line}]+|[{small}]+(?![{ends}]))*[{small}]*" if small and ends else rf"[^{MARK}{line}]*"
+        self.units = re.compile(r"(?s).+" if across else rf"{MARK}*{unit}|\n")
         self.arcs = None
 
     def __getstate__(self) -> dict:
         return self.__dict__ | {"arcs": None, "paths": {}, "joined": {}}
 
     def forget(self) -> None:
-        """Give back what was kept; a worker process outlives its tasks."""
-        self.paths.clear(), self.joined.clear()
+        """Give back the kept paths, as a worker process outlives its tasks; acceptor weights stay, they are few."""
+        self.paths.clear()
 
     def automaton(self) -> ahocorasick.Automaton:
         """All pieces as one automaton, which gives every arc of an input; made on each worker."""
@@ -112,31 +119,34 @@ class Machine:
                     ranks[i] = -INFINITE if k is None else scores[k]
         return len(parts) == (2 if left else 1)
 
-    def bigram(self, left: int, right: int) -> float:
-        """The acceptor's weight for two neighbouring arcs; ``left`` is -1 at the beginning."""
+    def bigram(self, key: int) -> bool:
+        """Whether the acceptor's weight is 0 for two neighbouring arcs: ``key`` is the left one's id and 1 (0 at the
+        beginning), shifted by SHIFT bits, and the right one's id."""
         if len(self.joined) > KEPT_BIGRAMS:
             self.joined.clear()
-        before = "" if left < 0 else self.names[left]
-        weight = self.joined[left, right] = 0.0 if self.stays(before, self.names[right]) else INFINITE
-        return weight
+        left, right = (key >> SHIFT) - 1, key & ((1 << SHIFT) - 1)
+        ok = self.joined[key] = self.stays("" if left < 0 else self.names[left], self.names[right])
+        return ok
 
     def _merge_path(self, text: str) -> list[int]:
         """The path of weight 0.  At each place at most one last arc has weight 0: that of the prefix's encoding."""
         known, bigram = self.joined.get, self.bigram
-        last = [-2] * (len(text) + 1)
-        last[0] = -1
+        last = [-1] * (len(text) + 1)  # the last arc's part of a key
+        last[0] = 0
         ends = [0] * (len(text) + 1)
         for end, (length, k) in self.automaton().iter(text):
             end += 1
+            if last[end] >= 0:
+                continue
             before = last[end - length]
-            if before == -2 or last[end] != -2:
+            if before < 0:
                 continue
-            weight = known((before, k))
-            if (bigram(before, k) if weight is None else weight) == 0.0:
-                last[end], ends[end] = k, length
+            ok = known(before | k)
+            if bigram(before | k) if ok is None else ok:
+                last[end], ends[end] = (k + 1) << SHIFT, length
         path, end = [], len(text)
         while end:
-            path.append(last[end])
+            path.append((last[end] >> SHIFT) - 1)
             end -= ends[end]
         return path[::-1]
 
@@ -177,7 +187,7 @@ class Machine:
         return ids
 
     def encode(self, text: str | None) -> list[int]:
-        units = self.units.findall(self.normalise(text or ""))
+        units = self.units.findall(self.normalise(text or ""))  # the last one is empty
         return list(itertools.chain.from_iterable(map(self._kept, units)))
 
     def decode(self, ids: list[int]) -> str:
