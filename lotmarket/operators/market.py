@@ -250,7 +250,6 @@ def yoy_by_year(df: DataFrame, key: str, year: str, value: str, method: str | No
     last year present, 2 for the one before it.  Windows run over medians: as many rows as keys times years."""
     med = group_quantiles(df, [key, year], value, {"median": 0.5}, method=method)
     prev = F.lag("median").over(Window.partitionBy(key).orderBy(year))
-    years = med.select(year).distinct()  # a few dozen
-    back = years.withColumn("years_back", F.row_number().over(Window.orderBy(F.desc(year))).cast("bigint"))
-    out = med.withColumn("yoy_pct", F.try_divide(F.col("median") - prev, prev) * 100)
-    return out.join(back, year).select(key, F.col(year).cast("bigint").alias(year), "median", "yoy_pct", "years_back")
+    back = F.dense_rank().over(Window.orderBy(F.desc(year))).cast("bigint")
+    out = med.withColumn("yoy_pct", F.try_divide(F.col("median") - prev, prev) * 100).withColumn("years_back", back)
+    return out.select(key, F.col(year).cast("bigint").alias(year), "median", "yoy_pct", "years_back")

@@ -37,12 +37,13 @@ def r2_guarded(y: Column | str, x: Column | str) -> Column:
 
 
 def monthly_medians(df: DataFrame, keys, date: str, value: str, method: str | None = None) -> DataFrame:
-    """First level: (keys, month) -> median, n."""
+    """First level: (keys, month) -> median, n (the values that there are), from one pass over the rows."""
     ks = _ks(keys)
     d = df.withColumn("month", F.trunc(F.col(date), "MM"))
+    if method in (None, "counted"):
+        return group_quantiles(d, [*ks, "month"], value, {"median": 0.5}, with_n="n")
     med = group_quantiles(d, [*ks, "month"], value, {"median": 0.5}, method=method)
-    cnt = d.groupBy(*ks, "month").agg(F.count("*").cast("bigint").alias("n"))
-    return cnt.join(med, [*ks, "month"], "inner")
+    return d.groupBy(*ks, "month").agg(F.count(value).cast("bigint").alias("n")).join(med, [*ks, "month"], "inner")
 
 
 def returns_table(series: DataFrame, keys, min_months: int = 3, min_n: int = 10) -> DataFrame:
