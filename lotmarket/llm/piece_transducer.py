@@ -32,6 +32,7 @@ from __future__ import annotations
 
 import itertools
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -44,7 +45,7 @@ from pyspark.sql import types as T
 from lotmarket.llm.common import bounded_batches, list_array, text_steps
 
 MARK = "▁"
-KEPT = 300_000
+KEPT = 450_000
 #: Acceptor weights that are kept.
 KEPT_BIGRAMS = 300_000
 #: Bits of a piece's id.
@@ -62,7 +63,7 @@ class Machine:
     texts: list[bytes]
     merges: bool
     first_mark: bool
-    paths: dict[str, tuple[int, ...]] = field(default_factory=dict)
+    paths: dict[str, bytes] = field(default_factory=dict)  # ids as packed 32-bit numbers
     joined: dict[int, bool] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
@@ -163,32 +164,31 @@ class Machine:
             end -= ends[end]
         return path[::-1]
 
-    def path(self, unit: str) -> tuple[int, ...]:
+    def path(self, unit: str) -> list[int]:
         """The shortest path's output; a character without a piece takes its byte arcs, and no other arc crosses it."""
-        out: list[int] = []
-        for known, text in self._runs(unit):
-            if not known:
-                out += [self.bytes_at[b] for b in text.encode()]
-                continue
-            out += self._merge_path(text) if self.merges else self._score_path(text)
-        return tuple(out)
-
-    def _runs(self, unit: str) -> list[tuple[bool, str]]:
+        solve = self._merge_path if self.merges else self._score_path
         if self.characters.issuperset(unit):
-            return [(True, unit)]
-        return [(known, "".join(part)) for known, part in itertools.groupby(unit, self.characters.__contains__)]
+            return solve(unit)
+        out: list[int] = []
+        for known, part in itertools.groupby(unit, self.characters.__contains__):
+            text = "".join(part)
+            out += solve(text) if known else [self.bytes_at[b] for b in text.encode()]
+        return out
 
-    def _kept(self, unit: str) -> tuple[int, ...]:
+    def _kept(self, unit: str) -> bytes:
         ids = self.paths.get(unit)
         if ids is None:
             if len(self.paths) > KEPT:
                 self.paths.clear()
-            ids = self.paths[unit] = self.path(unit)
+            ids = self.paths[unit] = array("i", self.path(unit)).tobytes()
         return ids
 
+    def packed(self, text: str | None) -> bytes:
+        """The text's ids as 32-bit numbers on end."""
+        return b"".join(map(self._kept, self.units.findall(self.normalise(text or ""))))  # the last unit is empty
+
     def encode(self, text: str | None) -> list[int]:
-        units = self.units.findall(self.normalise(text or ""))  # the last one is empty
-        return list(itertools.chain.from_iterable(map(self._kept, units)))
+        return array("i", self.packed(text)).tolist()
 
     def decode(self, ids: list[int]) -> str:
         text = b"".join(map(self.texts.__getitem__, ids)).decode("utf-8", "replace")
@@ -225,10 +225,10 @@ def encoded(docs: DataFrame, path: str, text: str = "text", carry: list[str] | N
         machine = shared.value
         for step in text_steps(batches, text):
             texts = step.column(step.schema.get_field_index(text)).to_pylist()
-            ids = [machine.encode(x) for x in texts]
-            same = [machine.decode(k) == (x or "") for k, x in zip(ids, texts, strict=True)]
-            n = np.fromiter(map(len, ids), np.int64, len(ids))
-            flat = np.fromiter(itertools.chain.from_iterable(ids), np.int32, int(n.sum()))
+            packed = [machine.packed(x) for x in texts]
+            n = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
+            flat = np.frombuffer(b"".join(packed), dtype=np.int32)
+            same = [machine.decode(array("i", k).tolist()) == (x or "") for k, x in zip(packed, texts, strict=True)]
             yield pa.RecordBatch.from_arrays([step.column(step.schema.get_field_index(c)) for c in keep] + [list_array(flat, n), pa.array(n), pa.array(same)],
                                              names=[*keep, *(f.name for f in made)])
         machine.forget()
