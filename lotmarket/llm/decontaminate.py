@@ -1,7 +1,8 @@
 """Benchmark decontamination by SimHash over item-sized windows.
 
 Words are runs of letters, digits and non-ASCII characters, A-Z lower-cased, so case and ASCII punctuation don't count.
-A benchmark item of L words is compared with every window of L words of every document:
+A benchmark item of L words is compared with every window of L words of every document, and with the whole of a
+document that has fewer words:
 
 1.  A window without any shingle of the item has similarity 0, so windows are looked at only around the places where a
     document has a shingle of the benchmark (a bit table, then a sorted search).  This loses nothing.
@@ -41,6 +42,8 @@ SHINGLE = 5
 BLOCKS = 8
 RADIUS = 15
 SIMILARITY = 0.8
+#: For sums of weights, which are rounded: what has less than this share in common is surely not similar.
+LEAST = SIMILARITY * (1 - 1e-4)
 SLICE_BYTES = 8 << 20
 #: Bits of the table that tells where a shingle of the benchmark may be.
 GATE_BITS = 22
@@ -135,6 +138,15 @@ class Index:
         hits = np.flatnonzero(has)
         widest = max(self.by_length)
         best: dict[int, tuple[float, int, int]] = {}
+        longer = [x for x in self.by_length if x > n_words >= SHINGLE]
+        if longer and weights[has].sum() >= LEAST * weights.sum():  # else too little of the document is in any item
+            whole = _packed((_signs(hashes) * weights[:, None]).sum(axis=0, dtype=np.float64)[None])
+            for length in longer:
+                _, item, distance = self.near(length, whole)
+                for i, d in zip(item, distance, strict=True):
+                    s = self.similarity(hashes, weights, i)
+                    if s >= SIMILARITY:
+                        best[i] = (-s, 0, int(d))
         for part in np.split(hits, np.flatnonzero(np.diff(hits) > 2 * widest) + 1):
             lo = max(0, int(part[0]) - widest)
             hi = min(len(hashes), int(part[-1]) + widest)
@@ -153,7 +165,7 @@ class Index:
                     if s >= SIMILARITY and (-s, begin) < best.get(i, (0.0, 0, 0))[:2]:
                         best[i] = (-s, begin, int(d))
         for i, (s, begin, d) in best.items():
-            yield i, begin, int(self.items.lengths[i]), d, -s
+            yield i, begin, min(n_words, int(self.items.lengths[i])), d, -s
 
 
 def slices(benchmark: DataFrame, item_id: str = "item_id", text: str = "text") -> Iterator[Slice]:

@@ -59,3 +59,18 @@ def test_empty(spark):
     bench, docs, _ = planted()
     assert decontaminate.matches(frame(spark, []), items(spark, bench)).collect() == []
     assert decontaminate.matches(frame(spark, docs), items(spark, [])).collect() == []
+
+
+def test_documents_shorter_than_their_item(spark):
+    rng = random.Random(8)
+    bench = [(i, prose(rng, 30 + 3 * i, 5000)) for i in range(12)]
+    docs, truth = [], set()
+    for i, text in bench:
+        words = text.split()
+        docs += [(2 * i, " ".join(words[:-1])), (2 * i + 1, " ".join(words[2:]).upper())]
+        truth |= {(2 * i, i, len(words) - 1), (2 * i + 1, i, len(words) - 2)}
+    docs += [(100, " ".join(bench[0][1].split()[:15])), (101, " ".join(bench[0][1].split()[:4]))]
+    got = decontaminate.matches(frame(spark, [(i, t, None, None, None) for i, t in docs]), items(spark, bench)).collect()
+    assert {(r["doc_id"], r["item_id"], r["n_words"]) for r in got} == truth and all(r["first_word"] == 0 for r in got)
+    kept = decontaminate.without(frame(spark, [(i, t, None, None, None) for i, t in docs]), spark.createDataFrame(got))
+    assert {r["doc_id"] for r in kept.collect()} == {100, 101}
