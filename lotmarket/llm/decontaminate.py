@@ -4,21 +4,29 @@ Words are runs of letters, digits and non-ASCII characters, A-Z lower-cased, so
 A benchmark item of L words is compared with every window of L words of every document, and with the whole of a
 document that has fewer words:
 
-1.  A window without any shingle of the item has similarity 0, so windows are looked at only around the places where a
-    document has a shingle of the benchmark (a bit table, then a sorted search).  This loses nothing.
-2.  Each such window gets a 64-bit SimHash of its five-word shingles, weighted by their rarity among the items
-    (``log(1 + items / items with the shingle)``), from prefix sums of the signed weights.
-3.  A multi-index finds the items of that length within ``RADIUS`` bits: fingerprints are cut into ``BLOCKS`` blocks of
-    8 bits, and each item is listed under all block values within RADIUS // BLOCKS bits of its own.  Two fingerprints
-    within RADIUS have at least one block within that, so the search misses none.
-4.  Candidates are verified by the exact weighted Jaccard similarity of the shingle multisets.
+1.  What a window has in common with an item are shingles of the benchmark, so windows are looked at only if shingles of
+    the slice make up at least 0.8 of their weight (a bit table, then a sorted search, then running sums).  This loses
+    nothing.
+2.  Each such window gets a 64-bit SimHash of its five-word shingles, from sums of signed square roots of their weights.
+    A shingle's weight is its rarity among the items (``log(1 + items / items with the shingle)``); with square roots
+    the angle between fingerprints is bounded by the similarity, however uneven the weights are.
+3.  A multi-index finds the items within ``RADIUS`` bits: fingerprints are cut into ``BLOCKS`` blocks of 8 bits, and each
+    item is listed under all block values within RADIUS // BLOCKS bits of its own.  Two fingerprints within RADIUS have
+    at least one block within that, so the search misses none of these.
+4.  Items beyond RADIUS are found by their own rarest shingles: an item is posted under so many of them that the others
+    weigh less than 0.8 of it, so a similar window has at least one.  A bound from sums of the common shingles leaves
+    the windows that may be similar.  This loses nothing either.
+5.  Candidates of both ways are verified by the exact weighted Jaccard similarity of the shingle multisets.
+
+So the result is that of comparing all windows with all items, but for equal hashes of different shingles.
 
 Documents are only read and mapped: no shuffle, and a lost task is run again.  The benchmark goes to the tasks in
 slices of at most ``SLICE_BYTES`` of text, each one pass over the documents, so that what is broadcast has a bound; an
 item longer than that is a slice of its own.
 
-At a similarity of exactly 0.8 a SimHash distance is 9.7 bits in the mean with a deviation of 2.9, so RADIUS 15 finds
-97 of 100 of these, and all but one in 1000 from 0.9 on; equal windows have distance 0.
+At a similarity of 0.8 a window without repeated shingles has a cosine of at least 8/9 to the item, a SimHash distance
+of 9.7 bits in the mean with a deviation of 2.9, so nearly all are within RADIUS; equal windows have distance 0.  Rows
+that step 4 adds have their true distance, above RADIUS.
 
 Nulls and edge cases: a null or empty text has no window, a null or empty item matches nothing; an item of one to four
 words matches only a document of just these words; repeated rows are reported each; empty tables give no rows; further
@@ -40,13 +48,15 @@ from lotmarket.llm.shingles import shingle_hashes, word_hashes
 
 SHINGLE = 5
 BLOCKS = 8
-RADIUS = 15
+RADIUS = 23
 SIMILARITY = 0.8
 #: For sums of weights, which are rounded: what has less than this share in common is surely not similar.
 LEAST = SIMILARITY * (1 - 1e-4)
 SLICE_BYTES = 8 << 20
 #: Bits of the table that tells where a shingle of the benchmark may be.
 GATE_BITS = 22
+#: Windows, and pairs of a window and an item, that are looked at in one step.
+WINDOWS, PAIRS = 1 << 12, 1 << 20
 
 _NEAR = {r: [m for m in range(256) if bin(m).count("1") <= r] for r in range(BLOCKS)}
 _POPULATION = np.array([bin(i).count("1") for i in range(256)], dtype=np.uint8)
@@ -58,6 +68,13 @@ def _signs(hashes: np.ndarray) -> np.ndarray:
     return bits.astype(np.float32) * 2 - 1
 
 
+def _sums(hashes: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Running sums, from 0, of the signs of shingles times the square roots of their weights."""
+    sums = np.zeros((len(hashes) + 1, 64), dtype=np.float64)
+    np.cumsum(_signs(hashes) * np.sqrt(weights, dtype=np.float32)[:, None], axis=0, out=sums[1:])
+    return sums
+
+
 def _packed(sums: np.ndarray) -> np.ndarray:
     """The bytes (BLOCKS of them) of the fingerprints of rows of 64 weighted sums; a sum within rounding of 0 is 0."""
     return np.packbits(sums > 1e-3, axis=1)
@@ -83,9 +100,14 @@ class Index:
         self.known_weights = np.concatenate(items.weights)[first].astype(np.float32)
         self.gate = np.zeros(1 << GATE_BITS, dtype=bool)
         self.gate[(self.known >> np.uint64(64 - GATE_BITS)).astype(np.int64)] = True
-        prints = np.concatenate([_packed((_signs(h) * w.astype(np.float32)[:, None]).sum(axis=0)[None])
+        prints = np.concatenate([_packed(_sums(h, w)[-1:])
                                  for h, w in zip(items.hashes, items.weights, strict=True)])
         self.prints = prints
+        self.weight = np.array([w.sum() for w in items.weights])
+        posts = [(h, np.full(len(h), i)) for i in range(len(items.hashes)) for h in (self._rarest(i),)]
+        posted, item = (np.concatenate(x) for x in zip(*posts, strict=True))
+        order = np.argsort(posted, kind="stable")
+        self.posted, self.posted_item = posted[order], item[order]
         self.by_length: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         near = np.array(_NEAR[RADIUS // BLOCKS], dtype=np.uint8)
         for length in np.unique(items.lengths):
@@ -98,6 +120,14 @@ class Index:
             starts = np.searchsorted(slot[order], np.arange(BLOCKS * 256 + 1))
             self.by_length[int(length)] = (starts, item[order])
 
+    def _rarest(self, item: int) -> np.ndarray:
+        """So many of an item's distinct shingles, those of most weight first, that the others are less than LEAST of it."""
+        values, first, count = np.unique(self.items.hashes[item], return_index=True, return_counts=True)
+        weight = self.items.weights[item][first]
+        by = np.lexsort((values, -weight))
+        rest = self.weight[item] - np.cumsum((weight * count)[by])
+        return values[by[:int(np.argmax(rest < LEAST * self.weight[item])) + 1]]
+
     def weigh(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The weight of each shingle, and whether an item has it."""
         weights = np.full(len(hashes), self.items.other_weight, dtype=np.float32)
@@ -133,37 +163,73 @@ class Index:
         weight[at[len(hashes):]] = self.items.weights[item]
         return float((weight * np.minimum(mine, theirs)).sum() / (weight * np.maximum(mine, theirs)).sum())
 
+    def posted_under(self, hashes: np.ndarray) -> np.ndarray:
+        """The items that are posted under any of these shingles."""
+        values = np.unique(hashes)
+        lo, hi = (np.searchsorted(self.posted, values, side=side) for side in ("left", "right"))
+        n = hi - lo
+        return np.unique(self.posted_item[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)])
+
+    def pairs(self, hashes: np.ndarray, weights: np.ndarray, has: np.ndarray, n: int, at: np.ndarray,
+              lengths: list[int]) -> Iterator[tuple[int, int, int]]:
+        """(begin, item, distance): pairs of windows and items of the given lengths that may be similar, each once.
+
+        The windows have n shingles each and begin at ``at`` (ascending).
+        """
+        last = int(at[-1]) + n
+        sums = _sums(hashes[at[0]:last], weights[at[0]:last])
+        prints = _packed(sums[at - at[0] + n] - sums[at - at[0]])
+        seen = []
+        for length in lengths:
+            step = max(1, PAIRS // max(1, len(self.by_length[length][1]) // BLOCKS))
+            for lo in range(0, len(at), step):
+                window, item, distance = self.near(length, prints[lo:lo + step])
+                window = at[window + lo]
+                seen.append(window * len(self.prints) + item)
+                yield from zip(window.tolist(), item.tolist(), distance.tolist(), strict=True)
+        seen = np.concatenate(seen)
+        inside = np.flatnonzero(has[at[0]:last]) + int(at[0])
+        total = np.concatenate([[0.0], np.cumsum(weights[at[0]:last], dtype=np.float64)])
+        total = total[at - at[0] + n] - total[at - at[0]]
+        items = self.posted_under(hashes[inside])
+        for i in items[np.isin(self.items.lengths[items], lengths)]:
+            own = inside[np.isin(hashes[inside], self.items.hashes[i])]
+            common = np.concatenate([[0.0], np.cumsum(weights[own], dtype=np.float64)])
+            common = common[np.searchsorted(own, at + n)] - common[np.searchsorted(own, at)]
+            common = np.minimum(common, self.weight[i])  # at least what they have in common
+            begin = at[common >= LEAST * (self.weight[i] + total - common)]
+            begin = begin[~np.isin(begin * len(self.prints) + i, seen)]
+            far = _POPULATION[prints[np.searchsorted(at, begin)] ^ self.prints[i]].sum(axis=1, dtype=np.int64)
+            yield from ((int(x), int(i), int(d)) for x, d in zip(begin, far, strict=True))
+
     def row(self, hashes: np.ndarray, weights: np.ndarray, has: np.ndarray, n_words: int) -> Iterator[tuple[int, int, int, int, float]]:
         """For one document: (item, first word, words, distance, similarity) of each item's best window, the first of equals."""
         hits = np.flatnonzero(has)
         widest = max(self.by_length)
         best: dict[int, tuple[float, int, int]] = {}
+
+        def look(n: int, at: np.ndarray, lengths: list[int]) -> None:
+            for begin, i, d in self.pairs(hashes, weights, has, n, at, lengths):
+                s = self.similarity(hashes[begin:begin + n], weights[begin:begin + n], i)
+                if s >= SIMILARITY and (-s, begin) < best.get(i, (0.0, 0, 0))[:2]:
+                    best[i] = (-s, begin, d)
+
         longer = [x for x in self.by_length if x > n_words >= SHINGLE]
-        if longer and weights[has].sum() >= LEAST * weights.sum():  # else too little of the document is in any item
-            whole = _packed((_signs(hashes) * weights[:, None]).sum(axis=0, dtype=np.float64)[None])
-            for length in longer:
-                _, item, distance = self.near(length, whole)
-                for i, d in zip(item, distance, strict=True):
-                    s = self.similarity(hashes, weights, i)
-                    if s >= SIMILARITY:
-                        best[i] = (-s, 0, int(d))
+        if longer and weights[has].sum(dtype=np.float64) >= LEAST * weights.sum(dtype=np.float64):
+            look(len(hashes), np.zeros(1, dtype=np.int64), longer)
         for part in np.split(hits, np.flatnonzero(np.diff(hits) > 2 * widest) + 1):
             lo = max(0, int(part[0]) - widest)
             hi = min(len(hashes), int(part[-1]) + widest)
-            sums = np.zeros((hi - lo + 1, 64), dtype=np.float64)
-            np.cumsum(_signs(hashes[lo:hi]) * weights[lo:hi, None], axis=0, out=sums[1:])
-            seen = np.concatenate([[0], np.cumsum(has[lo:hi])])
+            total = np.concatenate([[0.0], np.cumsum(weights[lo:hi], dtype=np.float64)])
+            known = np.concatenate([[0.0], np.cumsum(np.where(has[lo:hi], weights[lo:hi], 0), dtype=np.float64)])
             for length in self.by_length:
                 n = length - SHINGLE + 1 if length >= SHINGLE else 1  # shingles in the window
                 if length > n_words or (length < SHINGLE) and n_words != length or hi - lo < n:
                     continue
-                at = np.flatnonzero(seen[n:] > seen[:-n])
-                window, item, distance = self.near(length, _packed(sums[at + n] - sums[at]))
-                for w, i, d in zip(window, item, distance, strict=True):
-                    begin = lo + int(at[w])
-                    s = self.similarity(hashes[begin:begin + n], weights[begin:begin + n], i)
-                    if s >= SIMILARITY and (-s, begin) < best.get(i, (0.0, 0, 0))[:2]:
-                        best[i] = (-s, begin, int(d))
+                at = lo + np.flatnonzero(known[n:] - known[:-n] >= LEAST * (total[n:] - total[:-n]))
+                for run in np.split(at, np.flatnonzero(np.diff(at) > n) + 1):
+                    for k in range(0, len(run), WINDOWS):
+                        look(n, run[k:k + WINDOWS], [length])
         for i, (s, begin, d) in best.items():
             yield i, begin, min(n_words, int(self.items.lengths[i])), d, -s
 

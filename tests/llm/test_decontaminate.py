@@ -1,4 +1,6 @@
+import math
 import random
+from collections import Counter
 
 from llm_fixtures import clashing, frame, prose
 import numpy as np
@@ -74,3 +76,65 @@ def test_documents_shorter_than_their_item(spark):
     assert {(r["doc_id"], r["item_id"], r["n_words"]) for r in got} == truth and all(r["first_word"] == 0 for r in got)
     kept = decontaminate.without(frame(spark, [(i, t, None, None, None) for i, t in docs]), spark.createDataFrame(got))
     assert {r["doc_id"] for r in kept.collect()} == {100, 101}
+
+
+def brute(bench, docs):
+    """{(doc, item): best similarity} of all windows of all documents that are at least 0.8, by counters."""
+    def shingles(words):
+        return Counter(tuple(words[k:k + 5]) for k in range(max(1, len(words) - 4)))
+
+    grams = {i: shingles(t.split()) for i, t in bench}
+    df = Counter(g for x in grams.values() for g in x)
+    weight = lambda g: math.log1p(len(bench) / df[g]) if g in df else math.log1p(len(bench))
+    out = {}
+    for d, t in docs:
+        words = t.split()
+        for i, text in bench:
+            n = len(text.split())
+            for begin in range(max(1, len(words) - n + 1)):
+                a, b = shingles(words[begin:begin + n]), grams[i]
+                s = sum(weight(g) * c for g, c in (a & b).items()) / sum(weight(g) * c for g, c in (a | b).items())
+                if s >= 0.8:
+                    out[d, i] = max(s, out.get((d, i), 0))
+    return out
+
+
+def edited():
+    """Items, alone and with a shared template or a repeated word, and documents with single changes in them, some cut short."""
+    rng = random.Random(11)
+    template = prose(rng, 120, 5000).replace(".", "").split()
+    bench = [prose(rng, 49 + i % 11, 5000).replace(".", "").split() for i in range(30)]
+    bench += [template + prose(rng, 12 + i % 3, 5000).replace(".", "").split() for i in range(20)]
+    bench += [prose(rng, 22, 5000).replace(".", "").split() + [f"same{i}"] * 10 + prose(rng, 22, 5000).replace(".", "").split() for i in range(10)]
+    docs = []
+    for k in range(3):
+        for i, item in enumerate(bench):
+            words = list(item)
+            lo = 120 if 30 <= i < 50 else 0
+            words[rng.randrange(lo, len(words))] = "changed"
+            if i >= 50:
+                words = ["other" if w.startswith("same") else w for w in words]
+            if k == 2:
+                words = words[:-1]
+            else:
+                words = prose(rng, 20, 5000).replace(".", "").split() + words + prose(rng, 20, 5000).replace(".", "").split()
+            docs.append((k * 100 + i, " ".join(words)))
+    return [(i, " ".join(x)) for i, x in enumerate(bench)], docs
+
+
+def test_recall_as_by_brute_force(spark):
+    bench, docs = edited()
+    truth = brute(bench, docs)
+    assert sum(s < 0.9 for s in truth.values()) > 60
+    got = decontaminate.matches(frame(spark, [(i, t, None, None, None) for i, t in docs]), items(spark, bench)).collect()
+    found = {(r["doc_id"], r["item_id"]): r["similarity"] for r in got}
+    assert set(found) == set(truth), (len(set(truth) - set(found)), len(truth))
+    assert all(abs(found[k] - truth[k]) < 1e-6 for k in truth)
+
+
+def test_items_beyond_the_radius_are_found(monkeypatch):
+    monkeypatch.setattr(decontaminate.Index, "near", lambda self, length, prints: (np.empty(0, np.int64),) * 3)  # SimHash finds none
+    own = np.arange(20, dtype=np.uint64)
+    index = decontaminate.Index(decontaminate.Slice(np.arange(1), np.array([24]), [own], [np.ones(20)], 1.0))
+    weights, has = np.ones(18, np.float32), np.ones(18, dtype=bool)
+    assert [(x[0], x[1], x[2], round(x[4], 6)) for x in index.row(own[2:], weights, has, 22)] == [(0, 0, 22, 0.9)]
