@@ -1,13 +1,15 @@
 """URL filters: association rules mined by FP-growth, matched through an inverted index.
 
-Features of a URL are its host's labels (``h:``; the last two together as ``d:``), the words of its first path
-segments (``p:``; a number is ``#``) and the names of its query keys (``q:``), so many of each at most
-(``FEATURE_LIMITS``), as FP-growth's work grows with the subsets of a row.  That bounds what is mined from one URL;
-all labelled rows are mined.
-
-``mine`` runs Spark's FP-growth over the labelled URLs' features together with the label, and keeps rules
-``features -> bad`` of enough support and confidence; a rule that a part of its features already makes with no less
-confidence is pruned.  ``match`` works on distinct signatures: a URL's signature is what it has of the features that
+Features of a URL are all its host's labels (``h:``; the last two together as ``d:``), the distinct words of its path
+(``p:``; a number is ``#``) and the names of its query keys (``q:``), wherever they stand.
+
+``mine`` bounds FP-growth's work without loss: features of too little support go, and features that the same labelled
+rows have (a site's labels, a deep path that many pages share) are one item.  It runs Spark's FP-growth over these items
+together with the label, and keeps rules ``features -> bad`` of enough support and confidence; a rule that a part of its
+features already makes with no less confidence is pruned.  Every choice of one feature for each item is a rule, as
+without the grouping.  All labelled rows are mined.
+
+``match`` works on distinct signatures: a URL's signature is what it has of the features that
 rules name.  Each rule is posted under its rarest feature; signatures meet the posting lists by an equi-join on the
 feature and keep the rules of which they hold every feature.  The verdict returns to the rows by the signature.
 
@@ -21,6 +23,7 @@ columns of the input are kept unless they have a result column's name.
 
 from __future__ import annotations
 
+import math
 from typing import NamedTuple
 
 from pyspark.ml.fpm import FPGrowth
@@ -30,7 +33,6 @@ from pyspark.sql import functions as F
 from lotmarket.llm.common import ascii_lower, written
 
 BAD, GOOD = "label:bad", "label:good"
-FEATURE_LIMITS = {"h": 4, "p": 3, "q": 3}
 
 
 class HostRule(NamedTuple):
@@ -72,21 +74,49 @@ def features(url: Column, host: Column, path: Column) -> Column:
     query = F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^[^?#]*\?([^#]*)", 1)
     keys = F.transform(filled(F.split(query, "&")), lambda x: F.substring_index(x, "=", 1))
     return F.array_sort(F.array_distinct(F.concat(
-        tag("h", F.slice(labels, 1, FEATURE_LIMITS["h"])), tag("d", F.array(domain)),
-        tag("p", F.slice(segments, 1, FEATURE_LIMITS["p"])), tag("q", F.slice(keys, 1, FEATURE_LIMITS["q"])))))
+        tag("h", labels), tag("d", F.array(domain)), tag("p", segments), tag("q", keys))))
 
 
 def mine(labelled: DataFrame, min_support: float = 0.002, min_rows: int = 10, min_confidence: float = 0.7) -> DataFrame:
     """Rules (antecedent, n_items, confidence, support) from rows (features, bad)."""
-    rows = written(labelled.where(F.col("bad").isNotNull()).select(F.array_append(
-        "features", F.when(F.col("bad"), BAD).otherwise(GOOD)).alias("items")), "url-baskets")
+    rows = written(labelled.where(F.col("bad").isNotNull()).select(
+        F.monotonically_increasing_id().alias("row"), "features", F.when(F.col("bad"), BAD).otherwise(GOOD).alias("label")), "url-labelled")
     n = rows.count()
-    model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(min_support, min_rows / max(n, 1))),
-                     minConfidence=min_confidence).fit(rows)
+    least = max(1, math.ceil(min(1.0, max(min_support, min_rows / max(n, 1))) * n - 1e-6))
+    groups = _groups(rows, least)
+    each = rows.select("row", F.explode("features").alias("feature"))
+    grouped = each.join(groups.where("feature = item"), "feature").groupBy("row").agg(F.collect_set("item").alias("some"))
+    baskets = written(rows.join(grouped, "row", "left").select(F.array_append(
+        F.coalesce("some", F.array().cast("array<string>")), F.col("label")).alias("items")), "url-baskets")
+    model = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / max(n, 1), minConfidence=min_confidence).fit(baskets)
     rules = (model.associationRules.where((F.element_at("consequent", 1) == BAD) & ~F.array_contains("antecedent", GOOD))
              .select(F.array_sort("antecedent").alias("antecedent"), F.size("antecedent").alias("n_items"),
                      F.col("confidence"), F.col("support")))
-    return _pruned(written(rules, "url-rules"))
+    return _spelled_out(_pruned(written(rules, "url-rules")), groups)
+
+
+def _groups(rows: DataFrame, least: int) -> DataFrame:
+    """(feature, item) of the features that at least ``least`` rows have; the item is the first of those of the same rows.
+
+    Equal sets of rows are told by their size and 128 bits of hash.
+    """
+    had = rows.select(F.xxhash64("row").alias("h1"), F.xxhash64(F.lit(1), "row").alias("h2"), F.explode("features").alias("feature"))
+    marks = had.groupBy("feature").agg(F.count(F.lit(1)).alias("n"), F.bit_xor("h1").alias("h1"), F.bit_xor("h2").alias("h2")).where(F.col("n") >= least)
+    marks = written(marks, "url-features")
+    first = marks.groupBy("n", "h1", "h2").agg(F.min("feature").alias("item"))
+    return written(marks.join(first, ["n", "h1", "h2"]).select("feature", "item"), "url-groups")
+
+
+def _spelled_out(rules: DataFrame, groups: DataFrame) -> DataFrame:
+    """Each rule over items once for every choice of one feature for each item."""
+    choices = groups.groupBy("item").agg(F.collect_list("feature").alias("choice"))
+    lists = (rules.select("antecedent", F.explode("antecedent").alias("item")).join(choices, "item")
+             .groupBy("antecedent").agg(F.collect_list("choice").alias("lists")))
+    made = F.aggregate("lists", F.array(F.array().cast("array<string>")), lambda done, xs: F.flatten(
+        F.transform(done, lambda a: F.transform(xs, lambda x: F.array_append(a, x)))))
+    spelled = lists.select(F.col("antecedent").alias("items"), F.explode(made).alias("antecedent"))
+    return spelled.join(rules.withColumnRenamed("antecedent", "items"), "items").select(
+        F.array_sort("antecedent").alias("antecedent"), "n_items", "confidence", "support")
 
 
 def _pruned(rules: DataFrame) -> DataFrame:

@@ -61,3 +61,33 @@ def test_pruning(spark):
 
 def test_empty(spark):
     assert url_rules.judge(spark.createDataFrame([], "page_id bigint, url string"), labels(spark, []), RULES).collect() == []
+
+
+def judged(spark, urls, bad):
+    """The verdict of every URL; those at an index of ``bad`` are labelled bad, all others good."""
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+    told = labels(spark, [(i, 0 if i in bad else 1, 0) for i in range(len(urls))])
+    return {r["page_id"]: r["verdict"] for r in url_rules.judge(pages, told, (), min_support=0.01).collect()}
+
+
+def test_tokens_anywhere_in_the_url(spark):
+    rng, urls, bad = random.Random(9), [], set()
+    for i in range(400):
+        kind = i % 8
+        path, keys, host = [f"w{rng.randrange(40)}" for _ in range(6)], [f"k{rng.randrange(40)}" for _ in range(6)], "www.x.org"
+        if kind == 0:
+            path = ["2024", "01", "15", "cheap-pills", "buy"]
+        elif kind == 1:
+            keys[5] = "spamkey"
+        elif kind == 2:
+            host = "farm.a.b.c.d.x.org"
+        if kind < 3:
+            bad.add(i)
+        urls.append(f"http://{host}/" + "/".join(path) + "?" + "&".join(f"{k}=1" for k in keys))
+    assert {i for i, v in judged(spark, urls, bad).items() if v == "block"} == bad
+
+
+def test_deep_common_path_is_one_item(spark):
+    deep = "/".join(f"d{k}" for k in range(40))
+    urls = [f"http://bad.org/{deep}/{i}" if i % 2 else f"http://good.org/x/{i}" for i in range(100)]
+    assert {i for i, v in judged(spark, [*urls, "http://else.org/d39"], {i for i in range(100) if i % 2}).items() if v == "block"} == {*range(1, 100, 2), 100}
