@@ -35,8 +35,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold an item of ``benchmark`` go."""
-    return decontaminate.without(docs, decontaminate.matches(docs, table(spark, sf_dir, "benchmark")))
+    """Documents that hold an item of ``benchmark`` go, also those without an id."""
+    return decontaminate.without(docs, decontaminate.matches(docs, table(spark, sf_dir, "benchmark")), unnamed=True)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

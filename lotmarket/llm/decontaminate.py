@@ -265,12 +265,12 @@ def slices(benchmark: DataFrame, item_id: str = "item_id", text: str = "text") -
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, item_id, first_word, n_words, distance, similarity): each item a document holds, with its best window."""
+    """(doc_id, item_id, first_word, n_words, distance, similarity, text_hash): each item a document holds, with its best window."""
     spark = docs.sparkSession
     bounded_batches(spark)
-    schema = "doc_id bigint, item_id bigint, first_word bigint, n_words bigint, distance int, similarity double"
+    schema = "doc_id bigint, item_id bigint, first_word bigint, n_words bigint, distance int, similarity double, text_hash bigint"
     out = spark.createDataFrame([], schema)
-    docs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+    docs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("text_hash"))
     for items in slices(benchmark):
         shared = spark.sparkContext.broadcast(items)
 
@@ -284,20 +284,24 @@ def matches(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text:
                 weights, has = index.weigh(hashes)
                 starts = np.searchsorted(rows, np.arange(step.num_rows + 1))
                 n_words = np.bincount(word_rows, minlength=step.num_rows)
-                ids, found = step.column(0).to_pylist(), []
+                ids, marks, found = step.column(0).to_pylist(), step.column(2).to_pylist(), []
                 for r in np.unique(rows[has]):
                     own = slice(starts[r], starts[r + 1])
-                    found += [(ids[r], index.items.ids[i], *rest) for i, *rest in index.row(hashes[own], weights[own], has[own], int(n_words[r]))]
+                    found += [(ids[r], index.items.ids[i], *rest, marks[r]) for i, *rest in index.row(hashes[own], weights[own], has[own], int(n_words[r]))]
                 if found:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found, strict=True), (
-                        pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.float64()), strict=True)],
-                        names=["doc_id", "item_id", "first_word", "n_words", "distance", "similarity"])
+                        pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.float64(), pa.int64()), strict=True)],
+                        names=["doc_id", "item_id", "first_word", "n_words", "distance", "similarity", "text_hash"])
 
         out = out.union(docs.mapInArrow(run, schema))
     return out
 
 
-def without(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id") -> DataFrame:
-    """``docs`` without the documents that ``matches`` reports."""
-    hit = written(found.select(F.col("doc_id").alias("__hit")).distinct(), "bench-hits")
-    return docs.join(hit, F.col(doc_id) == F.col("__hit"), "left_anti")
+def without(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id", text: str = "text", unnamed: bool = False) -> DataFrame:
+    """``docs`` without the rows that ``matches`` reports, by their id and the hash of their text.
+
+    Each row is judged by its own text, also if others share its id.  A row without an id stays, unless ``unnamed``.
+    """
+    hit = written(found.select(F.col("doc_id").alias("__hit"), F.col("text_hash").alias("__hash")).distinct(), "bench-hits")
+    same = F.col(doc_id).eqNullSafe(F.col("__hit")) if unnamed else F.col(doc_id) == F.col("__hit")
+    return docs.join(hit, same & (F.xxhash64(text) == F.col("__hash")), "left_anti")

@@ -9,7 +9,7 @@ from lotmarket.llm.decontaminate import matches
 
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_hash")
 
 
 QUERIES = {"op4_decontaminate": op4_decontaminate}

@@ -138,3 +138,11 @@ def test_items_beyond_the_radius_are_found(monkeypatch):
     index = decontaminate.Index(decontaminate.Slice(np.arange(1), np.array([24]), [own], [np.ones(20)], 1.0))
     weights, has = np.ones(18, np.float32), np.ones(18, dtype=bool)
     assert [(x[0], x[1], x[2], round(x[4], 6)) for x in index.row(own[2:], weights, has, 22)] == [(0, 0, 22, 0.9)]
+
+
+def test_rows_go_by_their_own_text(spark):
+    rng = random.Random(3)
+    bench, clean = [(1, prose(rng, 40, 5000))], prose(rng, 60, 5000)
+    docs = frame(spark, [(i, t, None, None, None) for i, t in [(7, bench[0][1]), (7, clean), (None, bench[0][1]), (None, clean), (8, None)]])
+    kept = decontaminate.without(docs, decontaminate.matches(docs, items(spark, bench)), unnamed=True).collect()
+    assert {(r["doc_id"], r["text"]) for r in kept} == {(7, clean), (None, clean), (8, None)} and len(kept) == 3
