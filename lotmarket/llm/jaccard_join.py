@@ -46,6 +46,7 @@ NEIGHBOURS = 6
 HUBS = 3
 #: Slots of a sketch: how many of a set's hashes fall into each.
 SLOTS = 128
+FULL = 2**16 - 1
 #: Entries of one long list that are held at a time.
 HELD = 1 << 14
 
@@ -91,7 +92,7 @@ def prefixes(docs: DataFrame, counts: np.ndarray) -> DataFrame:
             np.add.at(node, rows, mix64(hashes))
             np.add.at(prefix_hash, rows[inside], mix64(hashes[inside] ^ np.uint64(0xA5A5A5A5A5A5A5A5)))
             slot = rows * SLOTS + (hashes % np.uint64(SLOTS)).astype(np.int64)
-            sketch = np.minimum(np.bincount(slot, minlength=step.num_rows * SLOTS), 2**16 - 1).astype(np.uint16).reshape(-1, SLOTS)
+            sketch = np.minimum(np.bincount(slot, minlength=step.num_rows * SLOTS), FULL).astype(np.uint16).reshape(-1, SLOTS)
             yield pa.RecordBatch.from_arrays(
                 [step.column(0), pa.array(n.astype(np.int64)), pa.array(mix64(node + n.astype(np.uint64)).view(np.int64)),
                  pa.array(mix64(prefix_hash + n.astype(np.uint64)).view(np.int64)), list_array(hashes[inside].view(np.int64), length),
@@ -109,13 +110,17 @@ def _may_link(n1: np.ndarray, n2: np.ndarray, p1: np.ndarray, p2: np.ndarray) ->
 
 def _sketches(column: pa.Array) -> np.ndarray:
     """A row of counts for each entry; one without a sketch counts as full everywhere."""
-    full = np.full(SLOTS, 2**16 - 1, dtype=np.uint16).tobytes()
+    full = np.full(SLOTS, FULL, dtype=np.uint16).tobytes()
     return np.frombuffer(b"".join(full if x is None else x for x in column.to_pylist()), dtype=np.uint16).reshape(-1, SLOTS)
 
 
 def _enough(n1: np.ndarray, n2: np.ndarray, s1: np.ndarray, s2: np.ndarray) -> np.ndarray:
-    """Whether sets can have enough in common to link: at most the lesser count of every slot."""
-    return np.minimum(s1, s2).sum(axis=-1, dtype=np.int64) >= -(-PERCENT * (n1 + n2) // (100 + PERCENT))
+    """Whether sets can have enough in common to link: at most the lesser count of every slot.
+
+    Counts stop at FULL, so a sketch with a full slot (some 8 million shingles) tells nothing and sets may link.
+    """
+    full = (np.maximum(s1, s2) == FULL).any(axis=-1)
+    return full | (np.minimum(s1, s2).sum(axis=-1, dtype=np.int64) >= -(-PERCENT * (n1 + n2) // (100 + PERCENT)))
 
 
 #: Out of the posting lists: a pair of groups, or (``other`` null) an entry of a long list.

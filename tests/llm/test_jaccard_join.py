@@ -1,5 +1,6 @@
 from collections import defaultdict
 
+import numpy as np
 import pytest
 from llm_fixtures import LOWER, clashing, documents, frame, words
 
@@ -68,3 +69,10 @@ def test_components_of_many_tasks(spark, monkeypatch):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100 + i, 100) for i in range(30)] + [(7, 7), (3, 2)]
     got = dict(map(tuple, components.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()))
     assert got == {i: 0 for i in range(41)} | {100 + i: 100 for i in range(30)}
+
+
+def test_full_sketches_may_link():
+    full, half = np.full((1, jaccard_join.SLOTS), 2**16 - 1, dtype=np.uint16), np.full((1, jaccard_join.SLOTS), 100, dtype=np.uint16)
+    n = np.array([10_000_000])
+    assert jaccard_join._enough(n, n, full, full).tolist() == [True]  # the counts' sum, 8.4 million, is no bound
+    assert jaccard_join._enough(np.array([12800]), np.array([12800]), half, half // 2).tolist() == [False]
