@@ -8,7 +8,7 @@ code points are hashed to ``BUCKETS`` slots.  A slot's value is (1 + ln count) *
     numbers.  Training is follow-the-regularised-leader with elastic-net penalties (``L1``, ``L2``), so that most weights
     are exactly 0.  Each of ``SHARDS`` tasks passes its share of the sample, beginning from the common state; after each
     of ``EPOCHS`` passes the shards' states are averaged.
--   A fifth of the sample is kept out of training and fits one temperature, by which the scores are calibrated.
+-   A fifth of the sample, of languages with ``LEAST_ASIDE`` sampled rows or more, is kept out of training and fits one temperature, by which the scores are calibrated.
 -   Prediction maps every row by its whole text; there is no shuffle.
 
 Nulls and edge cases: a text that is null or has no letter is ``und`` with score 0; rows without a language aren't
@@ -36,6 +36,8 @@ SHARDS = 4
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 0.02, 0.02
 UNDETERMINED = "und"
+#: Sampled rows from which a language's rows are put aside too; of fewer, all are trained on.
+LEAST_ASIDE = 20
 
 
 def _letters() -> np.ndarray:
@@ -141,7 +143,8 @@ def fit(learnable: DataFrame, per_language: int = 2000) -> Model | None:
 
     share = sum((F.when(F.col("lang") == x, min(1.0, per_language / totals[x])).otherwise(0.0) for x in languages), F.lit(0.0))
     # Drawn row by row and written at once: copies of one text are drawn one by one, and no later job draws anew.
-    sample = written(rows.where(F.rand(1) < share).withColumn("aside", F.rand(2) < 0.2).withColumn(
+    many = F.col("lang").isin([x for x in languages if min(totals[x], per_language) >= LEAST_ASIDE])
+    sample = written(rows.where(F.rand(1) < share).withColumn("aside", (F.rand(2) < 0.2) & many).withColumn(
         "shard", F.floor(F.rand(3) * SHARDS)), "lang-sample")
     shards = written(sample.where(~F.col("aside")).repartition(SHARDS, "shard"), "lang-shards")
     z, n = np.zeros((2, BUCKETS + 1, len(languages)))

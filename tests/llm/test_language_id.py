@@ -33,3 +33,10 @@ def test_one_language(spark):
     model = language_id.fit(frame(spark).select("text", "lang"))
     assert {r["lang_pred"] for r in language_id.predict(frame(spark), model).collect()} == {"en", "und"}
     assert language_id.predict(frame(spark, []), model).collect() == []
+
+
+def test_rare_languages_are_all_trained_on(spark):
+    rows = [(f"{chr(0x4E00 + 40 * k)}{chr(0x4E01 + 40 * k)}", f"l{k}") for k in range(40)]  # one row each
+    model = language_id.fit(spark.createDataFrame(rows, "text string, lang string"))
+    assert model.languages == sorted(x for _, x in rows)
+    assert (model.weights > 0).any(axis=0).all()  # only a language's own rows raise a weight
