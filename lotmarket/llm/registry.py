@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 Query = Callable[[SparkSession, str], DataFrame]
 
 #: Modules with a query of their own: each has QUERIES and may have SQL.
-MODULES = ("url_query", "chat_query", "jaccard_query", "decontaminate_query", "token_query", "language_query", "piece_query", "line_query", "quality_query", "suffix_query")
+MODULES = ("url_query", "chat_query", "jaccard_query", "decontaminate_query", "token_query", "language_query", "piece_query", "line_query", "quality_query", "suffix_query",
+           "recipe_query")
 
 
 def queries() -> dict[str, Query]:
