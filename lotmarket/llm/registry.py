@@ -11,7 +11,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 #: Modules with a query of their own: each has QUERIES and may have SQL.
 MODULES = ("url_query", "chat_query", "jaccard_query", "decontaminate_query", "token_query", "language_query", "piece_query", "line_query", "quality_query", "suffix_query",
-           "recipe_query", "audit_query")
+           "recipe_query", "merkle_query", "audit_query")
 
 
 def queries() -> dict[str, Query]:
