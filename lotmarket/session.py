@@ -7,9 +7,11 @@ the caller's session (and its ``spark.checkpoint.dir``) is used as-is.
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -66,3 +68,36 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     shared folder the cluster names for checkpoints.
     """
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def package_zip() -> bytes:
+    """The package's sources as a zip that Python can import from."""
+    root = os.path.dirname(os.path.abspath(__file__))
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, files in sorted(os.walk(root)):
+            for name in sorted(files):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(root)))
+    return out.getvalue()
+
+
+def ship(spark: SparkSession) -> None:
+    """Make the package importable in the Python workers of this session, wherever it was started from.
+
+    The zip goes to the shared checkpoint folder once per session; Spark hands it to each executor.
+    """
+    key = "spark.lotmarket.shipped"
+    app = spark.sparkContext.applicationId
+    if spark.conf.get(key, "") == app:
+        return
+    path = scratch_path(spark, "code") + "/lotmarket-code.zip"
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = where.getFileSystem(spark._jsc.hadoopConfiguration()).create(where)
+    try:
+        out.write(bytearray(package_zip()))
+    finally:
+        out.close()
+    spark.sparkContext.addPyFile(path)
+    spark.conf.set(key, app)
