@@ -43,3 +43,13 @@ def test_against_brute_force(spark, monkeypatch, bound):
 
 def test_empty(spark):
     assert suffix_dedup.without_repeats(frame(spark, [])).collect() == []
+
+
+def test_query_columns_agree(spark):
+    from hashlib import sha256
+
+    from lotmarket.llm.suffix_query import op10_suffix_dedup
+    rows = op10_suffix_dedup(spark, "/root/testdata/sf0.001").collect()
+    whole = [r for r in rows if "\ufffd" not in r["kept_text"]]
+    assert len(whole) > 100 and all(sha256(r["kept_text"].encode()).hexdigest() == r["kept_sha256"] for r in whole)
+    assert all(r["has_repeats"] == (r["n_removed"] > 0) for r in rows)
