@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lotmarket.operators.common import attach
-from lotmarket.operators.stats import column_quantiles, group_quantiles
+from lotmarket.operators.stats import column_quantiles, group_quantiles, reread
 
 
 def _one_row_join(df: DataFrame, row: DataFrame) -> DataFrame:
@@ -117,6 +117,8 @@ def impute_median(df: DataFrame, columns: Sequence[str] | None = None, fit_on: D
     leak into them; by default the frame itself is used.
     """
     cols = list(columns or numeric_columns(df))
+    if fit_on is None:
+        df = reread(df)
     src = fit_on if fit_on is not None else df
     meds = column_quantiles(src, cols, {"_med": 0.5})
     j = _one_row_join(df, meds)
@@ -148,6 +150,7 @@ def impute_const(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
 
 def iqr_clip(df: DataFrame, columns: Sequence[str], k: float = 1.5) -> DataFrame:
     """C4: clamp each column to ``[Q1 - k*IQR, Q3 + k*IQR]``; rows are kept, NULL stays NULL."""
+    df = reread(df)
     stats = column_quantiles(df, columns, {"_q1": 0.25, "_q3": 0.75})
     j = _one_row_join(df, stats)
     out = []

@@ -50,16 +50,16 @@ def join_small(df: DataFrame, small: DataFrame, keys: Sequence[str], how: str =
     carry a salt, so a key's rows meet ``SALTS`` copies of its one row in as many tasks.  ``small`` has the key
     columns and new ones; ``null_safe`` lets NULL keys meet.
     """
-    from lotmarket.sources.files import materialize
+    from lotmarket.sources.files import materialize_counted
 
-    small = materialize(small, "small-side")
+    small, n = materialize_counted(small, "small-side")
     names = {k: f"_key_{k}" for k in keys}
     small = small.withColumnsRenamed(names)
     match = lambda a, b: F.col(a).eqNullSafe(F.col(b)) if null_safe else F.col(a) == F.col(b)
     cond = None
     for k, renamed in names.items():
         cond = match(k, renamed) if cond is None else cond & match(k, renamed)
-    if small.limit(bound + 1).count() <= bound:
+    if n <= bound:
         return df.join(F.broadcast(small), cond, how).drop(*names.values())
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)))
     copies = small.withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from lotmarket.functions import core as fx
 from lotmarket.operators.common import attach, merge_rows
-from lotmarket.operators.stats import group_quantiles
+from lotmarket.operators.stats import column_quantiles, group_quantiles, reread
 
 
 def _ks(keys) -> list[str]:
@@ -60,15 +60,16 @@ def kpi_row(df: DataFrame, price: str, unit_price: str, high: float, year: str |
     count, mean and median price, median unit price, total (exact decimal sum),
     share of rows with ``price >= high`` and the count in the latest year.
     """
-    med = group_quantiles(df, None, price, {"median_price": 0.5}, method=method)
-    med_unit = group_quantiles(df, None, unit_price, {"median_unit_price": 0.5}, method=method)
+    df = reread(df.select(price, unit_price, *([year] if year else [])))
+    meds = column_quantiles(df, [price, unit_price], {"median": 0.5}, method=method).select(
+        F.col(f"median__{price}").alias("median_price"), F.col(f"median__{unit_price}").alias("median_unit_price"))
     aggs = [
         F.count("*").cast("bigint").alias("n_sales"),
         F.avg(price).alias("mean_price"),
         F.sum(F.col(price).cast("decimal(18,2)")).cast("double").alias("total_value"),
         (F.avg(F.when(F.col(price) >= high, 1.0).otherwise(0.0)) * 100).alias("pct_high"),
     ]
-    parts = [df.agg(*aggs), med, med_unit]
+    parts = [df.agg(*aggs), meds]
     if year is not None:
         parts.append(df.groupBy(year).agg(F.count("*").alias("_c"))
                      .agg(F.max_by("_c", year).cast("bigint").alias("latest_year_sales"),
@@ -80,6 +81,7 @@ def dispersion(df: DataFrame, keys, value: str, method: str | None = None) -> Da
     """A5 + B2: coefficient of variation = std / median * 100 (1 decimal, half-even)
     and its risk band (0,80] low, (80,120] medium, (120,inf) high."""
     ks = _ks(keys)
+    df = reread(df.select(*ks, value))
     med = group_quantiles(df, ks, value, {"median": 0.5}, method=method)
     sd = df.groupBy(*ks).agg(F.count(value).cast("bigint").alias("n"), F.stddev_samp(value).alias("std"))
     out = sd.join(med, ks, "inner")
@@ -92,7 +94,7 @@ def segment_table(df: DataFrame, units: str, value: str, method: str | None = No
     """B1 + A6 + W6: investor segment by unit count, count, median, share of binned rows."""
     seg = df.withColumn("segment", fx.bin_right_closed(
         units, [-1, 1, 10, None], ["own-use", "small investor", "institution"]))
-    seg = seg.where(F.col("segment").isNotNull())
+    seg = reread(seg.where(F.col("segment").isNotNull()).select("segment", value))
     counts = seg.groupBy("segment").agg(F.count("*").cast("bigint").alias("n"))
     med = group_quantiles(seg, "segment", value, {"median": 0.5}, method=method)
     out = counts.join(med, "segment", "left")
@@ -104,7 +106,7 @@ def binned_medians(df: DataFrame, x: str, y: str, lo: float, width: float, nbins
     """B3 + A8: right-closed equal-width bins of ``x``; median ``y`` per bin,
     kept when the bin has at least ``min_count`` rows.  ``bin_label`` is the
     bin's lower edge."""
-    b = df.withColumn("bin", fx.equal_width_bin(x, lo, width, nbins)).where(F.col("bin").isNotNull())
+    b = reread(df.withColumn("bin", fx.equal_width_bin(x, lo, width, nbins)).where(F.col("bin").isNotNull()).select("bin", y))
     counts = b.groupBy("bin").agg(F.count("*").cast("bigint").alias("n"))
     med = group_quantiles(b, "bin", y, {"median": 0.5}, method=method)
     out = counts.where(F.col("n") >= min_count).join(med, "bin", "left")
@@ -117,7 +119,7 @@ def banded_medians(df: DataFrame, x: str, y: str, edges, labels, keep_between=No
     d = df
     if keep_between is not None:
         d = d.where(F.col(x).between(*keep_between))
-    d = d.withColumn("band", fx.bin_right_closed(x, edges, labels)).where(F.col("band").isNotNull())
+    d = reread(d.withColumn("band", fx.bin_right_closed(x, edges, labels)).where(F.col("band").isNotNull()).select("band", y))
     counts = d.groupBy("band").agg(F.count("*").cast("bigint").alias("n"))
     return counts.join(group_quantiles(d, "band", y, {"median": 0.5}, method=method), "band", "left")
 
@@ -126,6 +128,7 @@ def multi_stats(df: DataFrame, keys, value: str, extra_mean: str | None = None,
                 method: str | None = None) -> DataFrame:
     """Count, mean, median per group (+ mean of a second column)."""
     ks = _ks(keys)
+    df = reread(df.select(*ks, value, *([extra_mean] if extra_mean else [])))
     aggs = [F.count("*").cast("bigint").alias("n"), F.avg(value).alias("mean")]
     if extra_mean:
         aggs.append(F.avg(extra_mean).alias(f"mean_{extra_mean}"))
@@ -145,6 +148,7 @@ def five_numbers(df: DataFrame, keys, value: str, method: str | None = None) ->
 
 def price_summary(df: DataFrame, value: str, method: str | None = None) -> DataFrame:
     """Overall mean, median, std, min, max, q25, q75."""
+    df = reread(df.select(value))
     base = df.agg(F.count(value).cast("bigint").alias("n"), F.avg(value).alias("mean"),
                   F.stddev_samp(value).alias("std"), F.min(value).alias("min"), F.max(value).alias("max"))
     q = group_quantiles(df, None, value, {"q25": 0.25, "median": 0.5, "q75": 0.75}, method=method)
@@ -209,7 +213,7 @@ def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
 
 def profile_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """A10: describe() for numeric columns in one pass over a long (unpivoted) frame."""
-    long = df.select(F.lit(0).alias("_id"), *[F.col(c).cast("double").alias(c) for c in columns]) \
+    long = reread(df.select(*columns)).select(F.lit(0).alias("_id"), *[F.col(c).cast("double").alias(c) for c in columns]) \
         .unpivot("_id", list(columns), "variable", "v")
     base = long.groupBy("variable").agg(
         F.count("v").cast("bigint").alias("count"), F.avg("v").alias("mean"),

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from lotmarket.operators.common import attach, join_small, one_row
 from lotmarket.session import ensure_checkpoint_dir
+from lotmarket.sources.files import materialize
 
 
 # --------------------------------------------------------------------------- splits
@@ -102,9 +103,10 @@ def predict_linear(df: DataFrame, coef: DataFrame, xs: Sequence[str], name: str
 def regression_metrics(df: DataFrame, y: str, p: str, group: Sequence[str] = ()) -> DataFrame:
     """M5: MAE, RMSE, R^2 (1 - SSE/SST), MAPE (%) over rows with y != 0, and
     accuracy = max(0, (1 - MAE / median(y)) * 100)."""
-    from lotmarket.operators.stats import group_quantiles
+    from lotmarket.operators.stats import group_quantiles, reread
     e = F.col(y) - F.col(p)
     ks = list(group)
+    df = reread(df.select(*ks, y, p))
     g = df.groupBy(*ks) if ks else df
     m = g.agg(F.count("*").cast("bigint").alias("n"), F.avg(F.abs(e)).alias("mae"),
               F.sqrt(F.avg(e * e)).alias("rmse"),
@@ -137,7 +139,7 @@ def r2_from_sums(k: int) -> Column:
 def kfold_linear_r2(df: DataFrame, y: str, xs: Sequence[str], fold: str, k: int) -> DataFrame:
     """M9: k-fold CV of a linear fit in one pass over the rows.  Training sums of fold f = total sums minus the sums
     of fold f; R^2 on fold f follows from its sums and that fit's coefficients."""
-    per = df.groupBy(fold).agg(*ols_sums(xs, y))
+    per = materialize(df.groupBy(fold).agg(*ols_sums(xs, y)), "fold-sums")  # a row for each fold
     stat_cols = [c for c in per.columns if c != fold]
     tot = per.agg(*[F.sum(c).alias(f"_t_{c}") for c in stat_cols])
     train = attach(per, tot).select(fold, *[(F.col(f"_t_{c}") - F.col(c)).alias(c) for c in stat_cols])

@@ -9,7 +9,7 @@ from lotmarket.functions import core as fx
 from lotmarket.operators import market as mk
 from lotmarket.operators import relational as rel
 from lotmarket.operators.common import join_small
-from lotmarket.operators.stats import group_quantiles
+from lotmarket.operators.stats import group_quantiles, reread
 from lotmarket.plans.binding import (GEO_SQL, REGION_INDICATORS_SQL, geo, region_indicators_long, sales,
                                      table, with_sales)
 from lotmarket.plans.catalog import register
@@ -174,6 +174,7 @@ SELECT l_orderkey, l_linenumber, neighborhood, round(sale_price, 4) AS sale_pric
 FROM sales"""))
 def target_encode(spark, d):
     s = sales(spark, d, part=False).select("l_orderkey", "l_linenumber", "neighborhood", "sale_price")
+    s = reread(s)
     med = group_quantiles(s, "neighborhood", "sale_price", {"neighborhood_median": 0.5})
     # per-group statistic joined back (no window holding a whole group in one task)
     return finish(join_small(s, med, ["neighborhood"]))
@@ -184,6 +185,7 @@ SELECT l_orderkey, l_linenumber, round((sale_price - m) / m * 100, 4) AS vs_medi
 FROM (SELECT *, median(sale_price) OVER (PARTITION BY neighborhood, building_type) AS m FROM sales)"""))
 def vs_group_median(spark, d):
     s = sales(spark, d).select("l_orderkey", "l_linenumber", "neighborhood", "building_type", "sale_price")
+    s = reread(s)
     med = group_quantiles(s, ["neighborhood", "building_type"], "sale_price", {"m": 0.5})
     j = join_small(s, med, ["neighborhood", "building_type"])
     return finish(j.select("l_orderkey", "l_linenumber",

@@ -10,7 +10,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,6 +60,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def materialize_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """As :func:`materialize`, and the number of rows, observed while they are written."""
+    seen = Observation()
+    out = materialize(df.observe(seen, F.count(F.lit(1)).alias("n")), name)
+    return out, seen.get["n"]
+
+
 def publish(df: DataFrame, root: str) -> str:
     """Full refresh.  The rows go to a new version's folder and only then a pointer to it is appended, so readers
     see the old version or the whole new one; returns the version's path."""

@@ -4,6 +4,7 @@ hot group."""
 import pytest
 from pyspark.sql import functions as F
 
+from lotmarket.operators import stats
 from lotmarket.operators.stats import group_quantiles
 
 
@@ -57,12 +58,31 @@ def test_values_of_all_magnitudes(spark):
             assert [*x] == pytest.approx([*y], rel=1e-9) if keys is None else x[0] == y[0] and [*x[1:]] == pytest.approx([*y[1:]], rel=1e-9)
 
 
-def test_no_exchange_on_the_group_key_sees_more_than_bins(spark):
-    """With one hot group, nothing is collected, and rows are dealt by (group, value) or (group, bin)."""
-    plan = group_quantiles(_skewed(spark), "g", "v", {"m": 0.5})._jdf.queryExecution().executedPlan().toString()
-    assert "collect_list" not in plan and "percentile" not in plan
-    dealt = [x.split(")")[0] for x in plan.split("hashpartitioning(")[1:]]
-    alone = [x for x in dealt if x.count("#") == 1]
-    assert any("_v#" in x for x in dealt) and any("_b#" in x for x in dealt)
-    # by the group alone: the counts of its bins, and what is picked of them
-    assert len(alone) <= 2, dealt
+def test_second_pass_shuffles_few_rows(spark):
+    """On unique values pass 2 keeps under 2 percent of the rows, and only they are dealt by group and value."""
+    n = 400_000
+    df = spark.range(n).select(F.when(F.col("id") % 3 == 0, "cold").otherwise("hot").alias("g"), (900 + F.rand(5) * 100_000).alias("_v"),
+                               F.lit(1).cast("long").alias("_t"))
+    binned = df.withColumn("_b", stats._bin(F.col("_v")))
+    bins, n_bins = stats.wanted_bins(binned, ["g"], {"m": 0.5, "q": 0.9})
+    assert 2 <= n_bins <= 8
+    assert 0 < stats.values_near(binned, ["g"], bins, n_bins).agg(F.sum("_c")).first()[0] < 0.02 * n
+    plan = group_quantiles(df, "g", "_v", {"m": 0.5})._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan and "percentile" not in plan and "SortMergeJoin" not in plan
+    assert plan.rindex("Exchange hashpartitioning(") < plan.index("BroadcastHashJoin"), "no exchange below the join with the wanted bins"
+
+
+def test_many_groups_meet_their_bins_by_a_join(spark, monkeypatch):
+    monkeypatch.setattr(stats, "BROADCAST_ROWS", 3)
+    df = _skewed(spark, 20000).withColumn("g", F.concat("g", (F.col("v") % 11).cast("int").cast("string")))
+    probs = {"a": 0.1, "m": 0.5}
+    out = group_quantiles(df, "g", "v", probs)
+    assert "BroadcastHashJoin" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert _as_dict(out, "g", list(probs)) == _as_dict(group_quantiles(df, "g", "v", probs, method="exact"), "g", list(probs))
+
+
+def test_reread_writes_only_what_a_shuffle_made(spark):
+    plain = spark.range(10).where("id > 2")
+    assert stats.reread(plain) is plain
+    joined = plain.join(plain.withColumnRenamed("id", "x"), F.col("id") == F.col("x"))
+    assert stats.reread(joined) is not joined and stats.reread(joined).count() == 7
