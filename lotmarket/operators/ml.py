@@ -14,6 +14,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -198,29 +200,65 @@ def learning_curve(df: DataFrame, y: str, xs: Sequence[str], fold: str, k: int,
 # Poisson(1) cumulative probabilities P(X <= k), k = 0..7.
 POISSON1_CDF = [0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.9810118431238462,
                 0.9963401531726563, 0.9994058151824183, 0.9999167588507119, 0.9999897508033253]
+#: A weight is drawn from 16 bits of a sha256, which holds draws for sixteen replicates.
+DRAW_BITS = 16
+DRAWS_PER_HASH = 256 // DRAW_BITS
+#: Draws below the k-th bound have weight k at most.
+POISSON1_BOUNDS = [int(p * (1 << DRAW_BITS)) for p in POISSON1_CDF]
 
 
-def poisson1_weight(u: Column) -> Column:
-    """Inverse-CDF Poisson(1) draw from a uniform ``u`` in [0, 1)."""
-    out = None
-    for k, p in enumerate(POISSON1_CDF):
-        out = F.when(u < p, F.lit(k)) if out is None else out.when(u < p, F.lit(k))
-    return out.otherwise(F.lit(len(POISSON1_CDF)))
+def replicate_draws(name: Column, reps: int, seed: int) -> Column:
+    """A binary value with 16 random bits for each replicate: sha256 of seed, block of sixteen replicates and the row's
+    name."""
+    blocks = -(-reps // DRAWS_PER_HASH)
+    return F.concat(*[F.unhex(F.sha2(F.concat(F.lit(f"{seed}-{b}-"), name), 256)) for b in range(blocks)])
+
+
+def bootstrap_sums(train: DataFrame, key: Sequence[str], y: str, xs: Sequence[str], reps: int, seed: int) -> DataFrame:
+    """The sums of :func:`ols_sums` for each replicate ``rep`` (1..reps) of a Poisson bootstrap.
+
+    No row is copied: a batch's rows times their weights for all replicates are one matrix product, added up in the
+    task, so a task sends one row a replicate, whatever the number of its rows.  Rows with a NULL take no part.
+    """
+    names = ["n", "sy", "syy"]
+    for i in range(1, len(xs) + 1):
+        names += [f"s{i}", f"s{i}y", f"s{i}{i}"]
+    if len(xs) == 2:
+        names.append("s12")
+    rows = train.na.drop(subset=[y, *xs]).select(F.concat_ws("-", *[F.col(c).cast("string") for c in key]).alias("name"), F.col(y).cast("double").alias("y"),
+                                                 *[F.col(x).cast("double").alias(f"x{i}") for i, x in enumerate(xs, 1)])
+    rows = rows.withColumn("draws", replicate_draws(F.col("name"), reps, seed)).drop("name")
+    width, k = -(-reps // DRAWS_PER_HASH) * DRAWS_PER_HASH, len(xs)
+
+    def task_sums(batches):
+        total = np.zeros((reps, len(names)))
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            draws = np.frombuffer(b"".join(batch.column("draws").to_pylist()), dtype=">u2").reshape(-1, width)[:, :reps]
+            weights = np.searchsorted(POISSON1_BOUNDS, draws, side="right").astype(float)
+            yv = batch.column("y").to_numpy()
+            x = [batch.column(f"x{i}").to_numpy() for i in range(1, k + 1)]
+            stats = [np.ones_like(yv), yv, yv * yv]
+            for v in x:
+                stats += [v, v * yv, v * v]
+            if k == 2:
+                stats.append(x[0] * x[1])
+            total += weights.T @ np.stack(stats, axis=1)
+        yield pa.RecordBatch.from_arrays([pa.array(range(1, reps + 1), pa.int32()), *[pa.array(c) for c in total.T]], names=["rep", *names])
+
+    parts = rows.mapInArrow(task_sums, "rep int, " + ", ".join(f"{c} double" for c in names))
+    return parts.groupBy("rep").agg(*[F.sum(c).alias(c) for c in names])
 
 
 def bootstrap_intervals(train: DataFrame, test: DataFrame, key: Sequence[str], y: str, xs: Sequence[str],
                         reps: int = 100, seed: int = 7, lo: float = 0.05, hi: float = 0.95) -> DataFrame:
-    """Poisson bootstrap of a linear fit.  Each training row gets a weight
-    per replicate from a hash of (key, replicate); the ``reps`` weighted fits are
-    one grouped aggregate; the ``reps`` coefficient rows (bounded by the
-    parameter) reach every test row as one array-valued scalar subquery, and the
-    row's ``lo``/``hi`` quantiles (linear interpolation, as ``percentile``) are
-    read from its sorted predictions: no join, no shuffle of the test rows."""
-    r = train.select(*key, y, *xs, F.explode(F.sequence(F.lit(1), F.lit(reps))).alias("rep"))
-    u = (F.pmod(F.xxhash64(F.lit(seed), F.col("rep"), *[F.col(c) for c in key]), F.lit(1 << 30))
-         / F.lit(float(1 << 30)))
-    r = r.withColumn("_w", poisson1_weight(u).cast("double"))
-    coef = r.groupBy("rep").agg(*ols_sums(xs, y, F.col("_w"))).select("rep", *ols_coefficients(len(xs)))
+    """Poisson bootstrap of a linear fit.  Each training row has a weight per replicate, drawn from a sha256 of
+    (seed, replicate, key); the sums of all replicates are gathered without copies of rows (:func:`bootstrap_sums`).
+    The ``reps`` coefficient rows (bounded by the parameter) reach every test row as one array-valued scalar subquery,
+    and the row's ``lo``/``hi`` quantiles (linear interpolation, as ``percentile``) are read from its sorted
+    predictions: no join, no shuffle of the test rows."""
+    coef = bootstrap_sums(train, key, y, xs, reps, seed).select("rep", *ols_coefficients(len(xs)))
     fits = one_row(coef.agg(F.collect_list(F.struct(*[F.col(f"b{i}") for i in range(len(xs) + 1)])).alias("c")))
     # the scalar lands in a column first: subqueries may not sit inside transform()
     t = test.select(*key, y, *xs, fits["c"].alias("_fits"))
@@ -231,7 +269,9 @@ def bootstrap_intervals(train: DataFrame, test: DataFrame, key: Sequence[str], y
             p = p + c[f"b{i}"] * F.col(x)
         return p
 
-    preds = F.sort_array(F.transform(F.col("_fits"), pred))
+    # a column of its own: read several times below, worked out once
+    t = t.select(*key, y, F.sort_array(F.transform(F.col("_fits"), pred)).alias("_preds"))
+    preds = F.col("_preds")
 
     def quantile(q):
         pos = (F.size(preds) - 1) * F.lit(q)

@@ -258,19 +258,48 @@ def learning_curve(spark, d):
     return finish(ml.learning_curve(b, "y", XS, "fold", 3, "bucket2", SIZES))
 
 
-@register("bootstrap_interval")
-def bootstrap_interval(spark, d):
-    """Rows-only: replicate weights come from xxhash64."""
+REPS, BOOT_SEED = 100, 7
+
+
+def _boot_sql() -> str:
+    """DuckDB twin of :func:`lotmarket.operators.ml.bootstrap_intervals`: every training row meets every replicate."""
+    h = f"sha256(concat_ws('-', '{BOOT_SEED}', CAST(rep // {ml.DRAWS_PER_HASH} AS VARCHAR), CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR)))"
+    digits = " + ".join(f"(instr('0123456789abcdef', substring(h, CAST(4 * (rep % {ml.DRAWS_PER_HASH}) + {i + 1} AS BIGINT), 1)) - 1) * {16 ** (3 - i)}" for i in range(4))
+    weight = " + ".join(f"CASE WHEN u >= {x} THEN 1 ELSE 0 END" for x in ml.POISSON1_BOUNDS)
+    sums = "sum(w) AS n, sum(w * y) AS sy, sum(w * x1) AS s1, sum(w * x2) AS s2, sum(w * x1 * x1) AS s11, sum(w * x2 * x2) AS s22, " \
+           "sum(w * x1 * x2) AS s12, sum(w * x1 * y) AS s1y, sum(w * x2 * y) AS s2y"
+    return BASE_SQL + f""",
+draws AS (SELECT rep, y, x1, x2, {digits} AS u FROM (SELECT tr.*, rep, {h} AS h FROM tr, range({REPS}) r(rep))),
+bs AS (SELECT rep, {sums} FROM (SELECT *, {weight} AS w FROM draws) GROUP BY rep),
+bc AS (SELECT rep, b1, b2, sy / n - b1 * s1 / n - b2 * s2 / n AS b0 FROM (
+  SELECT *, (c22 * c1y - c12 * c2y) / (c11 * c22 - c12 * c12) AS b1, (c11 * c2y - c12 * c1y) / (c11 * c22 - c12 * c12) AS b2
+  FROM (SELECT *, s11 - s1 * s1 / n AS c11, s22 - s2 * s2 / n AS c22, s12 - s1 * s2 / n AS c12,
+               s1y - s1 * sy / n AS c1y, s2y - s2 * sy / n AS c2y FROM bs))),
+iv AS (SELECT any_value(l_orderkey) AS l_orderkey, any_value(l_linenumber) AS l_linenumber, any_value(te.y) AS y,
+              quantile_cont(bc.b0 + bc.b1 * te.x1 + bc.b2 * te.x2, 0.05) AS lower, quantile_cont(bc.b0 + bc.b1 * te.x1 + bc.b2 * te.x2, 0.95) AS upper
+       FROM (SELECT *, row_number() OVER () AS id FROM te) te, bc GROUP BY id)"""
+
+
+def _bootstrap(spark, d):
     tr, te = split(spark, d)
-    return finish(ml.bootstrap_intervals(tr, te, ["l_orderkey", "l_linenumber", "x1", "x2"], "y", XS, reps=100))
+    return ml.bootstrap_intervals(tr, te, KEY, "y", XS, reps=REPS, seed=BOOT_SEED)
+
+
+# Prices to the cent: the two engines add the sums up in different orders.
+@register("bootstrap_interval", with_sales("""
+SELECT l_orderkey, l_linenumber, round(y, 2) AS y, round(lower, 2) AS lower, round(upper, 2) AS upper,
+       y BETWEEN lower AND upper AS covered, round(upper - lower, 2) AS width FROM iv""", _boot_sql()))
+def bootstrap_interval(spark, d):
+    return finish(_bootstrap(spark, d), 2)
 
 
-@register("bootstrap_summary")
+@register("bootstrap_summary", with_sales("""
+SELECT round(avg(CASE WHEN y BETWEEN lower AND upper THEN 1.0 ELSE 0.0 END) * 100, 4) AS coverage_pct,
+       round(avg(upper - lower), 4) AS mean_width, count(*) AS n FROM iv""", _boot_sql()))
 def bootstrap_summary(spark, d):
-    """Rows-only: coverage and mean width of the 90 % intervals."""
-    b = bootstrap_interval(spark, d)
-    return finish(b.agg((F.avg(F.col("covered").cast("double")) * 100).alias("coverage_pct"),
-                        F.avg("width").alias("mean_width"), F.count("*").cast("bigint").alias("n")))
+    """Coverage and mean width of the 90 % intervals."""
+    return finish(_bootstrap(spark, d).agg((F.avg(F.col("covered").cast("double")) * 100).alias("coverage_pct"),
+                                           F.avg("width").alias("mean_width"), F.count("*").cast("bigint").alias("n")))
 
 
 # Forest of 150 trees of depth 14 (seed 42) and boosted trees

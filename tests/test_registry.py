@@ -2,8 +2,7 @@
 
 from lotmarket.plans import catalog
 
-ROWS_ONLY = {"rf_fit", "gbt_fit", "bootstrap_interval", "bootstrap_summary",
-             "file_fingerprint"}
+ROWS_ONLY = {"rf_fit", "gbt_fit", "file_fingerprint"}
 
 
 def test_oracle_coverage():
