@@ -10,7 +10,7 @@ from lotmarket.plans import catalog
 from lotmarket.plans.binding import TABLES
 from conftest import SF_SMALL
 
-SLOW = {"rf_fit", "gbt_fit"}
+SLOW = {"rf_fit"}
 
 
 def _norm(v):
