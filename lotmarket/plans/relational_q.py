@@ -231,6 +231,29 @@ def bbox_join(spark, d):
     return finish(rel.range_join_count(poi_points(spark, d), BOXES, "lat", "lon", "cls"))
 
 
+# A catchment box around each supplier of a positive balance: hundreds of overlapping boxes, larger with the balance.
+CATCHMENTS_SQL = """catchments AS (
+  SELECT s_suppkey, y - r AS south, x - 2 * r AS west, y + r AS north, x + 2 * r AS east FROM (
+    SELECT s_suppkey, 40.47 + ((s_suppkey * 6151) % 997) / 997.0 * 0.45 AS y, -74.26 + ((s_suppkey * 7919) % 991) / 991.0 * 0.56 AS x,
+           0.001 + s_acctbal / 10000.0 * 0.02 AS r FROM supplier WHERE s_acctbal > 0))"""
+
+
+def catchments(spark, d):
+    s = table(spark, d, "supplier").where("s_acctbal > 0")
+    y = F.lit(40.47) + ((F.col("s_suppkey") * 6151) % 997) / 997.0 * 0.45
+    x = F.lit(-74.26) + ((F.col("s_suppkey") * 7919) % 991) / 991.0 * 0.56
+    r = F.lit(0.001) + F.col("s_acctbal") / 10000.0 * 0.02
+    return s.select("s_suppkey", (y - r).alias("south"), (x - 2 * r).alias("west"), (y + r).alias("north"), (x + 2 * r).alias("east"))
+
+
+@register("catchment_join", f"""WITH {POINTS_SQL}, {CATCHMENTS_SQL}
+SELECT b.s_suppkey, p.cls, count(*) AS n FROM pts p JOIN catchments b
+  ON p.lat BETWEEN b.south AND b.north AND p.lon BETWEEN b.west AND b.east GROUP BY 1, 2""")
+def catchment_join(spark, d):
+    """J8 over a table of boxes that comes from the data."""
+    return finish(rel.range_join_count(poi_points(spark, d), catchments(spark, d), "lat", "lon", "cls", "s_suppkey"))
+
+
 @register("rate_per_100k", f"""WITH {POINTS_SQL}
 SELECT name, total, round(total * 100000.0 / (SELECT count(*) FROM customer), 4) AS rate_per_100k,
        building, machinery FROM (
