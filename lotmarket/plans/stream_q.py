@@ -14,8 +14,9 @@ SLICE_SQL = f"""(epoch_us(ts) - (SELECT min(epoch_us(ts)) FROM events)) * {SLICE
   // ((SELECT max(epoch_us(ts)) FROM events) - (SELECT min(epoch_us(ts)) FROM events) + 1)"""
 
 
-def _stream(spark, d, replay_every: int = 0):
-    folder, files = jobs.stage_by_time(spark.read.schema(jobs.EVENTS_SCHEMA).parquet(f"{d}/events.parquet"), SLICES, replay_every=replay_every)
+def _stream(spark, d, replay_every: int = 0, replay_lag: int = 1):
+    folder, files = jobs.stage_by_time(spark.read.schema(jobs.EVENTS_SCHEMA).parquet(f"{d}/events.parquet"), SLICES,
+                                       replay_every=replay_every, replay_lag=replay_lag)
     return jobs.events_stream(spark, folder, files)
 
 
@@ -54,3 +55,11 @@ def stream_quality(spark, d):
     ev = _stream(spark, d).withColumn("day", F.to_date("ts"))
     out = jobs.run_to_table(ev, "stream-quality", per_batch=jobs.quality_writer({"value": (0.0, 50.0)}, "day"))
     return finish(spark.read.parquet(f"{out}/report").drop("batch_id"))
+
+
+@register("stream_insert_new", "SELECT DISTINCT event_id, user_id, event_type, ts FROM events")
+def stream_insert_new(spark, d):
+    """U6 on the stream: every second event comes again three slices (22 days) later, and is ignored."""
+    rows = _stream(spark, d, replay_every=2, replay_lag=3).select("event_id", "user_id", "event_type", "ts")
+    out = jobs.insert_new(rows, "stream-insert-new", ["event_id"], ["ts", "user_id", "event_type"])
+    return finish(spark.read.parquet(f"{out}/out").drop("batch_id"))

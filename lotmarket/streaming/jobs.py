@@ -45,18 +45,21 @@ def time_slice(events: DataFrame, slices: int) -> DataFrame:
     return attach(events, span).withColumn("slice", part).drop("_lo", "_hi")
 
 
-def stage_by_time(events: DataFrame, slices: int = 4, files: int = 2, replay_every: int = 0) -> tuple[str, int]:
+def stage_by_time(events: DataFrame, slices: int = 4, files: int = 2, replay_every: int = 0, replay_lag: int = 1) -> tuple[str, int]:
     """Write the events slice by slice, oldest first, ``files`` files each: (folder, files per slice).
 
-    With ``replay_every`` k, each slice also brings every k-th event of the slice before once more, as a source
-    that delivers at least once does."""
+    The table is read once and laid out by slice; the slices are then fed from there.  With ``replay_every`` k, each
+    slice also brings every k-th event of the slice ``replay_lag`` before it once more, as a source that delivers at
+    least once does."""
     spark = events.sparkSession
-    folder = scratch_path(spark, "events-by-time") + "/events"
-    cut = time_slice(events, slices)
+    base = scratch_path(spark, "events-by-time")
+    folder, cut = f"{base}/events", f"{base}/slices"
+    time_slice(events, slices).select(*EVENTS_SCHEMA.names, "slice").write.partitionBy("slice").parquet(cut)
+    laid = spark.read.schema(T.StructType([*EVENTS_SCHEMA.fields, T.StructField("slice", T.LongType())])).parquet(cut)
     for i in range(slices):
-        rows = cut.where(F.col("slice") == i)
+        rows = laid.where(F.col("slice") == i)
         if replay_every:
-            rows = rows.union(cut.where((F.col("slice") == i - 1) & (F.col("event_id") % replay_every == 0)))
+            rows = rows.union(laid.where((F.col("slice") == i - replay_lag) & (F.col("event_id") % replay_every == 0)))
         rows.select(*EVENTS_SCHEMA.names).repartition(files).write.mode("append").parquet(folder)
     return folder, files
 
@@ -99,6 +102,33 @@ def dedup_within_watermark(events: DataFrame, keys: Sequence[str], delay: str =
     return events.withWatermark("ts", delay).dropDuplicatesWithinWatermark(list(keys))
 
 
+def insert_new(events: DataFrame, name: str, keys: Sequence[str], order: Sequence[str], folder: str | None = None) -> str:
+    """U6 on a stream: rows whose key no earlier batch has brought, whenever that was; of several in one batch the first
+    in ``order``.  Returns the folder of the table.
+
+    The table itself says which keys are known: a batch's new keys are looked up in the key columns of all batches with a
+    smaller id.  So there is no state that could be dropped or that grows in memory; a batch that is tried again sees
+    what its first try saw and replaces it, and a job started again on its folder goes on to the same table.  Up to
+    ``BROADCAST_ROWS`` keys of a batch travel to the table's rows, which aren't shuffled; beyond, both sides are.
+    """
+    from lotmarket.operators.common import BROADCAST_ROWS
+    from lotmarket.operators.relational import dedup_first
+    from lotmarket.sources.files import materialize_counted
+    base = folder or scratch_path(events.sparkSession, name)
+    ks = list(keys)
+
+    def fresh(batch: DataFrame, epoch: int) -> Mapping[str, DataFrame]:
+        first, n = materialize_counted(dedup_first(batch, ks, order), "batch-first")
+        if epoch == 0 or not n:
+            return {"out": first}
+        mine = first.select(*ks)
+        known = batch.sparkSession.read.schema(T.StructType([*first.schema.fields, T.StructField("batch_id", T.LongType())])).parquet(f"{base}/out")
+        seen = known.where(F.col("batch_id") < epoch).join(F.broadcast(mine) if n <= BROADCAST_ROWS else mine, ks, "left_semi").select(*ks)
+        return {"out": first.join(seen, ks, "left_anti").select(*first.columns)}
+
+    return run_to_table(events, name, folder=base, per_batch=fresh)
+
+
 def value_counts(batch: DataFrame, _epoch: int) -> Mapping[str, DataFrame]:
     """ST4: a batch's rows counted per type and value.  The running figures are read from the table of counts
     (``kpi_of_counts``), so the stream keeps no state at all and the median stays exact."""

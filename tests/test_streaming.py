@@ -75,3 +75,59 @@ def test_late_windows_leave_the_state(spark):
     out = jobs.run_to_table(jobs.tumbling_counts(jobs.events_stream(spark, folder)), "late", mode="update")
     got = {r["w"]["start"].day: r["n"] for r in jobs.latest(spark.read.parquet(f"{out}/out"), ["w", "event_type"]).collect()}
     assert got == {1: 2, 11: 1, 21: 1, 22: 1}  # the last event is 20 days late
+
+
+def _insert_batches(spark, name, batches):
+    folder = scratch_path(spark, name) + "/events"
+    for rows in batches:
+        spark.createDataFrame(rows, jobs.EVENTS_SCHEMA).coalesce(1).write.mode("append").parquet(folder)
+    return folder
+
+
+def test_insert_new_knows_keys_for_all_time_and_restarts(spark, monkeypatch):
+    day = lambda n: dt.datetime(2024, 1, 1) + dt.timedelta(days=n)
+    row = lambda i, n, user: (i, day(n), user, "a", 1.0, "{}")
+    first = [row(1, 5, 50), row(2, 0, 1), row(1, 0, 51), row(1, 0, 49)]
+    folder = _insert_batches(spark, "ins", [first])
+    base = scratch_path(spark, "ins-job")
+    run = lambda: jobs.insert_new(jobs.events_stream(spark, folder).select("event_id", "user_id", "ts"), "ins", ["event_id"], ["ts", "user_id"], folder=base)
+    run()
+    spark.createDataFrame([row(1, 400, 9), row(3, 400, 9), row(2, 900, 9)], jobs.EVENTS_SCHEMA).coalesce(1).write.mode("append").parquet(folder)
+    spark.createDataFrame([row(3, 800, 8), row(4, 1, 8)], jobs.EVENTS_SCHEMA).coalesce(1).write.mode("append").parquet(folder)
+    expected = [(1, 49), (2, 1), (3, 9), (4, 8)]
+    rows = lambda: sorted((r.event_id, r.user_id) for r in spark.read.parquet(f"{base}/out").collect())
+
+    # the second batch is written, then the job dies before the batch is committed
+    whole, calls = jobs.run_to_table, []
+
+    def dying(df, name, mode="append", folder=None, per_batch=None):
+        def once(batch, epoch):
+            tables = per_batch(batch, epoch)
+            if epoch == 1 and not calls:
+                calls.append(epoch)
+                for table, part in tables.items():
+                    part.write.mode("overwrite").parquet(f"{folder}/{table}/batch_id={epoch}")
+                raise RuntimeError("killed")
+            return tables
+        return whole(df, name, mode, folder, once)
+
+    monkeypatch.setattr(jobs, "run_to_table", dying)
+    try:
+        run()
+    except Exception as e:
+        assert "killed" in str(e)
+    assert calls == [1]
+    run()
+    assert rows() == expected
+    run()
+    assert rows() == expected
+
+
+def test_insert_new_with_keys_beyond_the_broadcast(spark, monkeypatch):
+    from lotmarket.operators import common
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 1)
+    day = lambda n: dt.datetime(2024, 1, 1) + dt.timedelta(days=n)
+    folder = _insert_batches(spark, "ins2", [[(i, day(i), 1, "a", 1.0, "{}") for i in range(5)], [(i, day(90), 2, "a", 1.0, "{}") for i in range(3, 9)]])
+    out = jobs.insert_new(jobs.events_stream(spark, folder).select("event_id", "user_id", "ts"), "ins2", ["event_id"], ["ts"])
+    got = sorted((r.event_id, r.user_id) for r in spark.read.parquet(f"{out}/out").collect())
+    assert got == [(i, 1) for i in range(5)] + [(i, 2) for i in range(5, 9)]
