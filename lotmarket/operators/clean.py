@@ -7,14 +7,15 @@ key, so the step stays a single lazy plan.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lotmarket.operators.common import attach
 from lotmarket.operators.stats import column_quantiles, group_quantiles, reread
+from lotmarket.sources.files import counts_of, materialize
 
 
 def _one_row_join(df: DataFrame, row: DataFrame) -> DataFrame:
@@ -190,28 +191,46 @@ def degenerate_columns(df: DataFrame, columns: Sequence[str] | None = None) -> D
 
 # --------------------------------------------------------------------------- audit
 
-def audit_metrics(df: DataFrame, step: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """One long row set for a step: rows, columns and NULLs per column."""
-    cols = list(columns or df.columns)
-    row = df.agg(F.count("*").alias("_rows"), *[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
-    parts = [F.struct(F.lit("rows").alias("metric"), F.lit(None).cast("string").alias("column"),
-                      F.col("_rows").cast("bigint").alias("value")),
-             F.struct(F.lit("columns").alias("metric"), F.lit(None).cast("string").alias("column"),
-                      F.lit(len(df.columns)).cast("bigint").alias("value"))]
-    parts += [F.struct(F.lit("nulls").alias("metric"), F.lit(c).alias("column"), F.col(c).cast("bigint").alias("value"))
-              for c in cols]
-    return row.select(F.lit(step).alias("step"), F.inline(F.array(*parts)))
-
-
-def audit_trail(steps: Sequence[tuple[str, DataFrame]], columns: Sequence[str]) -> DataFrame:
-    """before/after table: (step, metric, column, before, after) for consecutive steps."""
-    frames = [audit_metrics(df, name, [c for c in columns if c in df.columns]) for name, df in steps]
-    out = None
-    for (name, _), a, b in zip(steps[1:], frames, frames[1:]):
-        cond = (F.col("a.metric") == F.col("b.metric")) & F.col("a.column").eqNullSafe(F.col("b.column"))
-        j = a.alias("a").join(b.alias("b"), cond, "full")
-        j = j.select(F.lit(name).alias("step"), F.coalesce("a.metric", "b.metric").alias("metric"),
-                     F.coalesce("a.column", "b.column").alias("column"),
-                     F.col("a.value").alias("before"), F.col("b.value").alias("after"))
-        out = j if out is None else out.unionByName(j)
-    return out
+def _observed(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """``df`` with its row count and the NULLs of each column, gathered while it is computed for something else."""
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col(c).isNull()).alias(f"nulls {c}") for c in df.columns]), seen
+
+
+def _counts(df: DataFrame, seen: Observation) -> dict[str, int]:
+    return {"rows": 0} | {f"nulls {c}": 0 for c in df.columns} | counts_of(seen)
+
+
+def drop_sparse_seen(threshold_pct: float) -> Callable[[DataFrame, Mapping[str, int]], DataFrame]:
+    """C5 as a step of :func:`audited`: the NULL rates are those observed on its input, so nothing is read for them."""
+    def run(df: DataFrame, seen: Mapping[str, int]) -> DataFrame:
+        n = seen["rows"]
+        return df.drop(*[c for c in df.columns if n and seen[f"nulls {c}"] * 100.0 / n > threshold_pct])
+    run.reads_counts = True  # the step before must be complete
+    return run
+
+
+def audited(source: DataFrame, steps: Sequence[tuple[str, Callable]], columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Runs the cleaning steps over one reading of the source: (cleaned rows, audit trail).
+
+    Every step's row count and NULLs are observed while the rows pass through it.  Rows are written where a step needs
+    the counts of its input (one that takes them as a second argument), and at the end.  The trail has (step, metric,
+    column, before, after) for each step: metrics ``rows``, ``columns``, and ``nulls`` of each of ``columns``.
+    """
+    frame, seen = _observed(source)
+    states = [("", source, seen)]
+    for name, step in steps:
+        if getattr(step, "reads_counts", False):
+            frame = materialize(frame, "clean-step")
+            following = step(frame, _counts(frame, seen))
+        else:
+            following = step(frame)
+        frame, seen = _observed(following)
+        states.append((name, following, seen))
+    cleaned = materialize(frame, "cleaned")
+    rows = []
+    for (_, had, before), (name, has, after) in zip(states, states[1:]):
+        a, b = _counts(had, before), _counts(has, after)
+        rows += [(name, "rows", None, a["rows"], b["rows"]), (name, "columns", None, len(had.columns), len(has.columns))]
+        rows += [(name, "nulls", c, a.get(f"nulls {c}"), b.get(f"nulls {c}")) for c in columns if f"nulls {c}" in {**a, **b}]
+    return cleaned, source.sparkSession.createDataFrame(rows, "step string, metric string, column string, before bigint, after bigint")

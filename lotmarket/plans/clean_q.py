@@ -135,15 +135,14 @@ def threshold_report(spark, d):
 AUDIT_COLS = ["building_type", "gross_sqft", "land_sqft", "apartment", "easement"]
 
 
-def _pipeline_b_steps(spark, d):
-    raw = raw_frame(spark, d)
-    s1 = rel.dedup_full(raw)
-    s2 = rel.dedup_first(s1, ["l_orderkey", "l_linenumber"],
-                         ["sale_price", "address", "neighborhood", "sale_date", "total_units", "year_built",
-                          "building_type", "gross_sqft", "land_sqft", "borough_name", "apartment"])
-    s3 = cl.drop_sparse(s2, 50.0)  # C5: apartment (2/3 missing) and easement (all missing)
-    s4 = cl.impute_const(s3, {"gross_sqft": 1.0, "land_sqft": 0.0, "building_type": "UNKNOWN"})
-    return [("raw", raw), ("dedup_full", s1), ("dedup_key", s2), ("drop_sparse", s3), ("fill", s4)]
+PIPE_B_ORDER = ["sale_price", "address", "neighborhood", "sale_date", "total_units", "year_built",
+                "building_type", "gross_sqft", "land_sqft", "borough_name", "apartment"]
+PIPE_B = [
+    ("dedup_full", rel.dedup_full),
+    ("dedup_key", lambda df: rel.dedup_first(df, ["l_orderkey", "l_linenumber"], PIPE_B_ORDER)),
+    ("drop_sparse", cl.drop_sparse_seen(50.0)),  # C5: apartment (2/3 missing) and easement (all missing)
+    ("fill", lambda df: cl.impute_const(df, {"gross_sqft": 1.0, "land_sqft": 0.0, "building_type": "UNKNOWN"})),
+]
 
 
 @register("clean_audit", with_sales("""
@@ -161,7 +160,7 @@ SELECT step, metric, "column", before, after FROM (
   UNION ALL SELECT 'drop_sparse', 'columns', NULL, 14, 12
   UNION ALL SELECT 'fill', 'columns', NULL, 12, 12)""", RAW_SQL))
 def clean_audit(spark, d):
-    trail = cl.audit_trail(_pipeline_b_steps(spark, d), AUDIT_COLS)
+    _, trail = cl.audited(raw_frame(spark, d), PIPE_B, AUDIT_COLS)
     return finish(trail.where(F.col("metric") != "nulls"))
 
 
@@ -175,7 +174,7 @@ d AS (SELECT * EXCLUDE (rk) FROM (SELECT *, row_number() OVER (PARTITION BY l_or
         ORDER BY sale_price, address, neighborhood, sale_date, total_units, year_built, building_type,
                  gross_sqft, land_sqft, borough_name, apartment) AS rk FROM (SELECT DISTINCT * FROM raw)) WHERE rk = 1)"""))
 def clean_audit_nulls(spark, d):
-    trail = cl.audit_trail(_pipeline_b_steps(spark, d), AUDIT_COLS)
+    _, trail = cl.audited(raw_frame(spark, d), PIPE_B, AUDIT_COLS)
     return finish(trail.where((F.col("metric") == "nulls") & (F.col("step") == "fill")
                               & F.col("before").isNotNull() & F.col("after").isNotNull()))
 
@@ -232,8 +231,7 @@ d AS (SELECT * EXCLUDE (rk) FROM (SELECT *, row_number() OVER (PARTITION BY l_or
         ORDER BY sale_price, address, neighborhood, sale_date, total_units, year_built, building_type,
                  gross_sqft, land_sqft, borough_name, apartment) AS rk FROM (SELECT DISTINCT * FROM raw)) WHERE rk = 1)"""))
 def clean_pipeline_b(spark, d):
-    steps = _pipeline_b_steps(spark, d)
-    s4 = steps[-1][1]
+    s4, _ = cl.audited(raw_frame(spark, d), PIPE_B, AUDIT_COLS)
     s5 = cl.trim_text_columns(s4)
     out = s5.select("l_orderkey", "l_linenumber", F.upper("borough_name").alias("borough"),
                     F.upper("neighborhood").alias("neighborhood"), "building_type", "sale_price", "gross_sqft",

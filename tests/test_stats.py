@@ -86,3 +86,11 @@ def test_reread_writes_only_what_a_shuffle_made(spark):
     assert stats.reread(plain) is plain
     joined = plain.join(plain.withColumnRenamed("id", "x"), F.col("id") == F.col("x"))
     assert stats.reread(joined) is not joined and stats.reread(joined).count() == 7
+
+
+def test_empty_frames(spark):
+    df = spark.createDataFrame([], "g string, v double")
+    assert group_quantiles(df, "g", "v", {"m": 0.5}).collect() == []
+    assert group_quantiles(df.join(df.withColumnRenamed("v", "w"), "g"), "g", "v", {"m": 0.5}, with_n="n").collect() == []
+    none = spark.range(4).select(F.lit("a").alias("g"), F.lit(None).cast("double").alias("v"))
+    assert group_quantiles(none, "g", "v", {"m": 0.5}).collect() == [] and group_quantiles(none, None, "v", {"m": 0.5}).collect() == []
