@@ -144,6 +144,30 @@ def parse_dates(spark, d):
     return finish(attach(t, failed))
 
 
+ISO_TEXT_SQL = """iso AS (
+  SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d')
+                                         WHEN 1 THEN strftime(CAST(o_orderdate AS DATE), '%Y-%m-%dT12:30:00')
+                                         WHEN 2 THEN ' ' || strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d 23:59:59')
+                                         WHEN 3 THEN strftime(CAST(o_orderdate AS DATE), '%m/%d/%Y')
+                                         ELSE strftime(CAST(o_orderdate AS DATE), '%Y%m') END AS raw
+  FROM orders)"""
+_ISO = ", ".join(f"try_strptime(trim(raw), '{f}')" for f in ("%Y-%m-%d %H:%M:%S", "%Y-%m-%dT%H:%M:%S", "%Y-%m-%d", "%m/%d/%Y"))
+
+
+@register("parse_dates_iso", f"""WITH {ISO_TEXT_SQL}
+SELECT o_orderkey, raw, CAST(coalesce({_ISO}) AS DATE) AS parsed,
+  count(*) FILTER (WHERE coalesce({_ISO}) IS NULL) OVER () AS n_failed FROM iso""")
+def parse_dates_iso(spark, d):
+    """P9 month first: ISO dates and times, US dates; what no pattern fits is NULL and counted."""
+    o = table(spark, d, "orders")
+    day, k = F.col("o_orderdate").cast("date"), F.col("o_orderkey") % 5
+    raw = (F.when(k == 0, F.date_format(day, "yyyy-MM-dd")).when(k == 1, F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit("T12:30:00")))
+           .when(k == 2, F.concat(F.lit(" "), F.date_format(day, "yyyy-MM-dd"), F.lit(" 23:59:59")))
+           .when(k == 3, F.date_format(day, "MM/dd/yyyy")).otherwise(F.date_format(day, "yyyyMM")))
+    t = o.select("o_orderkey", raw.alias("raw")).withColumn("parsed", fx.parse_date("raw"))
+    return finish(attach(t, t.agg(F.count_if(F.col("parsed").isNull()).cast("bigint").alias("n_failed"))))
+
+
 @register("star_join", with_sales("SELECT * FROM sales"))
 def star_join(spark, d):
     return finish(sales(spark, d))
