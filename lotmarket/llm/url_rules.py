@@ -141,21 +141,31 @@ def inverted_index(rules: DataFrame) -> DataFrame:
     return rarest.select("feature", "antecedent", "confidence")
 
 
-def match(rows: DataFrame, rules: DataFrame) -> DataFrame:
-    """``rows`` (with ``features``) with ``rule_confidence``: that of the most confident rule a row matches, or null."""
+def _unused(name: str, columns: list[str]) -> str:
+    """``name``, lengthened until no column has it."""
+    while name in columns:
+        name += "_"
+    return name
+
+
+def match(rows: DataFrame, rules: DataFrame, features: str = "features") -> DataFrame:
+    """``rows`` (with the array ``features``) with ``rule_confidence``: that of the most confident rule a row matches, or
+    null."""
+    own = _unused("__signature", rows.columns)
     rules = written(rules, "url-rules-kept")
     names = rules.select(F.explode("antecedent").alias("feature")).distinct()
     # The features that rules name are a model, as large as the mined rules and not as the rows.
     known = sorted(r[0] for r in names.collect())
-    named = F.array_intersect("features", F.array(*map(F.lit, known)).cast("array<string>")) if known else F.array().cast("array<string>")
-    rows = rows.withColumn("__signature", F.array_join(named, "\u0001"))
-    signatures = rows.select("__signature").where(F.col("__signature") != "").distinct()
+    named = F.array_intersect(features, F.array(*map(F.lit, known)).cast("array<string>")) if known else F.array().cast("array<string>")
+    rows = rows.withColumn(own, F.array_join(named, "\u0001"))
+    signatures = rows.select(F.col(own).alias("__signature")).where(F.col("__signature") != "").distinct()
     held = signatures.withColumn("held", F.split("__signature", "\u0001"))
     hits = (held.withColumn("feature", F.explode("held")).join(inverted_index(rules), "feature")
             .where(F.size(F.array_except("antecedent", "held")) == 0)
             .groupBy("__signature").agg(F.max("confidence").alias("rule_confidence")))
     # Written, so that adaptive execution sees its size (and broadcasts it if small) or can split a hot signature's rows.
-    return rows.join(written(hits, "url-hits"), "__signature", "left").drop("__signature")
+    rows = rows.drop("rule_confidence")
+    return rows.join(written(hits, "url-hits").withColumnRenamed("__signature", own), own, "left").drop(own)
 
 
 def judge(pages: DataFrame, labels: DataFrame, rules: tuple[HostRule, ...], url: str = "url", page_id: str = "page_id",
@@ -165,11 +175,12 @@ def judge(pages: DataFrame, labels: DataFrame, rules: tuple[HostRule, ...], url:
     ``labels`` has (doc_id, quality, toxic); a page is bad if its row there says low quality or toxic.
     """
     rows = pages.withColumn("host", host_of(F.col(url))).withColumn("path", path_of(F.col(url)))
-    rows = rows.withColumn("features", features(F.col(url), F.col("host"), F.col("path")))
+    own, found = _unused("__features", rows.columns), _unused("__explicit", rows.columns)
+    rows = rows.withColumn(own, features(F.col(url), F.col("host"), F.col("path")))
     told = labels.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias(page_id)).agg(
         F.max((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
-    mined = mine(rows.select(page_id, "features").join(told, page_id), min_support, min_confidence=min_confidence)
-    out = match(rows, mined).withColumn("__explicit", explicit(rules, F.col("host"), F.col("path")))
-    return (out.withColumn("rule", F.col("__explicit.rule"))
-            .withColumn("verdict", F.coalesce("__explicit.verdict", F.when(F.col("rule_confidence").isNotNull(), "block").otherwise("allow")))
-            .drop("__explicit", "features"))
+    mined = mine(rows.select(page_id, F.col(own).alias("features")).join(told, page_id), min_support, min_confidence=min_confidence)
+    out = match(rows, mined, own).withColumn(found, explicit(rules, F.col("host"), F.col("path")))
+    return (out.withColumn("rule", F.col(f"{found}.rule"))
+            .withColumn("verdict", F.coalesce(f"{found}.verdict", F.when(F.col("rule_confidence").isNotNull(), "block").otherwise("allow")))
+            .drop(found, own))

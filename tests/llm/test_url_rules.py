@@ -21,9 +21,11 @@ def labels(spark, rows):
 
 def test_explicit_rules(spark):
     pages = spark.createDataFrame([(i, u) for i, u in enumerate([*URLS, *URLS])], "page_id bigint, url string").withColumn("host", F.lit("x")).withColumn("features", F.lit(1))
+    pages = pages.withColumn("__signature", F.lit(2)).withColumn("__features", F.lit(3)).withColumn("__explicit", F.lit(4)).withColumn("rule_confidence", F.lit(5))
     got = url_rules.judge(pages, labels(spark, []), RULES).collect()
     assert len(got) == 2 * len(URLS)
     for r in got:
+        assert (r["features"], r["__signature"], r["__features"], r["__explicit"], r["rule_confidence"]) == (1, 2, 3, 4, None)
         assert (r["host"], r["path"], r["rule"], r["verdict"]) == URLS[r["url"]]
 
 
@@ -91,3 +93,11 @@ def test_deep_common_path_is_one_item(spark):
     deep = "/".join(f"d{k}" for k in range(40))
     urls = [f"http://bad.org/{deep}/{i}" if i % 2 else f"http://good.org/x/{i}" for i in range(100)]
     assert {i for i, v in judged(spark, [*urls, "http://else.org/d39"], {i for i in range(100) if i % 2}).items() if v == "block"} == {*range(1, 100, 2), 100}
+
+
+def test_long_urls_meet_mined_rules(spark):
+    pages, told = sites()
+    long = [(10_000 + i, f"http://shop.site1.org/{'deep/' * 5000}{w}/x") for i, w in enumerate(["pills", "books"])]
+    frame = spark.createDataFrame(pages + long, "page_id bigint, url string").withColumn("features", F.lit("mine"))
+    got = {r["page_id"]: r for r in url_rules.judge(frame, labels(spark, told), (), min_support=0.01).where("page_id >= 10000").collect()}
+    assert got[10_000]["verdict"] == "block" and got[10_001]["verdict"] == "allow" and got[10_000]["features"] == "mine"
