@@ -46,6 +46,20 @@ def distinct_counts(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return values.agg(*[F.count_if(F.col("_c") == c).cast("bigint").alias(n) for c, n in columns.items()])
 
 
+#: log2 of a sketch's slots: a relative standard error of 1.04 / sqrt(2 ** 12), 1.6 percent, in some 2 KB.
+SKETCH_BITS = 12
+
+
+def distinct_sketches(df: DataFrame, keys, column: str, name: str = "sketch") -> DataFrame:
+    """A15 for growing tables: per group a mergeable sketch of the distinct non-NULL values, to be stored."""
+    return df.groupBy(*_ks(keys)).agg(F.hll_sketch_agg(F.col(column), F.lit(SKETCH_BITS)).alias(name))
+
+
+def distinct_estimate(sketches: DataFrame, keys, name: str = "sketch", out: str = "n_distinct") -> DataFrame:
+    """Distinct values over all stored sketches of each group, estimated without reading a row again."""
+    return sketches.groupBy(*_ks(keys)).agg(F.hll_sketch_estimate(F.hll_union_agg(name)).alias(out))
+
+
 def count_in_order(df: DataFrame, key: str, order: DataFrame, order_key: str) -> DataFrame:
     """Counts for every category of an order table; absent categories get 0."""
     counts = count_by(df, key)

@@ -319,11 +319,11 @@ def marginal_effect(df: DataFrame, coef: DataFrame, xs: Sequence[str]) -> DataFr
 
 def label_encode(df: DataFrame, c: str, name: str, missing: str = "UNKNOWN") -> DataFrame:
     """M8: alphabetical codes 0..k-1 of the distinct values (NULL -> ``missing``),
-    computed on the distinct values with scalable dense ids, joined back."""
+    computed on the distinct values with scalable dense ids, joined back without dealing the rows out by a hot value."""
     from lotmarket.operators.warehouse import dense_ids
     v = df.withColumn(c, F.coalesce(F.col(c), F.lit(missing)))
     codes = dense_ids(v.select(c).distinct(), [c], "_code").withColumn(name, F.col("_code") - 1).drop("_code")
-    return v.join(codes, c, "left")
+    return join_small(v, codes, [c])
 
 
 def median_encoding(train: DataFrame, key: str, y: str, name: str) -> DataFrame:

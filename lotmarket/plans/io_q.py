@@ -48,6 +48,19 @@ def append_partitioned(spark, d):
                                              .alias("total")))
 
 
+@register("append_repeated", with_sales("""
+SELECT sale_year, count(*) AS n, round(CAST(sum(CAST(sale_price AS DECIMAL(18,2))) AS DOUBLE), 4) AS total
+FROM sales GROUP BY 1"""))
+def append_repeated(spark, d):
+    """The second load is written twice, as after a failure, and counts once."""
+    s = sales(spark, d).select("l_orderkey", "l_linenumber", "sale_price", "flag", "sale_year")
+    path = scratch_path(spark, "append-repeated")
+    for load, rows in (("first", s.where("flag = 'R'")), ("second", s.where("flag <> 'R'")), ("second", s.where("flag <> 'R'"))):
+        io.append_load(rows, path, load, ["sale_year"])
+    t = spark.read.parquet(path)
+    return finish(t.groupBy("sale_year").agg(F.count("*").alias("n"), F.sum(F.col("sale_price").cast("decimal(18,2)")).cast("double").alias("total")))
+
+
 @register("json_map_explode", """
 SELECT event_id, k AS key, coalesce(CAST(json_extract(props, '$."' || k || '"') AS BIGINT), 0) AS value
 FROM events, unnest(json_keys(props)) AS t(k)""")

@@ -11,6 +11,7 @@ from lotmarket.operators.stats import group_quantiles
 from lotmarket.plans.binding import HIGH_PRICE, PRICE_FLOOR, sales, table, with_sales
 from lotmarket.plans.catalog import register
 from lotmarket.plans.common import finish
+from lotmarket.sources.files import materialize
 
 # CTE used by most oracles: the price-floored slice with unit price.
 S_CTE = """s AS (
@@ -170,6 +171,18 @@ def distinct_counts(spark, d):
                                          "address": "n_addresses", "c_custkey": "n_buyers"}))
 
 
+@register("distinct_sketch", with_sales("""
+SELECT sale_year, count(DISTINCT c_custkey) AS n_buyers, true AS within_error FROM s GROUP BY 1""", S_CTE))
+def distinct_sketch(spark, d):
+    """Buyers of each year from stored monthly sketches, within three standard errors of the exact count."""
+    s = floored(spark, d).select("sale_year", "sale_month", "c_custkey")
+    stored = materialize(mk.distinct_sketches(s, ["sale_year", "sale_month"], "c_custkey"), "buyer-sketches")
+    exact = s.select("sale_year", "c_custkey").distinct().groupBy("sale_year").agg(F.count(F.lit(1)).alias("n_buyers"))
+    error = F.abs(F.col("n_distinct") - F.col("n_buyers")) / F.col("n_buyers")
+    both = exact.join(mk.distinct_estimate(stored, "sale_year"), "sale_year")
+    return finish(both.select("sale_year", "n_buyers", (error <= 3 * 1.04 / 2 ** (mk.SKETCH_BITS / 2)).alias("within_error")))
+
+
 NULLABLE_SQL = """n AS (
   SELECT nullif(discount, 0) AS discount, nullif(tax, 0) AS tax,
          CASE WHEN gross_sqft > 45 THEN NULL ELSE gross_sqft END AS gross_sqft,

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lotmarket.functions import core as fx
@@ -10,6 +9,7 @@ from lotmarket.operators import market as mk
 from lotmarket.operators import relational as rel
 from lotmarket.operators.common import join_small
 from lotmarket.operators.stats import group_quantiles, reread
+from lotmarket.operators.warehouse import dense_ids
 from lotmarket.plans.binding import (GEO_SQL, REGION_INDICATORS_SQL, geo, region_indicators_long, sales,
                                      table, with_sales)
 from lotmarket.plans.catalog import register
@@ -107,14 +107,11 @@ def orphan_check(spark, d):
     return finish(out)
 
 
-def neighborhood_dim(spark, d):
-    """K2: distinct (name, parent) with a dense surrogate id ordered by (parent, name).
-
-    The window runs over the distinct dimension (one row per area), not the fact."""
+def neighborhood_dim(spark, d, without=()):
+    """K2: distinct (name, parent) with a dense surrogate id ordered by (parent, name)."""
     g = geo(spark, d).select(F.col("neighborhood").alias("neighborhood_name"), F.col("borough").alias("borough_id"))
-    dist = g.distinct()
-    w = Window.orderBy("borough_id", "neighborhood_name")
-    return dist.withColumn("neighborhood_id", F.dense_rank().over(w).cast("bigint"))
+    dist = g.where(~F.col("neighborhood_name").isin(*without)).distinct() if without else g.distinct()
+    return dense_ids(dist, ["borough_id", "neighborhood_name"], "neighborhood_id")
 
 
 @register("dim_distinct", with_sales("""
@@ -123,8 +120,7 @@ FROM (SELECT DISTINCT neighborhood AS neighborhood_name, borough AS borough_id F
 def dim_distinct(spark, d):
     s = sales(spark, d).select(F.col("neighborhood").alias("neighborhood_name"), F.col("borough").alias("borough_id"))
     dist = rel.dedup_full(s)
-    w = Window.orderBy("borough_id", "neighborhood_name")
-    return finish(dist.withColumn("neighborhood_id", F.dense_rank().over(w)))
+    return finish(dense_ids(dist, ["borough_id", "neighborhood_name"], "neighborhood_id"))
 
 
 @register("resolve_fk", with_sales("""
@@ -137,8 +133,7 @@ FROM sales s LEFT JOIN dm ON s.neighborhood = dm.neighborhood_name AND s.borough
 def resolve_fk(spark, d):
     s = sales(spark, d, part=False).select("l_orderkey", "l_linenumber", "neighborhood", "borough")
     # one area is left out of the dimension so the default path is exercised
-    dim = neighborhood_dim(spark, d).where(F.col("neighborhood_name") != "NATION_7") \
-        .withColumn("neighborhood_id", F.dense_rank().over(Window.orderBy("borough_id", "neighborhood_name")))
+    dim = neighborhood_dim(spark, d, without=["NATION_7"])
     out = rel.resolve_fk(s, dim, {"neighborhood": "neighborhood_name", "borough": "borough_id"},
                          "neighborhood_id", 1)
     return finish(out.select("l_orderkey", "l_linenumber", "neighborhood_id"))

@@ -101,13 +101,24 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
 
 
+LOAD = "load_id"
+
+
+def append_load(df: DataFrame, path: str, load_id: str, partition_by: Sequence[str]) -> None:
+    """Append one load to a partitioned table, exactly once however often it is tried: its rows lie under its own
+    ``load_id``, and a repeated write replaces the partitions that it writes and no others.  A load must bring the same
+    partitions each time."""
+    rows = df.withColumn(LOAD, F.lit(load_id))
+    write(rows, path, "parquet", mode="overwrite", partition_by=[LOAD, *partition_by], partitionOverwriteMode="dynamic")
+
+
 def append_batches(spark: SparkSession, batches: Sequence[DataFrame], partition_by: Sequence[str],
                    name: str) -> DataFrame:
-    """Append several batches to one partitioned parquet table; read it back."""
+    """Append several loads to one partitioned parquet table; read it back."""
     path = scratch_path(spark, name)
-    for b in batches:
-        write(b, path, "parquet", mode="append", partition_by=partition_by)
-    return spark.read.parquet(path)
+    for i, b in enumerate(batches):
+        append_load(b, path, f"load-{i}", partition_by)
+    return spark.read.parquet(path).drop(LOAD)
 
 
 def json_map_rows(df: DataFrame, text: str, value_schema: T.DataType, key_name: str = "key") -> DataFrame:
