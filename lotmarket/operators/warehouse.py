@@ -15,6 +15,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lotmarket.functions import core as fx
 from lotmarket.operators.common import join_small
 from lotmarket.session import ensure_checkpoint_dir
 
@@ -57,6 +58,17 @@ def distinct_dimension(df: DataFrame, keys: Sequence[str], name: str, dense: boo
     return dense_ids(dim, keys, name) if dense else hash_ids(dim, keys, name)
 
 
+def coerce_measures(df: DataFrame, numbers: Sequence[str] = (), ints: Sequence[str] = (), texts: Sequence[str] = (),
+                    names: Sequence[str] = (), default: int = 0, width: int = 20) -> DataFrame:
+    """The forms in which a fact's columns are stored, whatever text or number they come as.
+
+    ``numbers`` become doubles (NULL where there is none), ``ints`` whole numbers (``default`` where there is none),
+    ``texts`` lose outer spaces and what exceeds ``width`` characters, ``names`` (lookup keys) lose outer spaces."""
+    made = {c: fx.coerce_numeric(c) for c in numbers} | {c: fx.safe_int(c, default).cast("bigint") for c in ints} \
+        | {c: fx.trim_truncate(c, width) for c in texts} | {c: F.trim(F.col(c)) for c in names}
+    return df.withColumns(made)
+
+
 def attach_key(fact: DataFrame, dim: DataFrame, keys: Sequence[str], name: str, default) -> DataFrame:
     """Resolve a surrogate key on the natural key, with a default for misses.
 
