@@ -37,9 +37,9 @@ def dedup_full(df: DataFrame) -> DataFrame:
 def dedup_first(df: DataFrame, keys, order: Sequence[Column | str]) -> DataFrame:
     """Keep the first row per business key under an explicit total order.
 
-    Implemented as ``min_by(struct(row), struct(order))`` so partial aggregation
-    collapses duplicates before the shuffle (a key with a third of the rows
-    costs one row per map task, not one sorted partition).
+    A ``min_by(struct(row), struct(order))`` aggregate: each task sorts its rows by key (structs
+    have no hash aggregate) and sends one row per key, so a key with a third of the rows costs
+    one row per map task, not one sorted partition.
     """
     ks = _ks(keys)
     rest = [c for c in df.columns if c not in ks]
