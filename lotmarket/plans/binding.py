@@ -26,6 +26,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lotmarket.sources.files import bucketed
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -67,16 +69,27 @@ def sales(spark: SparkSession, sf_dir: str, part: bool = True) -> DataFrame:
     threshold; columns a query does not use are pruned at the parquet scans.
     """
     li = table(spark, sf_dir, "lineitem")
+    orders = placed_orders(spark, sf_dir)
+    j = li.join(orders, li.l_orderkey == orders.o_orderkey)
+    if part:
+        p = table(spark, sf_dir, "part")
+        j = j.join(p, li.l_partkey == p.p_partkey)
+    return sales_columns(j, part)
+
+
+def placed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with their customer, nation and region."""
     o = table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer")
     cust = c.join(F.broadcast(geo(spark, sf_dir)), c.c_nationkey == F.col("n_nationkey"))
-    orders = o.join(cust, o.o_custkey == cust.c_custkey)
+    return o.join(cust, o.o_custkey == cust.c_custkey)
+
+
+def sales_columns(j: DataFrame, part: bool = True) -> DataFrame:
+    """The joined tables' columns under the names of the sales frame."""
     ship = F.col("l_shipdate").cast("date")
-    j = li.join(orders, li.l_orderkey == orders.o_orderkey)
     part_cols = []
     if part:
-        p = table(spark, sf_dir, "part")
-        j = j.join(p, li.l_partkey == p.p_partkey)
         part_cols = [F.col("p_type").alias("building_type"), F.col("p_brand").alias("building_category"),
                      F.col("p_name").alias("address"), F.col("p_retailprice").alias("land_sqft"),
                      F.col("p_size").cast("bigint").alias("total_units")]
@@ -97,6 +110,27 @@ def sales(spark: SparkSession, sf_dir: str, part: bool = True) -> DataFrame:
     )
 
 
+#: Columns of the laid-out tables: what the sales frame reads.
+FACT_COLUMNS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount", "l_tax",
+                "l_returnflag", "l_shipdate", "p_type", "p_brand", "p_name", "p_retailprice", "p_size")
+ORDER_COLUMNS = ("o_orderkey", "o_orderdate", "o_totalprice", "c_custkey", "c_mktsegment", "c_acctbal", "borough", "borough_name",
+                 "neighborhood_id", "neighborhood")
+
+
+def star_layout(spark: SparkSession, sf_dir: str, buckets: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """The star, laid out once for many queries: the fact with its part, and orders with customer and place, both
+    bucketed by order key.  Whatever joins or groups them by that key afterwards moves no rows."""
+    li, p = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
+    fact = li.join(p, li.l_partkey == p.p_partkey).select(*FACT_COLUMNS)
+    orders = placed_orders(spark, sf_dir).select(*ORDER_COLUMNS)
+    return bucketed(fact, ["l_orderkey"], "fact-by-order", buckets), bucketed(orders, ["o_orderkey"], "orders-by-order", buckets)
+
+
+def laid_out_sales(fact: DataFrame, orders: DataFrame) -> DataFrame:
+    """The sales frame from the tables of ``star_layout``; the fact stays where it lies."""
+    return sales_columns(fact.join(orders, F.col("l_orderkey") == F.col("o_orderkey")))
+
+
 SALES_SQL = """
 SELECT l.l_orderkey, CAST(l.l_linenumber AS BIGINT) AS l_linenumber, l.l_partkey, l.l_suppkey, c.c_custkey,
        CAST(r.r_regionkey AS BIGINT) AS borough, r.r_name AS borough_name,

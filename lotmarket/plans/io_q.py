@@ -166,6 +166,16 @@ def file_fingerprint(spark, d):
     return finish(io.file_fingerprints(spark, f"{d.rstrip('/')}/*.parquet"))
 
 
+#: Small enough that the tables' files have several ranges each; the operator's default is 64 MB.
+PRINT_RANGE = 1 << 16
+
+
+@register("file_range_print")
+def file_range_print(spark, d):
+    """S8 for files of any size: a print of every table file from digests of its ranges, each range a task's row."""
+    return finish(io.file_range_prints(spark, f"{d.rstrip('/')}/*.parquet", PRINT_RANGE))
+
+
 # Row cap (T8): the first N rows in a total order.
 ROW_CAP = 1000
 CAP_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"]

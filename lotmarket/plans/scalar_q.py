@@ -14,7 +14,7 @@ from lotmarket.operators import clean as cl
 from lotmarket.operators import market as mk
 from lotmarket.operators.common import attach, merge_rows
 from lotmarket.operators.stats import group_quantiles
-from lotmarket.plans.binding import sales, table, with_sales
+from lotmarket.plans.binding import laid_out_sales, sales, star_layout, table, with_sales
 from lotmarket.plans.catalog import register
 from lotmarket.plans.common import finish
 from lotmarket.plans.market_q import S_CTE, floored
@@ -173,6 +173,29 @@ def star_join(spark, d):
     return finish(sales(spark, d))
 
 
+@register("star_join_bucketed", with_sales("SELECT * FROM sales"))
+def star_join_bucketed(spark, d):
+    """J1 over tables laid out by order key: the join itself has no exchange."""
+    return finish(laid_out_sales(*star_layout(spark, d)))
+
+
+@register("order_baskets", with_sales("""
+SELECT l_orderkey, any_value(borough_name) AS borough_name, count(*) AS n_sales, round(sum(sale_price), 4) AS total_price,
+       round(max(sale_price) - min(sale_price), 4) AS price_range, min(sale_date) AS first_sale, max(sale_date) AS last_sale,
+       round(any_value(o.o_totalprice), 4) AS o_totalprice, round(sum(sale_price) / any_value(o.o_totalprice), 4) AS price_share
+FROM sales JOIN orders o ON o_orderkey = l_orderkey GROUP BY l_orderkey"""))
+def order_baskets(spark, d):
+    """J1/J2 by order: the laid-out fact is grouped and joined by order key without any exchange."""
+    fact, orders = star_layout(spark, d)
+    day = F.col("l_shipdate").cast("date")
+    sums = fact.groupBy("l_orderkey").agg(
+        F.count("*").alias("n_sales"), F.sum("l_extendedprice").alias("total_price"),
+        (F.max("l_extendedprice") - F.min("l_extendedprice")).alias("price_range"), F.min(day).alias("first_sale"), F.max(day).alias("last_sale"))
+    j = sums.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    return finish(j.select("l_orderkey", "borough_name", "n_sales", "total_price", "price_range", "first_sale", "last_sale", "o_totalprice",
+                           F.try_divide("total_price", "o_totalprice").alias("price_share")))
+
+
 @register("price_floor", with_sales("SELECT l_orderkey, l_linenumber, round(sale_price, 4) AS sale_price FROM s", S_CTE))
 def price_floor(spark, d):
     return finish(floored(spark, d).select("l_orderkey", "l_linenumber", "sale_price"))

@@ -7,9 +7,12 @@ Scratch folders live under the session's shared checkpoint area.
 
 from __future__ import annotations
 
+import hashlib
+import re
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import pandas as pd
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -165,3 +168,76 @@ def file_fingerprints(spark: SparkSession, path_glob: str) -> DataFrame:
     b = spark.read.format("binaryFile").load(path_glob)
     return b.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), F.col("length").alias("bytes"),
                     F.substring(F.md5("content"), 1, 16).alias("file_hash"))
+
+
+#: Bytes of one range of a file's print, and of one read within a range.
+RANGE_BYTES, READ_BYTES = 1 << 26, 1 << 20
+
+
+def _open(path: str):
+    """A file of any file system that Arrow knows, for reading from any place in it."""
+    from pyarrow import fs
+
+    if path.startswith(("file:", "/")):  # Spark writes file:/a b%20 with nothing encoded, which is no URI for Arrow
+        return fs.LocalFileSystem().open_input_file(re.sub("^file:/*", "/", path))
+    system, inner = fs.FileSystem.from_uri(path)
+    return system.open_input_file(inner)
+
+
+def _range_digests(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The sha256 of each row's range, read in pieces of READ_BYTES."""
+    for rows in frames:
+        digests = []
+        for path, start, length in zip(rows["path"], rows["start"], rows["length"], strict=True):
+            digest, left = hashlib.sha256(), int(length)
+            with _open(path) as f:
+                f.seek(int(start))
+                while left:
+                    piece = f.read(min(READ_BYTES, left))
+                    if not piece:
+                        raise OSError(f"{path} is shorter than when it was listed")
+                    digest.update(piece)
+                    left -= len(piece)
+            digests.append(digest.hexdigest())
+        yield rows.assign(digest=digests)
+
+
+def file_range_prints(spark: SparkSession, path_glob: str, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """S8 for files of any size: a print of its own form, made of the digests of a file's ranges.
+
+    Files are cut into ranges of ``range_bytes``; each range is a row that a task reads and hashes by itself, so a file
+    of terabytes is spread over all tasks and no row holds file content.  Spark's file listing leaves out empty files.  The
+    print is the sha256 of the ranges' sha256 digests (lowercase hex), joined in order; it depends on ``range_bytes``
+    and differs from the file's own digest.  Files with one name in different folders keep rows of their own.
+    """
+    files = spark.read.format("binaryFile").load(path_glob).select("path", F.col("length").alias("bytes"))  # content isn't read
+    starts = F.sequence(F.lit(0).cast("bigint"), F.col("bytes") - 1, F.lit(range_bytes).cast("bigint"))
+    ranges = files.select("path", "bytes", F.explode(starts).alias("start"))
+    ranges = ranges.withColumn("length", F.least(F.lit(range_bytes).cast("bigint"), F.col("bytes") - F.col("start")))
+    dealt = ranges.repartition("path", "start")
+    read = dealt.mapInPandas(_range_digests, "path string, bytes bigint, start bigint, length bigint, digest string")
+    parts = F.sort_array(F.collect_list(F.struct("start", "digest")))
+    out = read.groupBy("path", "bytes").agg(F.count("*").alias("n_ranges"), parts.alias("parts"))
+    return out.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), "bytes", "n_ranges",
+                      F.sha2(F.array_join(F.transform("parts", lambda p: p["digest"]), ""), 256).alias("file_print"))
+
+
+def bucketed(df: DataFrame, keys: Sequence[str], name: str, buckets: int | None = None, table: str | None = None) -> DataFrame:
+    """Write rows once, bucketed and sorted by ``keys``, one file a bucket; joins and groupings by exactly these keys
+    with tables of as many buckets then need no exchange.
+
+    With ``table`` the catalog keeps the layout under that name (replacing an older one).  Without, the catalog entry
+    goes as soon as the frame is bound to its files, so nothing piles up in a shared metastore; the files stay in the
+    run's shared folder.  ``buckets`` defaults to the session's shuffle partitions; give some 200 MB a bucket.  All
+    rows of one key are in one bucket: lay out by keys that no third of the rows shares (ids, not regions).
+    """
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_path(spark, name)
+    entry = table or f"{name.replace('-', '_')}_{uuid.uuid4().hex}"
+    (df.repartition(n, *keys).write.format("parquet").mode("overwrite").bucketBy(n, *keys).sortBy(*keys)
+     .option("path", path).saveAsTable(entry))
+    rows = spark.table(entry)
+    if table is None:
+        spark.sql(f"DROP TABLE {entry}")
+    return rows

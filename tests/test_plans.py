@@ -1,6 +1,7 @@
 """Plan-shape assertions: pushdown, pruning, no cartesian products."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from lotmarket.plans import catalog
 from conftest import SF_SMALL
@@ -64,3 +65,31 @@ def test_salted_join_beyond_the_bound(spark):
         got = sorted(((r["k"] or "", r["i"], r["v"]) for r in join_small(df, small, ["k"], bound=bound).collect()))
         assert got == [("", 51, None)] + [("a", i, 1) for i in range(50)] + [("c", 50, None)]
         assert join_small(df, small, ["k"], bound=bound, null_safe=True).where("k IS NULL").first()["v"] == 3
+
+
+@pytest.mark.parametrize("key", ["star_join_bucketed", "order_baskets"])
+def test_laid_out_tables_are_joined_where_they_lie(spark, key):
+    """Neither side is exchanged, though both are too big to broadcast, and nothing is left in the catalog."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        before = {t.name for t in spark.catalog.listTables()}
+        df = catalog.queries()[key](spark, SF_SMALL)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert df.count() > 0  # the files outlive their catalog entry
+        assert {t.name for t in spark.catalog.listTables()} == before
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_named_layout_is_found_by_its_name(spark):
+    from lotmarket.sources.files import bucketed
+    rows = spark.range(1000).select((F.col("id") % 50).alias("k"), "id")
+    for n in (2, 3):  # the second layout replaces the first
+        bucketed(rows, ["k"], "named", buckets=n, table="layout_of_test")
+    try:
+        t = spark.table("layout_of_test")
+        assert t.count() == 1000 and t.rdd.getNumPartitions() == 3
+        assert "Exchange" not in t.groupBy("k").count()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.sql("DROP TABLE layout_of_test")

@@ -1,4 +1,6 @@
-"""Loads that are appended exactly once, and sketches that merge."""
+"""Loads that are appended exactly once, sketches that merge, and prints of files."""
+
+import hashlib
 
 from pyspark.sql import functions as F
 
@@ -33,3 +35,23 @@ def test_codes_reach_rows_by_a_broadcast(spark):
     out = ml.label_encode(df, "c", "code", missing="z")
     assert sorted(tuple(r) for r in out.collect()) == [("a", 0), ("b", 1), ("b", 1), ("z", 2)]
     assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_prints_of_files_come_from_their_ranges(spark, tmp_path):
+    sizes = {"empty": 0, "one": 1, "range": 64, "more": 65, "two %20#ranges?": 128, "long": 1000, "deeper/one": 3}
+    (tmp_path / "deeper").mkdir()
+    for name, n in sizes.items():
+        (tmp_path / name).write_bytes(bytes((i * 7 + n) % 256 for i in range(n)))
+    got = {(r.file, r.bytes, r.n_ranges, r.file_print) for r in io.file_range_prints(spark, str(tmp_path / "*"), range_bytes=64).collect()}
+    expected = set()
+    for name, n in sizes.items():
+        raw = (tmp_path / name).read_bytes()
+        parts = [hashlib.sha256(raw[i:i + 64]).hexdigest() for i in range(0, n, 64)]
+        if parts:  # empty files aren't listed
+            expected.add((name.rpartition("/")[2], n, len(parts), hashlib.sha256("".join(parts).encode()).hexdigest()))
+    assert got == expected
+    one = tmp_path / "one"
+    before = io.file_range_prints(spark, str(one), range_bytes=64).first()
+    one.write_bytes(b"!")
+    after = io.file_range_prints(spark, str(one), range_bytes=64).first()
+    assert (before.file, before.bytes) == (after.file, after.bytes) and before.file_print != after.file_print
