@@ -6,12 +6,12 @@ Features of a URL are all its host's labels (``h:``; the last two together as ``
 ``mine`` bounds FP-growth's work without loss: features of too little support go, and features that the same labelled
 rows have (a site's labels, a deep path that many pages share) are one item.  It runs Spark's FP-growth over these items
 together with the label, and keeps rules ``features -> bad`` of enough support and confidence; a rule that a part of its
-features already makes with no less confidence is pruned.  Every choice of one feature for each item is a rule, as
-without the grouping.  All labelled rows are mined.
+items already makes with no less confidence is pruned.  Rules stay rules over items: a URL holds an item if it has any
+of its features, as if every choice of one feature for each item were a rule.  All labelled rows are mined.
 
-``match`` works on distinct signatures: a URL's signature is what it has of the features that
-rules name.  Each rule is posted under its rarest feature; signatures meet the posting lists by an equi-join on the
-feature and keep the rules of which they hold every feature.  The verdict returns to the rows by the signature.
+``match`` works on distinct signatures: a URL's signature is what it has of the features of items that rules name.  Each
+rule is posted under its rarest item; signatures meet the posting lists by an equi-join on their items and keep the rules
+of which they hold every item.  The verdict returns to the rows by the signature.
 
 Explicit rules (allow or block; a host with its subdomains, and a path prefix) come first: the longest that fits
 decides.  They are arguments and become one CASE expression.
@@ -30,7 +30,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lotmarket.llm.common import ascii_lower, written
+from lotmarket.llm.common import ascii_lower, unused, written
 
 BAD, GOOD = "label:bad", "label:good"
 
@@ -77,8 +77,8 @@ def features(url: Column, host: Column, path: Column) -> Column:
         tag("h", labels), tag("d", F.array(domain)), tag("p", segments), tag("q", keys))))
 
 
-def mine(labelled: DataFrame, min_support: float = 0.002, min_rows: int = 10, min_confidence: float = 0.7) -> DataFrame:
-    """Rules (antecedent, n_items, confidence, support) from rows (features, bad)."""
+def mine(labelled: DataFrame, min_support: float = 0.002, min_rows: int = 10, min_confidence: float = 0.7) -> tuple[DataFrame, DataFrame]:
+    """Rules (antecedent, n_items, confidence, support) over items from rows (features, bad), and the items (feature, item)."""
     rows = written(labelled.where(F.col("bad").isNotNull()).select(
         F.monotonically_increasing_id().alias("row"), "features", F.when(F.col("bad"), BAD).otherwise(GOOD).alias("label")), "url-labelled")
     n = rows.count()
@@ -92,7 +92,7 @@ def mine(labelled: DataFrame, min_support: float = 0.002, min_rows: int = 10, mi
     rules = (model.associationRules.where((F.element_at("consequent", 1) == BAD) & ~F.array_contains("antecedent", GOOD))
              .select(F.array_sort("antecedent").alias("antecedent"), F.size("antecedent").alias("n_items"),
                      F.col("confidence"), F.col("support")))
-    return _spelled_out(_pruned(written(rules, "url-rules")), groups)
+    return _pruned(written(rules, "url-rules")), groups
 
 
 def _groups(rows: DataFrame, least: int) -> DataFrame:
@@ -107,18 +107,6 @@ def _groups(rows: DataFrame, least: int) -> DataFrame:
     return written(marks.join(first, ["n", "h1", "h2"]).select("feature", "item"), "url-groups")
 
 
-def _spelled_out(rules: DataFrame, groups: DataFrame) -> DataFrame:
-    """Each rule over items once for every choice of one feature for each item."""
-    choices = groups.groupBy("item").agg(F.collect_list("feature").alias("choice"))
-    lists = (rules.select("antecedent", F.explode("antecedent").alias("item")).join(choices, "item")
-             .groupBy("antecedent").agg(F.collect_list("choice").alias("lists")))
-    made = F.aggregate("lists", F.array(F.array().cast("array<string>")), lambda done, xs: F.flatten(
-        F.transform(done, lambda a: F.transform(xs, lambda x: F.array_append(a, x)))))
-    spelled = lists.select(F.col("antecedent").alias("items"), F.explode(made).alias("antecedent"))
-    return spelled.join(rules.withColumnRenamed("antecedent", "items"), "items").select(
-        F.array_sort("antecedent").alias("antecedent"), "n_items", "confidence", "support")
-
-
 def _pruned(rules: DataFrame) -> DataFrame:
     """Without rules of which another one, with fewer features out of theirs, is as confident.
 
@@ -133,34 +121,33 @@ def _pruned(rules: DataFrame) -> DataFrame:
 
 
 def inverted_index(rules: DataFrame) -> DataFrame:
-    """Each rule under the one of its features that fewest rules name: (feature, antecedent, confidence)."""
-    each = rules.select("antecedent", "confidence", F.explode("antecedent").alias("feature"))
-    named = each.groupBy("feature").agg(F.count(F.lit(1)).alias("n"))
-    rarest = each.join(named, "feature").groupBy("antecedent", "confidence").agg(
-        F.min(F.struct("n", "feature"))["feature"].alias("feature"))
-    return rarest.select("feature", "antecedent", "confidence")
-
+    """Each rule under the one of its items that fewest rules name: (item, antecedent, confidence)."""
+    each = rules.select("antecedent", "confidence", F.explode("antecedent").alias("item"))
+    named = each.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
+    rarest = each.join(named, "item").groupBy("antecedent", "confidence").agg(
+        F.min(F.struct("n", "item"))["item"].alias("item"))
+    return rarest.select("item", "antecedent", "confidence")
 
-def _unused(name: str, columns: list[str]) -> str:
-    """``name``, lengthened until no column has it."""
-    while name in columns:
-        name += "_"
-    return name
 
-
-def match(rows: DataFrame, rules: DataFrame, features: str = "features") -> DataFrame:
+def match(rows: DataFrame, rules: DataFrame, features: str = "features", groups: DataFrame | None = None) -> DataFrame:
     """``rows`` (with the array ``features``) with ``rule_confidence``: that of the most confident rule a row matches, or
-    null."""
-    own = _unused("__signature", rows.columns)
+    null.
+
+    A rule names items; a row matches if it has at least one feature of each.  ``groups`` (feature, item) tells the
+    features of an item; without it each feature is its own item.
+    """
+    own = unused("__signature", rows.columns)
     rules = written(rules, "url-rules-kept")
-    names = rules.select(F.explode("antecedent").alias("feature")).distinct()
-    # The features that rules name are a model, as large as the mined rules and not as the rows.
-    known = sorted(r[0] for r in names.collect())
+    items = rules.select(F.explode("antecedent").alias("item")).distinct()
+    of = written(items.select(F.col("item").alias("feature"), "item") if groups is None else groups.join(items, "item").select("feature", "item"), "url-items")
+    # Features that rules name have enough support: of support s there are at most (features a URL) / s, however many rows.
+    known = sorted(r[0] for r in of.select("feature").distinct().collect())
     named = F.array_intersect(features, F.array(*map(F.lit, known)).cast("array<string>")) if known else F.array().cast("array<string>")
     rows = rows.withColumn(own, F.array_join(named, "\u0001"))
     signatures = rows.select(F.col(own).alias("__signature")).where(F.col("__signature") != "").distinct()
-    held = signatures.withColumn("held", F.split("__signature", "\u0001"))
-    hits = (held.withColumn("feature", F.explode("held")).join(inverted_index(rules), "feature")
+    held = (signatures.withColumn("feature", F.explode(F.split("__signature", "\u0001"))).join(of, "feature")
+            .groupBy("__signature").agg(F.collect_set("item").alias("held")))
+    hits = (held.withColumn("item", F.explode("held")).join(inverted_index(rules), "item")
             .where(F.size(F.array_except("antecedent", "held")) == 0)
             .groupBy("__signature").agg(F.max("confidence").alias("rule_confidence")))
     # Written, so that adaptive execution sees its size (and broadcasts it if small) or can split a hot signature's rows.
@@ -175,12 +162,12 @@ def judge(pages: DataFrame, labels: DataFrame, rules: tuple[HostRule, ...], url:
     ``labels`` has (doc_id, quality, toxic); a page is bad if its row there says low quality or toxic.
     """
     rows = pages.withColumn("host", host_of(F.col(url))).withColumn("path", path_of(F.col(url)))
-    own, found = _unused("__features", rows.columns), _unused("__explicit", rows.columns)
+    own, found = unused("__features", rows.columns), unused("__explicit", rows.columns)
     rows = rows.withColumn(own, features(F.col(url), F.col("host"), F.col("path")))
     told = labels.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias(page_id)).agg(
         F.max((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
-    mined = mine(rows.select(page_id, F.col(own).alias("features")).join(told, page_id), min_support, min_confidence=min_confidence)
-    out = match(rows, mined, own).withColumn(found, explicit(rules, F.col("host"), F.col("path")))
+    mined, groups = mine(rows.select(page_id, F.col(own).alias("features")).join(told, page_id), min_support, min_confidence=min_confidence)
+    out = match(rows, mined, own, groups).withColumn(found, explicit(rules, F.col("host"), F.col("path")))
     return (out.withColumn("rule", F.col(f"{found}.rule"))
             .withColumn("verdict", F.coalesce(f"{found}.verdict", F.when(F.col("rule_confidence").isNotNull(), "block").otherwise("allow")))
             .drop(found, own))

@@ -95,6 +95,20 @@ def test_deep_common_path_is_one_item(spark):
     assert {i for i, v in judged(spark, [*urls, "http://else.org/d39"], {i for i in range(100) if i % 2}).items() if v == "block"} == {*range(1, 100, 2), 100}
 
 
+def test_rules_over_items_are_not_spelled_out(spark):
+    """Items of many features: a rule stays one row, and any feature of each item is enough."""
+    rules = spark.createDataFrame([(["i0", "j0", "k0"], 0.9), (["j0"], 0.75)], "antecedent array<string>, confidence double")
+    groups = spark.createDataFrame([(f"{g}{n}", f"{g}0") for g in "ijkl" for n in range(30)], "feature string, item string")
+    rng = random.Random(2)
+    lists = [[f"{g}{rng.randrange(40)}" for g in rng.sample("ijkl", rng.randrange(5))] for _ in range(200)]
+    rows = spark.createDataFrame([(i, x) for i, x in enumerate(lists)], "id bigint, features array<string>")
+    got = {r["id"]: r["rule_confidence"] for r in url_rules.match(rows, rules, groups=groups).collect()}
+    for i, x in enumerate(lists):
+        held = {f[0] for f in x if int(f[1:]) < 30}
+        assert got[i] == (0.9 if held >= set("ijk") else 0.75 if "j" in held else None)
+    assert {0.9, 0.75, None} == set(got.values())
+
+
 def test_long_urls_meet_mined_rules(spark):
     pages, told = sites()
     long = [(10_000 + i, f"http://shop.site1.org/{'deep/' * 5000}{w}/x") for i, w in enumerate(["pills", "books"])]
