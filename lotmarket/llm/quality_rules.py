@@ -16,7 +16,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lotmarket.llm.common import SPACE_CHARS, SPACE_CLASS, words_of
+from lotmarket.llm.common import SPACE_CHARS, SPACE_CLASS, unused, words_of
 
 
 class Rule(NamedTuple):
@@ -52,6 +52,7 @@ MIN_WORDS = 10
 MIN_STOP_WORDS = 30
 REPEAT_PERCENT = 20
 WINDOW = 5
+WORKING = ("_words", "_lines", "_hashes", "_sorted", "_places")
 BASE_COLUMNS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
 
 
@@ -130,10 +131,16 @@ def compile_rules(rules: tuple[Rule, ...] = RULES, text: str = "text") -> Column
 
 def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
     """``docs`` with the base counts, ``base_failed``, ``broken_rules`` (names, comma-joined) and ``kept``."""
-    d = measure(docs, text)
+    # Input columns named like working columns step aside meanwhile.
+    aside: dict[str, str] = {}
+    for c in docs.columns:
+        if c.lower() in WORKING:
+            aside[c] = unused(f"_given{c}", [*docs.columns, *aside.values()])
+    text = aside.get(text, text)
+    d = measure(docs.withColumnsRenamed(aside), text)
     d = d.withColumn("broken_rules", F.array_join(compile_rules(rules, text), ","))
     # A filter on the result must not move below these projections, as it would take their expressions along and put
     # them into each other's lambdas; Spark leaves it where it is if a column here isn't deterministic.
     always = F.spark_partition_id() >= 0
     d = d.withColumn("kept", ~F.col("base_failed") & (F.col("broken_rules") == "") & always)
-    return d.drop("_words", "_lines", "_hashes", "_sorted", "_places")
+    return d.drop(*WORKING).withColumnsRenamed({new: c for c, new in aside.items()})

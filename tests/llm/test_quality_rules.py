@@ -1,6 +1,7 @@
 from collections import Counter
 
 from llm_fixtures import clashing, documents, frame, words
+from pyspark.sql import functions as F
 
 from lotmarket.llm import quality_rules
 
@@ -45,3 +46,20 @@ def test_rules(spark):
 
 def test_empty(spark):
     assert quality_rules.judge(frame(spark, [])).collect() == []
+
+
+def test_columns_named_like_working_columns_stay(spark):
+    plain = sorted(tuple(map(str, r)) for r in quality_rules.judge(frame(spark)).collect())
+    odd = frame(spark).select("*", *[F.lit(c).alias(c) for c in ("_words", "_Lines", "_hashes", "_sorted", "_places", "_given_words")])
+    out = quality_rules.judge(odd)
+    given = odd.columns[5:]
+    assert out.columns[:len(odd.columns)] == odd.columns
+    assert {tuple(r) for r in out.select(*given).collect()} == {tuple(given)}
+    assert sorted(tuple(map(str, r)) for r in out.drop(*given).collect()) == plain
+    moved = quality_rules.judge(frame(spark).withColumnRenamed("text", "_words"), text="_words")
+    assert sorted(tuple(map(str, r)) for r in moved.collect()) == plain
+
+
+def test_texts_all_null(spark):
+    rows = [(i, None, None, None, None) for i in range(5)]
+    assert {(r["n_words"], r["base_failed"], r["kept"], r["broken_rules"]) for r in quality_rules.judge(frame(spark, rows)).collect()} == {(0, True, False, "")}
