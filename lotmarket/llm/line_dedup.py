@@ -45,7 +45,7 @@ def line_keys(docs: DataFrame, min_chars: int, text: str = "text", doc_id: str =
 
 
 class RunStore:
-    """Runs by level, each a bucketed and sorted table in the shared folder."""
+    """Runs by level, each a bucketed and sorted table in the shared folder; the catalog names it only while it is written."""
 
     def __init__(self, spark: SparkSession, min_docs: int, fanout: int = 2, buckets: int | None = None):
         self.spark, self.min_docs, self.fanout = spark, min_docs, fanout
@@ -56,7 +56,9 @@ class RunStore:
         table = f"line_run_{name}_{uuid.uuid4().hex}"
         (rows.write.format("parquet").bucketBy(self.buckets, *KEY).sortBy(*KEY)
          .option("path", fresh_path(self.spark, table)).saveAsTable(table))
-        return self.spark.table(table)
+        run = self.spark.table(table)
+        self.spark.sql(f"DROP TABLE {table}")  # the frame is bound to its files; nothing is left in a shared catalog
+        return run
 
     @staticmethod
     def _merge(a: DataFrame, b: DataFrame) -> DataFrame:

@@ -32,3 +32,15 @@ def test_against_brute_force(spark, batches, fanout, min_docs):
 
 def test_empty(spark):
     assert dedup_lines(frame(spark, [])).collect() == []
+
+
+def test_no_run_stays_in_the_catalog(spark):
+    before = {t.name for t in spark.catalog.listTables()}
+    out = dedup_lines(frame(spark))
+    assert {t.name for t in spark.catalog.listTables()} == before
+    assert out.count() == len(documents())
+
+
+def test_texts_all_null(spark):
+    rows = [(i, None, None, None, None) for i in range(8)]
+    assert {(r["n_lines"], r["n_dropped"], r["kept_text"]) for r in dedup_lines(frame(spark, rows)).collect()} == {(1, 0, "")}
