@@ -6,7 +6,11 @@ lowest-rank adjacent pair and all of them merge at once; sequences without a pai
 number of symbols that survive is the sequence's token count, and a text's count is the sum over its pre-tokens.
 
 Rows are independent: there is no shuffle, a lost task is simply run again, and memory is bounded by the step and the
-cache of known pre-tokens (``CACHE_WORDS``).  The vocabulary file is read on each worker from the path given.
+cache of known pre-tokens (``CACHE_WORDS``).  The driver reads the vocabulary file and broadcasts its bytes, at most
+``MAX_VOCABULARY`` of them.
+
+``Vocabulary`` takes files of one kind only and raises ValueError for others: byte-level pairs with an end-of-word mark,
+the normaliser and the splitter of ``NORMALIZERS`` and ``SPLITTER``, and special tokens matched as they stand.
 
 The merge is a byte-pair encoding's: of the pairs present the lowest rank first, leftmost first among equals.  All
 places of a sequence's lowest-rank pair merge in one round, which is the same, as a pair that holds the new symbol has
@@ -32,6 +36,12 @@ from pyspark.sql import types as T
 from lotmarket.llm.common import bounded_batches, text_offsets, text_steps
 
 CACHE_WORDS = 300_000
+#: Bytes of a vocabulary file that may be broadcast.
+MAX_VOCABULARY = 64 << 20
+#: What the fast path assumes of the vocabulary file.
+NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+SPLITTER = {"type": "Split", "behavior": "Removed", "invert": True}
+BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": False}
 #: Up to here Python's and the library's Unicode tables agree; sigma is left out, as its lower case depends on place.
 PLAIN = regex.compile(r"[\x00-˿]*")
 
@@ -46,15 +56,33 @@ def byte_symbols() -> list[str]:
     return [chr(b) if b in own else chr(next(rest)) for b in range(256)]
 
 
+def check_kind(spec: dict) -> None:
+    """Raise ValueError unless the vocabulary is of the kind that is counted here."""
+    model = spec["model"]
+    if model["type"] != "BPE" or not model.get("end_of_word_suffix"):
+        raise ValueError("a byte-pair vocabulary with an end-of-word mark is needed")
+    odd = [k for k in ("dropout", "unk_token", "continuing_subword_prefix", "fuse_unk", "byte_fallback", "ignore_merges") if model.get(k)]
+    if odd:
+        raise ValueError(f"the model's settings {odd} are not known here")
+    if (spec.get("normalizer") or {}).get("normalizers") != NORMALIZERS:
+        raise ValueError("the normaliser must be NFC, white space to one blank, lower case")
+    steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or []
+    has = lambda step, wanted: all(step.get(k) == v for k, v in wanted.items())
+    if len(steps) != 2 or not has(steps[0], SPLITTER) or "Regex" not in steps[0]["pattern"] or not has(steps[1], BYTE_LEVEL):
+        raise ValueError("the pre-tokeniser must keep a pattern's matches and turn them to bytes")
+    if any(t.get(k) for t in spec.get("added_tokens", []) for k in ("single_word", "lstrip", "rstrip", "normalized")):
+        raise ValueError("special tokens must be matched as they stand")
+    if spec.get("truncation") or spec.get("padding"):
+        raise ValueError("the vocabulary cuts or fills texts")
+
+
 class Vocabulary:
     """Ranked merges over the bytes of a pre-token whose last symbol carries the end-of-word mark."""
 
-    def __init__(self, path: str):
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
+    def __init__(self, content: bytes):
+        spec = json.loads(content)
+        check_kind(spec)
         model = spec["model"]
-        if model["type"] != "BPE" or not model.get("end_of_word_suffix"):
-            raise ValueError("a byte-pair vocabulary with an end-of-word mark is needed")
         ids, end = model["vocab"], model["end_of_word_suffix"]
         self.size = len(ids)
         self.inner = np.array([ids[c] for c in byte_symbols()], dtype=np.int64)
@@ -69,7 +97,7 @@ class Vocabulary:
         born[pairs[:, 2]] = np.arange(len(key))
         if (np.maximum(born[pairs[:, 0]], born[pairs[:, 1]]) >= np.arange(len(key))).any():
             raise ValueError("a merge uses a symbol that a later merge makes")
-        self.specials = [t["content"] for t in spec["added_tokens"]]
+        self.specials = sorted((t["content"] for t in spec["added_tokens"]), key=len, reverse=True)  # the longest first
         self.split_specials = regex.compile("|".join(map(regex.escape, self.specials))) if self.specials else None
         self.pre = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
 
@@ -117,11 +145,11 @@ class Vocabulary:
 class Counter:
     """Counts texts' tokens; keeps what it knows about pre-tokens between steps."""
 
-    def __init__(self, path: str):
+    def __init__(self, content: bytes):
         import tokenizers
 
-        self.vocab = Vocabulary(path)
-        self.library = tokenizers.Tokenizer.from_file(path)
+        self.vocab = Vocabulary(content)
+        self.library = tokenizers.Tokenizer.from_buffer(content)
         self.known: dict[str, int] = {}
 
     def pre_tokens(self, text: str) -> list[str]:
@@ -149,12 +177,18 @@ class Counter:
 def counted(docs: DataFrame, path: str, text: str = "text", limit: int = 2048, carry: list[str] | None = None) -> DataFrame:
     """``docs`` (or its columns ``carry``) with ``n_bytes``, ``n_tokens`` and ``over_limit`` (more than ``limit`` tokens)."""
     bounded_batches(docs.sparkSession)
+    with open(path, "rb") as f:
+        content = f.read()
+    if len(content) > MAX_VOCABULARY:
+        raise ValueError(f"{path} is larger than {MAX_VOCABULARY} bytes")
+    check_kind(json.loads(content))  # here already, not only in the tasks
+    shared = docs.sparkSession.sparkContext.broadcast(content)
     made = ("n_bytes", "n_tokens")
     keep = [c for c in (docs.columns if carry is None else carry) if c not in (*made, "over_limit")]
     schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(c, T.LongType()) for c in made])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(path)
+        counter = Counter(shared.value)
         for step in text_steps(batches, text):
             column = step.column(step.schema.get_field_index(text))
             tokens = counter.count(column.to_pylist())

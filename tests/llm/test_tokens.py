@@ -1,3 +1,5 @@
+import copy
+import json
 import random
 
 import public_tokenizers
@@ -62,3 +64,42 @@ def test_scores_give_the_shortest_path():
 def test_empty(spark):
     assert token_count.counted(frame(spark, []), WORDS).collect() == []
     assert piece_transducer.encoded(frame(spark, []), PIECES).collect() == []
+
+
+def test_vocabularies_of_another_kind_are_refused(spark, tmp_path):
+    with open(WORDS, encoding="utf-8") as f:
+        spec = json.load(f)
+    token_count.check_kind(spec)
+
+    def changed(change):
+        other = copy.deepcopy({k: v for k, v in spec.items() if k != "model"}) | {"model": dict(spec["model"])}
+        change(other)
+        return other
+
+    others = [changed(c) for c in (
+        lambda x: x["normalizer"]["normalizers"].pop(), lambda x: x.update(normalizer=None), lambda x: x.update(pre_tokenizer=None),
+        lambda x: x["pre_tokenizer"]["pretokenizers"][0].update(invert=False), lambda x: x["pre_tokenizer"]["pretokenizers"][1].update(add_prefix_space=True),
+        lambda x: x["added_tokens"][0].update(lstrip=True), lambda x: x["model"].update(byte_fallback=True), lambda x: x["model"].update(type="WordPiece"),
+        lambda x: x["model"].update(end_of_word_suffix=None), lambda x: x.update(truncation={"max_length": 3}))]
+    for other in others:
+        with pytest.raises(ValueError):
+            token_count.check_kind(other)
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(others[0]))
+    with pytest.raises(ValueError):
+        token_count.counted(frame(spark), str(path))
+
+
+def test_the_vocabulary_is_not_read_in_the_tasks(spark, tmp_path):
+    path = tmp_path / "words.json"
+    with open(WORDS, "rb") as f:
+        path.write_bytes(f.read())
+    out = token_count.counted(frame(spark), str(path))
+    path.unlink()
+    rows = {(r["text"], r["n_tokens"]) for r in out.collect()}
+    assert rows == {(r["text"], r["n_tokens"]) for r in token_count.counted(frame(spark), WORDS).collect()}
+
+
+def test_texts_all_null(spark):
+    rows = [(i, None, None, None, None) for i in range(5)]
+    assert {(r["n_bytes"], r["n_tokens"], r["over_limit"]) for r in token_count.counted(frame(spark, rows), WORDS).collect()} == {(0, 0, False)}
