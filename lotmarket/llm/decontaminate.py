@@ -10,9 +10,10 @@ document that has fewer words:
 2.  Each such window gets a 64-bit SimHash of its five-word shingles, from sums of signed square roots of their weights.
     A shingle's weight is its rarity among the items (``log(1 + items / items with the shingle)``); with square roots
     the angle between fingerprints is bounded by the similarity, however uneven the weights are.
-3.  A multi-index finds the items within ``RADIUS`` bits: fingerprints are cut into ``BLOCKS`` blocks of 8 bits, and each
-    item is listed under all block values within RADIUS // BLOCKS bits of its own.  Two fingerprints within RADIUS have
-    at least one block within that, so the search misses none of these.
+3.  A multi-index finds the items within ``RADIUS`` bits: fingerprints are cut into ``BLOCKS`` blocks of 16 bits.  Two
+    fingerprints within RADIUS differ in at most RADIUS // BLOCKS = 3 bits of some block; items are listed under all
+    block values within ``LISTED`` bits of their own and windows ask for all within ``PROBED`` bits of theirs, together
+    3, so the search misses none of these.  About 4 of 100 random pairs meet.
 4.  Items beyond RADIUS are found by their own rarest shingles: an item is posted under so many of them that the others
     weigh less than 0.8 of it, so a similar window has at least one.  A bound from sums of the common shingles leaves
     the windows that may be similar.  This loses nothing either.
@@ -47,8 +48,9 @@ from lotmarket.llm.common import bounded_batches, list_array, mix64, text_bytes,
 from lotmarket.llm.shingles import shingle_hashes, word_hashes
 
 SHINGLE = 5
-BLOCKS = 8
-RADIUS = 23
+BLOCKS, BLOCK_BITS = 4, 16
+RADIUS = 15
+LISTED, PROBED = 2, 1
 SIMILARITY = 0.8
 #: For sums of weights, which are rounded: what has less than this share in common is surely not similar.
 LEAST = SIMILARITY * (1 - 1e-4)
@@ -58,7 +60,7 @@ GATE_BITS = 22
 #: Windows, and pairs of a window and an item, that are looked at in one step.
 WINDOWS, PAIRS = 1 << 12, 1 << 20
 
-_NEAR = {r: [m for m in range(256) if bin(m).count("1") <= r] for r in range(BLOCKS)}
+_FLIPS = {r: np.array([m for m in range(1 << BLOCK_BITS) if m.bit_count() <= r], dtype=np.uint16) for r in (LISTED, PROBED)}
 _POPULATION = np.array([bin(i).count("1") for i in range(256)], dtype=np.uint8)
 
 
@@ -76,10 +78,16 @@ def _sums(hashes: np.ndarray, weights: np.ndarray) -> np.ndarray:
 
 
 def _packed(sums: np.ndarray) -> np.ndarray:
-    """The bytes (BLOCKS of them) of the fingerprints of rows of 64 weighted sums; a sum within rounding of 0 is 0."""
+    """The eight bytes of the fingerprints of rows of 64 weighted sums; a sum within rounding of 0 is 0."""
     return np.packbits(sums > 1e-3, axis=1)
 
 
+def _slots(prints: np.ndarray, bits: int) -> np.ndarray:
+    """For each fingerprint, (block, value) as one number of all values within so many bits of each block's own."""
+    value = prints.view(np.uint16)[:, :, None] ^ _FLIPS[bits]
+    return (np.arange(BLOCKS, dtype=np.int32)[:, None] << BLOCK_BITS | value).reshape(len(prints), -1)
+
+
 @dataclass
 class Slice:
     """Some items: their ids, lengths in words, and shingles on end, with weights."""
@@ -109,16 +117,12 @@ class Index:
         order = np.argsort(posted, kind="stable")
         self.posted, self.posted_item = posted[order], item[order]
         self.by_length: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        near = np.array(_NEAR[RADIUS // BLOCKS], dtype=np.uint8)
         for length in np.unique(items.lengths):
-            own = np.flatnonzero(items.lengths == length)
-            block = np.repeat(np.arange(BLOCKS), len(own) * len(near))
-            value = (prints[own].T[:, :, None] ^ near).reshape(-1)
-            slot = block * 256 + value
-            item = np.tile(np.repeat(own, len(near)), BLOCKS)
-            order = np.argsort(slot, kind="stable")
-            starts = np.searchsorted(slot[order], np.arange(BLOCKS * 256 + 1))
-            self.by_length[int(length)] = (starts, item[order])
+            own = np.flatnonzero(items.lengths == length).astype(np.int32)
+            slots = _slots(prints[own], LISTED)
+            item = np.repeat(own, slots.shape[1])
+            order = np.argsort(slots, axis=None, kind="stable")
+            self.by_length[int(length)] = (slots.ravel()[order], item[order])
 
     def _rarest(self, item: int) -> np.ndarray:
         """So many of an item's distinct shingles, those of most weight first, that the others are less than LEAST of it."""
@@ -139,15 +143,19 @@ class Index:
         has[maybe[hit]] = True
         return weights, has
 
-    def near(self, length: int, prints: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """(window, item, distance) of all items of that length within RADIUS of the windows' fingerprints."""
-        starts, listed = self.by_length[length]
-        slot = np.arange(BLOCKS) * 256 + prints.astype(np.int64)
-        lo, n = starts[slot].ravel(), (starts[slot + 1] - starts[slot]).ravel()
-        window = np.repeat(np.repeat(np.arange(len(prints)), BLOCKS), n)
+    def meet(self, length: int, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(window, item), each once: items of that length that the windows' fingerprints meet in a slot."""
+        slots, listed = self.by_length[length]
+        wanted = _slots(prints, PROBED)
+        lo = np.searchsorted(slots, wanted.ravel(), side="left")
+        n = np.searchsorted(slots, wanted.ravel(), side="right") - lo
+        window = np.repeat(np.repeat(np.arange(len(prints)), wanted.shape[1]), n)
         place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)
-        pairs = np.unique(window * len(self.prints) + listed[place])
-        window, item = np.divmod(pairs, len(self.prints))
+        return np.divmod(np.unique(window * len(self.prints) + listed[place]), len(self.prints))
+
+    def near(self, length: int, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(window, item, distance) of all items of that length within RADIUS of the windows' fingerprints."""
+        window, item = self.meet(length, prints)
         distance = _POPULATION[prints[window] ^ self.prints[item]].sum(axis=1, dtype=np.int64)
         ok = distance <= RADIUS
         return window[ok], item[ok], distance[ok]
@@ -181,7 +189,8 @@ class Index:
         prints = _packed(sums[at - at[0] + n] - sums[at - at[0]])
         seen = []
         for length in lengths:
-            step = max(1, PAIRS // max(1, len(self.by_length[length][1]) // BLOCKS))
+            own = len(self.by_length[length][1]) // (BLOCKS * len(_FLIPS[LISTED]))  # items; a pair may meet in several slots
+            step = max(1, PAIRS // (BLOCKS * len(_FLIPS[PROBED]) * own))
             for lo in range(0, len(at), step):
                 window, item, distance = self.near(length, prints[lo:lo + step])
                 window = at[window + lo]
@@ -256,12 +265,16 @@ def slices(benchmark: DataFrame, item_id: str = "item_id", text: str = "text") -
     weighed = written(items.select("item_id", "n_words", "slice", F.xxhash64("hashes").alias("k"), F.posexplode("hashes").alias("place", "hash")).join(having, "hash")
                       .groupBy("slice", "item_id", "n_words", "k")
                       .agg(F.sort_array(F.collect_list(F.struct("place", "hash", "df"))).alias("shingles")), "bench-weights")
+    packed = weighed.select("slice", "item_id", "n_words", F.transform("shingles", lambda x: x["hash"]).alias("hashes"),
+                            F.transform("shingles", lambda x: x["df"]).alias("dfs"))
     for k in range(n_slices):
-        part = weighed.where(F.col("slice") == k).collect()  # at most about SLICE_BYTES of text
-        if part:
-            yield Slice(np.array([r["item_id"] for r in part], dtype=object), np.array([r["n_words"] for r in part], dtype=np.int64),
-                        [np.array([x["hash"] for x in r["shingles"]], dtype=np.int64).view(np.uint64) for r in part],
-                        [np.log1p(total / np.array([x["df"] for x in r["shingles"]], dtype=np.float64)) for r in part], float(np.log1p(total)))
+        part = packed.where(F.col("slice") == k).toArrow()  # at most about SLICE_BYTES of text: numbers only, no Python objects
+        if part.num_rows:
+            hashes, dfs = (part[c].combine_chunks() for c in ("hashes", "dfs"))
+            cuts = np.cumsum(hashes.value_lengths().to_numpy())[:-1]
+            weights = np.log1p(total / dfs.flatten().to_numpy().astype(np.float64))
+            yield Slice(np.array(part["item_id"].to_pylist(), dtype=object), part["n_words"].to_numpy(),
+                        np.split(hashes.flatten().to_numpy().view(np.uint64), cuts), np.split(weights, cuts), float(np.log1p(total)))
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -55,6 +55,8 @@ def test_index_finds_all_within_the_radius():
     window, item, d = next(iter([index.near(24, prints)]))
     assert set(zip(window.tolist(), item.tolist())) == set(zip(*(x.tolist() for x in np.nonzero(distance <= decontaminate.RADIUS))))
     assert (d == distance[window, item]).all()
+    others = np.packbits(rng.random((2000, 64)) < 0.5, axis=1)
+    assert len(index.meet(24, others)[0]) < 0.06 * len(others) * 50  # the index selects: few random pairs meet
 
 
 def test_empty(spark):
@@ -130,6 +132,25 @@ def test_recall_as_by_brute_force(spark):
     found = {(r["doc_id"], r["item_id"]): r["similarity"] for r in got}
     assert set(found) == set(truth), (len(set(truth) - set(found)), len(truth))
     assert all(abs(found[k] - truth[k]) < 1e-6 for k in truth)
+    alone = [r["distance"] <= decontaminate.RADIUS for r in got if r["similarity"] < 0.9]
+    assert sum(alone) >= 0.9 * len(alone)  # what the index finds without the second search
+
+
+def test_recall_of_the_index_alone_at_the_threshold():
+    """Items and windows of similarity 0.8 to 0.9, of even and of uneven weights: within RADIUS of each other."""
+    rng = np.random.default_rng(4)
+    for shared, own, gone in ((0, 50, 5), (150, 30, 5), (600, 20, 10), (600, 10, 9)):
+        weights = np.concatenate([np.full(shared, np.log1p(1.0)), np.full(own, np.log1p(200.0))])
+        hits = 0
+        for _ in range(200):
+            a = rng.integers(0, 2**63, shared + own).astype(np.uint64)
+            b = a.copy()
+            b[shared:shared + gone] = rng.integers(0, 2**63, gone)
+            sides = [decontaminate._packed(decontaminate._sums(x, weights)[-1:]) for x in (a, b)]
+            hits += np.unpackbits(sides[0] ^ sides[1]).sum() <= decontaminate.RADIUS
+        lost = weights[shared:shared + gone].sum()
+        similarity = (weights.sum() - lost) / (weights.sum() + lost)
+        assert 0.8 <= similarity < 0.9 and hits >= 180, hits
 
 
 def test_items_beyond_the_radius_are_found(monkeypatch):
