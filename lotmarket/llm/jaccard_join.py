@@ -29,12 +29,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lotmarket.llm.common import PACKED, gathered, histogram, list_array, mix64, pack_texts, text_bytes, text_steps, unpack_texts, written
 from lotmarket.llm.components import components
 from lotmarket.llm.shingles import shingle_hashes, word_hashes
+from lotmarket.operators.common import join_small
 
 PERCENT = 80
 ORDER_BITS = 20
@@ -42,8 +43,10 @@ ORDER_BITS = 20
 SHORT = 16
 #: Neighbours with which an entry of a long list is paired.
 NEIGHBOURS = 6
-#: Entries with most links, of each long list, with which entries of other components are paired.
+#: Entries with many links, of each long list, with which entries of other components are paired.
 HUBS = 3
+#: Entries of a list that a task holds while others of the list meet them.
+CELL = 1 << 9
 #: Slots of a sketch: how many of a set's hashes fall into each.
 SLOTS = 128
 FULL = 2**16 - 1
@@ -182,71 +185,94 @@ def posted_pairs(groups: DataFrame) -> DataFrame:
     return dealt.sortWithinPartitions("token", "n", "grp").mapInArrow(run, _POSTED)
 
 
-_UNIT_PAIR = "ga bigint, ca bigint, gb bigint, cb bigint"
-
+def _mixed_lists(entries: DataFrame) -> DataFrame:
+    """The entries of those long lists that hold more than one component, with ``band`` and ``outer``.
 
-def _pair_batch(x: np.ndarray, i: np.ndarray, j: np.ndarray) -> pa.RecordBatch:
-    """Pairs of the entries (token, n, place, grp, component, degree) at i and j."""
-    return pa.RecordBatch.from_arrays([pa.array(x[r][k]) for k in (i, j) for r in (3, 4)], names=["ga", "ca", "gb", "cb"])
+    Bands are of sizes within a factor of 1.26, so sets that may link (a factor of 1.25 at most) are in one band or in two
+    next to each other.  ``outer`` are the entries outside their list's largest component.
+    """
+    sizes = entries.groupBy("token", "component").agg(F.count(F.lit(1)).alias("size"))
+    several = sizes.groupBy("token").agg(F.max_by("component", "size").alias("largest"), F.count(F.lit(1)).alias("several")).where("several > 1")
+    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.26)))
+    return written(join_small(entries, several.select("token", "largest"), ["token"], "inner").select(
+        "token", "n", "place", "grp", "component", "degree", "sketch", band.alias("band"), (F.col("component") != F.col("largest")).alias("outer")), "jaccard-mixed")
 
 
-def _mixed_lists(entries: DataFrame) -> DataFrame:
-    """The entries of those long lists that hold more than one component, dealt and sorted by list and size."""
-    several = entries.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-    kept = entries.join(written(several.select("token"), "jaccard-several"), "token", "left_semi")
-    n = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return kept.select("token", "n", "place", "grp", "component", "degree", "sketch").repartition(n, "token").sortWithinPartitions("token", "n", "grp")
+_CELL_KEYS = ["token", "band", "part", "share"]
 
 
-def _hub_pairs(entries: DataFrame) -> DataFrame:
-    """Each entry of a long list with those of the list's HUBS most linked entries that are in other components.
+def _cells(kept: DataFrame, probes: DataFrame) -> DataFrame:
+    """Kept entries and probes of each list, dealt so that a probe meets each kept entry of its own and the next bands once.
 
-    Near copies of one text link the better the fewer their changes, so those with most links join nearly all others.
+    The kept entries of a (token, band) are cut by hash into parts of about CELL, its probes into shares of about CELL; each
+    part meets each share in a cell.  A list of any length is so read by as many tasks as it has cells.
     """
+    reach = probes.withColumn("band", F.explode(F.sequence(F.col("band") - 1, F.col("band") + 1)))
+    cut = lambda t, c: t.groupBy("token", "band").agg(F.ceil(F.count(F.lit(1)) / CELL).alias(c))
+    cells = written(cut(kept, "parts").join(cut(reach, "shares"), ["token", "band"]), "jaccard-cells")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in gathered(batches):
-            x, sketch = np.stack([batch.column(i).to_numpy() for i in range(6)]), _sketches(batch.column(6))
-            by = np.lexsort((-x[5], x[0]))
-            lists = x[0][by]
-            first = np.searchsorted(lists, lists)
-            for d in range(HUBS):
-                j = by[np.minimum(first + d, len(by) - 1)]
-                ok = (x[0][by] == x[0][j]) & (x[4][by] != x[4][j])
-                i, j = by[ok], j[ok]
-                ok = _may_link(x[1][i], x[1][j], x[2][i], x[2][j])
-                i, j = i[ok], j[ok]
-                ok = _enough(x[1][i], x[1][j], sketch[i], sketch[j])
-                if ok.any():
-                    yield _pair_batch(x, i[ok], j[ok])
-
-    return _mixed_lists(entries).mapInArrow(run, _UNIT_PAIR).distinct()
+    def dealt(t: DataFrame, own: str, count: str, other: str, others: str, probe: int, outer: Column) -> DataFrame:
+        placed = join_small(t, cells, ["token", "band"], "inner")
+        return placed.withColumn(own, F.pmod(F.xxhash64("grp", "component"), F.col(count))).withColumn(
+            other, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(others) - 1))).select(
+                *_CELL_KEYS, F.lit(probe).cast("bigint").alias("probe"), "n", "place", "grp", "component", outer.cast("bigint").alias("outer"), "sketch")
 
+    rows = dealt(kept, "part", "parts", "share", "shares", 0, F.col("outer")).union(
+        dealt(reach, "share", "shares", "part", "parts", 1, F.lit(True)))
+    tasks = int(kept.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(tasks, *_CELL_KEYS).sortWithinPartitions(*_CELL_KEYS, "probe", "n", "grp")
 
-def _cross_pairs(entries: DataFrame) -> DataFrame:
-    """All pairs of units of different components that may link and have a long list in common.
 
-    A list's entries come by size; one meets those before it that have at least 0.8 of its size.
+def _met(cells: DataFrame) -> DataFrame:
+    """Pairs (ga, ca, gb, cb) of units of different components that meet in a cell and may link, by sizes, places and sketches.
+
+    Two outer entries probe each other; the pair is given once, for the probe with the greater (grp, component).
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before, marks = np.empty((5, 0), dtype=np.int64), np.empty((0, SLOTS), dtype=np.uint16)
+        held, marks = np.empty((10, 0), dtype=np.int64), np.empty((0, SLOTS), dtype=np.uint16)
         for batch in gathered(batches):
-            x = np.concatenate([before, np.stack([batch.column(i).to_numpy() for i in range(5)])], axis=1)
-            sketch = np.concatenate([marks, _sketches(batch.column(6))])
-            token, n, place, _, comp = x
-            low = np.searchsorted(token, token)  # first entry of the list
-            for j in range(before.shape[1], x.shape[1]):
-                i = np.arange(low[j], j)
-                i = i[comp[i] != comp[j]]
+            x = np.concatenate([held, np.stack([batch.column(i).to_numpy() for i in range(10)])], axis=1)
+            sketch = np.concatenate([marks, _sketches(batch.column(10))])
+            probe, n, place, grp, comp, outer = x[4:]
+            new = np.concatenate([[True], (x[:4, 1:] != x[:4, :-1]).any(axis=0)])
+            cell = np.cumsum(new) - 1
+            first = np.flatnonzero(new)
+            kept = np.bincount(cell, weights=probe == 0).astype(np.int64)
+            for j in np.flatnonzero(probe):
+                i = np.arange(first[cell[j]], first[cell[j]] + kept[cell[j]])
+                twice = (outer[i] == 1) & ((grp[i] > grp[j]) | ((grp[i] == grp[j]) & (comp[i] > comp[j])))
+                i = i[(comp[i] != comp[j]) & ~twice]
                 i = i[_may_link(n[i], n[j], place[i], place[j])]
                 i = i[_enough(n[i], n[j], sketch[i], sketch[j])]
                 if len(i):
-                    yield _pair_batch(x, i, np.full(len(i), j))
-            stay = np.flatnonzero((token == token[-1]) & (100 * n >= PERCENT * n[-1])) if x.shape[1] else np.arange(0)
-            before, marks = x[:, stay], sketch[stay]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in (grp[i], comp[i], np.full(len(i), grp[j]), np.full(len(i), comp[j]))],
+                                                     names=["ga", "ca", "gb", "cb"])
+            stay = np.flatnonzero((cell == cell[-1]) & (probe == 0))
+            held, marks = x[:, stay], sketch[stay]
+
+    return cells.mapInArrow(run, "ga bigint, ca bigint, gb bigint, cb bigint").distinct()
 
-    return _mixed_lists(entries).mapInArrow(run, _UNIT_PAIR).distinct()
+
+def _hub_pairs(entries: DataFrame) -> DataFrame:
+    """The HUBS hubs of each long list with those of its entries that are in other components.
+
+    A hub is the entry with most links of those in one of HUBS parts of the list by hash.  Near copies of one text link
+    the better the fewer their changes, so hubs join nearly all others.
+    """
+    mixed = _mixed_lists(entries)
+    best = mixed.groupBy("token", F.pmod(F.xxhash64("grp"), F.lit(HUBS)).alias("of")).agg(
+        F.max(F.struct("degree", "grp", "component", "n", "place", "band", "sketch")).alias("hub"))
+    return _met(_cells(mixed.withColumn("outer", F.lit(False)), best.select("token", "hub.*")))
+
+
+def _cross_pairs(entries: DataFrame) -> DataFrame:
+    """All pairs of units of different components that may link and have a long list in common.
+
+    One of the two at least is outside the list's largest component, so only the outer entries probe.
+    """
+    mixed = _mixed_lists(entries)
+    return _met(_cells(mixed, mixed.where("outer")))
 
 
 def whole_sets(members: DataFrame, docs: DataFrame, many: bool) -> DataFrame:
