@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lotmarket.functions import core as fx
@@ -181,6 +181,17 @@ def top_k(df: DataFrame, order_cols: Sequence, k: int) -> DataFrame:
     return df.orderBy(*order_cols).limit(k)
 
 
+def flag_top(df: DataFrame, keys, order: Sequence[Column | str], k: int, name: str) -> DataFrame:
+    """T4: whether a row is among the first ``k`` of the whole table in ``order`` (a total order over the unique ``keys``).
+
+    The first k come from each task's own first k; their keys reach the rows as one array, so no task sorts the table.
+    ``df`` is read twice: give a written one where it is dear.  A row whose keys are NULL counts like any other.
+    """
+    key = F.struct(*[F.col(c) for c in _ks(keys)])
+    first = df.orderBy(*order).limit(k).agg(F.collect_list(key).alias("_first"))
+    return attach(df, first).withColumn(name, F.exists("_first", lambda x: x.eqNullSafe(key))).drop("_first")
+
+
 def top_k_per_group(df: DataFrame, keys, order_cols: Sequence, k: int, rank_name: str = "rank") -> DataFrame:
     """Per-group top-k (``WindowGroupLimit`` keeps only k rows per group before the sort)."""
     w = Window.partitionBy(*_ks(keys)).orderBy(*order_cols)

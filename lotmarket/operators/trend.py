@@ -98,7 +98,7 @@ def fill_gaps(series: DataFrame, keys, month: str = "month", value: str = "media
 def poly_forecast(series: DataFrame, keys, t: str, y: str, horizon: int = 6,
                   min_points: int = 4, history: bool = False) -> DataFrame:
     """Least-squares quadratic in the centred index ``t`` per group (degree
-    min(2, n-1)); forecast ``horizon`` steps; bands +-1.5 sigma (population std of
+    min(2, n-1), so two points give a line and one a constant); forecast ``horizon`` steps; bands +-1.5 sigma (population std of
     residuals).  Closed-form from power sums, no iteration.  With ``history``: the
     fitted past instead, with bands of +-1 sigma."""
     ks = _ks(keys)
@@ -113,8 +113,8 @@ def poly_forecast(series: DataFrame, keys, t: str, y: str, horizon: int = 6,
     n, S2, S3, S4, T0, T1, T2 = [F.col(k) for k in ("n", "S2", "S3", "S4", "T0", "T1", "T2")]
     det = n * (S2 * S4 - S3 * S3) - S2 * S2 * S2
     # centred index => S1 = 0; solve the 3x3 normal equations in closed form
-    b2 = F.try_divide(n * (S2 * T2 - S3 * T1) - S2 * S2 * T0, det)
-    b1 = F.try_divide(T1 - b2 * S3, S2)
+    b2 = F.when(n > 2, F.try_divide(n * (S2 * T2 - S3 * T1) - S2 * S2 * T0, det)).otherwise(0.0)
+    b1 = F.when(n > 1, F.try_divide(T1 - b2 * S3, S2)).otherwise(0.0)
     b0 = (T0 - b2 * S2) / n
     coef = s.select(*ks, "tm", "t_last", "n", b0.alias("b0"), b1.alias("b1"), b2.alias("b2"))
     fit = c.join(coef, ks, "inner")  # a row per kept month

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lotmarket.functions import core as fx
@@ -29,9 +29,9 @@ def hash_ids(df: DataFrame, keys: Sequence[str], name: str, seed: int = 42) -> D
     return df.withColumn(name, F.conv(F.substring(h, 1, 15), 16, 10).cast("bigint"))
 
 
-def dense_ids(df: DataFrame, order: Sequence[str], name: str, partitions: int | None = None) -> DataFrame:
-    """Dense ids 1..N following ``order`` (ties broken by the order columns only;
-    give a total order).  Scales with the data: no global sort into one task."""
+def dense_ids(df: DataFrame, order: Sequence[Column | str], name: str, partitions: int | None = None) -> DataFrame:
+    """Dense ids 1..N following ``order``, which may hold descending columns (ties broken by the order columns only;
+    give a total order).  Scales with the data: no global sort into one task.  So it also ranks a whole table."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lotmarket.functions import core as fx
@@ -70,11 +69,9 @@ def hotspots(spark, d):
     of = lambda c, x: F.max(F.when(F.col("measure") == c, F.col(x)))
     t = med.groupBy(*keys).agg(of("median_price", "n").alias("n"), of("median_price", "m").alias("median_price"),
                                F.coalesce(of("median_unit_price", "m"), F.lit(0.0)).alias("median_unit_price"))
-    # rankings run over the aggregated table (one row per area)
-    t = t.withColumn("top_price", F.row_number().over(
-        Window.orderBy(F.desc("median_price"), "neighborhood")) <= 3)
-    t = t.withColumn("top_volume", F.row_number().over(Window.orderBy(F.desc("n"), "neighborhood")) <= 3)
-    return finish(t)
+    t = materialize(t, "areas")  # one row per area, read by both rankings
+    t = mk.flag_top(t, keys, [F.desc("median_price"), "neighborhood"], 3, "top_price")
+    return finish(mk.flag_top(t, keys, [F.desc("n"), "neighborhood"], 3, "top_volume"))
 
 
 @register("risk_cv", with_sales("""

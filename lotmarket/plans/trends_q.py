@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lotmarket.operators import market as mk
 from lotmarket.operators import trend as tr
 from lotmarket.operators.common import attach
+from lotmarket.operators.warehouse import dense_ids
 from lotmarket.plans.binding import with_sales
 from lotmarket.plans.catalog import register
 from lotmarket.plans.common import finish
@@ -88,9 +89,7 @@ def leaderboard(spark, d, names=None):
     if names:
         r = r.where(F.col("neighborhood").isin(*names))
     r = r.select("neighborhood", "return_pct", "confidence", tr.confidence_rating("confidence").alias("rating"))
-    # one row per area
-    r = r.withColumn("position", F.row_number().over(Window.orderBy(F.desc("confidence"), "neighborhood")))
-    return finish(r)
+    return finish(dense_ids(r, [F.desc("confidence"), "neighborhood"], "position"))
 
 
 REGION_M_CTE = S_CTE + """,

@@ -163,13 +163,6 @@ def ingest_files(spark: SparkSession, paths: Mapping[str, str], fmt: str = "parq
     return out
 
 
-def file_fingerprints(spark: SparkSession, path_glob: str) -> DataFrame:
-    """First 16 hex digits of the MD5 of each file (``binaryFile`` source)."""
-    b = spark.read.format("binaryFile").load(path_glob)
-    return b.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), F.col("length").alias("bytes"),
-                    F.substring(F.md5("content"), 1, 16).alias("file_hash"))
-
-
 #: Bytes of one range of a file's print, and of one read within a range.
 RANGE_BYTES, READ_BYTES = 1 << 26, 1 << 20
 
@@ -184,20 +177,54 @@ def _open(path: str):
     return system.open_input_file(inner)
 
 
+def _pieces(path: str, start: int, length: int) -> Iterator[bytes]:
+    """The bytes of a range of a file, READ_BYTES at a time."""
+    with _open(path) as f:
+        f.seek(start)
+        while length:
+            piece = f.read(min(READ_BYTES, length))
+            if not piece:
+                raise OSError(f"{path} is shorter than when it was listed")
+            yield piece
+            length -= len(piece)
+
+
+def _listed(spark: SparkSession, path_glob: str) -> DataFrame:
+    """(path, bytes) of the files, whose content isn't read here.  Spark's file listing leaves out empty files."""
+    return spark.read.format("binaryFile").load(path_glob).select("path", F.col("length").alias("bytes"))
+
+
+def _file_digests(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The MD5 of each row's file."""
+    for rows in frames:
+        digests = []
+        for path, length in zip(rows["path"], rows["bytes"], strict=True):
+            digest = hashlib.md5(usedforsecurity=False)
+            for piece in _pieces(path, 0, int(length)):
+                digest.update(piece)
+            digests.append(digest.hexdigest())
+        yield rows.assign(digest=digests)
+
+
+def file_fingerprints(spark: SparkSession, path_glob: str) -> DataFrame:
+    """First 16 hex digits of the MD5 of each file.
+
+    MD5 goes through a file in order, so a file is one task's work, but it is read in pieces: no row holds file content
+    and a file may have any size.  ``file_range_prints`` spreads one file over many tasks.
+    """
+    dealt = _listed(spark, path_glob).repartition("path")
+    read = dealt.mapInPandas(_file_digests, "path string, bytes bigint, digest string")
+    return read.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), "bytes", F.substring("digest", 1, 16).alias("file_hash"))
+
+
 def _range_digests(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The sha256 of each row's range, read in pieces of READ_BYTES."""
     for rows in frames:
         digests = []
         for path, start, length in zip(rows["path"], rows["start"], rows["length"], strict=True):
-            digest, left = hashlib.sha256(), int(length)
-            with _open(path) as f:
-                f.seek(int(start))
-                while left:
-                    piece = f.read(min(READ_BYTES, left))
-                    if not piece:
-                        raise OSError(f"{path} is shorter than when it was listed")
-                    digest.update(piece)
-                    left -= len(piece)
+            digest = hashlib.sha256()
+            for piece in _pieces(path, int(start), int(length)):
+                digest.update(piece)
             digests.append(digest.hexdigest())
         yield rows.assign(digest=digests)
 
@@ -206,11 +233,10 @@ def file_range_prints(spark: SparkSession, path_glob: str, range_bytes: int = RA
     """S8 for files of any size: a print of its own form, made of the digests of a file's ranges.
 
     Files are cut into ranges of ``range_bytes``; each range is a row that a task reads and hashes by itself, so a file
-    of terabytes is spread over all tasks and no row holds file content.  Spark's file listing leaves out empty files.  The
-    print is the sha256 of the ranges' sha256 digests (lowercase hex), joined in order; it depends on ``range_bytes``
+    of terabytes is spread over all tasks and no row holds file content.  The print is the sha256 of the ranges' sha256 digests (lowercase hex), joined in order; it depends on ``range_bytes``
     and differs from the file's own digest.  Files with one name in different folders keep rows of their own.
     """
-    files = spark.read.format("binaryFile").load(path_glob).select("path", F.col("length").alias("bytes"))  # content isn't read
+    files = _listed(spark, path_glob)
     starts = F.sequence(F.lit(0).cast("bigint"), F.col("bytes") - 1, F.lit(range_bytes).cast("bigint"))
     ranges = files.select("path", "bytes", F.explode(starts).alias("start"))
     ranges = ranges.withColumn("length", F.least(F.lit(range_bytes).cast("bigint"), F.col("bytes") - F.col("start")))

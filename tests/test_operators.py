@@ -3,9 +3,11 @@
 import datetime as dt
 
 import numpy as np
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lotmarket.operators import clean as cl
+from lotmarket.operators import market as mk
 from lotmarket.operators import ml
 from lotmarket.operators import relational as rel
 from lotmarket.operators import trend as tr
@@ -137,3 +139,34 @@ def test_loan_zero_rate_branch(spark):
     assert r[0].monthly_payment == 240000.0 / 360 and r[0].total_interest == 0.0
     i = 0.065 / 12
     assert abs(r[1].monthly_payment - 240000 * i * (1 + i) ** 360 / ((1 + i) ** 360 - 1)) < 1e-6
+
+
+def test_poly_forecast_of_one_and_two_points(spark):
+    """Fewer points than a parabola needs: a constant through one, a line through two."""
+    rows = [("one", 0, 5.0), ("two", 0, 1.0), ("two", 1, 4.0)]
+    df = spark.createDataFrame(rows, "k string, t bigint, y double")
+    got = {k: [] for k in ("one", "two")}
+    for r in tr.poly_forecast(df, "k", "t", "y", horizon=2, min_points=1).orderBy("k", "step").collect():
+        got[r.k].append(round(r.forecast, 9))
+    assert got == {"one": [5.0, 5.0], "two": [7.0, 10.0]}
+
+
+def test_flag_top_against_a_window(spark):
+    """Ties, NULL keys and NULL values rank as in one window over the whole table; no task sorts the table."""
+    rows = [(None if i == 7 else f"a{i}", i % 3, None if i % 5 == 0 else float(i % 4)) for i in range(40)]
+    df = spark.createDataFrame(rows, "area string, part bigint, v double").repartition(6)
+    order = [F.desc("v"), "area"]
+    got = mk.flag_top(df, ["area", "part"], order, 12, "top")
+    want = df.withColumn("top", F.row_number().over(Window.orderBy(*order)) <= 12)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert got.where("top").count() == 12
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "TakeOrderedAndProject" in plan
+    assert mk.flag_top(df.limit(0), ["area", "part"], order, 12, "top").collect() == []
+
+
+def test_dense_ids_rank_downwards(spark):
+    df = spark.createDataFrame([(f"a{i:02d}", None if i == 3 else i % 7) for i in range(50)], "area string, v bigint").repartition(5)
+    order = [F.desc("v"), "area"]
+    want = df.withColumn("rank", F.row_number().over(Window.orderBy(*order)).cast("bigint"))
+    assert sorted(map(str, wh.dense_ids(df, order, "rank").collect())) == sorted(map(str, want.collect()))

@@ -55,3 +55,12 @@ def test_prints_of_files_come_from_their_ranges(spark, tmp_path):
     one.write_bytes(b"!")
     after = io.file_range_prints(spark, str(one), range_bytes=64).first()
     assert (before.file, before.bytes) == (after.file, after.bytes) and before.file_print != after.file_print
+
+
+def test_file_fingerprints_in_pieces(spark, tmp_path):
+    """MD5 of whole files, also of those longer than one read and with odd names."""
+    for name, content in (("a b.bin", b"x" * 3_000_001), ("c%20d.bin", b"y"), ("e.bin", bytes(range(256)) * 8192)):
+        (tmp_path / name).write_bytes(content)
+    got = {(r.file, r.bytes, r.file_hash) for r in io.file_fingerprints(spark, str(tmp_path / "*")).collect()}
+    assert {(n, h) for _, n, h in got} == {(p.stat().st_size, hashlib.md5(p.read_bytes()).hexdigest()[:16]) for p in tmp_path.iterdir()}
+    assert len(got) == 3
