@@ -63,4 +63,5 @@ def join_small(df: DataFrame, small: DataFrame, keys: Sequence[str], how: str =
         return df.join(F.broadcast(small), cond, how).drop(*names.values())
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)))
     copies = small.withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
-    return salted.join(copies, cond & (F.col("_salt") == F.col("_copy")), how).drop("_salt", "_copy", *names.values())
+    # Spark would judge the copies by the size of the file they come from, and broadcast them
+    return salted.join(copies.hint("merge"), cond & (F.col("_salt") == F.col("_copy")), how).drop("_salt", "_copy", *names.values())

@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from lotmarket.operators import relational as rel
 
@@ -41,6 +42,21 @@ def test_many_boxes_meet_by_a_salted_join(spark, monkeypatch):
     assert sorted((r["id"], r["name"]) for r in out.collect()) == every_pair(points, boxes)
 
 
+def test_salted_copies_are_never_broadcast(spark, monkeypatch):
+    """The copies of many boxes come from a small file: by its size alone Spark would send them all through the driver."""
+    from lotmarket.operators import common
+    monkeypatch.setattr(rel, "BROADCAST_ROWS", 3)
+    points, boxes = case(60, 7)
+    out = rel.range_join(spark.createDataFrame(points, "id long, lat double, lon double"), spark.createDataFrame(boxes, BOX), "lat", "lon", 20.0)
+    small = spark.createDataFrame([(i, i * 10) for i in range(9)], "k long, v long")
+    joined = common.join_small(spark.range(100).withColumn("k", F.col("id") % 12), small, ["k"], bound=3)
+    for df in (out, joined):
+        rows = sorted(tuple(r) for r in df.collect())
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert rows and "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    assert [r[2] for r in sorted(joined.select("id", "k", "v").collect())][:12] == [*range(0, 90, 10), None, None, None]
+
+
 def test_empty_sides(spark):
     points, boxes = case(3, 1)
     p, b = spark.createDataFrame(points, "id long, lat double, lon double"), spark.createDataFrame(boxes, BOX)
