@@ -45,6 +45,55 @@ def test_cells_stand_for_their_rows():
     assert a.value[0].any()
 
 
+def test_grid_and_list_of_cells_grow_the_same_trees(monkeypatch):
+    rng = np.random.default_rng(5)
+    rows, y = rng.integers(0, (4, 7, 5), (900, 3)), rng.normal(size=900)
+    cells, at = np.unique(rows, axis=0, return_inverse=True)
+    w, s = np.bincount(at).astype(float), np.bincount(at, y)
+    bounds = [[float(i) for i in range(n - 1)] for n in (4, 7, 5)]
+    monkeypatch.setattr(B, "DENSE", 0)
+    a = B.boost(cells, w, s, 30, 4, 0.2, 0.8, 1, bounds)
+    monkeypatch.setattr(B, "DENSE", 1000)
+    b = B.boost(cells, w, s, 30, 4, 0.2, 0.8, 1, bounds)
+    assert np.array_equal(a.feature, b.feature) and np.array_equal(a.cut, b.cut) and np.allclose(a.value, b.value) and np.allclose(a.gain, b.gain)
+    painted = np.full(B.grid_shape(bounds), a.base)
+    one_by_one = np.full(len(cells), a.base)
+    for t in range(30):
+        B.paint(painted, a.feature[t], a.cut[t], a.value[t])
+        one_by_one += B.leaf_values(a, t, cells)
+    assert a.table is None and np.allclose(b.table, painted) and np.array_equal(painted.ravel()[B.slots(cells, painted.shape)], one_by_one)
+
+
+def test_rows_are_scored_the_same_way_alone_and_from_the_grid(spark, monkeypatch):
+    df = planted(spark, 3000)
+    model = B.fit_boosted(df, "y", ["a", "b"], rounds=20, depth=3)
+    alone = B.predict_boosted(df, model._replace(table=None), ["a", "b"], "p").orderBy("id").collect()
+    monkeypatch.setattr(B, "SINGLE_ROWS", 10)
+    painted = B.predict_boosted(df, model._replace(table=None), ["a", "b"], "p").orderBy("id").collect()
+    assert model.table is not None and [r.p for r in alone] == [r.p for r in painted]
+    assert [r.p for r in alone] == pytest.approx([r.p for r in B.predict_boosted(df, model, ["a", "b"], "p").orderBy("id").collect()])
+
+
+def test_a_full_grid_is_grown_quickly():
+    """A round on all combinations of 32 bins of four features, of which the list of cells took 1.4 s."""
+    import time
+    cells = np.stack(np.unravel_index(np.arange(24**4), (24,) * 4), axis=1)
+    rng = np.random.default_rng(1)
+    w, mean = rng.integers(1, 6, len(cells)).astype(float), rng.normal(size=len(cells))
+    bounds = [[float(i) for i in range(23)]] * 4
+
+    def cost(dense):
+        B_DENSE, B.DENSE = B.DENSE, dense
+        try:
+            start = time.process_time()
+            B.boost(cells, w, w * mean, 3, 7, 0.05, 1.0, 1, bounds)
+            return time.process_time() - start
+        finally:
+            B.DENSE = B_DENSE
+
+    assert cost(20) < 0.6 * cost(0)
+
+
 def test_against_a_row_wise_fit(spark):
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GBTRegressor
