@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from lotmarket.operators import quality as qa
 from lotmarket.operators import relational as rel
 from lotmarket.operators import warehouse as wh
-from lotmarket.plans.binding import sales, table, with_sales
+from lotmarket.plans.binding import sales, sales_by_order, table, with_sales
 from lotmarket.plans.catalog import register
 from lotmarket.plans.common import finish
 from lotmarket.sources.files import materialize
@@ -191,7 +191,7 @@ USING (borough_name)""", """v AS (SELECT borough_name, l_orderkey, l_linenumber,
   CASE WHEN discount = 0 THEN NULL ELSE gross_sqft END AS gp, CASE WHEN discount = 0 THEN NULL ELSE land_sqft END AS ls
   FROM sales)"""))
 def validation_report(spark, d):
-    s = sales(spark, d)
+    s = sales_by_order(spark, d)
     v = s.select("borough_name", "l_orderkey", "l_linenumber",
                  F.when(F.col("discount") == 0, None).otherwise(F.col("gross_sqft")).alias("gp"),
                  F.when(F.col("discount") == 0, None).otherwise(F.col("land_sqft")).alias("ls"))

@@ -64,3 +64,18 @@ def test_file_fingerprints_in_pieces(spark, tmp_path):
     got = {(r.file, r.bytes, r.file_hash) for r in io.file_fingerprints(spark, str(tmp_path / "*")).collect()}
     assert {(n, h) for _, n, h in got} == {(p.stat().st_size, hashlib.md5(p.read_bytes()).hexdigest()[:16]) for p in tmp_path.iterdir()}
     assert len(got) == 3
+
+
+def test_sales_by_order_has_the_rows_of_sales_in_parts_by_their_number(spark, monkeypatch):
+    """A task's sorts and hash tables hold a bounded number of fact rows, whatever the session's shuffle partitions."""
+    from lotmarket.operators import relational as rel
+    from lotmarket.plans import binding
+    d = "/root/testdata/sf0.001"
+    monkeypatch.setattr(binding, "ROWS_PER_TASK", 100)
+    rows = binding.sales(spark, d)
+    dealt = binding.sales_by_order(spark, d)
+    assert dealt.columns == rows.columns and dealt.exceptAll(rows).isEmpty() and rows.exceptAll(dealt).isEmpty()
+    n = -(-binding.table(spark, d, "lineitem").count() // 100)
+    plan = rel.dedup_first(rel.dedup_full(dealt), ["l_orderkey", "l_linenumber"], dealt.columns)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(l_orderkey" in plan and f", {n}), REPARTITION_BY_NUM" in plan
+    assert plan[:plan.index("SortMergeJoin [l_orderkey")].count("Exchange") == 0  # both steps lie where the join left the rows
