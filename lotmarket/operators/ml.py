@@ -341,18 +341,18 @@ def encode(df: DataFrame, encoding: DataFrame, key: str, name: str) -> DataFrame
 # --------------------------------------------------------------------------- trees (MLlib)
 
 def tree_fit(train: DataFrame, y: str, xs: Sequence[str], kind: str = "rf", **params):
-    """M3/M4: MLlib forest or boosted trees.  Returns (model, assembled-train)."""
+    """M3/M4: a forest (``forest.fit_forest``, which takes the library's parameter names) or the library's boosted trees.
+    Returns (model, assembler)."""
     from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-    ensure_checkpoint_dir(train.sparkSession)
+    from pyspark.ml.regression import GBTRegressor
+
+    from lotmarket.operators.forest import fit_forest
     va = VectorAssembler(inputCols=list(xs), outputCol="features", handleInvalid="keep")
-    data = va.transform(train)
     if kind == "rf":
-        est = RandomForestRegressor(labelCol=y, featuresCol="features", maxMemoryInMB=1024, cacheNodeIds=True,
-                                    checkpointInterval=10, **params)
-    else:
-        est = GBTRegressor(labelCol=y, featuresCol="features", checkpointInterval=10, **params)
-    return est.fit(data), va
+        return fit_forest(train, y, xs, **params), va
+    ensure_checkpoint_dir(train.sparkSession)
+    est = GBTRegressor(labelCol=y, featuresCol="features", checkpointInterval=10, **params)
+    return est.fit(va.transform(train)), va
 
 
 def importance_table(model, xs: Sequence[str], spark) -> DataFrame:
