@@ -94,8 +94,8 @@ def drawn_cells(rows: DataFrame, trees: int, seed: int) -> DataFrame:
 
 def fit_forest(df: DataFrame, y: str, xs: Sequence[str], numTrees: int = 20, maxDepth: int = 5, maxBins: int = 32,  # noqa: N803 - the library's names
                minInstancesPerNode: int = 1, seed: int = 42) -> Forest:  # noqa: N803
-    """Regression trees on bootstrap draws of all rows.  A NULL or NaN target is an error; a NULL feature counts as NaN,
-    above all bounds."""
+    """Regression trees on bootstrap draws of all rows.  A NULL or NaN target and a NULL, NaN or infinite feature are
+    errors, as in the library."""
     trees, depth = numTrees, maxDepth
     if maxBins ** len(xs) > boost.MAX_CELLS:
         raise ValueError(f"{maxBins} bins of {len(xs)} features make more than {boost.MAX_CELLS} cells: take fewer bins")
@@ -105,7 +105,10 @@ def fit_forest(df: DataFrame, y: str, xs: Sequence[str], numTrees: int = 20, max
     cells, k = int(np.prod(shape)), len(xs)
     cell = F.lit(0)
     for x, b in reversed(list(zip(xs, bounds, strict=True))):
-        cell = cell * (len(b) + 1) + boost.bin_of(F.coalesce(F.col(x).cast("double"), F.lit(float("nan"))), b)
+        v = F.coalesce(F.col(x).cast("double"), F.lit(float("nan")))
+        odd = F.isnan(v) | (F.abs(v) == float("inf"))
+        v = F.when(odd, F.raise_error(F.lit("Vector values MUST NOT be NaN or Infinity")).cast("double")).otherwise(v)
+        cell = cell * (len(b) + 1) + boost.bin_of(v, b)
     target = F.col(y).cast("double")
     known = F.when(target.isNull() | F.isnan(target), F.raise_error(F.lit("Labels MUST NOT be Null or NaN")).cast("double")).otherwise(target)
     drawn = drawn_cells(df.select(cell.cast("int").alias("cell"), known.alias("y")), trees, seed)

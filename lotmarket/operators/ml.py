@@ -338,7 +338,7 @@ def encode(df: DataFrame, encoding: DataFrame, key: str, name: str) -> DataFrame
     return j.withColumn(name, F.coalesce(F.col(name) - F.col("_mean"), F.lit(0.0))).drop("_mean")
 
 
-# --------------------------------------------------------------------------- trees (MLlib)
+# --------------------------------------------------------------------------- trees
 
 def tree_fit(train: DataFrame, y: str, xs: Sequence[str], kind: str = "rf", **params):
     """M3/M4: a forest (``forest.fit_forest``, which takes the library's parameter names) or the library's boosted trees.

@@ -42,6 +42,9 @@ def test_against_the_library(spark):
     assert sum(model.featureImportances.toArray()) == pytest.approx(1)
     with pytest.raises(Exception, match="Labels MUST NOT"):
         ml.tree_fit(train.withColumn("y", F.when(F.col("id") == 1, None).otherwise(F.col("y"))), "y", xs, "rf", numTrees=2)
+    for odd in (None, float("nan"), float("inf")):
+        with pytest.raises(Exception, match="Vector values MUST NOT"):
+            ml.tree_fit(train.withColumn("b", F.when(F.col("id") == 1, F.lit(odd).cast("double")).otherwise(F.col("b"))), "y", xs, "rf", numTrees=2)
 
 
 def test_nothing_is_kept_for_each_row_and_tree(spark):
